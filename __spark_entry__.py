@@ -22,7 +22,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from bursa.operators.latest import eod_snapshots, latest_per_key, max_data_date
+from bursa.plans import diagnostics as DG
 from bursa.plans import rebound as RB
+from bursa.plans import trend as TR
 from bursa.plans.oracle_views import with_views
 from bursa.sources import adapters as A
 
@@ -54,6 +57,12 @@ def _present(df: DataFrame) -> DataFrame:
     return df.select(*out)
 
 
+def _dbl(df: DataFrame, *cols: str) -> DataFrame:
+    """Integer columns that can hold NULL are presented as doubles (pandas turns a
+    nullable integer into float64 on one side and Int64 on the other)."""
+    return df.withColumns({c: F.col(c).cast("double") for c in cols})
+
+
 def _v(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return A.load(spark, sf, name)
 
@@ -100,6 +109,109 @@ def q_rebound_relaxed(spark, sf):
     return _strict(spark, sf, 4)
 
 
+def _hist_asof(h):
+    return h.select(F.max("trade_date")).scalar()
+
+
+def q_table_counts(spark, sf):
+    return DG.table_counts({"orderbook": _v(spark, sf, "orderbook"), "trades": _v(spark, sf, "trades"),
+                            "stock_summary": _v(spark, sf, "stock_summary")})
+
+
+def q_coverage_summary(spark, sf):
+    return DG.coverage(_v(spark, sf, "stock_summary"), "stock_summary")
+
+
+def q_coverage_history(spark, sf):
+    return DG.coverage(_v(spark, sf, "history_ohlc"), "history_ohlc", code="code", day="trade_date")
+
+
+def q_coverage_today(spark, sf):
+    s = _v(spark, sf, "stock_summary")
+    return DG.coverage_on(s, max_data_date(s))
+
+
+def q_sample_latest(spark, sf):
+    return DG.sample_latest(_v(spark, sf, "stock_summary"), 10)
+
+
+def q_latest_date(spark, sf):
+    return DG.latest_date(_v(spark, sf, "stock_summary"))
+
+
+def q_date_match(spark, sf):
+    s = _v(spark, sf, "stock_summary")
+    return DG.date_match(s, max_data_date(s))
+
+
+def q_missing_fundamentals(spark, sf):
+    h = _v(spark, sf, "history_ohlc")
+    return DG.missing_fundamentals(h, _v(spark, sf, "stock_fundamentals"), _hist_asof(h),
+                                   min_value=HISTORY_MIN_VALUE)
+
+
+def q_fundamentals_coverage(spark, sf):
+    h = _v(spark, sf, "history_ohlc")
+    return DG.fundamentals_coverage(h, _v(spark, sf, "stock_fundamentals"), _hist_asof(h))
+
+
+def q_latest_snapshot(spark, sf):
+    return latest_per_key(_v(spark, sf, "stock_summary"), ["security_code"], [F.col("ts").desc()])
+
+
+def q_eod_snapshots(spark, sf):
+    return eod_snapshots(_v(spark, sf, "stock_summary"))
+
+
+def q_previous_day_merged(spark, sf):
+    s = _v(spark, sf, "stock_summary")
+    return RB.previous_day_merged(s, _v(spark, sf, "history_ohlc"), max_data_date(s))
+
+
+def q_afternoon_trend(spark, sf):
+    from bursa.operators.session import afternoon_volume_trend
+    s = _v(spark, sf, "stock_summary")
+    return _dbl(afternoon_volume_trend(s, max_data_date(s)), "volume_1430_1500", "volume_1500_1530",
+                "volume_1530_close")
+
+
+def q_afternoon_counts(spark, sf):
+    return TR.afternoon_counts(_v(spark, sf, "stock_summary"))
+
+
+def q_snapshot_counts(spark, sf):
+    return TR.snapshot_counts(_v(spark, sf, "stock_summary"), min_value=SUMMARY_MIN_VALUE)
+
+
+def q_daily_screen(spark, sf):
+    return TR.daily_trading_screen(_v(spark, sf, "stock_summary"), min_value=SUMMARY_MIN_VALUE)
+
+
+def q_daily_marks(spark, sf):
+    return _dbl(TR.daily_trading_marks(_v(spark, sf, "stock_summary"), _v(spark, sf, "history_ohlc"), 10,
+                                       min_value=SUMMARY_MIN_VALUE), "yesterday_volume")
+
+
+def q_ma_coverage(spark, sf):
+    return TR.ma_coverage(_v(spark, sf, "history_ohlc"), 5)
+
+
+def q_ma5_breakout(spark, sf):
+    return TR.ma5_breakout(_v(spark, sf, "history_ohlc"), latest_only=True, min_value=HISTORY_MIN_VALUE)
+
+
+def q_ma5_breakout_all(spark, sf):
+    return TR.ma5_breakout(_v(spark, sf, "history_ohlc"), latest_only=False, min_value=HISTORY_MIN_VALUE)
+
+
+def q_ma20_swing(spark, sf):
+    return TR.ma20_swing(_v(spark, sf, "history_ohlc"), min_value=HISTORY_MIN_VALUE)
+
+
+def q_ma20_swing_latest(spark, sf):
+    return TR.ma20_swing(_v(spark, sf, "history_ohlc"), latest_only=True, min_value=HISTORY_MIN_VALUE)
+
+
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "rebound_candidates": q_rebound_candidates,
     "criteria_counts": q_criteria_counts,
@@ -108,6 +220,28 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "rebound_detail_3b": q_rebound_detail_3b,
     "rebound_strict": q_rebound_strict,
     "rebound_relaxed": q_rebound_relaxed,
+    "table_counts": q_table_counts,
+    "coverage_summary": q_coverage_summary,
+    "coverage_history": q_coverage_history,
+    "coverage_today": q_coverage_today,
+    "sample_latest": q_sample_latest,
+    "latest_date": q_latest_date,
+    "date_match": q_date_match,
+    "missing_fundamentals": q_missing_fundamentals,
+    "fundamentals_coverage": q_fundamentals_coverage,
+    "latest_snapshot": q_latest_snapshot,
+    "eod_snapshots": q_eod_snapshots,
+    "previous_day_merged": q_previous_day_merged,
+    "afternoon_trend": q_afternoon_trend,
+    "afternoon_counts": q_afternoon_counts,
+    "snapshot_counts": q_snapshot_counts,
+    "daily_screen": q_daily_screen,
+    "daily_marks": q_daily_marks,
+    "ma_coverage": q_ma_coverage,
+    "ma5_breakout": q_ma5_breakout,
+    "ma5_breakout_all": q_ma5_breakout_all,
+    "ma20_swing": q_ma20_swing,
+    "ma20_swing_latest": q_ma20_swing_latest,
 }
 
 
@@ -302,6 +436,225 @@ SELECT security_code, {_d('current_price')} AS current_price, {_d('opening_price
 FROM ca WHERE {cond}"""
 
 
+MAXH = "(SELECT max(trade_date) FROM history_ohlc)"
+SUMMARY_COLS = ("data_date, data_time, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS ts, security_code, board_code, "
+                "CAST(opening_price AS DOUBLE) AS opening_price, CAST(highest_price AS DOUBLE) AS highest_price, "
+                "CAST(lowest_price AS DOUBLE) AS lowest_price, CAST(close_price AS DOUBLE) AS close_price, "
+                "trade_volume, trade_value, trade_frequency, CAST(previous_price AS DOUBLE) AS previous_price")
+
+
+def _sql_table_counts() -> str:
+    return with_views("orderbook", "stock_summary") + """
+SELECT 'orderbook' AS table_name, count(ts) AS row_count FROM orderbook
+UNION ALL SELECT 'trades', count(ts) FROM trades
+UNION ALL SELECT 'stock_summary', count(ts) FROM stock_summary"""
+
+
+def _sql_coverage(view: str, code: str, day: str, date_fmt: bool) -> str:
+    lo = f"strftime(min({day}), '%Y-%m-%d')" if date_fmt else f"min({day})"
+    hi = f"strftime(max({day}), '%Y-%m-%d')" if date_fmt else f"max({day})"
+    return with_views(view) + f"""
+SELECT '{view}' AS table_name, count(DISTINCT {code}) AS stock_count, {lo} AS earliest_date,
+       {hi} AS latest_date, count(*) AS total_records FROM {view}"""
+
+
+def _sql_coverage_today() -> str:
+    return with_views("stock_summary") + f"""
+SELECT 'today_stock_summary' AS table_name, count(DISTINCT security_code) AS stock_count,
+       count(*) AS total_records FROM stock_summary WHERE data_date = {MAXD}"""
+
+
+def _sql_sample_latest() -> str:
+    return with_views("stock_summary") + f"""
+SELECT security_code, data_date, data_time, {_d('opening_price')} AS opening_price,
+       {_d('highest_price')} AS highest_price, {_d('lowest_price')} AS lowest_price,
+       {_d('close_price')} AS close_price, trade_volume, trade_value
+FROM stock_summary WHERE data_date = {MAXD}
+ORDER BY trade_value DESC, security_code, ts DESC LIMIT 10"""
+
+
+def _sql_latest_date() -> str:
+    return with_views("stock_summary") + """
+SELECT 'Latest stock_summary date' AS info, max(data_date) AS latest_date,
+       count(DISTINCT security_code) AS stock_count FROM stock_summary"""
+
+
+def _sql_date_match() -> str:
+    return with_views("stock_summary") + f"""
+SELECT 'Current date match' AS info, strftime(strptime({MAXD}, '%Y%m%d'), '%Y-%m-%d') AS current_date,
+       {MAXD} AS formatted_current_date, count(DISTINCT security_code) AS stock_count_today
+FROM stock_summary WHERE data_date = {MAXD}"""
+
+
+def _sql_missing_fundamentals() -> str:
+    return with_views("history_ohlc", "stock_fundamentals") + f"""
+SELECT ho.code AS security_code, count(DISTINCT ho.trade_date) AS days_of_data,
+       strftime(max(ho.trade_date), '%Y-%m-%d') AS latest_date, {_d('max(ho."close")')} AS latest_close_price,
+       CAST(sum(ho."value") AS DOUBLE) / CAST(count(ho."value") AS DOUBLE) AS avg_daily_value,
+       'MISSING - Add to stock_fundamentals table' AS status
+FROM history_ohlc ho LEFT JOIN stock_fundamentals sf ON ho.code = sf.security_code
+WHERE sf.security_code IS NULL AND ho.trade_date >= {MAXH} - INTERVAL 30 DAY AND ho."value" > {HISTORY_MIN_VALUE}
+GROUP BY ho.code ORDER BY avg_daily_value DESC, security_code LIMIT 50"""
+
+
+def _sql_fundamentals_coverage() -> str:
+    return with_views("history_ohlc", "stock_fundamentals") + f"""
+SELECT count(DISTINCT ho.code) AS total_stocks_in_history,
+       count(DISTINCT sf.security_code) AS stocks_with_fundamentals,
+       count(DISTINCT ho.code) - count(DISTINCT sf.security_code) AS missing_fundamentals
+FROM history_ohlc ho LEFT JOIN stock_fundamentals sf ON ho.code = sf.security_code
+WHERE ho.trade_date >= {MAXH} - INTERVAL 30 DAY"""
+
+
+def _sql_latest_snapshot() -> str:
+    return with_views("stock_summary") + f"""
+SELECT {SUMMARY_COLS} FROM {_latest('stock_summary', 'security_code', 'ts DESC')} x"""
+
+
+def _sql_eod_snapshots() -> str:
+    return with_views("stock_summary") + f"""
+SELECT {SUMMARY_COLS} FROM {_latest('stock_summary', 'security_code, data_date', 'ts DESC')} x"""
+
+
+def _sql_previous_day_merged() -> str:
+    return with_views("stock_summary", "history_ohlc") + f""",
+{_sql_prev_merged(MAXD)}
+SELECT security_code, {_d('previous_low')} AS previous_low, prev_volume FROM pd"""
+
+
+MOD = "(hour(ts) * 60 + minute(ts))"
+
+
+def _sql_avt_cte() -> str:
+    return f"""avt AS (
+  SELECT security_code,
+         max(CASE WHEN {MOD} BETWEEN 870 AND 900 THEN trade_volume END) AS volume_1430_1500,
+         max(CASE WHEN {MOD} BETWEEN 900 AND 930 THEN trade_volume END) AS volume_1500_1530,
+         max(CASE WHEN {MOD} >= 930 THEN trade_volume END) AS volume_1530_close
+  FROM stock_summary WHERE data_date = {MAXD} AND {MOD} >= 870 GROUP BY security_code),
+avt2 AS (SELECT *, COALESCE(volume_1530_close > volume_1500_1530 AND volume_1500_1530 > volume_1430_1500, false)
+                    AS is_volume_increasing FROM avt)"""
+
+
+def _sql_afternoon_trend() -> str:
+    return with_views("stock_summary") + ", " + _sql_avt_cte() + """
+SELECT security_code, CAST(volume_1430_1500 AS DOUBLE) AS volume_1430_1500,
+       CAST(volume_1500_1530 AS DOUBLE) AS volume_1500_1530, CAST(volume_1530_close AS DOUBLE) AS volume_1530_close,
+       is_volume_increasing FROM avt2"""
+
+
+def _sql_afternoon_counts() -> str:
+    return with_views("stock_summary") + ", " + _sql_avt_cte() + """
+SELECT 'Afternoon volume trend' AS info, count(*) AS total_stocks,
+       CAST(sum(CASE WHEN is_volume_increasing THEN 1 ELSE 0 END) AS BIGINT) AS stocks_with_increasing_volume
+FROM avt2"""
+
+
+def _ls_on_max() -> str:
+    return _latest("stock_summary", "security_code", "ts DESC", f"data_date = {MAXD}")
+
+
+def _sql_snapshot_counts() -> str:
+    return with_views("stock_summary") + f"""
+SELECT 'Latest snapshot' AS info, count(*) AS total_stocks, max(data_date) AS data_date,
+  {_b('sum(CASE WHEN close_price >= opening_price THEN 1 ELSE 0 END)')} AS green_candles,
+  {_b('sum(CASE WHEN close_price >= 1.05 * previous_price THEN 1 ELSE 0 END)')} AS up_5pct,
+  {_b(f'sum(CASE WHEN trade_value > {SUMMARY_MIN_VALUE} THEN 1 ELSE 0 END)')} AS liquid_stocks
+FROM {_ls_on_max()} x"""
+
+
+def _pct(a: str, b: str) -> str:
+    return _r(f"CAST({a} - {b} AS DOUBLE) / NULLIF(CAST({b} AS DOUBLE), 0) * CAST(100 AS DOUBLE)", 2)
+
+
+def _sql_daily_screen() -> str:
+    ds = _latest("stock_summary", "security_code, data_date", "ts DESC",
+                 "close_price IS NOT NULL AND trade_volume IS NOT NULL")
+    return with_views("stock_summary") + f""", {_sql_avt_cte()},
+m5 AS (SELECT security_code, data_date, sum(close_price) OVER w AS ma5_sum, count(close_price) OVER w AS ma5_n,
+              lag(trade_volume) OVER (PARTITION BY security_code ORDER BY data_date) AS yesterday_volume
+       FROM {ds} d WINDOW w AS (PARTITION BY security_code ORDER BY data_date ROWS BETWEEN 4 PRECEDING AND CURRENT ROW)),
+lm AS (SELECT * FROM {_latest('m5', 'security_code', 'data_date DESC')} q)
+SELECT ls.security_code, {_d('ls.close_price')} AS current_price, {_d('ls.opening_price')} AS opening_price,
+       {_d('ls.previous_price')} AS previous_price, {_div('lm.ma5_sum', 'lm.ma5_n')} AS ma5,
+       ls.trade_volume, ls.trade_value, {_pct('ls.close_price', 'ls.previous_price')} AS pct_change
+FROM {_ls_on_max()} ls JOIN lm ON ls.security_code = lm.security_code
+JOIN avt2 ON ls.security_code = avt2.security_code
+WHERE {_ge('ls.close_price', 1, 'lm.ma5_sum', 'lm.ma5_n')} AND ls.close_price >= 1.05 * ls.previous_price
+  AND ls.close_price >= ls.opening_price AND ls.trade_volume >= 1.20 * lm.yesterday_volume
+  AND ls.trade_value > {SUMMARY_MIN_VALUE} AND avt2.is_volume_increasing"""
+
+
+def _sql_daily_marks() -> str:
+    m5 = f"""(SELECT code, trade_date, volume, sum("close") OVER w AS ma5_sum, count("close") OVER w AS ma5_n
+          FROM history_ohlc WHERE "close" IS NOT NULL AND volume IS NOT NULL
+          WINDOW w AS (PARTITION BY code ORDER BY trade_date ROWS BETWEEN 4 PRECEDING AND CURRENT ROW))"""
+    return with_views("stock_summary", "history_ohlc") + f""",
+lm AS (SELECT code AS security_code, ma5_sum, ma5_n, volume AS yesterday_volume
+       FROM {_latest(m5, 'code', 'trade_date DESC')} q)
+SELECT ls.security_code, ls.data_date, {_d('ls.close_price')} AS current_price,
+  {_d('ls.opening_price')} AS opening_price, {_d('ls.previous_price')} AS previous_price,
+  {_div('lm.ma5_sum', 'lm.ma5_n')} AS ma5, ls.trade_volume AS today_volume,
+  CAST(lm.yesterday_volume AS DOUBLE) AS yesterday_volume,
+  ls.trade_value AS today_value,
+  {_mark(_ge('ls.close_price', 1, 'lm.ma5_sum', 'lm.ma5_n'))} AS above_ma5,
+  {_mark('ls.close_price >= 1.05 * ls.previous_price')} AS up_5pct,
+  {_mark('ls.close_price >= ls.opening_price')} AS green,
+  {_mark('ls.trade_volume >= 1.20 * lm.yesterday_volume')} AS vol_up,
+  {_mark(f'ls.trade_value > {SUMMARY_MIN_VALUE}')} AS liquid
+FROM {_ls_on_max()} ls LEFT JOIN lm ON ls.security_code = lm.security_code
+ORDER BY ls.trade_value DESC, ls.security_code LIMIT 10"""
+
+
+def _sql_ma_coverage() -> str:
+    return with_views("history_ohlc") + """
+SELECT 'MA5 stocks with 5 days data' AS info, count(DISTINCT code) AS stock_count,
+       strftime(max(trade_date), '%Y-%m-%d') AS latest_ma5_date
+FROM (SELECT code, trade_date, count(*) OVER (PARTITION BY code ORDER BY trade_date
+             ROWS BETWEEN 4 PRECEDING AND CURRENT ROW) AS days_count
+      FROM history_ohlc WHERE "close" IS NOT NULL AND volume IS NOT NULL)
+WHERE days_count = 5"""
+
+
+def _sql_ma5_breakout(latest: bool) -> str:
+    day = f"AND trade_date = {MAXH}" if latest else ""
+    return with_views("history_ohlc") + f""",
+b AS (SELECT *, sum("close") OVER w AS ma5_sum, count("close") OVER w AS ma5_n,
+             lag("close") OVER (PARTITION BY code ORDER BY trade_date) AS prev_close,
+             lag(volume) OVER (PARTITION BY code ORDER BY trade_date) AS prev_volume
+      FROM history_ohlc WINDOW w AS (PARTITION BY code ORDER BY trade_date ROWS BETWEEN 4 PRECEDING AND CURRENT ROW))
+SELECT code AS symbol, strftime(trade_date, '%Y-%m-%d') AS trade_date, {_d('"open"')} AS "open",
+       {_d('"close"')} AS "close", {_d('high')} AS high, {_d('low')} AS low, volume, "value",
+       {_div('ma5_sum', 'ma5_n')} AS ma5, {_d('prev_close')} AS prev_close, prev_volume
+FROM b
+WHERE (CAST("close" AS DECIMAL(20,2)) * ma5_n > ma5_sum AND ma5_n > 0) AND "close" >= prev_close * 1.05
+  AND "close" >= "open" AND volume >= prev_volume * 0.20 AND "value" > {HISTORY_MIN_VALUE} {day}"""
+
+
+def _sql_ma20_swing(latest: bool) -> str:
+    day = (f"AND trade_date = (SELECT max(trade_date) FROM history_ohlc WHERE \"close\" IS NOT NULL "
+           f"AND volume IS NOT NULL AND \"value\" IS NOT NULL)") if latest else ""
+    pma, vma = _div("pma_sum", "pma_n"), _div("vma_sum", "vma_n")
+    return with_views("history_ohlc") + f""",
+m AS (SELECT *, sum("close") OVER w AS pma_sum, count("close") OVER w AS pma_n,
+             sum(volume) OVER w AS vma_sum, count(volume) OVER w AS vma_n,
+             lag(volume) OVER (PARTITION BY code ORDER BY trade_date) AS previous_volume,
+             count(*) OVER w AS days_count
+      FROM history_ohlc WHERE "close" IS NOT NULL AND volume IS NOT NULL AND "value" IS NOT NULL
+      WINDOW w AS (PARTITION BY code ORDER BY trade_date ROWS BETWEEN 19 PRECEDING AND CURRENT ROW))
+SELECT strftime(trade_date, '%Y-%m-%d') AS trade_date, code AS security_code, {_d('"close"')} AS price,
+       volume, "value", freq AS frequency, {_r(pma, 2)} AS price_ma20, {_r(vma, 0)} AS volume_ma20,
+       previous_volume, {_r(_div('"close"', pma), 4)} AS price_to_ma20_ratio,
+       {_r(_div('volume', 'previous_volume'), 4)} AS volume_to_previous_ratio,
+       {_r(_div('volume', vma), 4)} AS volume_to_ma20_ratio
+FROM m
+WHERE days_count = 20 AND "value" >= {HISTORY_MIN_VALUE} AND "close" > 100
+  AND {_ge('"close"', 1, 'pma_sum', 'pma_n')} AND {_ge('"close"', 0.97, 'pma_sum', 'pma_n')}
+  AND (CAST("close" AS DECIMAL(20,2)) * pma_n <= 1.03 * pma_sum AND pma_n > 0)
+  AND previous_volume IS NOT NULL AND volume >= 1.30 * previous_volume
+  AND {_ge('volume', 1.50, 'vma_sum', 'vma_n')} {day}"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "rebound_candidates": _sql_rebound_candidates(),
@@ -311,4 +664,26 @@ def oracle_sql() -> dict[str, str]:
         "rebound_detail_3b": _sql_rebound_detail_summary(True),
         "rebound_strict": _sql_rebound_strict(5),
         "rebound_relaxed": _sql_rebound_strict(4),
+        "table_counts": _sql_table_counts(),
+        "coverage_summary": _sql_coverage("stock_summary", "security_code", "data_date", False),
+        "coverage_history": _sql_coverage("history_ohlc", "code", "trade_date", True),
+        "coverage_today": _sql_coverage_today(),
+        "sample_latest": _sql_sample_latest(),
+        "latest_date": _sql_latest_date(),
+        "date_match": _sql_date_match(),
+        "missing_fundamentals": _sql_missing_fundamentals(),
+        "fundamentals_coverage": _sql_fundamentals_coverage(),
+        "latest_snapshot": _sql_latest_snapshot(),
+        "eod_snapshots": _sql_eod_snapshots(),
+        "previous_day_merged": _sql_previous_day_merged(),
+        "afternoon_trend": _sql_afternoon_trend(),
+        "afternoon_counts": _sql_afternoon_counts(),
+        "snapshot_counts": _sql_snapshot_counts(),
+        "daily_screen": _sql_daily_screen(),
+        "daily_marks": _sql_daily_marks(),
+        "ma_coverage": _sql_ma_coverage(),
+        "ma5_breakout": _sql_ma5_breakout(True),
+        "ma5_breakout_all": _sql_ma5_breakout(False),
+        "ma20_swing": _sql_ma20_swing(False),
+        "ma20_swing_latest": _sql_ma20_swing(True),
     }
