@@ -25,7 +25,12 @@ from pyspark.sql import types as T
 from bursa.operators.latest import eod_snapshots, latest_per_key, max_data_date
 from bursa.plans import diagnostics as DG
 from bursa.plans import rebound as RB
+from bursa.plans import asof as AO
+from bursa.plans import market as MK
+from bursa.plans import sideways as SW
 from bursa.plans import trend as TR
+from bursa.operators import tape as TP
+from bursa.session import checkpoint_dir
 from bursa.plans.oracle_views import with_views
 from bursa.sources import adapters as A
 
@@ -212,6 +217,81 @@ def q_ma20_swing_latest(spark, sf):
     return TR.ma20_swing(_v(spark, sf, "history_ohlc"), latest_only=True, min_value=HISTORY_MIN_VALUE)
 
 
+def q_daily_bars(spark, sf):
+    return SW.daily_bars(_v(spark, sf, "stock_summary"))
+
+
+def _sw7(spark, sf, last):
+    return SW.sideways_screen(SW.daily_bars(_v(spark, sf, "stock_summary")), 7, max_range=SIDEWAYS_RANGE,
+                              max_volume=SIDEWAYS_VOLUME, min_avg_value=SUMMARY_MIN_VALUE, last_day_only=last)
+
+
+def q_sideways_7d(spark, sf):
+    return _sw7(spark, sf, True)
+
+
+def q_sideways_7d_all(spark, sf):
+    return _sw7(spark, sf, False)
+
+
+def _sw60(spark, sf, last):
+    return SW.sideways_state(_v(spark, sf, "daily_ohlc"), 60, max_range=SIDEWAYS_RANGE,
+                             max_volume=SIDEWAYS_VOLUME, min_avg_value=HISTORY_MIN_VALUE, last_day_only=last)
+
+
+def q_sideways_60d(spark, sf):
+    return _sw60(spark, sf, True)
+
+
+def q_sideways_60d_all(spark, sf):
+    return _sw60(spark, sf, False)
+
+
+def q_current_sideways(spark, sf):
+    return SW.current_sideways(_sw60(spark, sf, False))
+
+
+def q_sideways_upsert(spark, sf):
+    """Back-fill the state of every day, upsert the last night again (idempotent),
+    and read the stored table back."""
+    import uuid
+    path = f"{checkpoint_dir(spark).rstrip('/')}/sideways_state-{uuid.uuid4().hex}"
+    SW.store_sideways(_sw60(spark, sf, False), path)
+    SW.store_sideways(_sw60(spark, sf, True), path)
+    return SW.read_sideways(spark, path)
+
+
+def q_tick_direction(spark, sf):
+    return TP.tick_direction(_v(spark, sf, "trades")).drop("trade_date", "trade_time", "board_code")
+
+
+def q_trade_tape_summary(spark, sf):
+    return TP.trade_tape_summary(TP.tick_direction(_v(spark, sf, "trades")), min_trades=MIN_TRADES)
+
+
+def q_rebound_asof(spark, sf):
+    s = _v(spark, sf, "stock_summary")
+    day = F.to_date(max_data_date(s), "yyyyMMdd")
+    return AO.momentum_rebound_asof(s, _v(spark, sf, "trades"), day, min_trades=MIN_TRADES,
+                                    min_value=SUMMARY_MIN_VALUE)
+
+
+def q_top_gainers(spark, sf):
+    return MK.top_movers(_v(spark, sf, "stock_summary"), 10, "gainer")
+
+
+def q_top_losers(spark, sf):
+    return MK.top_movers(_v(spark, sf, "stock_summary"), 10, "loser")
+
+
+def q_most_active(spark, sf):
+    return MK.most_active(_v(spark, sf, "stock_summary"), 10)
+
+
+def q_book_totals(spark, sf):
+    return MK.book_totals(_v(spark, sf, "orderbook"))
+
+
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "rebound_candidates": q_rebound_candidates,
     "criteria_counts": q_criteria_counts,
@@ -242,6 +322,20 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "ma5_breakout_all": q_ma5_breakout_all,
     "ma20_swing": q_ma20_swing,
     "ma20_swing_latest": q_ma20_swing_latest,
+    "daily_bars": q_daily_bars,
+    "sideways_7d": q_sideways_7d,
+    "sideways_7d_all": q_sideways_7d_all,
+    "sideways_60d": q_sideways_60d,
+    "sideways_60d_all": q_sideways_60d_all,
+    "current_sideways": q_current_sideways,
+    "sideways_upsert": q_sideways_upsert,
+    "tick_direction": q_tick_direction,
+    "trade_tape_summary": q_trade_tape_summary,
+    "rebound_asof": q_rebound_asof,
+    "top_gainers": q_top_gainers,
+    "top_losers": q_top_losers,
+    "most_active": q_most_active,
+    "book_totals": q_book_totals,
 }
 
 
@@ -655,6 +749,201 @@ WHERE days_count = 20 AND "value" >= {HISTORY_MIN_VALUE} AND "close" > 100
   AND {_ge('volume', 1.50, 'vma_sum', 'vma_n')} {day}"""
 
 
+BARS = """bars AS (SELECT security_code, CAST(ts AS DATE) AS trade_date, arg_min(opening_price, ts) AS "open",
+                max(highest_price) AS high, min(lowest_price) AS low, arg_max(close_price, ts) AS "close",
+                sum(trade_volume) AS volume, sum(trade_value) AS "value"
+         FROM stock_summary GROUP BY 1, 2)"""
+
+
+def _sql_daily_bars() -> str:
+    return with_views("stock_summary") + ", " + BARS + """
+SELECT security_code, strftime(trade_date, '%Y-%m-%d') AS trade_date, CAST("open" AS DOUBLE) AS "open",
+       CAST(high AS DOUBLE) AS high, CAST(low AS DOUBLE) AS low, CAST("close" AS DOUBLE) AS "close",
+       CAST(volume AS DOUBLE) AS volume, CAST("value" AS DOUBLE) AS "value" FROM bars"""
+
+
+def _roll_cols() -> str:
+    return ('max("close") OVER w AS mx, min("close") OVER w AS mn, sum(volume) OVER w AS vsum, '
+            'count(volume) OVER w AS vn, sum("value") OVER w AS asum, count("value") OVER w AS an')
+
+
+def _sql_sideways_7d(last: bool) -> str:
+    day = "AND trade_date = (SELECT max(trade_date) FROM bars)" if last else ""
+    return with_views("stock_summary") + ", " + BARS + f""",
+r AS (SELECT *, {_roll_cols()} FROM bars
+      WINDOW w AS (PARTITION BY security_code ORDER BY trade_date
+                   RANGE BETWEEN INTERVAL 7 DAY PRECEDING AND INTERVAL 1 DAY PRECEDING))
+SELECT security_code AS symbol, strftime(trade_date, '%Y-%m-%d') AS trade_date,
+       CAST(mx - mn AS DOUBLE) / CAST(mn AS DOUBLE) AS range_ratio,
+       CAST(volume AS DOUBLE) / (CAST(vsum AS DOUBLE) / CAST(vn AS DOUBLE)) AS volume_ratio,
+       CAST(asum AS DOUBLE) / CAST(an AS DOUBLE) AS avg_value_prev
+FROM r WHERE mn <> 0 AND mx - mn < {SIDEWAYS_RANGE} * mn AND vsum <> 0 AND volume * vn < {SIDEWAYS_VOLUME} * vsum
+  AND an > 0 AND asum > {SUMMARY_MIN_VALUE} * an {day}"""
+
+
+def _sql_state_cte() -> str:
+    return f"""r AS (SELECT *, CAST(bucket AS DATE) AS trade_date, {_roll_cols()} FROM daily_ohlc
+      WINDOW w AS (PARTITION BY security_code ORDER BY bucket
+                   RANGE BETWEEN INTERVAL 60 DAY PRECEDING AND INTERVAL 1 DAY PRECEDING)),
+st AS (SELECT security_code AS symbol, trade_date,
+       CASE WHEN mn > 0 THEN CAST(mx - mn AS DOUBLE) / CAST(mn AS DOUBLE) ELSE 0.0 END AS range_ratio,
+       CASE WHEN vsum > 0 THEN CAST(volume AS DOUBLE) / (CAST(vsum AS DOUBLE) / CAST(vn AS DOUBLE)) ELSE 0.0 END
+           AS volume_ratio,
+       COALESCE((CASE WHEN mn > 0 THEN mx - mn < {SIDEWAYS_RANGE} * mn ELSE true END)
+                AND (CASE WHEN vsum > 0 THEN volume * vn < {SIDEWAYS_VOLUME} * vsum ELSE true END)
+                AND (CASE WHEN an > 0 THEN asum > {HISTORY_MIN_VALUE} * an END), false) AS is_sideways
+       FROM r)"""
+
+
+def _sql_sideways_60d(last: bool) -> str:
+    day = "WHERE trade_date = (SELECT CAST(max(bucket) AS DATE) FROM daily_ohlc)" if last else ""
+    return with_views("daily_ohlc") + ", " + _sql_state_cte() + f"""
+SELECT symbol, strftime(trade_date, '%Y-%m-%d') AS trade_date, range_ratio, volume_ratio, is_sideways
+FROM st {day}"""
+
+
+def _sql_current_sideways() -> str:
+    return with_views("daily_ohlc") + ", " + _sql_state_cte() + """
+SELECT symbol, strftime(trade_date, '%Y-%m-%d') AS trade_date, range_ratio, volume_ratio, is_sideways
+FROM st WHERE trade_date = (SELECT max(trade_date) FROM st) AND is_sideways"""
+
+
+TICKS = """tk AS (SELECT *, CAST(ts AS DATE) AS trade_day,
+                lag(price) OVER (PARTITION BY security_code, CAST(ts AS DATE) ORDER BY ts, trade_no) AS prev_price
+         FROM trades),
+tk2 AS (SELECT *, COALESCE(price > prev_price, false) AS is_price_up,
+               COALESCE(price < prev_price, false) AS is_price_down FROM tk)"""
+
+
+def _tape_aggs(prefix: str = "") -> str:
+    p = prefix
+    hours = ("(epoch_us(max(ts)) - epoch_us(min(ts))) / CAST(1000000 AS DOUBLE) / CAST(3600 AS DOUBLE)")
+    return f"""
+  {_r('CAST(max(price) - min(price) AS DOUBLE) / NULLIF(CAST(min(price) AS DOUBLE), 0) * CAST(100 AS DOUBLE)', 2)}
+      AS {p}trade_price_momentum_pct,
+  count(*) AS {p}total_trade_count,
+  {_r('CAST(sum(price * volume) AS DOUBLE) / NULLIF(CAST(sum(volume) AS DOUBLE), 0)', 2)} AS {p}vwap_price,
+  CAST(sum(CASE WHEN is_price_up THEN volume ELSE 0 END) AS BIGINT) AS {p}aggressive_buy_volume,
+  CAST(sum(volume) AS BIGINT) AS {p}total_trade_volume,
+  {_r(f'CAST(count(*) AS DOUBLE) / NULLIF({hours}, 0)', 2)} AS {p}trades_per_hour,
+  CAST(sum(CASE WHEN is_price_up THEN 1 ELSE 0 END) - sum(CASE WHEN is_price_down THEN 1 ELSE 0 END) AS BIGINT)
+      AS {p}price_direction_score,
+  CAST(sum(CASE WHEN volume >= 1000000 THEN volume ELSE 0 END) AS BIGINT) AS {p}large_trade_volume"""
+
+
+def _sql_tick_direction() -> str:
+    return with_views("trades") + ", " + TICKS + """
+SELECT trade_no, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS ts, security_code, CAST(price AS DOUBLE) AS price,
+       volume, strftime(trade_day, '%Y-%m-%d') AS trade_day, CAST(prev_price AS DOUBLE) AS prev_price,
+       is_price_up, is_price_down FROM tk2"""
+
+
+def _sql_trade_tape_summary() -> str:
+    return with_views("trades") + ", " + TICKS + f"""
+SELECT security_code, strftime(trade_day, '%Y-%m-%d') AS trade_day, {_tape_aggs()}
+FROM tk2 GROUP BY security_code, trade_day HAVING count(*) >= {MIN_TRADES}"""
+
+
+def _sql_rebound_asof() -> str:
+    day_txt = "(SELECT strftime(d, '%Y%m%d') FROM mx)"
+    lo_txt = "(SELECT strftime(d - INTERVAL 20 DAY, '%Y%m%d') FROM mx)"
+    ds = _latest("stock_summary", "security_code, data_date", "ts DESC",
+                 f"board_code = 'RG' AND lowest_price IS NOT NULL AND trade_volume IS NOT NULL "
+                 f"AND close_price IS NOT NULL AND data_date >= {lo_txt} AND data_date <= {day_txt}")
+    ls = _latest("stock_summary", "security_code", "ts DESC", f"board_code = 'RG' AND data_date = {day_txt}")
+    flags6 = f""",
+  COALESCE(tma_trade_price_momentum_pct >= 2.0, false) AS has_trade_flow_momentum,
+  COALESCE(tma_total_trade_volume > 0 AND tma_aggressive_buy_volume >= 0.6 * tma_total_trade_volume, false)
+      AS has_aggressive_buying,
+  COALESCE(vol_sum IS NOT NULL AND {_lt('trade_volume', 3, 'vol_sum', 'vol_days')}, false) AS volume_not_overheated,
+  COALESCE(previous_price IS NOT NULL AND current_price > previous_price * 1.03, false) AS price_strengthening,
+  COALESCE(min_price_20d IS NOT NULL AND current_price <= min_price_20d * 1.10, false) AS not_overextended,
+  COALESCE(max_price_20d IS NOT NULL AND current_price >= max_price_20d * 0.95, false) AS not_in_downtrend"""
+    score11 = ("(" + " + ".join(f"CAST({f} AS INT)" for f in AO.ASOF_FLAGS) + ")")
+    return with_views("stock_summary") + f""",
+mx AS (SELECT CAST(strptime(max(data_date), '%Y%m%d') AS DATE) AS d FROM stock_summary),
+ds AS (SELECT * FROM {ds} a),
+pd AS (SELECT security_code, lowest_price AS previous_low, trade_volume AS prev_volume
+       FROM {_latest('ds', 'security_code', 'data_date DESC', f'data_date < {day_txt}')} b),
+av AS (SELECT security_code, sum(trade_volume) AS vol_sum, max(close_price) AS max_price_20d,
+              min(close_price) AS min_price_20d, count(DISTINCT data_date) AS vol_days
+       FROM ds WHERE data_date < {day_txt} GROUP BY security_code),
+ls AS (SELECT * FROM {ls} c),
+tk AS (SELECT *, lag(price) OVER (PARTITION BY security_code ORDER BY ts, trade_no) AS prev_price
+       FROM trades WHERE CAST(ts AS DATE) = (SELECT d FROM mx)
+         AND security_code IN (SELECT security_code FROM ls)),
+tk2 AS (SELECT *, COALESCE(price > prev_price, false) AS is_price_up,
+               COALESCE(price < prev_price, false) AS is_price_down FROM tk),
+tma AS (SELECT security_code AS tma_code, {_tape_aggs('tma_')}
+        FROM tk2 GROUP BY security_code HAVING count(*) >= {MIN_TRADES}),
+ca0 AS (SELECT ls.* EXCLUDE (close_price), ls.close_price AS current_price, pd.previous_low, pd.prev_volume,
+               av.vol_sum, av.vol_days, av.max_price_20d, av.min_price_20d, tma.*
+        FROM ls LEFT JOIN pd ON ls.security_code = pd.security_code
+                LEFT JOIN av ON ls.security_code = av.security_code
+                LEFT JOIN tma ON ls.security_code = tma.tma_code),
+ca AS (SELECT * {_rebound_flags(SUMMARY_MIN_VALUE)} {flags6} FROM ca0)
+SELECT security_code, data_date, data_time, {_d('current_price')} AS current_price,
+  {_d('opening_price')} AS opening_price, {_d('highest_price')} AS highest_price,
+  {_d('lowest_price')} AS lowest_price, {_d('previous_low')} AS previous_low,
+  {_d('previous_price')} AS previous_price, trade_volume AS today_volume, trade_value AS today_value,
+  {_r(_div('vol_sum', 'vol_days'), 0)} AS avg_volume_20d, {_d('vol_days')} AS avg_days_count,
+  COALESCE(tma_total_trade_count, 0) AS total_trade_count,
+  COALESCE(tma_total_trade_volume, 0) AS trade_executed_volume,
+  COALESCE(tma_trades_per_hour, 0.0) AS trades_per_hour,
+  COALESCE(tma_trade_price_momentum_pct, 0.0) AS trade_price_momentum_pct,
+  COALESCE(tma_vwap_price, CAST(current_price AS DOUBLE)) AS vwap_price,
+  COALESCE(tma_aggressive_buy_volume, 0) AS aggressive_buy_volume,
+  COALESCE(tma_price_direction_score, 0) AS price_direction_score,
+  COALESCE(tma_large_trade_volume, 0) AS large_trade_volume,
+  price_to_open_ratio, lower_shadow_ratio, volume_to_avg_ratio, low_to_prev_low_ratio,
+  {_pct('current_price', 'previous_price')} AS price_change_pct,
+  {_pct('current_price', 'min_price_20d')} AS price_increase_20d_pct,
+  {_r('CAST(max_price_20d - current_price AS DOUBLE) / NULLIF(CAST(max_price_20d AS DOUBLE), 0) * CAST(100 AS DOUBLE)', 2)}
+      AS price_decrease_from_high_pct,
+  {_d('max_price_20d')} AS max_price_20d, {_d('min_price_20d')} AS min_price_20d,
+  {_d('candle_range')} AS candle_range, {_d('lower_shadow')} AS lower_shadow,
+  {_mark('is_down_from_open')} AS "1_Down3%", {_mark('has_long_lower_shadow')} AS "2_LongShadow",
+  {_mark('has_volume_surge')} AS "3_VolSurge", {_mark('volume_below_avg')} AS "3b_VolBelowAvg",
+  {_mark('is_liquid')} AS "4_Liquid", {_mark('is_near_support')} AS "5_NearSupport",
+  {_mark('has_trade_flow_momentum')} AS "6_TradeMomentum", {_mark('has_aggressive_buying')} AS "7_AggressiveBuy",
+  {_mark('volume_not_overheated')} AS "8_NotOverheated", {_mark('price_strengthening')} AS "9_Price>3%",
+  {_mark('not_overextended')} AS "11_NotExtended<10%", {_mark('not_in_downtrend')} AS "12_NotDown>5%",
+  {_b(score11)} AS total_criteria_met
+FROM ca WHERE has_long_lower_shadow AND is_liquid"""
+
+
+def _sql_top_movers(direction: str) -> str:
+    order = "chg DESC, security_code" if direction == "gainer" else "chg ASC, security_code"
+    return with_views("stock_summary") + f""",
+b AS (SELECT security_code, close_price, previous_price,
+             CAST(close_price - previous_price AS DOUBLE) / NULLIF(CAST(previous_price AS DOUBLE), 0) AS chg,
+             {_pct('close_price', 'previous_price')} AS pct_change
+      FROM {_ls_on_max()} x WHERE previous_price > 0)
+SELECT 'top_{direction}' AS kind, row_number() OVER (ORDER BY {order}) AS rank, security_code,
+       {_d('close_price')} AS close_price, {_d('previous_price')} AS previous_price, pct_change
+FROM b ORDER BY {order} LIMIT 10"""
+
+
+def _sql_most_active() -> str:
+    return with_views("stock_summary") + f"""
+SELECT 'most_active' AS kind, row_number() OVER (ORDER BY trade_value DESC, security_code) AS rank,
+       security_code, trade_value, trade_volume, trade_frequency
+FROM {_ls_on_max()} x ORDER BY trade_value DESC, security_code LIMIT 10"""
+
+
+def _sql_book_totals() -> str:
+    return with_views("orderbook") + """,
+last AS (SELECT security_code, side, max(ts) AS ts FROM orderbook GROUP BY 1, 2),
+cur AS (SELECT o.* FROM orderbook o JOIN last l ON o.security_code = l.security_code AND o.side = l.side
+        AND o.ts = l.ts)
+SELECT security_code,
+  CAST(sum(CASE WHEN side = 'B' THEN frequency ELSE 0 END) AS BIGINT) AS total_bid_queue,
+  CAST(sum(CASE WHEN side = 'B' THEN volume ELSE 0 END) AS BIGINT) AS total_bid_volume,
+  CAST(sum(CASE WHEN side = 'O' THEN frequency ELSE 0 END) AS BIGINT) AS total_offer_queue,
+  CAST(sum(CASE WHEN side = 'O' THEN volume ELSE 0 END) AS BIGINT) AS total_offer_volume
+FROM cur GROUP BY security_code"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "rebound_candidates": _sql_rebound_candidates(),
@@ -686,4 +975,18 @@ def oracle_sql() -> dict[str, str]:
         "ma5_breakout_all": _sql_ma5_breakout(False),
         "ma20_swing": _sql_ma20_swing(False),
         "ma20_swing_latest": _sql_ma20_swing(True),
+        "daily_bars": _sql_daily_bars(),
+        "sideways_7d": _sql_sideways_7d(True),
+        "sideways_7d_all": _sql_sideways_7d(False),
+        "sideways_60d": _sql_sideways_60d(True),
+        "sideways_60d_all": _sql_sideways_60d(False),
+        "current_sideways": _sql_current_sideways(),
+        "sideways_upsert": _sql_sideways_60d(False),
+        "tick_direction": _sql_tick_direction(),
+        "trade_tape_summary": _sql_trade_tape_summary(),
+        "rebound_asof": _sql_rebound_asof(),
+        "top_gainers": _sql_top_movers("gainer"),
+        "top_losers": _sql_top_movers("loser"),
+        "most_active": _sql_most_active(),
+        "book_totals": _sql_book_totals(),
     }
