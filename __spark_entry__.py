@@ -28,7 +28,11 @@ from bursa.plans import rebound as RB
 from bursa.plans import asof as AO
 from bursa.plans import market as MK
 from bursa.plans import sideways as SW
+from bursa.plans import swing as SG
 from bursa.plans import trend as TR
+from bursa.operators import audit as AU
+from bursa.operators.rolling import with_rsi
+from bursa.sources.schemas import KEYS, SCHEMAS
 from bursa.operators import tape as TP
 from bursa.session import checkpoint_dir
 from bursa.plans.oracle_views import with_views
@@ -292,6 +296,40 @@ def q_book_totals(spark, sf):
     return MK.book_totals(_v(spark, sf, "orderbook"))
 
 
+AUDITED = ["stock_summary", "trades", "orderbook", "history_ohlc", "stock_fundamentals"]
+NULL_AUDITED = ["stock_summary", "trades", "orderbook"]
+
+
+def q_key_audit(spark, sf):
+    return AU.key_violation_counts({t: (_v(spark, sf, t), KEYS[t]) for t in AUDITED})
+
+
+def q_null_audit(spark, sf):
+    parts = [AU.null_violations(_v(spark, sf, t), AU.not_null_columns(SCHEMAS[t]), t) for t in NULL_AUDITED]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def _swing(spark, sf, latest):
+    return SG.swing_screen(_v(spark, sf, "history_ohlc"), _v(spark, sf, "market_cap"), _v(spark, sf, "free_float"),
+                           latest_only=latest, only_passing=False, min_value=HISTORY_MIN_VALUE)
+
+
+def q_swing_spec(spark, sf):
+    return _swing(spark, sf, False)
+
+
+def q_swing_latest(spark, sf):
+    return _swing(spark, sf, True)
+
+
+def q_rsi14(spark, sf):
+    h = _v(spark, sf, "history_ohlc").where(F.col("close").isNotNull())
+    return with_rsi(h, "close", "code", "trade_date", 14, "rsi_14").select("code", "trade_date", "close", "rsi_14")
+
+
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "rebound_candidates": q_rebound_candidates,
     "criteria_counts": q_criteria_counts,
@@ -336,6 +374,11 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "top_losers": q_top_losers,
     "most_active": q_most_active,
     "book_totals": q_book_totals,
+    "key_audit": q_key_audit,
+    "null_audit": q_null_audit,
+    "swing_spec": q_swing_spec,
+    "swing_latest": q_swing_latest,
+    "rsi14": q_rsi14,
 }
 
 
@@ -944,6 +987,87 @@ SELECT security_code,
 FROM cur GROUP BY security_code"""
 
 
+def _sql_key_audit() -> str:
+    parts = []
+    for t in AUDITED:
+        keys = ", ".join(KEYS[t])
+        parts.append(f"""SELECT '{t}' AS table_name, count(*) AS duplicate_keys,
+       CAST(COALESCE(sum(n_rows - 1), 0) AS BIGINT) AS surplus_rows
+FROM (SELECT count(*) AS n_rows FROM {t} GROUP BY {keys} HAVING count(*) > 1)""")
+    return with_views(*AUDITED) + "\nUNION ALL\n".join(parts)
+
+
+def _sql_null_audit() -> str:
+    parts = []
+    for t in NULL_AUDITED:
+        for c in AU.not_null_columns(SCHEMAS[t]):
+            parts.append(f"SELECT '{t}' AS table_name, '{c}' AS column_name, "
+                         f"count(*) FILTER (WHERE \"{c}\" IS NULL) AS null_count FROM {t}")
+    return with_views(*NULL_AUDITED) + "\nUNION ALL\n".join(parts)
+
+
+def _rsi_cte(src: str) -> str:
+    return f"""rc AS (SELECT *, "close" - lag("close") OVER (PARTITION BY code ORDER BY trade_date) AS chg FROM {src}),
+rs AS (SELECT *, sum(CASE WHEN chg > 0 THEN chg ELSE 0 END) OVER w14 AS g,
+              sum(CASE WHEN chg < 0 THEN -chg ELSE 0 END) OVER w14 AS l, count(chg) OVER w14 AS nc
+       FROM rc WINDOW w14 AS (PARTITION BY code ORDER BY trade_date ROWS BETWEEN 13 PRECEDING AND CURRENT ROW)),
+rsi AS (SELECT * EXCLUDE (chg, g, l, nc),
+               CASE WHEN nc >= 14 THEN CASE WHEN l = 0 THEN CAST(100 AS DOUBLE)
+                    ELSE CAST(100 AS DOUBLE) - CAST(100 AS DOUBLE) / (CAST(1 AS DOUBLE) + CAST(g AS DOUBLE) / CAST(l AS DOUBLE))
+                    END END AS rsi_14 FROM rs)"""
+
+
+def _sql_rsi14() -> str:
+    return with_views("history_ohlc") + ", h AS (SELECT * FROM history_ohlc WHERE \"close\" IS NOT NULL), " + \
+        _rsi_cte("h") + """
+SELECT code, strftime(trade_date, '%Y-%m-%d') AS trade_date, CAST("close" AS DOUBLE) AS "close", rsi_14 FROM rsi"""
+
+
+def _sql_swing(latest: bool) -> str:
+    def win(n):
+        return f"(PARTITION BY code ORDER BY trade_date ROWS BETWEEN {n - 1} PRECEDING AND CURRENT ROW)"
+    day = "WHERE trade_date = (SELECT max(trade_date) FROM history_ohlc)" if latest else ""
+    rules = {
+        "rule_01": "market_cap_rp IS NOT NULL AND market_cap_rp < 5000000000000",
+        "rule_02": "free_float_pct IS NOT NULL AND free_float_pct < 40",
+        "rule_03": '"close" * n50 > s50',
+        "rule_04": "s50 * n100 > s100 * n50",
+        "rule_05": "s100 * n200 > s200 * n100",
+        "rule_06": "vs20 * vn60 > vs60 * vn20",
+        "rule_07": "volume * vn20 > vs20",
+        "rule_08": f'"value" > {HISTORY_MIN_VALUE}',
+        "rule_09": "lowest_60 > 0 AND highest_60 < 1.8 * lowest_60",
+        "rule_10": '"close" >= highest_20',
+        "rule_11": "rsi_14 > 55.0 AND rsi_14 < 70.0",
+        "rule_12": '"close" * n200 < 2 * s200',
+        "rule_13": '"close" > 0 AND (high - low) < 0.12 * "close"',
+    }
+    flags = ",\n  ".join(f"COALESCE({v}, false) AS {k}" for k, v in rules.items())
+    met = " + ".join(f"CAST({k} AS INT)" for k in rules)
+    mc = _latest("market_cap", "code", "year DESC, month DESC")
+    return with_views("history_ohlc", "market_cap", "free_float") + f""",
+h AS (SELECT *, sum("close") OVER {win(50)} AS s50, count("close") OVER {win(50)} AS n50,
+             sum("close") OVER {win(100)} AS s100, count("close") OVER {win(100)} AS n100,
+             sum("close") OVER {win(200)} AS s200, count("close") OVER {win(200)} AS n200,
+             sum(volume) OVER {win(20)} AS vs20, count(volume) OVER {win(20)} AS vn20,
+             sum(volume) OVER {win(60)} AS vs60, count(volume) OVER {win(60)} AS vn60,
+             max("close") OVER {win(60)} AS highest_60, min("close") OVER {win(60)} AS lowest_60,
+             max("close") OVER {win(20)} AS highest_20
+      FROM history_ohlc WHERE "close" IS NOT NULL),
+{_rsi_cte('h')},
+mc AS (SELECT code, CAST(market_capitalization AS DECIMAL(30,0)) * 1000000 AS market_cap_rp FROM {mc} z),
+j AS (SELECT rsi.*, mc.market_cap_rp, ff.free_float_pct FROM rsi LEFT JOIN mc ON rsi.code = mc.code
+      LEFT JOIN free_float ff ON rsi.code = ff.code {day}),
+f AS (SELECT *, {flags} FROM j)
+SELECT code AS security_code, strftime(trade_date, '%Y-%m-%d') AS trade_date, CAST("close" AS DOUBLE) AS "close",
+       volume, "value", {_div('s50', 'n50')} AS ma50, {_div('s100', 'n100')} AS ma100, {_div('s200', 'n200')} AS ma200,
+       {_div('vs20', 'vn20')} AS avg_volume_20, {_div('vs60', 'vn60')} AS avg_volume_60,
+       CAST(highest_60 AS DOUBLE) AS highest_60, CAST(lowest_60 AS DOUBLE) AS lowest_60,
+       CAST(highest_20 AS DOUBLE) AS highest_20, rsi_14, CAST(market_cap_rp AS DOUBLE) AS market_cap_rp,
+       free_float_pct, {", ".join(rules)}, CAST({met} AS BIGINT) AS rules_met
+FROM f"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "rebound_candidates": _sql_rebound_candidates(),
@@ -989,4 +1113,9 @@ def oracle_sql() -> dict[str, str]:
         "top_losers": _sql_top_movers("loser"),
         "most_active": _sql_most_active(),
         "book_totals": _sql_book_totals(),
+        "key_audit": _sql_key_audit(),
+        "null_audit": _sql_null_audit(),
+        "swing_spec": _sql_swing(False),
+        "swing_latest": _sql_swing(True),
+        "rsi14": _sql_rsi14(),
     }

@@ -69,6 +69,9 @@ FROM (SELECT code, year(trade_date) AS year, month(trade_date) AS month,
              arg_max("close", trade_date) AS month_close
       FROM history_ohlc GROUP BY 1, 2, 3) m
 JOIN stock_fundamentals f ON m.code = f.security_code"""),
+    "free_float": ((), f"""
+SELECT {CODE.format(x='s_suppkey')} AS code, CAST(10 + (s_nationkey * 3) % 60 AS DOUBLE) AS free_float_pct
+FROM supplier"""),
 }
 
 

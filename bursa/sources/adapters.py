@@ -150,6 +150,13 @@ def market_cap(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def free_float(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Free-float percentage per supplier code (10..69 %, from the nation key)."""
+    s = _read(spark, sf_dir, "supplier")
+    return s.select(_code(F.col("s_suppkey")).alias("code"),
+                    (F.lit(10) + (F.col("s_nationkey") * 3) % 60).cast("double").alias("free_float_pct"))
+
+
 VIEWS = {
     "trades": trades,
     "stock_summary": stock_summary,
@@ -158,6 +165,7 @@ VIEWS = {
     "orderbook": orderbook,
     "stock_fundamentals": stock_fundamentals,
     "market_cap": market_cap,
+    "free_float": free_float,
 }
 
 
