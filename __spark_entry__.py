@@ -32,6 +32,7 @@ from bursa.plans import swing as SG
 from bursa.plans import trend as TR
 from bursa.operators import audit as AU
 from bursa.operators.rolling import with_rsi
+from bursa.sources import feed as FD
 from bursa.sources.schemas import KEYS, SCHEMAS
 from bursa.operators import tape as TP
 from bursa.session import checkpoint_dir
@@ -330,6 +331,47 @@ def q_rsi14(spark, sf):
     return with_rsi(h, "close", "code", "trade_date", 14, "rsi_14").select("code", "trade_date", "close", "rsi_14")
 
 
+def q_feed_trades(spark, sf):
+    return FD.feed_trades(FD.trades_to_lines(_v(spark, sf, "trades")))
+
+
+def q_feed_summary(spark, sf):
+    return FD.feed_summary(FD.summary_to_lines(_v(spark, sf, "stock_summary")))
+
+
+def q_feed_orderbook(spark, sf):
+    return FD.feed_orderbook(FD.orderbook_to_lines(_v(spark, sf, "orderbook")))
+
+
+def q_feed_book_summary(spark, sf):
+    t = MK.book_totals(_v(spark, sf, "orderbook"))
+    lines = t.select(F.concat_ws("|", F.lit("ANTR"), F.lit("C"), "security_code",
+                                 *[F.col(c).cast("string") for c in t.columns[1:]]).alias("value"))
+    return FD.feed_book_summary(lines)
+
+
+def q_feed_rank_lists(spark, sf):
+    """Daily most-active lists (top 10 by end-of-day value) replayed as type-7 lines."""
+    from pyspark.sql import Window
+    d = eod_snapshots(_v(spark, sf, "stock_summary"))
+    r = d.withColumn("rank", F.row_number().over(
+        Window.partitionBy("data_date").orderBy(F.col("trade_value").desc(), "security_code"))).where("rank <= 10")
+    g = r.groupBy("data_date").agg(F.array_sort(F.collect_list(F.struct("rank", "security_code"))).alias("l"))
+    lines = g.select(F.concat(F.lit("ANTR|7|"), F.array_join(F.transform("l", lambda x: x["security_code"]), "|"),
+                              F.lit("|")).alias("value"), F.col("data_date").alias("received_at"))
+    return FD.feed_rank_lists(lines)
+
+
+def q_feed_rejects(spark, sf):
+    """Trades replayed as type-1 lines; negotiated-board lines lose their volume field."""
+    t = _v(spark, sf, "trades")
+    good = FD.trades_to_lines(t.where(F.col("board_code") != "NG"))
+    bad = t.where(F.col("board_code") == "NG").select(F.concat_ws(
+        "|", F.lit("ANTR"), F.lit("1"), "trade_date", "trade_time", "security_code", "board_code",
+        F.col("trade_no").cast("string"), F.col("price").cast("string")).alias("value"))
+    return FD.feed_rejects(good.unionByName(bad)).groupBy("reason").agg(F.count(F.lit(1)).alias("n_lines"))
+
+
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "rebound_candidates": q_rebound_candidates,
     "criteria_counts": q_criteria_counts,
@@ -379,6 +421,12 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "swing_spec": q_swing_spec,
     "swing_latest": q_swing_latest,
     "rsi14": q_rsi14,
+    "feed_trades": q_feed_trades,
+    "feed_summary": q_feed_summary,
+    "feed_orderbook": q_feed_orderbook,
+    "feed_book_summary": q_feed_book_summary,
+    "feed_rank_lists": q_feed_rank_lists,
+    "feed_rejects": q_feed_rejects,
 }
 
 
@@ -1068,6 +1116,41 @@ SELECT code AS security_code, strftime(trade_date, '%Y-%m-%d') AS trade_date, CA
 FROM f"""
 
 
+def _sql_feed_trades() -> str:
+    return with_views("trades") + """
+SELECT trade_no, trade_date, trade_time,
+       strftime(strptime(trade_date || trade_time, '%Y%m%d%H%M%S'), '%Y-%m-%d %H:%M:%S.%f') AS ts,
+       security_code, board_code, CAST(price AS DOUBLE) AS price, volume FROM trades"""
+
+
+def _sql_feed_summary() -> str:
+    cols = SUMMARY_COLS.replace("strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS ts",
+                                "strftime(strptime(data_date || data_time, '%Y%m%d%H%M%S'), "
+                                "'%Y-%m-%d %H:%M:%S.%f') AS ts")
+    return with_views("stock_summary") + f"\nSELECT {cols} FROM stock_summary"
+
+
+def _sql_feed_orderbook() -> str:
+    return with_views("orderbook") + """
+SELECT strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS ts, security_code, side, CAST(level AS BIGINT) AS level,
+       CAST(frequency AS BIGINT) AS frequency, CAST(price AS DOUBLE) AS price, volume FROM orderbook"""
+
+
+def _sql_feed_rank_lists() -> str:
+    ds = _latest("stock_summary", "security_code, data_date", "ts DESC")
+    return with_views("stock_summary") + f"""
+SELECT data_date AS received_at, 'most_active' AS kind, rank, security_code
+FROM (SELECT data_date, security_code,
+             row_number() OVER (PARTITION BY data_date ORDER BY trade_value DESC, security_code) AS rank
+      FROM {ds} d)
+WHERE rank <= 10"""
+
+
+def _sql_feed_rejects() -> str:
+    return with_views("trades") + """
+SELECT 'field count' AS reason, count(*) AS n_lines FROM trades WHERE board_code = 'NG' HAVING count(*) > 0"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "rebound_candidates": _sql_rebound_candidates(),
@@ -1118,4 +1201,10 @@ def oracle_sql() -> dict[str, str]:
         "swing_spec": _sql_swing(False),
         "swing_latest": _sql_swing(True),
         "rsi14": _sql_rsi14(),
+        "feed_trades": _sql_feed_trades(),
+        "feed_summary": _sql_feed_summary(),
+        "feed_orderbook": _sql_feed_orderbook(),
+        "feed_book_summary": _sql_book_totals(),
+        "feed_rank_lists": _sql_feed_rank_lists(),
+        "feed_rejects": _sql_feed_rejects(),
     }
