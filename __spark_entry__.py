@@ -34,6 +34,7 @@ from bursa.operators import audit as AU
 from bursa.operators.rolling import with_rsi
 from bursa.sources import feed as FD
 from bursa.sources.schemas import KEYS, SCHEMAS
+from bursa.streaming import live as ST
 from bursa.operators import tape as TP
 from bursa.session import checkpoint_dir
 from bursa.plans.oracle_views import with_views
@@ -372,6 +373,76 @@ def q_feed_rejects(spark, sf):
     return FD.feed_rejects(good.unionByName(bad)).groupBy("reason").agg(F.count(F.lit(1)).alias("n_lines"))
 
 
+def _scratch(spark, name):
+    import uuid
+    return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def _stream_source(spark, df, name, chunks=4, time_col="ts"):
+    path = _scratch(spark, f"{name}-src")
+    ST.replay(df, path, time_col, chunks)
+    return spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(path)
+
+
+def q_stream_daily_ohlc(spark, sf):
+    src = _stream_source(spark, _v(spark, sf, "trades"), "trades")
+    out = _scratch(spark, "daily_ohlc")
+    stream = ST.daily_ohlc_stream(src).withColumn("bucket_month", F.date_format("bucket", "yyyy-MM"))
+    ST.run_to_table(stream, out, ["security_code", "bucket"], ["bucket_month"],
+                    _scratch(spark, "ck-daily")).awaitTermination()
+    return spark.read.parquet(out).drop("bucket_month")
+
+
+def q_stream_latest_snapshot(spark, sf):
+    src = _stream_source(spark, _v(spark, sf, "stock_summary"), "summary")
+    out = _scratch(spark, "latest")
+    ST.run_to_table(ST.latest_snapshot_stream(src), out, ["security_code"], ["security_code"],
+                    _scratch(spark, "ck-latest")).awaitTermination()
+    return spark.read.parquet(out).select(*_v(spark, sf, "stock_summary").columns)
+
+
+def q_stream_dedupe_trades(spark, sf):
+    t = _v(spark, sf, "trades")
+    resent = t.where(F.col("board_code") == "NG")
+    src = _stream_source(spark, t.unionByName(resent), "trades-resent")
+    out = _scratch(spark, "dedup")
+    (ST.dedupe_stream(src).writeStream.format("parquet").outputMode("append")
+       .option("checkpointLocation", _scratch(spark, "ck-dedup")).trigger(availableNow=True).start(out)
+       .awaitTermination())
+    return spark.read.parquet(out)
+
+
+def q_stream_feed_trades(spark, sf):
+    """Trades replayed as feed text files in arrival order, ingested by the feed stream."""
+    lines = _v(spark, sf, "trades").select("ts", FD.trade_line().alias("value"))
+    text_dir = _scratch(spark, "feed-text")
+    ST.replay(lines, text_dir, "ts", 4, fmt="text")
+    out = _scratch(spark, "feed-out")
+    ST.stream_feed(spark, text_dir, out, _scratch(spark, "ck-feed"), max_files=1).awaitTermination()
+    from bursa.sources.schemas import read_table
+    return read_table(spark, "trades", f"{out}/trades")
+
+
+def q_stream_top_movers(spark, sf):
+    src = _stream_source(spark, _v(spark, sf, "stock_summary"), "summary-min")
+    out = _scratch(spark, "minute")
+    ST.run_to_table(ST.minute_change_stream(src), out, ["minute", "security_code"], ["minute_day"],
+                    _scratch(spark, "ck-minute")).awaitTermination()
+    return ST.rank_movers(spark.read.parquet(out), 10)
+
+
+def q_stream_sideways_state(spark, sf):
+    d = _v(spark, sf, "daily_ohlc")
+    src = _stream_source(spark, d, "daily", chunks=1, time_col="bucket")
+    daily, state = _scratch(spark, "daily-bars"), _scratch(spark, "state")
+    (src.writeStream.foreachBatch(ST.sideways_state_sink(daily, state, days=60, max_range=SIDEWAYS_RANGE,
+                                                         max_volume=SIDEWAYS_VOLUME,
+                                                         min_avg_value=HISTORY_MIN_VALUE))
+        .option("checkpointLocation", _scratch(spark, "ck-state")).trigger(availableNow=True).start()
+        .awaitTermination())
+    return SW.read_sideways(spark, state)
+
+
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "rebound_candidates": q_rebound_candidates,
     "criteria_counts": q_criteria_counts,
@@ -427,6 +498,12 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "feed_book_summary": q_feed_book_summary,
     "feed_rank_lists": q_feed_rank_lists,
     "feed_rejects": q_feed_rejects,
+    "stream_daily_ohlc": q_stream_daily_ohlc,
+    "stream_latest_snapshot": q_stream_latest_snapshot,
+    "stream_dedupe_trades": q_stream_dedupe_trades,
+    "stream_feed_trades": q_stream_feed_trades,
+    "stream_top_movers": q_stream_top_movers,
+    "stream_sideways_state": q_stream_sideways_state,
 }
 
 
@@ -1151,6 +1228,37 @@ def _sql_feed_rejects() -> str:
 SELECT 'field count' AS reason, count(*) AS n_lines FROM trades WHERE board_code = 'NG' HAVING count(*) > 0"""
 
 
+def _sql_stream_daily_ohlc() -> str:
+    return with_views("trades") + """
+SELECT strftime(CAST(ts AS DATE), '%Y-%m-%d %H:%M:%S.%f') AS bucket, security_code,
+       CAST(arg_min(price, (ts, trade_no)) AS DOUBLE) AS "open", CAST(max(price) AS DOUBLE) AS high,
+       CAST(min(price) AS DOUBLE) AS low, CAST(arg_max(price, (ts, trade_no)) AS DOUBLE) AS "close",
+       CAST(sum(volume) AS BIGINT) AS volume, CAST(round(sum(price * volume)) AS BIGINT) AS "value"
+FROM trades GROUP BY security_code, CAST(ts AS DATE)"""
+
+
+def _sql_stream_dedupe_trades() -> str:
+    return with_views("trades") + """
+SELECT trade_no, trade_date, trade_time, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS ts, security_code, board_code,
+       CAST(price AS DOUBLE) AS price, volume FROM trades"""
+
+
+def _sql_stream_top_movers() -> str:
+    return with_views("stock_summary") + f""",
+m AS (SELECT date_trunc('minute', ts) AS minute, security_code,
+             arg_max(close_price, (ts, data_date)) AS close_price,
+             arg_max(previous_price, (ts, data_date)) AS previous_price
+      FROM stock_summary GROUP BY 1, 2),
+c AS (SELECT *, CAST(close_price - previous_price AS DOUBLE) / NULLIF(CAST(previous_price AS DOUBLE), 0) AS chg
+      FROM m WHERE previous_price > 0),
+g AS (SELECT 'top_gainer' AS kind, minute, row_number() OVER (PARTITION BY minute ORDER BY chg DESC, security_code)
+             AS rank, security_code, {_pct('close_price', 'previous_price')} AS pct_change FROM c),
+l AS (SELECT 'top_loser' AS kind, minute, row_number() OVER (PARTITION BY minute ORDER BY chg ASC, security_code)
+             AS rank, security_code, {_pct('close_price', 'previous_price')} AS pct_change FROM c)
+SELECT kind, strftime(minute, '%Y-%m-%d %H:%M:%S.%f') AS minute, rank, security_code, pct_change
+FROM (SELECT * FROM g UNION ALL SELECT * FROM l) WHERE rank <= 10"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "rebound_candidates": _sql_rebound_candidates(),
@@ -1207,4 +1315,10 @@ def oracle_sql() -> dict[str, str]:
         "feed_book_summary": _sql_book_totals(),
         "feed_rank_lists": _sql_feed_rank_lists(),
         "feed_rejects": _sql_feed_rejects(),
+        "stream_daily_ohlc": _sql_stream_daily_ohlc(),
+        "stream_latest_snapshot": _sql_latest_snapshot(),
+        "stream_dedupe_trades": _sql_stream_dedupe_trades(),
+        "stream_feed_trades": _sql_feed_trades(),
+        "stream_top_movers": _sql_stream_top_movers(),
+        "stream_sideways_state": _sql_sideways_60d(True),
     }

@@ -236,10 +236,14 @@ def _num(c: Column) -> Column:
     return c.cast("string")
 
 
+def trade_line() -> Column:
+    """The type-1 feed line of a ``trades`` row."""
+    return F.concat_ws("|", F.lit("ANTR"), F.lit("1"), "trade_date", "trade_time", "security_code", "board_code",
+                       F.lpad(_num(F.col("trade_no")), 12, "0"), _num(F.col("price")), _num(F.col("volume")))
+
+
 def trades_to_lines(trades: DataFrame) -> DataFrame:
-    return trades.select(F.concat_ws("|", F.lit("ANTR"), F.lit("1"), "trade_date", "trade_time", "security_code",
-                                     "board_code", F.lpad(_num(F.col("trade_no")), 12, "0"), _num(F.col("price")),
-                                     _num(F.col("volume"))).alias("value"))
+    return trades.select(trade_line().alias("value"))
 
 
 def summary_to_lines(summary: DataFrame) -> DataFrame:
