@@ -43,9 +43,15 @@ def stream_feed(spark: SparkSession, in_dir: str, out_base: str, checkpoint: str
     lines = reader.load(in_dir).withColumn("received_at", F.localtimestamp())
 
     def write_batch(batch: DataFrame, _epoch: int) -> None:
+        batch = batch.persist()
+        # record types present in this batch (at most a dozen codes) decide which tables to write
+        present = {r[0] for r in batch.select(F.split("value", r"\|", 3).getItem(1)).distinct().collect()}
+        wanted = {"trades": {"1"}, "stock_summary": {"2"}, "orderbook": {"3", "4"},
+                  "rank_lists": {"5", "6", "7"}, "trades_eod": {"8"}, "index": {"9"}, "stock_master": {"A"},
+                  "brokers": {"B"}, "book_summary": {"C"}}
         parts = FD.split_feed(batch)
         for name, df in parts.items():
-            if df is None:
+            if df is None or (name in wanted and not wanted[name] & present):
                 continue
             if name in ("trades", "stock_summary"):
                 append(df.drop("received_at"), f"{out_base}/{name}", name)
@@ -54,6 +60,7 @@ def stream_feed(spark: SparkSession, in_dir: str, out_base: str, checkpoint: str
                        partition_by=["book_date"])
             else:
                 append(df, f"{out_base}/{name}")
+        batch.unpersist()
 
     w = lines.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
     return w.trigger(**(trigger or {"availableNow": True})).start()
