@@ -124,6 +124,11 @@ def _hist_asof(h):
     return h.select(F.max("trade_date")).scalar()
 
 
+def q_rebound_backtest(spark, sf):
+    return RB.rebound_backtest(_v(spark, sf, "stock_summary"), min_criteria=4, min_days=MIN_DAYS,
+                               min_value=SUMMARY_MIN_VALUE)
+
+
 def q_table_counts(spark, sf):
     return DG.table_counts({"orderbook": _v(spark, sf, "orderbook"), "trades": _v(spark, sf, "trades"),
                             "stock_summary": _v(spark, sf, "stock_summary")})
@@ -451,6 +456,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "rebound_detail_3b": q_rebound_detail_3b,
     "rebound_strict": q_rebound_strict,
     "rebound_relaxed": q_rebound_relaxed,
+    "rebound_backtest": q_rebound_backtest,
     "table_counts": q_table_counts,
     "coverage_summary": q_coverage_summary,
     "coverage_history": q_coverage_history,
@@ -705,6 +711,27 @@ SUMMARY_COLS = ("data_date, data_time, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS t
                 "trade_volume, trade_value, trade_frequency, CAST(previous_price AS DOUBLE) AS previous_price")
 
 
+def _sql_rebound_backtest() -> str:
+    ds = _latest("stock_summary", "security_code, data_date", "ts DESC",
+                 "lowest_price IS NOT NULL AND trade_volume IS NOT NULL AND close_price IS NOT NULL")
+    return with_views("stock_summary") + f""",
+d0 AS (SELECT *, lag(lowest_price) OVER w AS previous_low, lag(trade_volume) OVER w AS prev_volume,
+              sum(trade_volume) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS vs,
+              count(data_date) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS vn
+       FROM {ds} x WINDOW w AS (PARTITION BY security_code ORDER BY data_date)),
+d AS (SELECT * EXCLUDE (close_price, vs, vn), close_price AS current_price,
+             CASE WHEN vn >= {MIN_DAYS} THEN vs END AS vol_sum, CASE WHEN vn >= {MIN_DAYS} THEN vn END AS vol_days
+      FROM d0),
+ca AS (SELECT * {_rebound_flags(SUMMARY_MIN_VALUE)} FROM d)
+SELECT security_code, data_date, {_d('current_price')} AS current_price, {_d('opening_price')} AS opening_price,
+       {_d('highest_price')} AS highest_price, {_d('lowest_price')} AS lowest_price,
+       {_d('previous_low')} AS previous_low, trade_volume AS today_volume, trade_value AS today_value,
+       {_r(_div('vol_sum', 'vol_days'), 0)} AS avg_volume_20d, price_to_open_ratio, lower_shadow_ratio,
+       volume_to_avg_ratio, low_to_prev_low_ratio, is_down_from_open, has_long_lower_shadow, has_volume_surge,
+       is_liquid, is_near_support, {_b(SCORE5)} AS criteria_met
+FROM ca WHERE {SCORE5} >= 4"""
+
+
 def _sql_table_counts() -> str:
     return with_views("orderbook", "stock_summary") + """
 SELECT 'orderbook' AS table_name, count(ts) AS row_count FROM orderbook
@@ -1268,6 +1295,7 @@ def oracle_sql() -> dict[str, str]:
         "rebound_detail_3b": _sql_rebound_detail_summary(True),
         "rebound_strict": _sql_rebound_strict(5),
         "rebound_relaxed": _sql_rebound_strict(4),
+        "rebound_backtest": _sql_rebound_backtest(),
         "table_counts": _sql_table_counts(),
         "coverage_summary": _sql_coverage("stock_summary", "security_code", "data_date", False),
         "coverage_history": _sql_coverage("history_ohlc", "code", "trade_date", True),

@@ -208,3 +208,35 @@ def rebound_candidates(summary: DataFrame, n: int = 20, *, min_value=5_000_000_0
         mark(C.liquid(min_value=min_value), "YES", "NO").alias("liquid"),
     )
     return out.orderBy(F.col("trade_value").desc(), "security_code").limit(n)
+
+
+def rebound_backtest(summary: DataFrame, *, min_criteria: int = 5, min_days: int = 5,
+                     min_value=5_000_000_000, **factors) -> DataFrame:
+    """The summary-only rebound screen (S-17) evaluated for every date at once (§7.3).
+
+    Each end-of-day row is that day's latest snapshot; the previous day is ``lag``
+    over the end-of-day rows; the volume average runs over all earlier days of the
+    symbol (at least ``min_days``). One sort per symbol, no per-date loop.
+    """
+    from pyspark.sql import Window
+    daily = eod_snapshots(summary, require=["lowest_price", "trade_volume", "close_price"])
+    w = Window.partitionBy("security_code").orderBy("data_date")
+    before = w.rowsBetween(Window.unboundedPreceding, -1)
+    d = daily.withColumns({
+        "previous_low": F.lag("lowest_price").over(w),
+        "prev_volume": F.lag("trade_volume").over(w),
+        "vol_sum": F.sum(F.col("trade_volume").cast("decimal(20,0)")).over(before),
+        "vol_days": F.count("data_date").over(before),
+    })
+    d = d.withColumns({
+        "vol_sum": F.when(F.col("vol_days") >= min_days, F.col("vol_sum")),
+        "vol_days": F.when(F.col("vol_days") >= min_days, F.col("vol_days")),
+    }).withColumnRenamed("close_price", "current_price")
+    c = with_rebound_criteria(d, min_value=min_value, **factors).where(F.col("criteria_met") >= min_criteria)
+    return c.select(
+        "security_code", "data_date", "current_price", "opening_price", "highest_price", "lowest_price",
+        "previous_low", F.col("trade_volume").alias("today_volume"), F.col("trade_value").alias("today_value"),
+        C.avg_rounded().alias("avg_volume_20d"), "price_to_open_ratio", "lower_shadow_ratio",
+        "volume_to_avg_ratio", "low_to_prev_low_ratio", *REBOUND_FLAGS, "criteria_met",
+    ).orderBy(F.col("data_date").desc(), F.col("criteria_met").desc(), F.col("today_value").desc(),
+              "security_code")

@@ -169,5 +169,43 @@ VIEWS = {
 }
 
 
+MARKET_DIR = "_market"
+
+
+def _stored_path(spark: SparkSession, sf_dir: str, name: str) -> str | None:
+    path = f"{sf_dir.rstrip('/')}/{MARKET_DIR}/{name}"
+    jvm = spark._jvm
+    jpath = jvm.org.apache.hadoop.fs.Path(path)
+    fs = jpath.getFileSystem(spark._jsc.hadoopConfiguration())
+    return path if fs.exists(jpath) else None
+
+
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A market table: the stored copy under ``<sf_dir>/_market/<name>`` when one was
+    materialised (read with its declared schema, partitions pruned), else the view
+    derived from the raw test tables."""
+    stored = _stored_path(spark, sf_dir, name)
+    if stored is not None:
+        from bursa.sources.schemas import SCHEMAS
+        if name in SCHEMAS:
+            return spark.read.schema(SCHEMAS[name]).parquet(stored)
+        return spark.read.parquet(stored)
     return VIEWS[name](spark, sf_dir)
+
+
+def materialize(spark: SparkSession, sf_dir: str, out_dir: str, names=None) -> dict[str, int]:
+    """Write the derived market tables as Parquet under ``<out_dir>/_market``,
+    partitioned by their date column where one is declared. Returns row counts."""
+    from bursa.sources.schemas import PARTITION_COLUMNS, SCHEMAS
+    counts = {}
+    for name in names or VIEWS:
+        df = VIEWS[name](spark, sf_dir)
+        if name in SCHEMAS:
+            df = df.select(*[F.col(f.name).cast(f.dataType) for f in SCHEMAS[name].fields])
+        w = df.write.mode("overwrite")
+        parts = PARTITION_COLUMNS.get(name)
+        if parts:
+            w = w.partitionBy(*parts)
+        w.parquet(f"{out_dir.rstrip('/')}/{MARKET_DIR}/{name}")
+        counts[name] = spark.read.parquet(f"{out_dir.rstrip('/')}/{MARKET_DIR}/{name}").count()
+    return counts
