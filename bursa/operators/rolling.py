@@ -29,6 +29,33 @@ def days_window(by: str, day: str, first: int, last: int) -> WindowSpec:
     return Window.partitionBy(by).orderBy(F.unix_date(F.to_date(day))).rangeBetween(-first, -last)
 
 
+def with_moving_sums(df: DataFrame, specs: dict[str, tuple[str, int, str]], by: str, order: str) -> DataFrame:
+    """Exact moving sums and counts over the last ``n`` rows, O(1) per row.
+
+    ``specs`` maps an output prefix to ``(column, n, decimal type)`` and produces
+    ``{prefix}_sum`` and ``{prefix}_n``. A sliding ROWS frame is re-aggregated over the
+    whole frame for every row (O(n) per row); here the moving sum is the running
+    (prefix) sum minus the prefix sum ``n`` rows back, which is exact for decimals.
+    The sum is NULL when the frame has no non-null value, as ``SUM`` is.
+    """
+    w = Window.partitionBy(by).orderBy(order)
+    run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    cols = {}
+    for name, (col, _n, dtype) in specs.items():
+        cols[f"__{name}_cs"] = F.sum(F.col(col).cast(dtype)).over(run)
+        cols[f"__{name}_cc"] = F.count(col).over(run)
+    out = df.withColumns(cols)
+    res, drop = {}, []
+    for name, (_col, n, _dtype) in specs.items():
+        cs, cc = F.col(f"__{name}_cs"), F.col(f"__{name}_cc")
+        cnt = cc - F.coalesce(F.lag(cc, n).over(w), F.lit(0))
+        total = cs - F.coalesce(F.lag(cs, n).over(w), F.lit(0))
+        res[f"{name}_n"] = cnt
+        res[f"{name}_sum"] = F.when(cnt > 0, total)
+        drop += [f"__{name}_cs", f"__{name}_cc"]
+    return out.withColumns(res).drop(*drop)
+
+
 def moving_sum(col: str | Column, w: WindowSpec, dtype: str = "decimal(30,2)") -> Column:
     return F.sum(_c(col).cast(dtype)).over(w)
 

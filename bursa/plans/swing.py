@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from bursa.functions.expr import dec, flag, guarded_ratio
 from bursa.operators.latest import latest_per_key
-from bursa.operators.rolling import rows_window, with_rsi
+from bursa.operators.rolling import rows_window, with_moving_sums, with_rsi
 
 RULES = [f"rule_{i:02d}" for i in range(1, 14)]
 
@@ -34,13 +34,14 @@ def swing_screen(history: DataFrame, market_cap: DataFrame, free_float: DataFram
     """Evaluate the 13 rules per symbol-day; ``free_float`` has ``code, free_float_pct``."""
     h = history.where(F.col("close").isNotNull())
     w = lambda n: rows_window("code", "trade_date", n)
+    specs = {f"__m{n}": ("close", n, "decimal(30,2)") for n in (50, 100, 200)}
+    specs.update({f"__v{n}": ("volume", n, "decimal(30,0)") for n in (20, 60)})
+    h = with_moving_sums(h, specs, "code", "trade_date")
+    h = h.withColumnsRenamed({**{f"__m{n}_sum": f"__s{n}" for n in (50, 100, 200)},
+                              **{f"__m{n}_n": f"__n{n}" for n in (50, 100, 200)},
+                              **{f"__v{n}_sum": f"__vs{n}" for n in (20, 60)},
+                              **{f"__v{n}_n": f"__vn{n}" for n in (20, 60)}})
     cols = {}
-    for n in (50, 100, 200):
-        cols[f"__s{n}"] = F.sum(F.col("close").cast("decimal(30,2)")).over(w(n))
-        cols[f"__n{n}"] = F.count("close").over(w(n))
-    for n in (20, 60):
-        cols[f"__vs{n}"] = F.sum(F.col("volume").cast("decimal(30,0)")).over(w(n))
-        cols[f"__vn{n}"] = F.count("volume").over(w(n))
     cols["highest_60"] = F.max(price_col).over(w(60))
     cols["lowest_60"] = F.min(price_col).over(w(60))
     w20 = w(20) if include_today else rows_window("code", "trade_date", 20, end=-1)

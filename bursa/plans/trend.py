@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from bursa.functions.expr import (cross_ge, cross_gt, cross_le, dec, flag, guarded_ratio, mark, pct_change,
                                   ratio, round_half_away)
 from bursa.operators.latest import eod_snapshots, latest_per_key, latest_snapshot, max_data_date
-from bursa.operators.rolling import rows_window
+from bursa.operators.rolling import rows_window, with_moving_sums
 from bursa.operators.session import afternoon_volume_trend
 
 
@@ -24,9 +24,7 @@ from bursa.operators.session import afternoon_volume_trend
 def with_moving(df: DataFrame, col: str, n: int, name: str, by: str, order: str,
                 dtype: str = "decimal(30,2)") -> DataFrame:
     """Add ``{name}_sum`` and ``{name}_n`` over the last ``n`` rows (incl. the current)."""
-    w = rows_window(by, order, n)
-    return df.withColumns({f"{name}_sum": F.sum(F.col(col).cast(dtype)).over(w),
-                           f"{name}_n": F.count(F.col(col)).over(w)})
+    return with_moving_sums(df, {name: (col, n, dtype)}, by, order)
 
 
 def avg_of(name: str) -> Column:
