@@ -14,9 +14,9 @@ from pyspark.sql import functions as F
 
 from bursa.functions.expr import mark, pct_change, ratio, round_half_away, score
 from bursa.operators import candle as C
-from bursa.operators.latest import eod_snapshots, latest_per_key, latest_snapshot
+from bursa.operators.latest import eod_snapshots, latest_snapshot
 from bursa.operators.tape import tick_direction, trade_tape_summary, trades_on
-from bursa.plans.rebound import range_stats, with_rebound_criteria
+from bursa.plans.rebound import day_stats, with_rebound_criteria
 
 ASOF_FLAGS = ["is_down_from_open", "has_long_lower_shadow", "has_volume_surge", "is_liquid", "is_near_support",
               "has_trade_flow_momentum", "has_aggressive_buying", "volume_not_overheated",
@@ -40,10 +40,7 @@ def momentum_rebound_asof(summary: DataFrame, trades: DataFrame, as_of, *, board
 
     ds = eod_snapshots(summary, board=board, lo=lo_txt, hi=day_txt,
                        require=["lowest_price", "trade_volume", "close_price"])
-    before = ds.where(F.col("data_date") < day_txt)
-    prev = latest_per_key(before, ["security_code"], [F.col("data_date").desc()]).select(
-        "security_code", F.col("lowest_price").alias("previous_low"), F.col("trade_volume").alias("prev_volume"))
-    av = range_stats(ds, day_txt, min_days)
+    stats = day_stats(ds, day_txt, min_days)
     ls = latest_snapshot(summary, day_txt, board=board).withColumnRenamed("close_price", "current_price")
 
     t = trades_on(trades, day).join(ls.select("security_code"), "security_code", "left_semi")
@@ -51,8 +48,7 @@ def momentum_rebound_asof(summary: DataFrame, trades: DataFrame, as_of, *, board
                               large_volume=large_volume).drop("trade_day")
     tape = tape.select("security_code", *[F.col(c).alias(f"tma_{c}") for c in tape.columns if c != "security_code"])
 
-    j = (ls.join(prev, "security_code", "left").join(av, "security_code", "left")
-           .join(tape, "security_code", "left"))
+    j = ls.join(stats, "security_code", "left").join(tape, "security_code", "left")
     c = with_rebound_criteria(j, min_value=min_value, with_3b=True, **factors)
     c = c.withColumns({
         "has_trade_flow_momentum": C.trade_flow_momentum("tma_trade_price_momentum_pct", momentum_pct),

@@ -64,6 +64,30 @@ def avg_volume_daily(daily: DataFrame, before: Column, min_days: int = 5) -> Dat
              .where(F.col("vol_days") >= min_days))
 
 
+def day_stats(daily: DataFrame, before: Column, min_days: int = 0) -> DataFrame:
+    """Previous day (S-01 at day grain) and range statistics (S-05/S-06) in ONE grouped
+    pass over end-of-day rows before ``before``.
+
+    End-of-day rows are unique per (symbol, date), so the previous day is
+    ``max_by(..., data_date)`` and ``COUNT(DISTINCT data_date)`` is a plain count; the
+    statistics are NULL (not the row dropped) when fewer than ``min_days`` days exist,
+    exactly as the separate left-joined subqueries behave.
+    """
+    d = daily.where(F.col("data_date") < before)
+    g = d.groupBy("security_code").agg(
+        F.max_by("lowest_price", "data_date").alias("previous_low"),
+        F.max_by("trade_volume", "data_date").alias("prev_volume"),
+        F.sum(F.col("trade_volume").cast("decimal(20,0)")).alias("vol_sum"),
+        F.max("close_price").alias("max_price_20d"),
+        F.min("close_price").alias("min_price_20d"),
+        F.count(F.lit(1)).alias("vol_days"))
+    if min_days > 0:
+        ok = F.col("vol_days") >= min_days
+        g = g.withColumns({c: F.when(ok, F.col(c)) for c in
+                           ("vol_sum", "max_price_20d", "min_price_20d", "vol_days")})
+    return g
+
+
 def range_stats(daily: DataFrame, before: Column, min_days: int = 0) -> DataFrame:
     """S-06: volume sum, max/min close and day count over end-of-day rows before ``before``."""
     d = daily.where(F.col("data_date") < before)
@@ -149,13 +173,12 @@ def momentum_rebound_detail(summary: DataFrame, history: DataFrame | None = None
         av = avg_volume_history(history, hist_day, lookback_days, 15 if min_days is None else min_days)
     else:
         daily = eod_snapshots(summary, require=["lowest_price", "trade_volume", "close_price"])
-        prev = latest_per_key(daily.where(F.col("data_date") < today), ["security_code"],
-                              [F.col("data_date").desc()]).select(
-            "security_code", F.col("lowest_price").alias("previous_low"),
-            F.col("trade_volume").alias("prev_volume"))
-        av = avg_volume_daily(daily, today, 5 if min_days is None else min_days)
+        stats = day_stats(daily, today, 5 if min_days is None else min_days)
     ls = latest_snapshot(summary, today).withColumnRenamed("close_price", "current_price")
-    j = ls.join(prev, "security_code", "left").join(av, "security_code", "left")
+    if history is not None:
+        j = ls.join(prev, "security_code", "left").join(av, "security_code", "left")
+    else:
+        j = ls.join(stats.drop("max_price_20d", "min_price_20d"), "security_code", "left")
     c = with_rebound_criteria(j, min_value=min_value, with_3b=with_3b, **factors)
     c = c.where(F.col("has_long_lower_shadow") & F.col("is_liquid"))
     marks = [mark("is_down_from_open").alias("1_Down3%"), mark("has_long_lower_shadow").alias("2_LongShadow"),
