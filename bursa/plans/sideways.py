@@ -51,9 +51,14 @@ def sideways_screen(bars: DataFrame, days: int = 7, *, max_range=0.05, max_volum
     prior rows is dropped (Q22).
     """
     w = Window.partitionBy("security_code").orderBy(F.unix_date("trade_date")).rangeBetween(-days, -1)
-    r = _rolling(bars, w)
     if last_day_only:
-        r = r.where(F.col("trade_date") == bars.select(F.max("trade_date")).scalar())
+        # only bars within the frame of the last day matter: cut the input before the window
+        # (Catalyst cannot move a filter below a window on a non-partition column)
+        last = bars.select(F.max("trade_date")).scalar()
+        r = _rolling(bars.where(F.col("trade_date") >= F.date_sub(last, days)), w)
+        r = r.where(F.col("trade_date") == last)
+    else:
+        r = _rolling(bars, w)
     rng = F.col("max_close_prev") - F.col("min_close_prev")
     cond = ((F.col("min_close_prev") != 0) & (rng < dec(max_range) * F.col("min_close_prev"))
             & (F.col("__vsum") != 0) & (F.col("volume") * F.col("__vn") < dec(max_volume) * F.col("__vsum"))
@@ -77,7 +82,12 @@ def sideways_state(daily_ohlc: DataFrame, days: int = 60, *, max_range=0.05, max
     pos = F.timestamp_diff("MICROSECOND", epoch, F.col("bucket"))
     w = (Window.partitionBy("security_code").orderBy(pos)
          .rangeBetween(-days * _DAY_US, -_DAY_US))
-    r = _rolling(daily_ohlc.withColumn("trade_date", F.to_date("bucket")), w)
+    bars = daily_ohlc
+    if last_day_only:
+        # the last day's frame reaches back ``days`` days: read only that much history
+        last_bucket = daily_ohlc.select(F.max("bucket")).scalar()
+        bars = bars.where(F.col("bucket") >= last_bucket - F.expr(f"INTERVAL {days} DAYS"))
+    r = _rolling(bars.withColumn("trade_date", F.to_date("bucket")), w)
     if last_day_only:
         r = r.where(F.col("trade_date") == daily_ohlc.select(F.to_date(F.max("bucket"))).scalar())
     mn, mx = F.col("min_close_prev"), F.col("max_close_prev")
