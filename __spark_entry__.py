@@ -287,6 +287,11 @@ def q_rebound_asof(spark, sf):
                                     min_value=SUMMARY_MIN_VALUE)
 
 
+def q_rebound_asof_backtest(spark, sf):
+    return AO.momentum_rebound_backtest(_v(spark, sf, "stock_summary"), _v(spark, sf, "trades"),
+                                        min_trades=MIN_TRADES, min_value=SUMMARY_MIN_VALUE)
+
+
 def q_top_gainers(spark, sf):
     return MK.top_movers(_v(spark, sf, "stock_summary"), 10, "gainer")
 
@@ -489,6 +494,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "tick_direction": q_tick_direction,
     "trade_tape_summary": q_trade_tape_summary,
     "rebound_asof": q_rebound_asof,
+    "rebound_asof_backtest": q_rebound_asof_backtest,
     "top_gainers": q_top_gainers,
     "top_losers": q_top_losers,
     "most_active": q_most_active,
@@ -1039,6 +1045,49 @@ SELECT security_code, strftime(trade_day, '%Y-%m-%d') AS trade_day, {_tape_aggs(
 FROM tk2 GROUP BY security_code, trade_day HAVING count(*) >= {MIN_TRADES}"""
 
 
+def _asof_flags6() -> str:
+    return f""",
+  COALESCE(tma_trade_price_momentum_pct >= 2.0, false) AS has_trade_flow_momentum,
+  COALESCE(tma_total_trade_volume > 0 AND tma_aggressive_buy_volume >= 0.6 * tma_total_trade_volume, false)
+      AS has_aggressive_buying,
+  COALESCE(vol_sum IS NOT NULL AND {_lt('trade_volume', 3, 'vol_sum', 'vol_days')}, false) AS volume_not_overheated,
+  COALESCE(previous_price IS NOT NULL AND current_price > previous_price * 1.03, false) AS price_strengthening,
+  COALESCE(min_price_20d IS NOT NULL AND current_price <= min_price_20d * 1.10, false) AS not_overextended,
+  COALESCE(max_price_20d IS NOT NULL AND current_price >= max_price_20d * 0.95, false) AS not_in_downtrend"""
+
+
+def _asof_select() -> str:
+    score11 = ("(" + " + ".join(f"CAST({f} AS INT)" for f in AO.ASOF_FLAGS) + ")")
+    return f"""SELECT security_code, data_date, data_time, {_d('current_price')} AS current_price,
+  {_d('opening_price')} AS opening_price, {_d('highest_price')} AS highest_price,
+  {_d('lowest_price')} AS lowest_price, {_d('previous_low')} AS previous_low,
+  {_d('previous_price')} AS previous_price, trade_volume AS today_volume, trade_value AS today_value,
+  {_r(_div('vol_sum', 'vol_days'), 0)} AS avg_volume_20d, {_d('vol_days')} AS avg_days_count,
+  COALESCE(tma_total_trade_count, 0) AS total_trade_count,
+  COALESCE(tma_total_trade_volume, 0) AS trade_executed_volume,
+  COALESCE(tma_trades_per_hour, 0.0) AS trades_per_hour,
+  COALESCE(tma_trade_price_momentum_pct, 0.0) AS trade_price_momentum_pct,
+  COALESCE(tma_vwap_price, CAST(current_price AS DOUBLE)) AS vwap_price,
+  COALESCE(tma_aggressive_buy_volume, 0) AS aggressive_buy_volume,
+  COALESCE(tma_price_direction_score, 0) AS price_direction_score,
+  COALESCE(tma_large_trade_volume, 0) AS large_trade_volume,
+  price_to_open_ratio, lower_shadow_ratio, volume_to_avg_ratio, low_to_prev_low_ratio,
+  {_pct('current_price', 'previous_price')} AS price_change_pct,
+  {_pct('current_price', 'min_price_20d')} AS price_increase_20d_pct,
+  {_r('CAST(max_price_20d - current_price AS DOUBLE) / NULLIF(CAST(max_price_20d AS DOUBLE), 0) * CAST(100 AS DOUBLE)', 2)}
+      AS price_decrease_from_high_pct,
+  {_d('max_price_20d')} AS max_price_20d, {_d('min_price_20d')} AS min_price_20d,
+  {_d('candle_range')} AS candle_range, {_d('lower_shadow')} AS lower_shadow,
+  {_mark('is_down_from_open')} AS "1_Down3%", {_mark('has_long_lower_shadow')} AS "2_LongShadow",
+  {_mark('has_volume_surge')} AS "3_VolSurge", {_mark('volume_below_avg')} AS "3b_VolBelowAvg",
+  {_mark('is_liquid')} AS "4_Liquid", {_mark('is_near_support')} AS "5_NearSupport",
+  {_mark('has_trade_flow_momentum')} AS "6_TradeMomentum", {_mark('has_aggressive_buying')} AS "7_AggressiveBuy",
+  {_mark('volume_not_overheated')} AS "8_NotOverheated", {_mark('price_strengthening')} AS "9_Price>3%",
+  {_mark('not_overextended')} AS "11_NotExtended<10%", {_mark('not_in_downtrend')} AS "12_NotDown>5%",
+  {_b(score11)} AS total_criteria_met
+"""
+
+
 def _sql_rebound_asof() -> str:
     day_txt = "(SELECT strftime(d, '%Y%m%d') FROM mx)"
     lo_txt = "(SELECT strftime(d - INTERVAL 20 DAY, '%Y%m%d') FROM mx)"
@@ -1077,33 +1126,33 @@ ca0 AS (SELECT ls.* EXCLUDE (close_price), ls.close_price AS current_price, pd.p
                 LEFT JOIN av ON ls.security_code = av.security_code
                 LEFT JOIN tma ON ls.security_code = tma.tma_code),
 ca AS (SELECT * {_rebound_flags(SUMMARY_MIN_VALUE)} {flags6} FROM ca0)
-SELECT security_code, data_date, data_time, {_d('current_price')} AS current_price,
-  {_d('opening_price')} AS opening_price, {_d('highest_price')} AS highest_price,
-  {_d('lowest_price')} AS lowest_price, {_d('previous_low')} AS previous_low,
-  {_d('previous_price')} AS previous_price, trade_volume AS today_volume, trade_value AS today_value,
-  {_r(_div('vol_sum', 'vol_days'), 0)} AS avg_volume_20d, {_d('vol_days')} AS avg_days_count,
-  COALESCE(tma_total_trade_count, 0) AS total_trade_count,
-  COALESCE(tma_total_trade_volume, 0) AS trade_executed_volume,
-  COALESCE(tma_trades_per_hour, 0.0) AS trades_per_hour,
-  COALESCE(tma_trade_price_momentum_pct, 0.0) AS trade_price_momentum_pct,
-  COALESCE(tma_vwap_price, CAST(current_price AS DOUBLE)) AS vwap_price,
-  COALESCE(tma_aggressive_buy_volume, 0) AS aggressive_buy_volume,
-  COALESCE(tma_price_direction_score, 0) AS price_direction_score,
-  COALESCE(tma_large_trade_volume, 0) AS large_trade_volume,
-  price_to_open_ratio, lower_shadow_ratio, volume_to_avg_ratio, low_to_prev_low_ratio,
-  {_pct('current_price', 'previous_price')} AS price_change_pct,
-  {_pct('current_price', 'min_price_20d')} AS price_increase_20d_pct,
-  {_r('CAST(max_price_20d - current_price AS DOUBLE) / NULLIF(CAST(max_price_20d AS DOUBLE), 0) * CAST(100 AS DOUBLE)', 2)}
-      AS price_decrease_from_high_pct,
-  {_d('max_price_20d')} AS max_price_20d, {_d('min_price_20d')} AS min_price_20d,
-  {_d('candle_range')} AS candle_range, {_d('lower_shadow')} AS lower_shadow,
-  {_mark('is_down_from_open')} AS "1_Down3%", {_mark('has_long_lower_shadow')} AS "2_LongShadow",
-  {_mark('has_volume_surge')} AS "3_VolSurge", {_mark('volume_below_avg')} AS "3b_VolBelowAvg",
-  {_mark('is_liquid')} AS "4_Liquid", {_mark('is_near_support')} AS "5_NearSupport",
-  {_mark('has_trade_flow_momentum')} AS "6_TradeMomentum", {_mark('has_aggressive_buying')} AS "7_AggressiveBuy",
-  {_mark('volume_not_overheated')} AS "8_NotOverheated", {_mark('price_strengthening')} AS "9_Price>3%",
-  {_mark('not_overextended')} AS "11_NotExtended<10%", {_mark('not_in_downtrend')} AS "12_NotDown>5%",
-  {_b(score11)} AS total_criteria_met
+{_asof_select()}
+FROM ca WHERE has_long_lower_shadow AND is_liquid"""
+
+
+def _sql_rebound_asof_backtest() -> str:
+    ds = _latest("stock_summary", "security_code, data_date", "ts DESC",
+                 "board_code = 'RG' AND lowest_price IS NOT NULL AND trade_volume IS NOT NULL "
+                 "AND close_price IS NOT NULL")
+    return with_views("stock_summary") + f""", {TICKS},
+d0 AS (SELECT *, CAST(strptime(data_date, '%Y%m%d') AS DATE) AS dday FROM {ds} a),
+d1 AS (SELECT *, lag(dday) OVER w AS pday, lag(lowest_price) OVER w AS plow, lag(trade_volume) OVER w AS pvol,
+              sum(trade_volume) OVER f AS vs, max(close_price) OVER f AS mx, min(close_price) OVER f AS mn,
+              count(data_date) OVER f AS vn
+       FROM d0 WINDOW w AS (PARTITION BY security_code ORDER BY dday),
+                      f AS (PARTITION BY security_code ORDER BY dday
+                            RANGE BETWEEN INTERVAL 20 DAY PRECEDING AND INTERVAL 1 DAY PRECEDING)),
+d AS (SELECT * EXCLUDE (close_price), close_price AS current_price,
+             CASE WHEN pday >= dday - INTERVAL 20 DAY THEN plow END AS previous_low,
+             CASE WHEN pday >= dday - INTERVAL 20 DAY THEN pvol END AS prev_volume,
+             CASE WHEN vn > 0 THEN vs END AS vol_sum, CASE WHEN vn > 0 THEN mx END AS max_price_20d,
+             CASE WHEN vn > 0 THEN mn END AS min_price_20d, CASE WHEN vn > 0 THEN vn END AS vol_days
+      FROM d1),
+tma AS (SELECT security_code AS tma_code, trade_day AS tma_day, {_tape_aggs('tma_')}
+        FROM tk2 GROUP BY security_code, trade_day HAVING count(*) >= {MIN_TRADES}),
+ca0 AS (SELECT d.*, tma.* FROM d LEFT JOIN tma ON d.security_code = tma.tma_code AND d.dday = tma.tma_day),
+ca AS (SELECT * {_rebound_flags(SUMMARY_MIN_VALUE)} {_asof_flags6()} FROM ca0)
+{_asof_select()}
 FROM ca WHERE has_long_lower_shadow AND is_liquid"""
 
 
@@ -1328,6 +1377,7 @@ def oracle_sql() -> dict[str, str]:
         "tick_direction": _sql_tick_direction(),
         "trade_tape_summary": _sql_trade_tape_summary(),
         "rebound_asof": _sql_rebound_asof(),
+        "rebound_asof_backtest": _sql_rebound_asof_backtest(),
         "top_gainers": _sql_top_movers("gainer"),
         "top_losers": _sql_top_movers("loser"),
         "most_active": _sql_most_active(),

@@ -49,6 +49,15 @@ def momentum_rebound_asof(summary: DataFrame, trades: DataFrame, as_of, *, board
     tape = tape.select("security_code", *[F.col(c).alias(f"tma_{c}") for c in tape.columns if c != "security_code"])
 
     j = ls.join(stats, "security_code", "left").join(tape, "security_code", "left")
+    return _screen_output(j, min_value=min_value, momentum_pct=momentum_pct, buy_share=buy_share,
+                          overheated=overheated, strengthening=strengthening, extended=extended,
+                          downtrend=downtrend, **factors).orderBy(
+        F.col("total_criteria_met").desc(), F.col("today_value").desc(), "security_code")
+
+
+def _screen_output(j: DataFrame, *, min_value, momentum_pct, buy_share, overheated, strengthening, extended,
+                   downtrend, **factors) -> DataFrame:
+    """Flags, score and the output columns of the as-of screen over a joined frame."""
     c = with_rebound_criteria(j, min_value=min_value, with_3b=True, **factors)
     c = c.withColumns({
         "has_trade_flow_momentum": C.trade_flow_momentum("tma_trade_price_momentum_pct", momentum_pct),
@@ -88,4 +97,51 @@ def momentum_rebound_asof(summary: DataFrame, trades: DataFrame, as_of, *, board
         mark("volume_not_overheated").alias("8_NotOverheated"), mark("price_strengthening").alias("9_Price>3%"),
         mark("not_overextended").alias("11_NotExtended<10%"), mark("not_in_downtrend").alias("12_NotDown>5%"),
         "total_criteria_met",
-    ).orderBy(F.col("total_criteria_met").desc(), F.col("today_value").desc(), "security_code")
+    )
+
+
+def momentum_rebound_backtest(summary: DataFrame, trades: DataFrame, *, board: str | None = "RG",
+                              window_days: int = 20, min_days: int = 0, min_trades: int = 10,
+                              large_volume: int = 1_000_000, min_value=5_000_000_000, momentum_pct=2.0,
+                              buy_share=0.6, overheated=3, strengthening=1.03, extended=1.10,
+                              downtrend=0.95, slice_minutes: int = 5, **factors) -> DataFrame:
+    """S-27 for every date at once (§7.3): same columns as ``momentum_rebound_asof`` plus
+    the screened day in ``data_date``.
+
+    * previous day = ``lag`` over the end-of-day rows, NULL when it lies before the
+      ``window_days`` input window of the single-date screen;
+    * range statistics = calendar ``RANGE [window_days, 1] PRECEDING`` frame;
+    * tape = trades grouped by (symbol, day).
+    The price/volume columns are NOT NULL in the table schema, so the end-of-day row
+    of a day is also that day's latest snapshot.
+    """
+    from pyspark.sql import Window
+    eod = eod_snapshots(summary, board=board, require=["lowest_price", "trade_volume", "close_price"])
+    eod = eod.withColumn("__day", F.to_date("data_date", "yyyyMMdd"))
+    w = Window.partitionBy("security_code").orderBy("__day")
+    frame = Window.partitionBy("security_code").orderBy(F.unix_date("__day")).rangeBetween(-window_days, -1)
+    prev_day = F.lag("__day").over(w)
+    in_window = prev_day >= F.date_sub(F.col("__day"), window_days)
+    d = eod.withColumns({
+        "previous_low": F.when(in_window, F.lag("lowest_price").over(w)),
+        "prev_volume": F.when(in_window, F.lag("trade_volume").over(w)),
+        "vol_sum": F.sum(F.col("trade_volume").cast("decimal(20,0)")).over(frame),
+        "max_price_20d": F.max("close_price").over(frame),
+        "min_price_20d": F.min("close_price").over(frame),
+        "vol_days": F.count("data_date").over(frame),
+    })
+    if min_days > 0:
+        ok = F.col("vol_days") >= min_days
+        d = d.withColumns({c: F.when(ok, F.col(c)) for c in ("vol_sum", "max_price_20d", "min_price_20d",
+                                                               "vol_days")})
+    d = d.withColumns({c: F.when(F.col("vol_days") > 0, F.col(c)) for c in
+                       ("vol_sum", "max_price_20d", "min_price_20d", "vol_days")})
+    tape = trade_tape_summary(tick_direction(trades, slice_minutes), min_trades=min_trades, large_volume=large_volume)
+    tape = tape.select("security_code", F.col("trade_day").alias("__day"),
+                       *[F.col(c).alias(f"tma_{c}") for c in tape.columns if c not in ("security_code", "trade_day")])
+    j = d.withColumnRenamed("close_price", "current_price").join(tape, ["security_code", "__day"], "left")
+    return _screen_output(j, min_value=min_value, momentum_pct=momentum_pct, buy_share=buy_share,
+                          overheated=overheated, strengthening=strengthening, extended=extended,
+                          downtrend=downtrend, **factors).orderBy(
+        F.col("data_date").desc(), F.col("total_criteria_met").desc(), F.col("today_value").desc(),
+        "security_code")

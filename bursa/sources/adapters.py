@@ -46,19 +46,11 @@ def trades(spark: SparkSession, sf_dir: str) -> DataFrame:
 def summary_from_trades(t: DataFrame) -> DataFrame:
     """Day-cumulative snapshots: one row per trade carrying the running OHLC,
     volume, value and count of its symbol-day, plus the previous day's close."""
-    w = (Window.partitionBy("security_code", "trade_date").orderBy("ts", "trade_no")
-         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    r = t.select(
+    from bursa.operators.cumulative import day_cumulative
+    r = day_cumulative(t).select(
         F.col("trade_date").alias("data_date"), F.col("trade_time").alias("data_time"), "ts",
-        "security_code", "board_code",
-        F.first("price").over(w).alias("opening_price"),
-        F.max("price").over(w).alias("highest_price"),
-        F.min("price").over(w).alias("lowest_price"),
-        F.col("price").alias("close_price"),
-        F.sum("volume").over(w).alias("trade_volume"),
-        F.round(F.sum(F.col("price") * F.col("volume")).over(w), 0).cast("bigint").alias("trade_value"),
-        F.count(F.lit(1)).over(w).alias("trade_frequency"),
-    )
+        "security_code", "board_code", "opening_price", "highest_price", "lowest_price",
+        F.col("price").alias("close_price"), "trade_volume", "trade_value", "trade_frequency")
     day_close = (t.groupBy("security_code", F.col("trade_date").alias("data_date"))
                   .agg(F.max_by("price", "ts").alias("c")))
     prev = day_close.select(

@@ -186,18 +186,22 @@ def feed_orderbook(lines: DataFrame, received_at: Column | str = "received_at",
     """Types 3 (bid) / 4 (offer) -> ``orderbook`` rows, one per queued level (A-13).
 
     The wire has no time, so ``ts`` is the arrival time column. Levels follow the
-    message order; ``rank_by_price`` re-ranks them (bids high->low, offers low->high).
+    message order (plus an optional ``level_offset`` column when a deep book arrives
+    in several messages); ``rank_by_price`` re-ranks them (bids high->low, offers
+    low->high).
     """
     recv = F.col(received_at) if isinstance(received_at, str) else received_at
     clean = lines.withColumn("value", F.regexp_replace("value", r"\|\{[01]\}", "|"))
     p = _parts(clean).where((_f(0) == "ANTR") & F.col("__type").isin("3", "4") & (F.col("__n") >= 4))
     groups = F.filter(F.slice(F.col("__p"), 4, 100_000), lambda x: x != "")
-    e = p.select(*[c for c in _extra(lines) if c != received_at], recv.alias("ts"), _f(2).alias("security_code"),
+    offset = F.col("level_offset") if "level_offset" in lines.columns else F.lit(0)
+    keep = [c for c in _extra(lines) if c not in (received_at, "level_offset")]
+    e = p.select(*keep, recv.alias("ts"), _f(2).alias("security_code"),
                  F.when(F.col("__type") == "3", F.lit("B")).otherwise(F.lit("O")).alias("side"),
-                 F.posexplode(groups).alias("__pos", "__g"))
+                 offset.alias("__offset"), F.posexplode(groups).alias("__pos", "__g"))
     g = F.split(F.col("__g"), ";")
-    out = e.select(*[c for c in e.columns if c not in ("__pos", "__g")],
-                   (F.col("__pos") + 1).cast("int").alias("level"),
+    out = e.select(*[c for c in e.columns if c not in ("__pos", "__g", "__offset")],
+                   (F.col("__offset") + F.col("__pos") + 1).cast("int").alias("level"),
                    g.getItem(0).try_cast("int").alias("frequency"), g.getItem(1).try_cast(PRICE).alias("price"),
                    g.getItem(2).try_cast("bigint").alias("volume"))
     out = out.where(F.col("frequency").isNotNull() & F.col("price").isNotNull() & F.col("volume").isNotNull())
@@ -254,13 +258,17 @@ def summary_to_lines(summary: DataFrame) -> DataFrame:
         F.coalesce(_num(F.col("previous_price")), F.lit(""))).alias("value"))
 
 
-def orderbook_to_lines(book: DataFrame) -> DataFrame:
-    """One line per (security, time, side) book; levels in level order, ``received_at`` = ts."""
+def orderbook_to_lines(book: DataFrame, max_levels: int = 100) -> DataFrame:
+    """Feed lines of a stored book: one message per (security, time, side) and block of
+    ``max_levels`` levels, with ``received_at`` = ts and the block's ``level_offset``.
+    Blocks keep every level while bounding the rows gathered into one message."""
     grp = F.concat_ws(";", _num(F.col("frequency")), _num(F.col("price")), _num(F.col("volume")))
-    g = book.groupBy("security_code", "ts", "side").agg(
+    blk = F.floor((F.col("level") - 1) / F.lit(max_levels)).cast("int")
+    g = book.withColumn("__blk", blk).groupBy("security_code", "ts", "side", "__blk").agg(
         F.array_sort(F.collect_list(F.struct("level", grp.alias("g")))).alias("__lv"))
     body = F.array_join(F.transform("__lv", lambda x: x["g"]), "|")
     typ = F.when(F.col("side") == "B", F.lit("3")).otherwise(F.lit("4"))
     tag = F.when(F.col("side") == "B", F.lit("{0}")).otherwise(F.lit("{1}"))
     return g.select(F.concat(F.lit("ANTR|"), typ, F.lit("|"), F.col("security_code"), F.lit("|"), tag, body,
-                             F.lit("|")).alias("value"), F.col("ts").alias("received_at"))
+                             F.lit("|")).alias("value"), F.col("ts").alias("received_at"),
+                    (F.col("__blk") * max_levels).cast("int").alias("level_offset"))

@@ -39,3 +39,19 @@ def test_two_level_lag_equals_plain_lag(spark):
 
 def test_trade_sample_is_unique_by_trade_no():
     assert len({r[0] for r in TRADE_ROWS}) == len(TRADE_ROWS)
+
+
+def test_two_level_day_cumulative_equals_running_window(spark):
+    from bursa.operators.cumulative import day_cumulative
+    t = A.trades(spark, SF_SMALL)
+    w = (Window.partitionBy("security_code", "trade_date").orderBy("ts", "trade_no")
+         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    plain = t.select("trade_no", F.first("price").over(w).alias("o"), F.max("price").over(w).alias("h"),
+                     F.min("price").over(w).alias("l"), F.sum("volume").over(w).alias("v"),
+                     F.round(F.sum(F.col("price") * F.col("volume")).over(w), 0).cast("bigint").alias("pv"),
+                     F.count(F.lit(1)).over(w).alias("n"))
+    got = day_cumulative(t, slice_minutes=7).join(plain, "trade_no")
+    bad = got.where((F.col("opening_price") != F.col("o")) | (F.col("highest_price") != F.col("h"))
+                    | (F.col("lowest_price") != F.col("l")) | (F.col("trade_volume") != F.col("v"))
+                    | (F.col("trade_value") != F.col("pv")) | (F.col("trade_frequency") != F.col("n")))
+    assert bad.count() == 0 and got.count() == t.count()
