@@ -166,19 +166,25 @@ def feed_book_summary(lines: DataFrame) -> DataFrame:
 
 
 def feed_rejects(lines: DataFrame) -> DataFrame:
-    """Lines no parser accepts, with the reason (A-20). One pass, no joins; each record
-    type's field check is its own column so generated code stays within method limits."""
+    """Lines no parser accepts, with the reason (A-20).
+
+    A union of small selections — wrong prefix / unknown type / field count, then one
+    "bad value" branch per fixed record type — so each branch compiles to a compact
+    method (one combined expression over all record layouts exceeds the JVM's
+    64 KB method limit and would fall back to interpretation).
+    """
     p = _parts(lines)
-    p = p.withColumns({f"__ok_{t}": F.when(F.col("__type") == t, _all_ok(t)) for t in FIELDS})
     n_ok = F.lit(True)
     for t, n in FIELD_COUNTS.items():
         n_ok = F.when(F.col("__type") == t, F.col("__n") == n).otherwise(n_ok)
-    value_ok = F.lit(True)
+    shape = (F.when(_f(0) != "ANTR", "bad prefix").when(~F.col("__type").isin(*TYPES), "unknown type")
+             .when(~n_ok, "field count"))
+    out = p.withColumn("reason", shape).where(F.col("reason").isNotNull()).select(*lines.columns, "reason")
     for t in FIELDS:
-        value_ok = F.when(F.col("__type") == t, F.col(f"__ok_{t}")).otherwise(value_ok)
-    reason = (F.when(_f(0) != "ANTR", "bad prefix").when(~F.col("__type").isin(*TYPES), "unknown type")
-              .when(~n_ok, "field count").when(~value_ok, "bad value"))
-    return p.withColumn("reason", reason).where(F.col("reason").isNotNull()).select(*lines.columns, "reason")
+        bad = p.where((_f(0) == "ANTR") & (F.col("__type") == t) & (F.col("__n") == FIELD_COUNTS[t])
+                      & ~_all_ok(t))
+        out = out.unionByName(bad.select(*lines.columns, F.lit("bad value").alias("reason")))
+    return out
 
 
 def feed_orderbook(lines: DataFrame, received_at: Column | str = "received_at",

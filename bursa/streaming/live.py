@@ -30,17 +30,40 @@ def with_event_time(df: DataFrame, col: str = "ts") -> DataFrame:
 
 # --- T-01 feed ingest ---------------------------------------------------------------
 
+def feed_source(spark: SparkSession, kind: str = "text", path: str | None = None,
+                max_files: int | None = None, **options) -> DataFrame:
+    """Streaming feed lines as ``value`` (text) and ``received_at`` (arrival time).
+
+    ``kind="text"`` reads newline-delimited files from ``path``; ``kind="kafka"`` reads
+    a topic (``subscribe=...``, ``kafka.bootstrap.servers=...``; needs the Kafka
+    connector on the classpath) and uses the broker timestamp as arrival time.
+    """
+    if kind == "text":
+        reader = spark.readStream.format("text")
+        if max_files:
+            reader = reader.option("maxFilesPerTrigger", max_files)
+        return reader.load(path).withColumn("received_at", F.localtimestamp())
+    if kind == "kafka":
+        reader = spark.readStream.format("kafka")
+        for k, v in options.items():
+            reader = reader.option(k.replace("_", "."), v) if k.startswith("kafka_") else reader.option(k, v)
+        raw = reader.load()
+        return raw.select(F.col("value").cast("string").alias("value"),
+                          F.col("timestamp").cast("timestamp_ntz").alias("received_at"))
+    raise ValueError("kind is 'text' or 'kafka'")
+
+
 def stream_feed(spark: SparkSession, in_dir: str, out_base: str, checkpoint: str,
-                trigger: dict | None = None, max_files: int | None = None) -> StreamingQuery:
-    """Text feed files -> typed tables (trades, stock_summary, orderbook, rejects...).
+                trigger: dict | None = None, max_files: int | None = None,
+                lines: DataFrame | None = None) -> StreamingQuery:
+    """Feed lines -> typed tables (trades, stock_summary, orderbook, rejects...).
 
     Each micro-batch is split by record type and appended to its table; the arrival
-    time of the batch is the order-book ``ts`` (the wire carries none).
+    time of the batch is the order-book ``ts`` (the wire carries none). ``lines``
+    overrides the default text-file source (e.g. ``feed_source(spark, "kafka", ...)``).
     """
-    reader = spark.readStream.format("text")
-    if max_files:
-        reader = reader.option("maxFilesPerTrigger", max_files)
-    lines = reader.load(in_dir).withColumn("received_at", F.localtimestamp())
+    if lines is None:
+        lines = feed_source(spark, "text", in_dir, max_files)
 
     def write_batch(batch: DataFrame, _epoch: int) -> None:
         batch = batch.persist()
@@ -174,6 +197,6 @@ def sideways_state_sink(daily_path: str, state_path: str, **params) -> Callable[
     return _write
 
 
-__all__ = ["replay", "stream_feed", "dedupe_stream", "latest_snapshot_stream", "daily_ohlc_stream",
+__all__ = ["replay", "feed_source", "stream_feed", "dedupe_stream", "latest_snapshot_stream", "daily_ohlc_stream",
            "minute_change_stream", "rank_movers", "upsert_sink", "run_to_table", "sideways_state_sink",
            "PARTITION_COLUMNS"]
