@@ -165,8 +165,9 @@ def feed_book_summary(lines: DataFrame) -> DataFrame:
     return _typed(lines, "C")
 
 
-def feed_rejects(lines: DataFrame) -> DataFrame:
-    """Lines no parser accepts, with the reason (A-20).
+def feed_rejects(lines: DataFrame, types=None) -> DataFrame:
+    """Lines no parser accepts, with the reason (A-20). ``types`` (optional) limits the
+    value checks to the record types known to be present, e.g. in a micro-batch.
 
     A union of small selections — wrong prefix / unknown type / field count, then one
     "bad value" branch per fixed record type — so each branch compiles to a compact
@@ -181,6 +182,8 @@ def feed_rejects(lines: DataFrame) -> DataFrame:
              .when(~n_ok, "field count"))
     out = p.withColumn("reason", shape).where(F.col("reason").isNotNull()).select(*lines.columns, "reason")
     for t in FIELDS:
+        if types is not None and t not in types:
+            continue
         bad = p.where((_f(0) == "ANTR") & (F.col("__type") == t) & (F.col("__n") == FIELD_COUNTS[t])
                       & ~_all_ok(t))
         out = out.unionByName(bad.select(*lines.columns, F.lit("bad value").alias("reason")))
@@ -229,12 +232,13 @@ def feed_rank_lists(lines: DataFrame) -> DataFrame:
     return e.select(*_extra(lines), "kind", (F.col("__pos") + 1).cast("int").alias("rank"), "security_code")
 
 
-def split_feed(lines: DataFrame) -> dict[str, DataFrame]:
-    """Route a feed by record type (A-10): one typed frame per table, plus rejects."""
+def split_feed(lines: DataFrame, types=None) -> dict[str, DataFrame]:
+    """Route a feed by record type (A-10): one typed frame per table, plus rejects
+    (``types``: the record types present, when known)."""
     out = {"trades": feed_trades(lines), "stock_summary": feed_summary(lines),
            "rank_lists": feed_rank_lists(lines), "trades_eod": feed_trades_eod(lines),
            "index": feed_index(lines), "stock_master": feed_stock_master(lines), "brokers": feed_brokers(lines),
-           "book_summary": feed_book_summary(lines), "rejects": feed_rejects(lines)}
+           "book_summary": feed_book_summary(lines), "rejects": feed_rejects(lines, types)}
     if "received_at" in lines.columns:
         out["orderbook"] = feed_orderbook(lines)
     return out

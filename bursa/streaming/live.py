@@ -72,7 +72,7 @@ def stream_feed(spark: SparkSession, in_dir: str, out_base: str, checkpoint: str
         wanted = {"trades": {"1"}, "stock_summary": {"2"}, "orderbook": {"3", "4"},
                   "rank_lists": {"5", "6", "7"}, "trades_eod": {"8"}, "index": {"9"}, "stock_master": {"A"},
                   "brokers": {"B"}, "book_summary": {"C"}}
-        parts = FD.split_feed(batch)
+        parts = FD.split_feed(batch, present)
         for name, df in parts.items():
             if df is None or (name in wanted and not wanted[name] & present):
                 continue
