@@ -232,6 +232,10 @@ def q_daily_bars(spark, sf):
     return SW.daily_bars(_v(spark, sf, "stock_summary"))
 
 
+def q_daily_ohlc_build(spark, sf):
+    return SW.build_daily_ohlc(_v(spark, sf, "stock_summary"))
+
+
 def _sw7(spark, sf, last):
     return SW.sideways_screen(SW.daily_bars(_v(spark, sf, "stock_summary")), 7, max_range=SIDEWAYS_RANGE,
                               max_volume=SIDEWAYS_VOLUME, min_avg_value=SUMMARY_MIN_VALUE, last_day_only=last)
@@ -391,7 +395,7 @@ def _scratch(spark, name):
 def _stream_source(spark, df, name, chunks=4, time_col="ts"):
     path = _scratch(spark, f"{name}-src")
     ST.replay(df, path, time_col, chunks)
-    return spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(path)
+    return spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 2).parquet(path)
 
 
 def q_stream_daily_ohlc(spark, sf):
@@ -428,7 +432,7 @@ def q_stream_feed_trades(spark, sf):
     text_dir = _scratch(spark, "feed-text")
     ST.replay(lines, text_dir, "ts", 4, fmt="text")
     out = _scratch(spark, "feed-out")
-    ST.stream_feed(spark, text_dir, out, _scratch(spark, "ck-feed"), max_files=1).awaitTermination()
+    ST.stream_feed(spark, text_dir, out, _scratch(spark, "ck-feed"), max_files=2).awaitTermination()
     from bursa.sources.schemas import read_table
     return read_table(spark, "trades", f"{out}/trades")
 
@@ -485,6 +489,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "ma20_swing": q_ma20_swing,
     "ma20_swing_latest": q_ma20_swing_latest,
     "daily_bars": q_daily_bars,
+    "daily_ohlc_build": q_daily_ohlc_build,
     "sideways_7d": q_sideways_7d,
     "sideways_7d_all": q_sideways_7d_all,
     "sideways_60d": q_sideways_60d,
@@ -963,6 +968,15 @@ SELECT security_code, strftime(trade_date, '%Y-%m-%d') AS trade_date, CAST("open
        CAST(volume AS DOUBLE) AS volume, CAST("value" AS DOUBLE) AS "value" FROM bars"""
 
 
+def _sql_daily_ohlc_build() -> str:
+    return with_views("stock_summary") + """
+SELECT strftime(CAST(CAST(ts AS DATE) AS TIMESTAMP), '%Y-%m-%d %H:%M:%S.%f') AS bucket, security_code,
+       CAST(arg_min(opening_price, ts) AS DOUBLE) AS "open", CAST(max(highest_price) AS DOUBLE) AS high,
+       CAST(min(lowest_price) AS DOUBLE) AS low, CAST(arg_max(close_price, ts) AS DOUBLE) AS "close",
+       CAST(arg_max(trade_volume, ts) AS BIGINT) AS volume, CAST(arg_max(trade_value, ts) AS BIGINT) AS "value"
+FROM stock_summary GROUP BY security_code, CAST(ts AS DATE)"""
+
+
 def _roll_cols() -> str:
     return ('max("close") OVER w AS mx, min("close") OVER w AS mn, sum(volume) OVER w AS vsum, '
             'count(volume) OVER w AS vn, sum("value") OVER w AS asum, count("value") OVER w AS an')
@@ -1368,6 +1382,7 @@ def oracle_sql() -> dict[str, str]:
         "ma20_swing": _sql_ma20_swing(False),
         "ma20_swing_latest": _sql_ma20_swing(True),
         "daily_bars": _sql_daily_bars(),
+        "daily_ohlc_build": _sql_daily_ohlc_build(),
         "sideways_7d": _sql_sideways_7d(True),
         "sideways_7d_all": _sql_sideways_7d(False),
         "sideways_60d": _sql_sideways_60d(True),

@@ -35,6 +35,15 @@ def daily_bars(summary: DataFrame, volume_mode: str = "sum") -> DataFrame:
         vol.alias("volume"), val.alias("value"))
 
 
+def build_daily_ohlc(summary: DataFrame) -> DataFrame:
+    """A-07: the ``daily_ohlc`` table from the snapshots: one bar per symbol and day,
+    volume and value taken from the day's last (cumulative) snapshot."""
+    b = daily_bars(summary, volume_mode="last")
+    return b.select(F.col("trade_date").cast("timestamp_ntz").alias("bucket"), "security_code", "open", "high",
+                    "low", "close", F.col("volume").cast("bigint").alias("volume"),
+                    F.col("value").cast("bigint").alias("value"))
+
+
 def _rolling(df: DataFrame, w) -> DataFrame:
     return df.withColumns({
         "max_close_prev": F.max("close").over(w), "min_close_prev": F.min("close").over(w),
