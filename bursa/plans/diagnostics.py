@@ -9,7 +9,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from bursa.functions.expr import day_text
 from bursa.operators.latest import as_of_text, max_data_date
 
 

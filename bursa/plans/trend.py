@@ -12,8 +12,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from bursa.functions.expr import (cross_ge, cross_gt, cross_le, dec, flag, guarded_ratio, mark, pct_change,
-                                  ratio, round_half_away)
+from bursa.functions.expr import (cross_ge, cross_gt, cross_le, dec, guarded_ratio, mark, pct_change, ratio,
+                                  round_half_away)
 from bursa.operators.latest import eod_snapshots, latest_per_key, latest_snapshot, max_data_date
 from bursa.operators.rolling import rows_window, with_moving_sums
 from bursa.operators.session import afternoon_volume_trend
