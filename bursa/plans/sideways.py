@@ -8,8 +8,6 @@ conditions are evaluated exactly on the frame sums and counts.
 
 from __future__ import annotations
 
-import datetime as _dt
-
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -87,7 +85,7 @@ def sideways_state(daily_ohlc: DataFrame, days: int = 60, *, max_range=0.05, max
     """S-38: the nightly sideways state of every symbol trading on the last day
     (``last_day_only=False`` back-fills every day). No prior rows gives ratios 0 and
     ``is_sideways = false`` (Q22)."""
-    epoch = F.lit(_dt.datetime(1970, 1, 1)).cast("timestamp_ntz")
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
     pos = F.timestamp_diff("MICROSECOND", epoch, F.col("bucket"))
     w = (Window.partitionBy("security_code").orderBy(pos)
          .rangeBetween(-days * _DAY_US, -_DAY_US))

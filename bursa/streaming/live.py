@@ -24,8 +24,20 @@ from bursa.sources.schemas import PARTITION_COLUMNS
 from bursa.sources.sinks import append, upsert
 
 
+def _epoch_ntz() -> F.Column:
+    return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+
+
 def with_event_time(df: DataFrame, col: str = "ts") -> DataFrame:
-    return df.withColumn("event_time", F.col(col).cast("timestamp"))
+    """Event time for watermarks and windows: the wall-clock ``ts`` read as a UTC instant,
+    so day and minute windows follow the wall clock whatever the session time zone."""
+    micros = F.timestamp_diff("MICROSECOND", _epoch_ntz(), F.col(col))
+    return df.withColumn("event_time", F.timestamp_micros(micros))
+
+
+def wall_clock(instant_col: str) -> F.Column:
+    """Inverse of ``with_event_time`` for window bounds: back to ``TIMESTAMP_NTZ``."""
+    return F.timestamp_add("MICROSECOND", F.unix_micros(F.col(instant_col)), _epoch_ntz())
 
 
 # --- T-01 feed ingest ---------------------------------------------------------------
@@ -117,7 +129,7 @@ def daily_ohlc_stream(trades: DataFrame, lateness: str = "1 day") -> DataFrame:
         F.min_by("price", order).alias("open"), F.max("price").alias("high"), F.min("price").alias("low"),
         F.max_by("price", order).alias("close"), F.sum("volume").alias("volume"),
         F.sum(F.col("price") * F.col("volume")).alias("__value"))
-    return g.select(F.col("w.start").cast("timestamp_ntz").alias("bucket"), "security_code", "open", "high", "low",
+    return g.select(wall_clock("w.start").alias("bucket"), "security_code", "open", "high", "low",
                     "close", "volume", F.round("__value", 0).cast("bigint").alias("value"))
 
 
@@ -128,8 +140,8 @@ def minute_change_stream(summary: DataFrame, lateness: str = "10 minutes") -> Da
     s = with_event_time(summary).withWatermark("event_time", lateness)
     g = s.groupBy(F.window("event_time", "1 minute").alias("w"), "security_code").agg(
         F.max_by(F.struct("close_price", "previous_price"), F.struct("ts", "data_date")).alias("s"))
-    return g.select(F.col("w.start").cast("timestamp_ntz").alias("minute"),
-                    F.to_date(F.col("w.start").cast("timestamp_ntz")).alias("minute_day"), "security_code",
+    return g.select(wall_clock("w.start").alias("minute"),
+                    F.to_date(wall_clock("w.start")).alias("minute_day"), "security_code",
                     F.col("s.close_price").alias("close_price"), F.col("s.previous_price").alias("previous_price"))
 
 
