@@ -203,6 +203,10 @@ def q_daily_screen(spark, sf):
     return TR.daily_trading_screen(_v(spark, sf, "stock_summary"), min_value=SUMMARY_MIN_VALUE)
 
 
+def q_daily_screen_backtest(spark, sf):
+    return TR.daily_trading_backtest(_v(spark, sf, "stock_summary"), min_value=SUMMARY_MIN_VALUE)
+
+
 def q_daily_marks(spark, sf):
     return _dbl(TR.daily_trading_marks(_v(spark, sf, "stock_summary"), _v(spark, sf, "history_ohlc"), 10,
                                        min_value=SUMMARY_MIN_VALUE), "yesterday_volume")
@@ -482,6 +486,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "afternoon_counts": q_afternoon_counts,
     "snapshot_counts": q_snapshot_counts,
     "daily_screen": q_daily_screen,
+    "daily_screen_backtest": q_daily_screen_backtest,
     "daily_marks": q_daily_marks,
     "ma_coverage": q_ma_coverage,
     "ma5_breakout": q_ma5_breakout,
@@ -885,6 +890,29 @@ WHERE {_ge('ls.close_price', 1, 'lm.ma5_sum', 'lm.ma5_n')} AND ls.close_price >=
   AND ls.trade_value > {SUMMARY_MIN_VALUE} AND avt2.is_volume_increasing"""
 
 
+def _sql_daily_screen_backtest() -> str:
+    ds = _latest("stock_summary", "security_code, data_date", "ts DESC",
+                 "close_price IS NOT NULL AND trade_volume IS NOT NULL")
+    return with_views("stock_summary") + f""",
+m5 AS (SELECT *, sum(close_price) OVER w AS ma5_sum, count(close_price) OVER w AS ma5_n,
+              lag(trade_volume) OVER (PARTITION BY security_code ORDER BY data_date) AS yesterday_volume
+       FROM {ds} d WINDOW w AS (PARTITION BY security_code ORDER BY data_date ROWS BETWEEN 4 PRECEDING AND CURRENT ROW)),
+tr AS (SELECT security_code, data_date,
+              COALESCE(max(CASE WHEN {MOD} >= 930 THEN trade_volume END)
+                         > max(CASE WHEN {MOD} BETWEEN 900 AND 930 THEN trade_volume END)
+                       AND max(CASE WHEN {MOD} BETWEEN 900 AND 930 THEN trade_volume END)
+                         > max(CASE WHEN {MOD} BETWEEN 870 AND 900 THEN trade_volume END), false)
+                  AS is_volume_increasing
+       FROM stock_summary WHERE {MOD} >= 870 GROUP BY security_code, data_date)
+SELECT m5.security_code, m5.data_date, {_d('close_price')} AS current_price, {_d('opening_price')} AS opening_price,
+       {_d('previous_price')} AS previous_price, {_div('ma5_sum', 'ma5_n')} AS ma5, trade_volume, trade_value,
+       {_pct('close_price', 'previous_price')} AS pct_change
+FROM m5 JOIN tr ON m5.security_code = tr.security_code AND m5.data_date = tr.data_date
+WHERE {_ge('close_price', 1, 'ma5_sum', 'ma5_n')} AND close_price >= 1.05 * previous_price
+  AND close_price >= opening_price AND trade_volume >= 1.20 * yesterday_volume
+  AND trade_value > {SUMMARY_MIN_VALUE} AND is_volume_increasing"""
+
+
 def _sql_daily_marks() -> str:
     m5 = f"""(SELECT code, trade_date, volume, sum("close") OVER w AS ma5_sum, count("close") OVER w AS ma5_n
           FROM history_ohlc WHERE "close" IS NOT NULL AND volume IS NOT NULL
@@ -1375,6 +1403,7 @@ def oracle_sql() -> dict[str, str]:
         "afternoon_counts": _sql_afternoon_counts(),
         "snapshot_counts": _sql_snapshot_counts(),
         "daily_screen": _sql_daily_screen(),
+        "daily_screen_backtest": _sql_daily_screen_backtest(),
         "daily_marks": _sql_daily_marks(),
         "ma_coverage": _sql_ma_coverage(),
         "ma5_breakout": _sql_ma5_breakout(True),

@@ -178,3 +178,36 @@ def ma20_swing(history: DataFrame, *, latest_only: bool = False, min_value=5_000
     if latest_only:
         return out.orderBy(F.col("value").desc(), "security_code")
     return out.orderBy(F.col("trade_date").desc(), F.col("value").desc(), "security_code")
+
+
+def daily_trading_backtest(summary: DataFrame, *, min_value=5_000_000_000, up=1.05, vol_up=1.20,
+                           clock: str = "ts", start: int = 870, mid: int = 900, late: int = 930) -> DataFrame:
+    """S-31 for every date at once: each day's end-of-day row against its MA5 (over the
+    last five end-of-day closes), the previous trading day's volume and that day's
+    afternoon volume trend. Restricted to the latest date it equals ``daily_trading_screen``."""
+    from bursa.functions.expr import flag, minute_of_day
+    d = eod_snapshots(summary, require=["close_price", "trade_volume"])
+    d = with_moving(d, "close_price", 5, "ma5", "security_code", "data_date")
+    d = d.withColumn("yesterday_volume",
+                     F.lag("trade_volume").over(Window.partitionBy("security_code").orderBy("data_date")))
+    m = minute_of_day(clock)
+    s = summary.where(m >= start)
+    trend = s.groupBy("security_code", "data_date").agg(
+        F.max(F.when(m.between(start, mid), F.col("trade_volume"))).alias("__v1"),
+        F.max(F.when(m.between(mid, late), F.col("trade_volume"))).alias("__v2"),
+        F.max(F.when(m >= late, F.col("trade_volume"))).alias("__v3"))
+    trend = trend.select("security_code", "data_date",
+                         flag((F.col("__v3") > F.col("__v2")) & (F.col("__v2") > F.col("__v1")))
+                         .alias("is_volume_increasing"))
+    j = d.withColumnRenamed("close_price", "current_price").join(trend, ["security_code", "data_date"])
+    cond = (cross_ge("current_price", 1, "ma5_sum", "ma5_n")
+            & (F.col("current_price") >= dec(up) * F.col("previous_price"))
+            & (F.col("current_price") >= F.col("opening_price"))
+            & (F.col("trade_volume") >= dec(vol_up) * F.col("yesterday_volume"))
+            & (F.col("trade_value") > F.lit(int(min_value)))
+            & F.col("is_volume_increasing"))
+    return j.where(cond).select(
+        "security_code", "data_date", "current_price", "opening_price", "previous_price",
+        avg_of("ma5").alias("ma5"), "trade_volume", "trade_value",
+        pct_change("current_price", "previous_price").alias("pct_change"),
+    ).orderBy(F.col("data_date").desc(), F.col("trade_value").desc(), "security_code")

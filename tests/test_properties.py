@@ -57,3 +57,11 @@ def test_validate_rejects_wrong_types(spark):
 def test_price_decimals_are_exact(spark):
     df = spark.createDataFrame([(D("0.10"), D("0.20"))], "a decimal(12,2), b decimal(12,2)")
     assert df.select((F.col("a") + F.col("b")).alias("s")).first().s == D("0.30")
+
+
+def test_daily_backtest_on_latest_day_equals_daily_screen(spark):
+    one = E._QUERIES["daily_screen"](spark, SF_MID)
+    s = E._v(spark, SF_MID, "stock_summary")
+    day = s.select(F.max("data_date")).first()[0]
+    every = E._QUERIES["daily_screen_backtest"](spark, SF_MID).where(F.col("data_date") == day).drop("data_date")
+    assert _rows(one) == _rows(every)
