@@ -17,6 +17,8 @@ from decimal import Decimal
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from bursa import constants as K
+
 ColumnOrName = Column | str
 
 
@@ -38,7 +40,7 @@ def flag(cond: Column) -> Column:
     return F.coalesce(cond, F.lit(False))
 
 
-def mark(f: ColumnOrName, yes: str = "✓", no: str = "✗") -> Column:
+def mark(f: ColumnOrName, yes: str = K.MARK_YES, no: str = K.MARK_NO) -> Column:
     """Render a flag as a symbol (H-04); NULL renders as ``no``."""
     return F.when(_c(f), F.lit(yes)).otherwise(F.lit(no))
 

@@ -11,11 +11,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from bursa import constants as K
+
 from bursa.functions.expr import flag, minute_of_day
 
 
 def afternoon_volume_trend(summary: DataFrame, on_date: Column, *, clock: str = "ts",
-                           start: int = 870, mid: int = 900, late: int = 930) -> DataFrame:
+                           start: int = K.AFTERNOON_START, mid: int = K.AFTERNOON_MID,
+                           late: int = K.AFTERNOON_LATE) -> DataFrame:
     m = minute_of_day(clock)
     s = summary.where((F.col("data_date") == on_date) & (m >= start))
     v1 = F.max(F.when(m.between(start, mid), F.col("trade_volume")))

@@ -16,6 +16,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from bursa import constants as K
+
 from bursa.functions.expr import flag, round_half_away, seconds_between
 
 
@@ -42,7 +44,7 @@ def tick_direction(trades: DataFrame, slice_minutes: int = 5) -> DataFrame:
              .drop("__slice", "__prev_in_slice", "__is_last", "__prev_slice_price"))
 
 
-def trade_tape_summary(ticks: DataFrame, *, min_trades: int = 10, large_volume: int = 1_000_000) -> DataFrame:
+def trade_tape_summary(ticks: DataFrame, *, min_trades: int = K.MIN_TAPE_TRADES, large_volume: int = K.LARGE_TRADE_VOLUME) -> DataFrame:
     """Per symbol and day: range %, trade count, VWAP, up-tick volume, total volume,
     trades per hour, direction score and large-trade volume; ``min_trades`` trades."""
     up, down = F.col("is_price_up"), F.col("is_price_down")

@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from bursa import constants as K
+
 from bursa.functions.expr import mark, pct_change, ratio, round_half_away, score
 from bursa.operators import candle as C
 from bursa.operators.latest import eod_snapshots, latest_snapshot
@@ -28,10 +30,10 @@ def _pct_of(diff: Column, base: Column) -> Column:
 
 
 def momentum_rebound_asof(summary: DataFrame, trades: DataFrame, as_of, *, board: str | None = "RG",
-                          window_days: int = 20, min_days: int = 0, min_trades: int = 10,
-                          large_volume: int = 1_000_000, min_value=5_000_000_000, momentum_pct=2.0,
-                          buy_share=0.6, overheated=3, strengthening=1.03, extended=1.10,
-                          downtrend=0.95, slice_minutes: int = 5, **factors) -> DataFrame:
+                          window_days: int = K.RANGE_WINDOW_DAYS, min_days: int = 0, min_trades: int = K.MIN_TAPE_TRADES,
+                          large_volume: int = K.LARGE_TRADE_VOLUME, min_value=K.LIQUID_VALUE, momentum_pct=K.TAPE_MOMENTUM_PCT,
+                          buy_share=K.AGGRESSIVE_BUY_SHARE, overheated=K.NOT_OVERHEATED, strengthening=K.STRENGTHENING, extended=K.NOT_OVEREXTENDED,
+                          downtrend=K.NOT_IN_DOWNTREND, slice_minutes: int = 5, **factors) -> DataFrame:
     """S-27 for one ``as_of`` date (a ``datetime.date``, ``'yyyy-mm-dd'`` text or a
     DATE column such as a scalar subquery)."""
     day = as_of if isinstance(as_of, Column) else F.lit(str(as_of)).cast("date")
@@ -101,10 +103,10 @@ def _screen_output(j: DataFrame, *, min_value, momentum_pct, buy_share, overheat
 
 
 def momentum_rebound_backtest(summary: DataFrame, trades: DataFrame, *, board: str | None = "RG",
-                              window_days: int = 20, min_days: int = 0, min_trades: int = 10,
-                              large_volume: int = 1_000_000, min_value=5_000_000_000, momentum_pct=2.0,
-                              buy_share=0.6, overheated=3, strengthening=1.03, extended=1.10,
-                              downtrend=0.95, slice_minutes: int = 5, **factors) -> DataFrame:
+                              window_days: int = K.RANGE_WINDOW_DAYS, min_days: int = 0, min_trades: int = K.MIN_TAPE_TRADES,
+                              large_volume: int = K.LARGE_TRADE_VOLUME, min_value=K.LIQUID_VALUE, momentum_pct=K.TAPE_MOMENTUM_PCT,
+                              buy_share=K.AGGRESSIVE_BUY_SHARE, overheated=K.NOT_OVERHEATED, strengthening=K.STRENGTHENING, extended=K.NOT_OVEREXTENDED,
+                              downtrend=K.NOT_IN_DOWNTREND, slice_minutes: int = 5, **factors) -> DataFrame:
     """S-27 for every date at once (§7.3): same columns as ``momentum_rebound_asof`` plus
     the screened day in ``data_date``.
 

@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from bursa import constants as K
+
 from bursa.operators.latest import as_of_text, max_data_date
 
 
@@ -41,7 +43,7 @@ def coverage_on(summary: DataFrame, as_of=None, label: str = "today_stock_summar
                  F.count(F.lit(1)).alias("total_records"))
 
 
-def sample_latest(summary: DataFrame, n: int = 10) -> DataFrame:
+def sample_latest(summary: DataFrame, n: int = K.TOP_LIST_SIZE) -> DataFrame:
     """K-05: the ``n`` rows of the latest date with the largest traded value."""
     s = summary.where(F.col("data_date") == max_data_date(summary))
     return (s.select("security_code", "data_date", "data_time", "opening_price", "highest_price",
@@ -72,7 +74,8 @@ def _active_history(history: DataFrame, as_of: Column | None, days: int) -> Data
 
 
 def missing_fundamentals(history: DataFrame, fundamentals: DataFrame, as_of: Column | None = None, *,
-                         days: int = 30, min_value=1_000_000_000, n: int = 50) -> DataFrame:
+                         days: int = K.HISTORY_LOOKBACK_DAYS, min_value=1_000_000_000,
+                         n: int = K.MISSING_LIST_SIZE) -> DataFrame:
     """K-13: active symbols (last ``days`` days, value > ``min_value``) without
     fundamentals, top ``n`` by average daily value. Anti-join (C-04)."""
     h = _active_history(history, as_of, days).where(F.col("value") > F.lit(int(min_value)))
@@ -89,7 +92,7 @@ def missing_fundamentals(history: DataFrame, fundamentals: DataFrame, as_of: Col
 
 
 def fundamentals_coverage(history: DataFrame, fundamentals: DataFrame, as_of: Column | None = None,
-                          days: int = 30) -> DataFrame:
+                          days: int = K.HISTORY_LOOKBACK_DAYS) -> DataFrame:
     """K-14: symbols in recent history, how many have fundamentals, how many lack them (C-08)."""
     h = _active_history(history, as_of, days).select("code")
     f = fundamentals.select(F.col("security_code").alias("sf_code"))

@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from bursa import constants as K
+
 from bursa.functions.expr import guarded_ratio, pct_change
 from bursa.operators.latest import latest_snapshot, max_data_date
 
@@ -20,7 +22,7 @@ def _ranked(df: DataFrame, order, n: int, kind: str) -> DataFrame:
                       F.row_number().over(Window.orderBy(*order)).alias("rank"), *df.columns)
 
 
-def top_movers(summary: DataFrame, n: int = 10, direction: str = "gainer") -> DataFrame:
+def top_movers(summary: DataFrame, n: int = K.TOP_LIST_SIZE, direction: str = "gainer") -> DataFrame:
     """S-42: ``n`` symbols with the largest (``gainer``) or smallest (``loser``) percent
     change of the latest snapshot against the previous price, on the latest date."""
     ls = latest_snapshot(summary, max_data_date(summary)).where(F.col("previous_price") > 0)
@@ -36,7 +38,7 @@ def top_movers(summary: DataFrame, n: int = 10, direction: str = "gainer") -> Da
     return _ranked(base, order, n, f"top_{direction}").drop("__chg")
 
 
-def most_active(summary: DataFrame, n: int = 10, by: str = "trade_value") -> DataFrame:
+def most_active(summary: DataFrame, n: int = K.TOP_LIST_SIZE, by: str = "trade_value") -> DataFrame:
     """S-43: ``n`` most active symbols of the latest date by value, volume or frequency."""
     if by not in ("trade_value", "trade_volume", "trade_frequency"):
         raise ValueError("by is trade_value, trade_volume or trade_frequency")

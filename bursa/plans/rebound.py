@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from bursa import constants as K
+
 from bursa.functions.expr import mark, score, text_day, ratio
 from bursa.operators import candle as C
 from bursa.operators.latest import (as_of_text, eod_snapshots, latest_per_key, latest_snapshot,
@@ -46,7 +48,8 @@ def previous_day_merged(summary: DataFrame, history: DataFrame, before: Column)
                   ["previous_low", "prev_volume"])
 
 
-def avg_volume_history(history: DataFrame, as_of: Column, days: int = 30, min_days: int = 20) -> DataFrame:
+def avg_volume_history(history: DataFrame, as_of: Column, days: int = K.HISTORY_LOOKBACK_DAYS,
+                       min_days: int = K.STRICT_MIN_DAYS) -> DataFrame:
     """S-04: volume sum and day count over ``[as_of - days, ...]`` with ``min_days`` rows."""
     h = history.where(F.col("volume").isNotNull() & (F.col("trade_date") >= F.date_sub(as_of, days)))
     return (h.groupBy(F.col("code").alias("security_code"))
@@ -55,7 +58,7 @@ def avg_volume_history(history: DataFrame, as_of: Column, days: int = 30, min_da
              .where(F.col("vol_days") >= min_days))
 
 
-def avg_volume_daily(daily: DataFrame, before: Column, min_days: int = 5) -> DataFrame:
+def avg_volume_daily(daily: DataFrame, before: Column, min_days: int = K.SUMMARY_MIN_DAYS) -> DataFrame:
     """S-05: volume sum over end-of-day rows before ``before``, at least ``min_days`` days."""
     d = daily.where(F.col("data_date") < before)
     return (d.groupBy("security_code")
@@ -99,8 +102,8 @@ def range_stats(daily: DataFrame, before: Column, min_days: int = 0) -> DataFram
              .where(F.col("vol_days") >= min_days))
 
 
-def with_rebound_criteria(df: DataFrame, *, min_value=5_000_000_000, down=0.97, shadow=0.6,
-                          surge=1.5, support=1.02, with_3b: bool = False) -> DataFrame:
+def with_rebound_criteria(df: DataFrame, *, min_value=K.LIQUID_VALUE, down=K.DOWN_FROM_OPEN, shadow=K.LOWER_SHADOW,
+                          surge=K.VOLUME_SURGE, support=K.NEAR_SUPPORT, with_3b: bool = False) -> DataFrame:
     """Candle metrics plus the five rebound flags over a joined per-symbol frame."""
     out = df.withColumns({
         "price_to_open_ratio": C.price_to_open_ratio(),
@@ -123,8 +126,8 @@ def with_rebound_criteria(df: DataFrame, *, min_value=5_000_000_000, down=0.97,
 # --- screens ------------------------------------------------------------------------------
 
 def momentum_rebound_strict(summary: DataFrame, history: DataFrame, as_of=None, history_as_of=None,
-                            *, min_criteria: int = 5, min_value=5_000_000_000, min_days: int = 20,
-                            lookback_days: int = 30, **factors) -> DataFrame:
+                            *, min_criteria: int = 5, min_value=K.LIQUID_VALUE, min_days: int = K.STRICT_MIN_DAYS,
+                            lookback_days: int = K.HISTORY_LOOKBACK_DAYS, **factors) -> DataFrame:
     """S-14 / S-15: all five criteria (or at least ``min_criteria``), inner joins.
 
     ``as_of`` (default ``CURRENT_DATE``) picks the snapshot day; ``history_as_of``
@@ -159,8 +162,8 @@ def momentum_rebound_strict(summary: DataFrame, history: DataFrame, as_of=None,
 
 
 def momentum_rebound_detail(summary: DataFrame, history: DataFrame | None = None, *,
-                            min_value=5_000_000_000, with_3b: bool = False, min_days: int | None = None,
-                            lookback_days: int = 30, **factors) -> DataFrame:
+                            min_value=K.LIQUID_VALUE, with_3b: bool = False, min_days: int | None = None,
+                            lookback_days: int = K.HISTORY_LOOKBACK_DAYS, **factors) -> DataFrame:
     """S-16 (summary + history), S-17 (``history=None``), S-18 (``with_3b=True``).
 
     Left joins: a symbol without previous day or average keeps its row with false
@@ -170,10 +173,10 @@ def momentum_rebound_detail(summary: DataFrame, history: DataFrame | None = None
     if history is not None:
         prev = previous_day_merged(summary, history, today)
         hist_day = history.select(F.max("trade_date")).scalar()
-        av = avg_volume_history(history, hist_day, lookback_days, 15 if min_days is None else min_days)
+        av = avg_volume_history(history, hist_day, lookback_days, K.DETAIL_MIN_DAYS if min_days is None else min_days)
     else:
         daily = eod_snapshots(summary, require=["lowest_price", "trade_volume", "close_price"])
-        stats = day_stats(daily, today, 5 if min_days is None else min_days)
+        stats = day_stats(daily, today, K.SUMMARY_MIN_DAYS if min_days is None else min_days)
     ls = latest_snapshot(summary, today).withColumnRenamed("close_price", "current_price")
     if history is not None:
         j = ls.join(prev, "security_code", "left").join(av, "security_code", "left")
@@ -198,7 +201,7 @@ def momentum_rebound_detail(summary: DataFrame, history: DataFrame | None = None
 
 # --- diagnostics over the latest snapshot ----------------------------------------------------
 
-def criteria_counts(summary: DataFrame, *, min_value=5_000_000_000, down=0.97, shadow=0.6) -> DataFrame:
+def criteria_counts(summary: DataFrame, *, min_value=K.LIQUID_VALUE, down=K.DOWN_FROM_OPEN, shadow=K.LOWER_SHADOW) -> DataFrame:
     """K-06: how many latest-date symbols meet each relaxed criterion.
 
     The latest row per symbol is taken over all time (Q21) and then restricted to
@@ -215,8 +218,8 @@ def criteria_counts(summary: DataFrame, *, min_value=5_000_000_000, down=0.97, s
     )
 
 
-def rebound_candidates(summary: DataFrame, n: int = 20, *, min_value=5_000_000_000, down=0.97,
-                       shadow=0.6) -> DataFrame:
+def rebound_candidates(summary: DataFrame, n: int = K.CANDIDATE_LIST_SIZE, *, min_value=K.LIQUID_VALUE, down=K.DOWN_FROM_OPEN,
+                       shadow=K.LOWER_SHADOW) -> DataFrame:
     """K-07: latest snapshot per symbol with a long lower shadow and liquidity, top ``n``
     by traded value, with YES/NO marks."""
     ls = latest_per_key(summary, ["security_code"], [F.col("ts").desc()])
@@ -226,15 +229,15 @@ def rebound_candidates(summary: DataFrame, n: int = 20, *, min_value=5_000_000_0
         "security_code", "opening_price", "highest_price", "lowest_price", "close_price", "trade_value",
         C.price_to_open_ratio("close_price").alias("price_to_open_ratio"),
         ratio(C.lower_shadow("close_price"), C.candle_range()).alias("lower_shadow_ratio"),
-        mark(C.down_from_open("close_price", f=down), "YES", "NO").alias("down_3pct"),
-        mark(shadow_ok, "YES", "NO").alias("long_shadow"),
-        mark(C.liquid(min_value=min_value), "YES", "NO").alias("liquid"),
+        mark(C.down_from_open("close_price", f=down), K.WORD_YES, K.WORD_NO).alias("down_3pct"),
+        mark(shadow_ok, K.WORD_YES, K.WORD_NO).alias("long_shadow"),
+        mark(C.liquid(min_value=min_value), K.WORD_YES, K.WORD_NO).alias("liquid"),
     )
     return out.orderBy(F.col("trade_value").desc(), "security_code").limit(n)
 
 
-def rebound_backtest(summary: DataFrame, *, min_criteria: int = 5, min_days: int = 5,
-                     min_value=5_000_000_000, **factors) -> DataFrame:
+def rebound_backtest(summary: DataFrame, *, min_criteria: int = 5, min_days: int = K.SUMMARY_MIN_DAYS,
+                     min_value=K.LIQUID_VALUE, **factors) -> DataFrame:
     """The summary-only rebound screen (S-17) evaluated for every date at once (§7.3).
 
     Each end-of-day row is that day's latest snapshot; the previous day is ``lag``

@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from bursa import constants as K
+
 from bursa.functions.expr import dec, flag
 
 _DAY_US = 86_400_000_000
@@ -50,8 +52,8 @@ def _rolling(df: DataFrame, w) -> DataFrame:
     })
 
 
-def sideways_screen(bars: DataFrame, days: int = 7, *, max_range=0.05, max_volume=0.20,
-                    min_avg_value=5_000_000_000, last_day_only: bool = True) -> DataFrame:
+def sideways_screen(bars: DataFrame, days: int = K.SIDEWAYS_DAYS_SHORT, *, max_range=K.SIDEWAYS_RANGE,
+                    max_volume=K.SIDEWAYS_VOLUME, min_avg_value=K.SIDEWAYS_VALUE_7D, last_day_only: bool = True) -> DataFrame:
     """S-37: narrow prior range, falling volume, liquid — on the last day (or every day).
 
     Frame: ``RANGE BETWEEN days PRECEDING AND 1 DAY PRECEDING``; a symbol without
@@ -80,8 +82,8 @@ def sideways_screen(bars: DataFrame, days: int = 7, *, max_range=0.05, max_volum
     return out.orderBy("range_ratio", "symbol", "trade_date")
 
 
-def sideways_state(daily_ohlc: DataFrame, days: int = 60, *, max_range=0.05, max_volume=0.20,
-                   min_avg_value=1_000_000_000, last_day_only: bool = True) -> DataFrame:
+def sideways_state(daily_ohlc: DataFrame, days: int = K.SIDEWAYS_DAYS_NIGHTLY, *, max_range=K.SIDEWAYS_RANGE,
+                   max_volume=K.SIDEWAYS_VOLUME, min_avg_value=K.SIDEWAYS_VALUE_NIGHTLY, last_day_only: bool = True) -> DataFrame:
     """S-38: the nightly sideways state of every symbol trading on the last day
     (``last_day_only=False`` back-fills every day). No prior rows gives ratios 0 and
     ``is_sideways = false`` (Q22)."""

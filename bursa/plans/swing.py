@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from bursa import constants as K
+
 from bursa.functions.expr import dec, flag, guarded_ratio
 from bursa.operators.latest import latest_per_key
 from bursa.operators.rolling import rows_window, with_moving_sums, with_rsi
@@ -22,14 +24,14 @@ RULES = [f"rule_{i:02d}" for i in range(1, 14)]
 def latest_market_cap(market_cap: DataFrame) -> DataFrame:
     """Latest (year, month) row per code; capitalisation converted to rupiah."""
     last = latest_per_key(market_cap, ["code"], [F.col("year").desc(), F.col("month").desc()])
-    return last.select("code", (F.col("market_capitalization").cast("decimal(30,0)") * F.lit(1_000_000))
+    return last.select("code", (F.col("market_capitalization").cast("decimal(30,0)") * F.lit(K.MARKET_CAP_UNIT))
                        .alias("market_cap_rp"))
 
 
 def swing_screen(history: DataFrame, market_cap: DataFrame, free_float: DataFrame, *,
-                 latest_only: bool = True, only_passing: bool = True, max_market_cap=5_000_000_000_000,
-                 max_free_float=40, min_value=5_000_000_000, max_range_60=1.8, rsi_low=55, rsi_high=70,
-                 max_close_ma200=2, max_candle=0.12, price_col: str = "close",
+                 latest_only: bool = True, only_passing: bool = True, max_market_cap=K.MAX_MARKET_CAP,
+                 max_free_float=K.MAX_FREE_FLOAT, min_value=K.LIQUID_VALUE, max_range_60=K.MAX_RANGE_60, rsi_low=K.RSI_LOW, rsi_high=K.RSI_HIGH,
+                 max_close_ma200=K.MAX_CLOSE_MA200, max_candle=K.MAX_CANDLE, price_col: str = "close",
                  include_today: bool = True) -> DataFrame:
     """Evaluate the 13 rules per symbol-day; ``free_float`` has ``code, free_float_pct``."""
     h = history.where(F.col("close").isNotNull())

@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from bursa import constants as K
+
 from bursa.functions.expr import (cross_ge, cross_gt, cross_le, dec, guarded_ratio, mark, pct_change, ratio,
                                   round_half_away)
 from bursa.operators.latest import eod_snapshots, latest_per_key, latest_snapshot, max_data_date
@@ -51,7 +53,7 @@ def latest_ma5_summary(summary: DataFrame) -> DataFrame:
     return last.select("security_code", "ma5_sum", "ma5_n", "yesterday_volume")
 
 
-def daily_trading_screen(summary: DataFrame, *, min_value=5_000_000_000, up=1.05, vol_up=1.20,
+def daily_trading_screen(summary: DataFrame, *, min_value=K.LIQUID_VALUE, up=K.DAILY_UP, vol_up=K.DAILY_VOLUME_UP,
                          clock: str = "ts") -> DataFrame:
     """S-31: close >= MA5, >= up x previous, >= open, volume >= vol_up x last volume,
     value > min_value and a rising afternoon volume, on the latest date."""
@@ -72,8 +74,8 @@ def daily_trading_screen(summary: DataFrame, *, min_value=5_000_000_000, up=1.05
     ).orderBy(F.col("trade_value").desc(), "security_code")
 
 
-def daily_trading_marks(summary: DataFrame, history: DataFrame, n: int = 10, *,
-                        min_value=5_000_000_000, up=1.05, vol_up=1.20) -> DataFrame:
+def daily_trading_marks(summary: DataFrame, history: DataFrame, n: int = K.TOP_LIST_SIZE, *,
+                        min_value=K.LIQUID_VALUE, up=K.DAILY_UP, vol_up=K.DAILY_VOLUME_UP) -> DataFrame:
     """S-32: the daily-screen rules as marks for the top ``n`` symbols by value, MA5 from history."""
     day = max_data_date(summary)
     ls = latest_snapshot(summary, day).withColumnRenamed("close_price", "current_price")
@@ -91,7 +93,7 @@ def daily_trading_marks(summary: DataFrame, history: DataFrame, n: int = 10, *,
     ).orderBy(F.col("today_value").desc(), "security_code").limit(n)
 
 
-def snapshot_counts(summary: DataFrame, *, min_value=5_000_000_000, up=1.05) -> DataFrame:
+def snapshot_counts(summary: DataFrame, *, min_value=K.LIQUID_VALUE, up=K.DAILY_UP) -> DataFrame:
     """K-11: latest-date snapshot counts: green candles, up 5 %, liquid."""
     day = max_data_date(summary)
     ls = latest_snapshot(summary, day)
@@ -124,8 +126,8 @@ def ma_coverage(history: DataFrame, n: int = 5) -> DataFrame:
 
 # --- history screens ------------------------------------------------------------------------
 
-def ma5_breakout(history: DataFrame, *, latest_only: bool = True, min_value=5_000_000_000, up=1.05,
-                 vol_floor=0.20) -> DataFrame:
+def ma5_breakout(history: DataFrame, *, latest_only: bool = True, min_value=K.LIQUID_VALUE, up=K.DAILY_UP,
+                 vol_floor=K.BREAKOUT_VOLUME_FLOOR) -> DataFrame:
     """S-33: close > MA5, close >= up x previous close, green candle, volume >=
     vol_floor x previous volume, value > min_value — on the last day or every day."""
     w = Window.partitionBy("code").orderBy("trade_date")
@@ -142,8 +144,9 @@ def ma5_breakout(history: DataFrame, *, latest_only: bool = True, min_value=5_00
     ).orderBy(F.col("value").desc(), "symbol", "trade_date")
 
 
-def ma20_swing(history: DataFrame, *, latest_only: bool = False, min_value=5_000_000_000,
-               min_price=100, band_low=0.97, band_high=1.03, vol_prev=1.30, vol_ma=1.50,
+def ma20_swing(history: DataFrame, *, latest_only: bool = False, min_value=K.LIQUID_VALUE,
+               min_price=K.SWING_MIN_PRICE, band_low=K.SWING_BAND_LOW, band_high=K.SWING_BAND_HIGH,
+               vol_prev=K.SWING_VOLUME_PREV, vol_ma=K.SWING_VOLUME_MA,
                n: int = 20) -> DataFrame:
     """S-34 / S-35: price within [MA20, 1.03 x MA20], volume surge against yesterday
     and against the 20-day average, full 20-row window, liquid, price > min_price."""
@@ -180,8 +183,9 @@ def ma20_swing(history: DataFrame, *, latest_only: bool = False, min_value=5_000
     return out.orderBy(F.col("trade_date").desc(), F.col("value").desc(), "security_code")
 
 
-def daily_trading_backtest(summary: DataFrame, *, min_value=5_000_000_000, up=1.05, vol_up=1.20,
-                           clock: str = "ts", start: int = 870, mid: int = 900, late: int = 930) -> DataFrame:
+def daily_trading_backtest(summary: DataFrame, *, min_value=K.LIQUID_VALUE, up=K.DAILY_UP, vol_up=K.DAILY_VOLUME_UP,
+                           clock: str = "ts", start: int = K.AFTERNOON_START, mid: int = K.AFTERNOON_MID,
+                           late: int = K.AFTERNOON_LATE) -> DataFrame:
     """S-31 for every date at once: each day's end-of-day row against its MA5 (over the
     last five end-of-day closes), the previous trading day's volume and that day's
     afternoon volume trend. Restricted to the latest date it equals ``daily_trading_screen``."""
