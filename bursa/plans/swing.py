@@ -28,6 +28,17 @@ def latest_market_cap(market_cap: DataFrame) -> DataFrame:
                        .alias("market_cap_rp"))
 
 
+def free_float_from_master(stock_master: DataFrame) -> DataFrame:
+    """Free float per code from stock-master records (type A): tradable / listed shares
+    in percent, from each code's latest record when a ``received_at`` column exists."""
+    sm = stock_master
+    if "received_at" in sm.columns:
+        sm = latest_per_key(sm, ["security_code"], [F.col("received_at").desc()])
+    pct = F.when(F.col("listed_shares") > 0, F.col("tradable_listed_shares").cast("double")
+                 / F.col("listed_shares").cast("double") * F.lit(100.0))
+    return sm.select(F.col("security_code").alias("code"), pct.alias("free_float_pct"))
+
+
 def swing_screen(history: DataFrame, market_cap: DataFrame, free_float: DataFrame, *,
                  latest_only: bool = True, only_passing: bool = True, max_market_cap=K.MAX_MARKET_CAP,
                  max_free_float=K.MAX_FREE_FLOAT, min_value=K.LIQUID_VALUE, max_range_60=K.MAX_RANGE_60, rsi_low=K.RSI_LOW, rsi_high=K.RSI_HIGH,

@@ -73,3 +73,9 @@ def test_roundtrip_writers(spark):
     t = FD.feed_trades(_lines(spark))
     back = FD.feed_trades(FD.trades_to_lines(t.drop("received_at")))
     assert back.exceptAll(t.drop("received_at")).count() == 0
+
+
+def test_free_float_from_stock_master(spark):
+    from bursa.plans.swing import free_float_from_master
+    ff = free_float_from_master(FD.feed_stock_master(_lines(spark))).first()
+    assert ff.code == "AALI" and ff.free_float_pct == 100.0
