@@ -25,7 +25,7 @@ from pyspark.sql import types as T
 from bursa.operators import audit as AU
 from bursa.operators import tape as TP
 from bursa.operators.latest import eod_snapshots, latest_per_key, max_data_date
-from bursa.operators.rolling import with_rsi
+from bursa.operators.rolling import with_rsi, with_wilder_rsi
 from bursa.plans import asof as AO
 from bursa.plans import diagnostics as DG
 from bursa.plans import market as MK
@@ -461,6 +461,11 @@ def q_stream_sideways_state(spark, sf):
     return SW.read_sideways(spark, state)
 
 
+def q_rsi14_wilder(spark, sf):
+    h = _v(spark, sf, "history_ohlc").where(F.col("close").isNotNull()).select("code", "trade_date", "close")
+    return with_wilder_rsi(h, "close", "code", "trade_date", 14, "rsi_wilder")
+
+
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "rebound_candidates": q_rebound_candidates,
     "criteria_counts": q_criteria_counts,
@@ -514,6 +519,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "swing_spec": q_swing_spec,
     "swing_latest": q_swing_latest,
     "rsi14": q_rsi14,
+    "rsi14_wilder": q_rsi14_wilder,
     "feed_trades": q_feed_trades,
     "feed_summary": q_feed_summary,
     "feed_orderbook": q_feed_orderbook,
@@ -1266,6 +1272,28 @@ def _sql_rsi14() -> str:
 SELECT code, strftime(trade_date, '%Y-%m-%d') AS trade_date, CAST("close" AS DOUBLE) AS "close", rsi_14 FROM rsi"""
 
 
+def _sql_rsi14_wilder() -> str:
+    """Wilder smoothing as a recursive CTE (same IEEE steps as the Spark side)."""
+    return "WITH RECURSIVE " + with_views("history_ohlc")[len("WITH "):] + """,
+h AS (SELECT code, trade_date, "close",
+             row_number() OVER (PARTITION BY code ORDER BY trade_date) AS i,
+             "close" - lag("close") OVER (PARTITION BY code ORDER BY trade_date) AS chg
+      FROM history_ohlc WHERE "close" IS NOT NULL),
+g AS (SELECT code, i, CASE WHEN chg > 0 THEN chg ELSE 0 END AS gain,
+             CASE WHEN chg < 0 THEN -chg ELSE 0 END AS loss FROM h WHERE i > 1),
+seed AS (SELECT code, CAST(sum(gain) AS DOUBLE) / 14 AS ag, CAST(sum(loss) AS DOUBLE) / 14 AS al
+         FROM g WHERE i BETWEEN 2 AND 15 GROUP BY code HAVING count(*) = 14),
+r(code, i, ag, al) AS (
+  SELECT code, 15, ag, al FROM seed
+  UNION ALL
+  SELECT r.code, r.i + 1, (r.ag * 13 + CAST(g.gain AS DOUBLE)) / 14, (r.al * 13 + CAST(g.loss AS DOUBLE)) / 14
+  FROM r JOIN g ON g.code = r.code AND g.i = r.i + 1)
+SELECT h.code, strftime(h.trade_date, '%Y-%m-%d') AS trade_date, CAST(h."close" AS DOUBLE) AS "close",
+       CASE WHEN r.al IS NULL THEN NULL WHEN r.al = 0 THEN CAST(100 AS DOUBLE)
+            ELSE CAST(100 AS DOUBLE) - CAST(100 AS DOUBLE) / (CAST(1 AS DOUBLE) + r.ag / r.al) END AS rsi_wilder
+FROM h LEFT JOIN r ON h.code = r.code AND h.i = r.i"""
+
+
 def _sql_swing(latest: bool) -> str:
     def win(n):
         return f"(PARTITION BY code ORDER BY trade_date ROWS BETWEEN {n - 1} PRECEDING AND CURRENT ROW)"
@@ -1431,6 +1459,7 @@ def oracle_sql() -> dict[str, str]:
         "swing_spec": _sql_swing(False),
         "swing_latest": _sql_swing(True),
         "rsi14": _sql_rsi14(),
+        "rsi14_wilder": _sql_rsi14_wilder(),
         "feed_trades": _sql_feed_trades(),
         "feed_summary": _sql_feed_summary(),
         "feed_orderbook": _sql_feed_orderbook(),

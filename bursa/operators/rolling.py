@@ -99,3 +99,46 @@ def with_rsi(df: DataFrame, close: str, by: str, order: str, n: int = 14,
     value = F.when(loss == 0, F.lit(100.0)).otherwise(
         F.lit(100.0) - F.lit(100.0) / (F.lit(1.0) + gain.cast("double") / loss.cast("double")))
     return out.withColumn(name, F.when(n_changes >= n, value)).drop(chg)
+
+
+def with_wilder_rsi(df: DataFrame, close: str = "close", by: str = "code", order: str = "trade_date",
+                    n: int = 14, name: str = "rsi_wilder") -> DataFrame:
+    """Wilder-smoothed RSI(n) (E-14, the recursive option).
+
+    The first average is the mean of the first ``n`` gains/losses (exact decimal sum
+    / n); after that ``avg = (avg * (n - 1) + x) / n``. The recursion has no window
+    form, so each symbol's daily bars go through ``applyInPandas`` — one group is
+    one symbol's calendar of bars (bounded by days, not by data volume), the same
+    unit a day-grain window partition holds. NULL until ``n`` changes exist; 100
+    when the average loss is 0.
+    """
+    import math
+
+    import pandas as pd
+    from pyspark.sql import types as T
+
+    schema = T.StructType(df.schema.fields + [T.StructField(name, T.DoubleType(), True)])
+
+    def per_symbol(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(order, kind="mergesort").reset_index(drop=True)
+        closes = list(pdf[close])
+        out = [None] * len(closes)
+        ag = al = None
+        gains, losses = [], []
+        for i in range(1, len(closes)):
+            chg = closes[i] - closes[i - 1]  # exact decimal difference
+            g, l_ = (chg if chg > 0 else 0), (-chg if chg < 0 else 0)
+            if ag is None:
+                gains.append(g)
+                losses.append(l_)
+                if len(gains) == n:
+                    ag, al = float(sum(gains)) / n, float(sum(losses)) / n
+            else:
+                ag = (ag * (n - 1) + float(g)) / n
+                al = (al * (n - 1) + float(l_)) / n
+            if ag is not None:
+                out[i] = 100.0 if al == 0 else 100.0 - 100.0 / (1.0 + ag / al)
+        pdf[name] = [None if v is None or (isinstance(v, float) and math.isnan(v)) else v for v in out]
+        return pdf
+
+    return df.groupBy(by).applyInPandas(per_symbol, schema)
