@@ -16,7 +16,7 @@ from bursa import constants as K
 
 from bursa.functions.expr import dec, flag, guarded_ratio
 from bursa.operators.latest import latest_per_key
-from bursa.operators.rolling import rows_window, with_moving_sums, with_rsi
+from bursa.operators.rolling import rows_window, with_moving_sums, with_rsi, with_wilder_rsi
 
 RULES = [f"rule_{i:02d}" for i in range(1, 14)]
 
@@ -43,8 +43,11 @@ def swing_screen(history: DataFrame, market_cap: DataFrame, free_float: DataFram
                  latest_only: bool = True, only_passing: bool = True, max_market_cap=K.MAX_MARKET_CAP,
                  max_free_float=K.MAX_FREE_FLOAT, min_value=K.LIQUID_VALUE, max_range_60=K.MAX_RANGE_60, rsi_low=K.RSI_LOW, rsi_high=K.RSI_HIGH,
                  max_close_ma200=K.MAX_CLOSE_MA200, max_candle=K.MAX_CANDLE, price_col: str = "close",
-                 include_today: bool = True) -> DataFrame:
-    """Evaluate the 13 rules per symbol-day; ``free_float`` has ``code, free_float_pct``."""
+                 include_today: bool = True, rsi_method: str = "simple") -> DataFrame:
+    """Evaluate the 13 rules per symbol-day; ``free_float`` has ``code, free_float_pct``.
+
+    ``rsi_method``: ``"simple"`` (rolling averages, windows only) or ``"wilder"``
+    (recursive smoothing, per-symbol ``applyInPandas``)."""
     h = history.where(F.col("close").isNotNull())
     w = lambda n: rows_window("code", "trade_date", n)
     specs = {f"__m{n}": ("close", n, "decimal(30,2)") for n in (50, 100, 200)}
@@ -59,7 +62,12 @@ def swing_screen(history: DataFrame, market_cap: DataFrame, free_float: DataFram
     cols["lowest_60"] = F.min(price_col).over(w(60))
     w20 = w(20) if include_today else rows_window("code", "trade_date", 20, end=-1)
     cols["highest_20"] = F.max(price_col).over(w20)
-    h = with_rsi(h.withColumns(cols), "close", "code", "trade_date", 14, "rsi_14")
+    if rsi_method == "wilder":
+        h = with_wilder_rsi(h.withColumns(cols), "close", "code", "trade_date", 14, "rsi_14")
+    elif rsi_method == "simple":
+        h = with_rsi(h.withColumns(cols), "close", "code", "trade_date", 14, "rsi_14")
+    else:
+        raise ValueError("rsi_method is 'simple' or 'wilder'")
     if latest_only:
         h = h.where(F.col("trade_date") == history.select(F.max("trade_date")).scalar())
     h = (h.join(latest_market_cap(market_cap), "code", "left")

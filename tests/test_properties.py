@@ -65,3 +65,15 @@ def test_daily_backtest_on_latest_day_equals_daily_screen(spark):
     day = s.select(F.max("data_date")).first()[0]
     every = E._QUERIES["daily_screen_backtest"](spark, SF_MID).where(F.col("data_date") == day).drop("data_date")
     assert _rows(one) == _rows(every)
+
+
+def test_swing_wilder_option_uses_wilder_rsi(spark):
+    from bursa.plans.swing import swing_screen
+    from bursa.sources import adapters as A
+    h = A.history_ohlc(spark, SF_SMALL)
+    sw = swing_screen(h, A.market_cap(spark, SF_SMALL), A.free_float(spark, SF_SMALL), latest_only=False,
+                      only_passing=False, rsi_method="wilder")
+    ref = E._QUERIES["rsi14_wilder"](spark, SF_SMALL)
+    j = sw.select(F.col("security_code").alias("code"), "trade_date", "rsi_14").join(ref, ["code", "trade_date"])
+    assert j.count() == h.count()
+    assert j.where(~F.col("rsi_14").eqNullSafe(F.col("rsi_wilder"))).count() == 0
