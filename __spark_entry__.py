@@ -262,6 +262,14 @@ def q_sideways_60d(spark, sf):
     return _sw60(spark, sf, True)
 
 
+def q_sideways_60d_asof(spark, sf):
+    """The nightly state re-run for a past night: one year before the last bar."""
+    d = _v(spark, sf, "daily_ohlc")
+    night = F.date_sub(d.select(F.to_date(F.max("bucket"))).scalar(), 365)
+    return SW.sideways_state(d, 60, max_range=SIDEWAYS_RANGE, max_volume=SIDEWAYS_VOLUME,
+                             min_avg_value=HISTORY_MIN_VALUE, as_of=night)
+
+
 def q_sideways_60d_all(spark, sf):
     return _sw60(spark, sf, False)
 
@@ -504,6 +512,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "sideways_7d_all": q_sideways_7d_all,
     "sideways_60d": q_sideways_60d,
     "sideways_60d_all": q_sideways_60d_all,
+    "sideways_60d_asof": q_sideways_60d_asof,
     "current_sideways": q_current_sideways,
     "sideways_upsert": q_sideways_upsert,
     "tick_direction": q_tick_direction,
@@ -1030,8 +1039,8 @@ FROM r WHERE mn <> 0 AND mx - mn < {SIDEWAYS_RANGE} * mn AND vsum <> 0 AND volum
   AND an > 0 AND asum > {SUMMARY_MIN_VALUE} * an {day}"""
 
 
-def _sql_state_cte() -> str:
-    return f"""r AS (SELECT *, CAST(bucket AS DATE) AS trade_date, {_roll_cols()} FROM daily_ohlc
+def _sql_state_cte(src: str = "daily_ohlc") -> str:
+    return f"""r AS (SELECT *, CAST(bucket AS DATE) AS trade_date, {_roll_cols()} FROM {src}
       WINDOW w AS (PARTITION BY security_code ORDER BY bucket
                    RANGE BETWEEN INTERVAL 60 DAY PRECEDING AND INTERVAL 1 DAY PRECEDING)),
 st AS (SELECT security_code AS symbol, trade_date,
@@ -1051,6 +1060,15 @@ SELECT symbol, strftime(trade_date, '%Y-%m-%d') AS trade_date, range_ratio, volu
 FROM st {day}"""
 
 
+def _sql_sideways_60d_asof() -> str:
+    return with_views("daily_ohlc") + """,
+past AS (SELECT * FROM daily_ohlc
+         WHERE CAST(bucket AS DATE) <= (SELECT CAST(max(bucket) AS DATE) - INTERVAL 365 DAY FROM daily_ohlc)), """ + \
+        _sql_state_cte("past") + """
+SELECT symbol, strftime(trade_date, '%Y-%m-%d') AS trade_date, range_ratio, volume_ratio, is_sideways
+FROM st WHERE trade_date = (SELECT max(trade_date) FROM st)"""
+
+
 def _sql_current_sideways() -> str:
     return with_views("daily_ohlc") + ", " + _sql_state_cte() + """
 SELECT symbol, strftime(trade_date, '%Y-%m-%d') AS trade_date, range_ratio, volume_ratio, is_sideways
@@ -1444,6 +1462,7 @@ def oracle_sql() -> dict[str, str]:
         "sideways_7d_all": _sql_sideways_7d(False),
         "sideways_60d": _sql_sideways_60d(True),
         "sideways_60d_all": _sql_sideways_60d(False),
+        "sideways_60d_asof": _sql_sideways_60d_asof(),
         "current_sideways": _sql_current_sideways(),
         "sideways_upsert": _sql_sideways_60d(False),
         "tick_direction": _sql_tick_direction(),

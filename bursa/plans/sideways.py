@@ -8,7 +8,7 @@ conditions are evaluated exactly on the frame sums and counts.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from bursa import constants as K
@@ -52,14 +52,26 @@ def _rolling(df: DataFrame, w) -> DataFrame:
     })
 
 
+def _as_of_date(as_of):
+    if as_of is None or isinstance(as_of, Column):
+        return as_of
+    return F.lit(str(as_of)).cast("date")
+
+
 def sideways_screen(bars: DataFrame, days: int = K.SIDEWAYS_DAYS_SHORT, *, max_range=K.SIDEWAYS_RANGE,
-                    max_volume=K.SIDEWAYS_VOLUME, min_avg_value=K.SIDEWAYS_VALUE_7D, last_day_only: bool = True) -> DataFrame:
+                    max_volume=K.SIDEWAYS_VOLUME, min_avg_value=K.SIDEWAYS_VALUE_7D, last_day_only: bool = True,
+                    as_of=None) -> DataFrame:
     """S-37: narrow prior range, falling volume, liquid — on the last day (or every day).
 
     Frame: ``RANGE BETWEEN days PRECEDING AND 1 DAY PRECEDING``; a symbol without
-    prior rows is dropped (Q22).
+    prior rows is dropped (Q22). ``as_of`` (a date) evaluates a past night: the bars
+    are restricted to ``trade_date <= as_of`` (the one-row theta join, C-06) before
+    the last day is taken.
     """
     w = Window.partitionBy("security_code").orderBy(F.unix_date("trade_date")).rangeBetween(-days, -1)
+    as_of = _as_of_date(as_of)
+    if as_of is not None:
+        bars = bars.where(F.col("trade_date") <= as_of)
     if last_day_only:
         # only bars within the frame of the last day matter: cut the input before the window
         # (Catalyst cannot move a filter below a window on a non-partition column)
@@ -83,10 +95,15 @@ def sideways_screen(bars: DataFrame, days: int = K.SIDEWAYS_DAYS_SHORT, *, max_r
 
 
 def sideways_state(daily_ohlc: DataFrame, days: int = K.SIDEWAYS_DAYS_NIGHTLY, *, max_range=K.SIDEWAYS_RANGE,
-                   max_volume=K.SIDEWAYS_VOLUME, min_avg_value=K.SIDEWAYS_VALUE_NIGHTLY, last_day_only: bool = True) -> DataFrame:
+                   max_volume=K.SIDEWAYS_VOLUME, min_avg_value=K.SIDEWAYS_VALUE_NIGHTLY, last_day_only: bool = True,
+                   as_of=None) -> DataFrame:
     """S-38: the nightly sideways state of every symbol trading on the last day
     (``last_day_only=False`` back-fills every day). No prior rows gives ratios 0 and
-    ``is_sideways = false`` (Q22)."""
+    ``is_sideways = false`` (Q22). ``as_of`` re-runs a past night: bars after it are
+    excluded (``bucket::date <= as_of``, the one-row theta join C-06)."""
+    as_of = _as_of_date(as_of)
+    if as_of is not None:
+        daily_ohlc = daily_ohlc.where(F.col("bucket") < F.date_add(as_of, 1).cast("timestamp_ntz"))
     epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
     pos = F.timestamp_diff("MICROSECOND", epoch, F.col("bucket"))
     w = (Window.partitionBy("security_code").orderBy(pos)

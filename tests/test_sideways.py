@@ -51,3 +51,18 @@ def test_upsert_replaces_changed_rows(spark):
     SW.store_sideways(base.where("symbol = 'A'").withColumn("is_sideways", F.lit(True)), path)
     got = {r.symbol: r.is_sideways for r in SW.read_sideways(spark, path).collect()}
     assert got == {"A": True, "B": False}
+
+
+def test_as_of_reruns_a_past_night(spark):
+    bars = A.daily_ohlc(spark, SF_SMALL)
+    all_days = SW.sideways_state(bars, 60, last_day_only=False)
+    night = all_days.select(F.min("trade_date")).first()[0]
+    import datetime as _d
+    night = night + _d.timedelta(days=90)
+    past = SW.sideways_state(bars, 60, as_of=night.isoformat())
+    exp = all_days.where(F.col("trade_date") == F.lit(night.isoformat()).cast("date"))
+    if exp.count() == 0:  # no bars that night: the state is for the last trading day before it
+        last = bars.where(F.to_date("bucket") <= F.lit(night.isoformat()).cast("date")).select(
+            F.max(F.to_date("bucket"))).first()[0]
+        exp = all_days.where(F.col("trade_date") == F.lit(last.isoformat()).cast("date"))
+    assert past.exceptAll(exp).count() == 0 and exp.exceptAll(past).count() == 0
