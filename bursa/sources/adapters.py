@@ -62,8 +62,12 @@ def summary_from_trades(t: DataFrame) -> DataFrame:
         "trade_frequency", "previous_price")
 
 
-def stock_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return summary_from_trades(trades(spark, sf_dir))
+def _resolver(spark: SparkSession, sf_dir: str, get):
+    return get or (lambda name: VIEWS[name](spark, sf_dir))
+
+
+def stock_summary(spark: SparkSession, sf_dir: str, get=None) -> DataFrame:
+    return summary_from_trades(_resolver(spark, sf_dir, get)("trades"))
 
 
 def history_ohlc(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -86,8 +90,8 @@ def history_ohlc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def daily_ohlc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    h = history_ohlc(spark, sf_dir)
+def daily_ohlc(spark: SparkSession, sf_dir: str, get=None) -> DataFrame:
+    h = _resolver(spark, sf_dir, get)("history_ohlc")
     return h.select(
         F.col("trade_date").cast("timestamp_ntz").alias("bucket"),
         F.col("code").alias("security_code"), "open", "high", "low", "close", "volume", "value")
@@ -121,12 +125,13 @@ def stock_fundamentals(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def market_cap(spark: SparkSession, sf_dir: str) -> DataFrame:
+def market_cap(spark: SparkSession, sf_dir: str, get=None) -> DataFrame:
     """Month-end close x shares, in millions (the stored unit), per code and month."""
-    h = history_ohlc(spark, sf_dir)
+    get = _resolver(spark, sf_dir, get)
+    h = get("history_ohlc")
     m = (h.groupBy("code", F.year("trade_date").alias("year"), F.month("trade_date").alias("month"))
           .agg(F.max_by("close", "trade_date").alias("month_close")))
-    f = stock_fundamentals(spark, sf_dir)
+    f = get("stock_fundamentals")
     j = m.join(f, m.code == f.security_code)
     j = j.withColumn("__num", (j.month_close * 100).cast("decimal(20,0)")
                      * j.shares_outstanding.cast("decimal(20,0)") + F.lit(50_000_000))
@@ -185,19 +190,31 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return VIEWS[name](spark, sf_dir)
 
 
-def materialize(spark: SparkSession, sf_dir: str, out_dir: str, names=None) -> dict[str, int]:
+def materialize(spark: SparkSession, sf_dir: str, out_dir: str, names=None) -> dict[str, str]:
     """Write the derived market tables as Parquet under ``<out_dir>/_market``,
-    partitioned by their date column where one is declared. Returns row counts."""
+    partitioned by their date column where one is declared. Tables derived from
+    another market table (snapshots from trades, daily bars and market caps from the
+    history) are built from the stored parent, so each derivation runs once.
+    Returns the table paths."""
     from bursa.sources.schemas import PARTITION_COLUMNS, SCHEMAS
-    counts = {}
+    base = f"{out_dir.rstrip('/')}/{MARKET_DIR}"
+    paths: dict[str, str] = {}
+
+    def get(name: str) -> DataFrame:
+        if name in paths:
+            df = spark.read.parquet(paths[name])
+            return df.select(*[f.name for f in SCHEMAS[name].fields]) if name in SCHEMAS else df
+        return VIEWS[name](spark, sf_dir)
+
     for name in names or VIEWS:
-        df = VIEWS[name](spark, sf_dir)
+        fn = VIEWS[name]
+        df = fn(spark, sf_dir, get) if "get" in fn.__code__.co_varnames else fn(spark, sf_dir)
         if name in SCHEMAS:
             df = df.select(*[F.col(f.name).cast(f.dataType) for f in SCHEMAS[name].fields])
         w = df.write.mode("overwrite")
         parts = PARTITION_COLUMNS.get(name)
         if parts:
             w = w.partitionBy(*parts)
-        w.parquet(f"{out_dir.rstrip('/')}/{MARKET_DIR}/{name}")
-        counts[name] = spark.read.parquet(f"{out_dir.rstrip('/')}/{MARKET_DIR}/{name}").count()
-    return counts
+        w.parquet(f"{base}/{name}")
+        paths[name] = f"{base}/{name}"
+    return paths
