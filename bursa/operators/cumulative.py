@@ -22,7 +22,8 @@ def day_cumulative(trades: DataFrame, slice_minutes: int = 5) -> DataFrame:
     ``trade_value`` (rounded) and ``trade_frequency`` running over each symbol's
     ``trade_date``, ordered by ``(ts, trade_no)``."""
     sl = F.floor((F.hour("ts") * 60 + F.minute("ts")) / F.lit(slice_minutes)).cast("int")
-    t = trades.withColumns({"__slice": sl, "__pv": F.col("price") * F.col("volume")})
+    # traded value in integer cents: exact long arithmetic on the per-trade hot path
+    t = trades.withColumns({"__slice": sl, "__pv": (F.col("price") * 100).cast("bigint") * F.col("volume")})
     keys = ["security_code", "trade_date", "__slice"]
     w = (Window.partitionBy(*keys).orderBy("ts", "trade_no")
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
@@ -49,7 +50,8 @@ def day_cumulative(trades: DataFrame, slice_minutes: int = 5) -> DataFrame:
         "highest_price": F.greatest("__p_hi", "__hi"),
         "lowest_price": F.least("__p_lo", "__lo"),
         "trade_volume": (F.coalesce("__p_v", z) + F.col("__v")).cast("bigint"),
-        "trade_value": F.round(F.coalesce("__p_pv", z) + F.col("__pvs"), 0).cast("bigint"),
+        # cents -> rupiah, rounded half up (values are non-negative)
+        "trade_value": F.floor((F.coalesce("__p_pv", z) + F.col("__pvs") + F.lit(50)) / F.lit(100)).cast("bigint"),
         "trade_frequency": (F.coalesce("__p_n", z) + F.col("__n")).cast("bigint"),
     })
     return out.drop(*[c for c in out.columns if c.startswith("__")])

@@ -52,7 +52,9 @@ def trade_tape_summary(ticks: DataFrame, *, min_trades: int = K.MIN_TAPE_TRADES,
     g = ticks.groupBy("security_code", "trade_day").agg(
         F.max("price").alias("__max"), F.min("price").alias("__min"),
         F.count(F.lit(1)).alias("total_trade_count"),
-        F.sum(F.col("price") * vol).alias("__pv"), F.sum(vol).alias("total_trade_volume"),
+        # value in integer cents: long arithmetic instead of per-row BigDecimal (exact; under
+        # ANSI mode, the Spark 4 default, an overflow fails the job instead of wrapping)
+        F.sum((F.col("price") * 100).cast("bigint") * vol).alias("__pv_cents"), F.sum(vol).alias("total_trade_volume"),
         F.sum(F.when(up, vol).otherwise(F.lit(0))).alias("aggressive_buy_volume"),
         F.max("ts").alias("__last_ts"), F.min("ts").alias("__first_ts"),
         (F.sum(F.when(up, 1).otherwise(0)) - F.sum(F.when(down, 1).otherwise(0))).cast("bigint")
@@ -66,8 +68,8 @@ def trade_tape_summary(ticks: DataFrame, *, min_trades: int = K.MIN_TAPE_TRADES,
                         / F.nullif(F.col("__min").cast("double"), F.lit(0.0)) * F.lit(100.0), 2)
         .alias("trade_price_momentum_pct"),
         "total_trade_count",
-        round_half_away(F.col("__pv").cast("double") / F.nullif(F.col("total_trade_volume").cast("double"),
-                                                                 F.lit(0.0)), 2).alias("vwap_price"),
+        round_half_away(F.col("__pv_cents").cast("double") / F.lit(100.0)
+                        / F.nullif(F.col("total_trade_volume").cast("double"), F.lit(0.0)), 2).alias("vwap_price"),
         "aggressive_buy_volume", "total_trade_volume",
         round_half_away(F.col("total_trade_count").cast("double") / F.nullif(hours, F.lit(0.0)), 2)
         .alias("trades_per_hour"),
