@@ -172,7 +172,8 @@ def q_fundamentals_coverage(spark, sf):
 
 
 def q_latest_snapshot(spark, sf):
-    return latest_per_key(_v(spark, sf, "stock_summary"), ["security_code"], [F.col("ts").desc()])
+    from bursa.operators.latest import latest_snapshot
+    return latest_snapshot(_v(spark, sf, "stock_summary"))
 
 
 def q_eod_snapshots(spark, sf):

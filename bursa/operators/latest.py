@@ -30,6 +30,25 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column |
     return df.withColumn("__rn", F.row_number().over(w)).where(F.col("__rn") == 1).drop("__rn")
 
 
+def latest_via_partition(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str], part_col: str,
+                         locate: Column) -> DataFrame:
+    """``latest_per_key`` that reads full rows only from the partitions holding a latest row.
+
+    ``locate`` is an aggregate giving, per key, the partition value of its latest row
+    (``max(data_date)`` when the order leads with the date, ``max_by(data_date, ts)``
+    when it is by ``ts``). A narrow grouped pass finds those values; their distinct set
+    (bounded by the calendar) becomes a scalar subquery in the scan's partition filter,
+    and a semi-join keeps each key's rows of its own partition before the usual pick.
+    The result equals ``latest_per_key(df, keys, order)``.
+    """
+    last = df.groupBy(*keys).agg(locate.alias("__part"))
+    parts = last.select(F.collect_set("__part")).scalar()
+    lk = last.select(*[F.col(k).alias(f"__k_{k}") for k in keys], "__part")
+    cond = [df[k] == lk[f"__k_{k}"] for k in keys] + [df[part_col] == lk["__part"]]
+    cand = df.where(F.array_contains(parts, F.col(part_col))).join(lk, cond, "left_semi")
+    return latest_per_key(cand, keys, order)
+
+
 def latest_snapshot(summary: DataFrame, on_date: Column | str | None = None,
                     board: str | None = None) -> DataFrame:
     """Latest intraday snapshot per symbol (F-01), optionally of one ``data_date``.
@@ -42,7 +61,10 @@ def latest_snapshot(summary: DataFrame, on_date: Column | str | None = None,
         s = s.where(F.col("board_code") == board)
     if on_date is not None:
         s = s.where(F.col("data_date") == (F.lit(on_date) if isinstance(on_date, str) else on_date))
-    return latest_per_key(s, ["security_code"], [F.col("ts").desc()])
+        return latest_per_key(s, ["security_code"], [F.col("ts").desc()])
+    # over all time: read full rows only from each symbol's last-traded partition
+    return latest_via_partition(s, ["security_code"], [F.col("ts").desc()], "data_date",
+                                F.max_by("data_date", "ts"))
 
 
 def eod_snapshots(summary: DataFrame, board: str | None = None, lo: Column | str | None = None,

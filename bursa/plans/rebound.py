@@ -16,7 +16,7 @@ from bursa import constants as K
 from bursa.functions.expr import mark, score, text_day, ratio
 from bursa.operators import candle as C
 from bursa.operators.latest import (as_of_text, eod_snapshots, latest_per_key, latest_snapshot,
-                                    max_data_date, prefer)
+                                    latest_via_partition, max_data_date, prefer)
 
 REBOUND_FLAGS = ["is_down_from_open", "has_long_lower_shadow", "has_volume_surge", "is_liquid",
                  "is_near_support"]
@@ -28,7 +28,10 @@ def previous_day(summary: DataFrame, before: Column) -> DataFrame:
     """S-01: last snapshot strictly before ``before`` (yyyyMMdd text) per symbol."""
     s = summary.where((F.col("data_date") < before) & F.col("lowest_price").isNotNull()
                       & F.col("trade_volume").isNotNull())
-    last = latest_per_key(s, ["security_code"], [F.col("data_date").desc(), F.col("ts").desc()])
+    # the whole history before the date is a candidate: locate each symbol's last day with a
+    # narrow pass, then read full rows from those days' partitions only
+    last = latest_via_partition(s, ["security_code"], [F.col("data_date").desc(), F.col("ts").desc()],
+                                "data_date", F.max("data_date"))
     return last.select("security_code", F.col("data_date").alias("prev_trade_date"),
                        F.col("lowest_price").alias("previous_low"),
                        F.col("trade_volume").alias("prev_volume"))
@@ -207,7 +210,7 @@ def criteria_counts(summary: DataFrame, *, min_value=K.LIQUID_VALUE, down=K.DOWN
     The latest row per symbol is taken over all time (Q21) and then restricted to
     the latest date.
     """
-    ls = latest_per_key(summary, ["security_code"], [F.col("ts").desc()])
+    ls = latest_snapshot(summary)
     ls = ls.where(F.col("data_date") == max_data_date(summary))
     one = F.lit(1)
     return ls.agg(
@@ -222,7 +225,7 @@ def rebound_candidates(summary: DataFrame, n: int = K.CANDIDATE_LIST_SIZE, *, mi
                        shadow=K.LOWER_SHADOW) -> DataFrame:
     """K-07: latest snapshot per symbol with a long lower shadow and liquidity, top ``n``
     by traded value, with YES/NO marks."""
-    ls = latest_per_key(summary, ["security_code"], [F.col("ts").desc()])
+    ls = latest_snapshot(summary)
     shadow_ok = C.long_lower_shadow("close_price", f=shadow)
     c = ls.where((F.col("trade_value") >= F.lit(int(min_value))) & shadow_ok)
     out = c.select(

@@ -53,3 +53,13 @@ def test_column_pruning_reaches_scan(spark, stored):
     plan = _plan(df)
     assert "ReadSchema: struct<security_code:string,close_price:decimal(12,2)>" in plan
     assert "PartitionFilters: [isnotnull(data_date" in plan
+
+
+def test_previous_day_reads_only_last_day_partitions(spark, stored):
+    from bursa.plans.rebound import previous_day
+    s = A.load(spark, stored, "stock_summary")
+    df = previous_day(s, max_data_date(s))
+    plan = _plan(df)
+    assert "array_contains(Subquery subquery" in plan  # runtime partition pruning of the full-row scan
+    ref = latest_snapshot(s.where(F.col("data_date") < max_data_date(s)))
+    assert df.count() == ref.count()
