@@ -109,10 +109,12 @@ def orderbook(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.lit(100) * (F.lit(1) + F.col("event_id") % 50)).cast("bigint").alias("volume"),
         F.col("event_id"),
     )
+    from bursa.operators.latest import exact_rank
     signed = F.when(F.col("side") == "B", -F.col("price")).otherwise(F.col("price"))
-    w = Window.partitionBy("security_code", "ts", "side").orderBy(signed, F.col("event_id"))
-    return o.select("ts", "security_code", "side", F.row_number().over(w).cast("int").alias("level"),
-                    "frequency", "price", "volume")
+    # level = rank by price within each (symbol, hour, side) book, split across tasks for hot books
+    ranked = exact_rank(o.withColumn("__signed", signed), ["security_code", "ts", "side"],
+                        ["__signed", "event_id"], "level")
+    return ranked.select("ts", "security_code", "side", "level", "frequency", "price", "volume")
 
 
 def stock_fundamentals(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -215,10 +215,11 @@ def feed_orderbook(lines: DataFrame, received_at: Column | str = "received_at",
                    g.getItem(2).try_cast("bigint").alias("volume"))
     out = out.where(F.col("frequency").isNotNull() & F.col("price").isNotNull() & F.col("volume").isNotNull())
     if rank_by_price:
-        from pyspark.sql import Window
+        from bursa.operators.latest import exact_rank
         signed = F.when(F.col("side") == "B", -F.col("price")).otherwise(F.col("price"))
-        w = Window.partitionBy("security_code", "ts", "side").orderBy(signed, "level")
-        out = out.withColumn("level", F.row_number().over(w).cast("int"))
+        out = exact_rank(out.withColumns({"__signed": signed, "__msg_level": F.col("level")}),
+                         ["security_code", "ts", "side"], ["__signed", "__msg_level"], "level")
+        out = out.drop("__signed", "__msg_level")
     return out
 
 

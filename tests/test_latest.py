@@ -36,3 +36,14 @@ def test_top_n_breaks_ties_by_key(spark):
     df = spark.createDataFrame([("B", 5), ("A", 5), ("C", 1)], "k string, v int")
     got = [r.k for r in top_n(df, [F.col("v").desc(), "k"], 2).collect()]
     assert got == ["A", "B"]
+
+
+def test_exact_rank_equals_row_number_with_a_hot_group(spark):
+    from pyspark.sql import Window
+    from bursa.operators.latest import exact_rank
+    df = spark.range(30000).select((F.col("id") % 3 == 0).cast("int").alias("g"),
+                                   ((F.col("id") * 7919) % 1009).alias("v"), "id")
+    got = exact_rank(df, ["g"], [F.col("v").desc(), "id"], "r")
+    exp = df.withColumn("r", F.row_number().over(Window.partitionBy("g").orderBy(F.col("v").desc(), "id"))
+                        .cast("int"))
+    assert got.select(*exp.columns).exceptAll(exp).count() == 0 and got.count() == exp.count()
