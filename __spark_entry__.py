@@ -551,7 +551,27 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {k: (lambda f: (lambda spark, sf: _present(f(spark, sf))))(f) for k, f in _QUERIES.items()}
+    own = {k: (lambda f: (lambda spark, sf: _present(f(spark, sf))))(f) for k, f in _QUERIES.items()}
+    return own | _corpus_queries()
+
+
+def _corpus_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    """The corpus operators' queries and the pipeline, where that subpackage is installed."""
+    try:
+        import corpus_pipeline
+        from bursa.llm.queries import QUERIES
+    except ImportError:
+        return {}
+    return QUERIES | {"pipeline": corpus_pipeline.run}
+
+
+def _corpus_sql() -> dict[str, str]:
+    try:
+        import corpus_pipeline
+        from bursa.llm.queries import ORACLES
+    except ImportError:
+        return {}
+    return ORACLES | ({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {})
 
 
 # ---------------------------------------------------------------------------------------
@@ -1425,7 +1445,7 @@ FROM (SELECT * FROM g UNION ALL SELECT * FROM l) WHERE rank <= 10"""
 
 
 def oracle_sql() -> dict[str, str]:
-    return {
+    return _corpus_sql() | {
         "rebound_candidates": _sql_rebound_candidates(),
         "criteria_counts": _sql_criteria_counts(),
         "rebound_detail": _sql_rebound_detail(),
