@@ -21,7 +21,7 @@ from pyspark.sql import SparkSession
 from tokenizers import Tokenizer
 from tokenizers.models import BPE
 
-MEMO = 250_000
+MEMO = 150_000
 LONG = 64  # longer parts are rare and not remembered
 BLOCK_CHARS = 1 << 20
 _CUT = re.compile(r" (?<=\S )")

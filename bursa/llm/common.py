@@ -6,7 +6,9 @@ import re
 import uuid
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,6 +17,7 @@ from bursa.session import checkpoint_dir
 # Words are separated by exactly these bytes (what bytes.split() splits on).
 _SPACE = re.compile(rb"[\x20\x09-\x0d]")
 BLOCK_BYTES = 1 << 20
+SLICE_BYTES = 8 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -41,12 +44,22 @@ def spare_name(df: DataFrame, base: str) -> str:
     return base
 
 
-def rows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list[bytes]]]:
-    """Ids and texts (null: empty) of each non-empty batch."""
+def sliced(batches: Iterator[pa.RecordBatch], size: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """Non-empty slices of the batches with about ``size`` bytes of text, or one longer text."""
     for batch in batches:
-        if batch.num_rows:
-            texts = batch.column("text")
-            yield batch.column("doc_id").to_pylist(), [x or b"" for x in texts.to_pylist()]
+        ends = np.cumsum(pc.binary_length(batch.column("text")).fill_null(0).to_numpy(zero_copy_only=False))
+        at = 0
+        while at < batch.num_rows:
+            done = int(ends[at - 1]) if at else 0
+            to = max(at + 1, int(np.searchsorted(ends, done + size, side="right")))
+            yield batch.slice(at, to - at)
+            at = to
+
+
+def rows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list[bytes]]]:
+    """Ids and texts (null: empty) of each slice."""
+    for batch in sliced(batches):
+        yield batch.column("doc_id").to_pylist(), [x or b"" for x in batch.column("text").to_pylist()]
 
 
 def word_blocks(data: bytes, size: int = BLOCK_BYTES) -> Iterator[list[bytes]]:

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bursa.llm.common import doc_texts, rows_of, word_blocks
+from bursa.llm.common import doc_texts, rows_of, sliced, word_blocks
 
 WINDOW = 10
 SET_BYTES = 32 << 20
@@ -127,7 +127,7 @@ def _scanned(docs: DataFrame, benchmark: DataFrame, window: int, set_bytes: int)
 
         def run(batches: Iterator[pa.RecordBatch], known=known) -> Iterator[pa.RecordBatch]:
             scan = known.value.scan
-            for batch in batches:
+            for batch in sliced(batches):
                 counts, starts, ends, items = [], [], [], []
                 rest = (batch.column(c).to_pylist() for c in ("text", "starts", "ends", "items"))
                 for text, a, b, i in zip(*rest):

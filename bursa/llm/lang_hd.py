@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bursa.llm.common import doc_texts, id_fold, rows_of
+from bursa.llm.common import doc_texts, id_fold, rows_of, sliced
 
 DIMS = 512
 SYMBOLS = 64  # space, a-z, and 37 classes that all other letters fall into by code point
@@ -86,7 +86,7 @@ def prototypes(docs: DataFrame, folds: int = FOLDS, held: int = HELD_FOLD) -> Da
     """(lang, at, value): each language's bundle over all training documents."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[str, np.ndarray] = {}
-        for batch in batches:
+        for batch in sliced(batches):
             for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist()):
                 codes, n = trigrams(text or b"")
                 if len(codes):

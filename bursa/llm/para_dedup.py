@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bursa.llm.common import components, doc_texts, stored
+from bursa.llm.common import components, doc_texts, sliced, stored
 
 MIN_WORDS = 40
 SHINGLE_WORDS = 5
@@ -71,7 +71,7 @@ def bands(words: bytes, size: int = SHINGLE_WORDS) -> list[int]:
 def paragraph_rows(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """doc_id, paragraph, start, end (bytes), n_words, h1, h2 (digest), bands, words."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             out = []
             for i, t in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
                 for k, a, b, w in paragraphs(t or b"", min_words):
