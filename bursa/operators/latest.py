@@ -127,19 +127,23 @@ def exact_rank(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str]
 
     A window puts every row of a group into one task. Here the rows are range-sorted by
     ``(keys, order)`` — the range boundaries split even a single huge group across many
-    tasks — each row's position is its partition's offset (prefix sum of per-partition
-    counts, one row per partition) plus its index inside the partition, and the rank is
-    the position minus the first position of its group (one row per group).
+    tasks — and written once, with their place, to the shared checkpoint folder. All
+    later steps read that one copy: a row's position is its part's offset (prefix sum of
+    one count per part) plus its index inside the part, and its rank is the position less
+    its group's first position. The group positions are stored too, so the last join has
+    plain shuffles on both sides and a hot group's rows can be split.
     ``order`` must be total within a group for a deterministic result.
     """
     from pyspark.sql import Window
+
+    from bursa.session import cut_lineage
     srt = df.orderBy(*[F.col(k) for k in keys], *_cols(order))
-    t = srt.withColumns({"__pid": F.spark_partition_id(), "__mid": F.monotonically_increasing_id()})
+    t = cut_lineage(srt.withColumns({"__pid": F.spark_partition_id(), "__mid": F.monotonically_increasing_id()}))
     t = t.withColumn("__local", F.col("__mid") - F.shiftleft(F.col("__pid").cast("long"), 33))
     counts = t.groupBy("__pid").agg(F.count(F.lit(1)).alias("__n"))
     offsets = counts.select("__pid", (F.sum("__n").over(
         Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1))).alias("__off"))
     pos = t.join(offsets, "__pid").withColumn("__pos", F.coalesce("__off", F.lit(0)) + F.col("__local"))
-    first = pos.groupBy(*keys).agg(F.min("__pos").alias("__first"))
+    first = cut_lineage(pos.groupBy(*keys).agg(F.min("__pos").alias("__first")))
     out = pos.join(first, list(keys)).withColumn(name, (F.col("__pos") - F.col("__first") + 1).cast("int"))
     return out.drop("__pid", "__mid", "__local", "__off", "__pos", "__first")

@@ -6,7 +6,7 @@ same raw tables. Each entry is ``name -> (dependencies, select text)``.
 
 from __future__ import annotations
 
-CODE = "'S' || lpad(CAST({x} AS VARCHAR), 4, '0')"
+CODE = "'S' || lpad(CAST({x} AS VARCHAR), CAST(greatest(4, length(CAST({x} AS VARCHAR))) AS INTEGER), '0')"
 
 VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
     "trades": ((), f"""

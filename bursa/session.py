@@ -45,11 +45,13 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this must already be set to shared storage; only when it is
-    unset (local tests) a folder under the system temp dir is used.
+    On a cluster this must already be set to shared storage; only a local master falls
+    back to a folder under the system temp dir.
     """
     d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not d:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         import tempfile
         d = tempfile.mkdtemp(prefix="bursa-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)

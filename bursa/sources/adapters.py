@@ -26,7 +26,8 @@ def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _code(x) -> F.Column:
-    return F.concat(F.lit("S"), F.lpad(x.cast("string"), 4, "0"))
+    text = x.cast("string")  # padded to four digits, longer keys stay whole
+    return F.concat(F.lit("S"), F.lpad(text, F.greatest(F.lit(4), F.length(text)), F.lit("0")))
 
 
 def trades(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -28,11 +28,12 @@ INVESTOR_TYPES = ("I", "A", "S", "F")
 
 def _parts(lines: DataFrame) -> DataFrame:
     p = F.split(F.col("value"), r"\|", -1)
-    return lines.withColumns({"__p": p, "__n": F.size(p), "__type": p.getItem(1)})
+    return lines.withColumns({"__p": p, "__n": F.size(p), "__type": F.get(p, F.lit(1))})
 
 
 def _f(i: int) -> Column:
-    return F.col("__p").getItem(i)
+    """A field of the line; NULL beyond its last one."""
+    return F.get("__p", F.lit(i))
 
 
 def _extra(lines: DataFrame) -> list[str]:
@@ -178,9 +179,17 @@ def feed_rejects(lines: DataFrame, types=None) -> DataFrame:
     n_ok = F.lit(True)
     for t, n in FIELD_COUNTS.items():
         n_ok = F.when(F.col("__type") == t, F.col("__n") == n).otherwise(n_ok)
-    shape = (F.when(_f(0) != "ANTR", "bad prefix").when(~F.col("__type").isin(*TYPES), "unknown type")
-             .when(~n_ok, "field count"))
+    n_ok = F.when(F.col("__type").isin("3", "4"), F.col("__n") >= 4) \
+        .when(F.col("__type").isin("5", "6", "7"), F.col("__n") >= 3).otherwise(n_ok)
+    shape = (F.when(~_f(0).eqNullSafe("ANTR"), "bad prefix")
+             .when(~F.coalesce("__type", F.lit("")).isin(*TYPES), "unknown type").when(~n_ok, "field count"))
     out = p.withColumn("reason", shape).where(F.col("reason").isNotNull()).select(*lines.columns, "reason")
+    if types is None or {"3", "4"} & set(types):
+        book = _parts(lines.withColumn("__line", F.col("value")).withColumn(
+            "value", F.regexp_replace("value", r"\|\{[01]\}", "|")))
+        book = book.where((_f(0) == "ANTR") & F.col("__type").isin("3", "4") & (F.col("__n") >= 4) & _bad_level())
+        out = out.unionByName(book.withColumn("value", F.col("__line"))
+                              .select(*lines.columns, F.lit("bad value").alias("reason")))
     for t in FIELDS:
         if types is not None and t not in types:
             continue
@@ -190,6 +199,21 @@ def feed_rejects(lines: DataFrame, types=None) -> DataFrame:
     return out
 
 
+def _levels() -> Column:
+    """The non-empty level groups of a book line."""
+    return F.filter(F.slice(F.col("__p"), 4, F.size("__p")), lambda x: x != "")
+
+
+def _bad_level() -> Column:
+    """True if a level group of a book line isn't ``frequency;price;volume``."""
+    def bad(x):
+        g = F.split(x, ";")
+        return ((F.size(g) != 3) | F.get(g, F.lit(0)).try_cast("int").isNull()
+                | F.get(g, F.lit(1)).try_cast(PRICE).isNull() | F.get(g, F.lit(2)).try_cast("bigint").isNull())
+
+    return F.exists(_levels(), bad)
+
+
 def feed_orderbook(lines: DataFrame, received_at: Column | str = "received_at",
                    rank_by_price: bool = False) -> DataFrame:
     """Types 3 (bid) / 4 (offer) -> ``orderbook`` rows, one per queued level (A-13).
@@ -201,8 +225,8 @@ def feed_orderbook(lines: DataFrame, received_at: Column | str = "received_at",
     """
     recv = F.col(received_at) if isinstance(received_at, str) else received_at
     clean = lines.withColumn("value", F.regexp_replace("value", r"\|\{[01]\}", "|"))
-    p = _parts(clean).where((_f(0) == "ANTR") & F.col("__type").isin("3", "4") & (F.col("__n") >= 4))
-    groups = F.filter(F.slice(F.col("__p"), 4, 100_000), lambda x: x != "")
+    p = _parts(clean).where((_f(0) == "ANTR") & F.col("__type").isin("3", "4") & (F.col("__n") >= 4) & ~_bad_level())
+    groups = _levels()
     offset = F.col("level_offset") if "level_offset" in lines.columns else F.lit(0)
     keep = [c for c in _extra(lines) if c not in (received_at, "level_offset")]
     e = p.select(*keep, recv.alias("ts"), _f(2).alias("security_code"),
@@ -211,9 +235,8 @@ def feed_orderbook(lines: DataFrame, received_at: Column | str = "received_at",
     g = F.split(F.col("__g"), ";")
     out = e.select(*[c for c in e.columns if c not in ("__pos", "__g", "__offset")],
                    (F.col("__offset") + F.col("__pos") + 1).cast("int").alias("level"),
-                   g.getItem(0).try_cast("int").alias("frequency"), g.getItem(1).try_cast(PRICE).alias("price"),
-                   g.getItem(2).try_cast("bigint").alias("volume"))
-    out = out.where(F.col("frequency").isNotNull() & F.col("price").isNotNull() & F.col("volume").isNotNull())
+                   F.get(g, F.lit(0)).try_cast("int").alias("frequency"), F.get(g, F.lit(1)).try_cast(PRICE).alias("price"),
+                   F.get(g, F.lit(2)).try_cast("bigint").alias("volume"))
     if rank_by_price:
         from bursa.operators.latest import exact_rank
         signed = F.when(F.col("side") == "B", -F.col("price")).otherwise(F.col("price"))
@@ -228,7 +251,7 @@ def feed_rank_lists(lines: DataFrame) -> DataFrame:
     p = _parts(lines).where((_f(0) == "ANTR") & F.col("__type").isin("5", "6", "7"))
     kind = (F.when(F.col("__type") == "5", "top_gainer").when(F.col("__type") == "6", "top_loser")
             .otherwise("most_active"))
-    codes = F.filter(F.slice(F.col("__p"), 3, 100_000), lambda x: x != "")
+    codes = F.filter(F.slice(F.col("__p"), 3, F.size("__p")), lambda x: x != "")
     e = p.select(*_extra(lines), kind.alias("kind"), F.posexplode(codes).alias("__pos", "security_code"))
     return e.select(*_extra(lines), "kind", (F.col("__pos") + 1).cast("int").alias("rank"), "security_code")
 

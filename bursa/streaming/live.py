@@ -80,7 +80,8 @@ def stream_feed(spark: SparkSession, in_dir: str, out_base: str, checkpoint: str
     def write_batch(batch: DataFrame, _epoch: int) -> None:
         batch = batch.persist()
         # record types present in this batch (at most a dozen codes) decide which tables to write
-        present = {r[0] for r in batch.select(F.split("value", r"\|", 3).getItem(1)).distinct().collect()}
+        kinds = batch.select(F.get(F.split("value", r"\|", 3), F.lit(1)).alias("t"))
+        present = {r[0] for r in kinds.where(F.col("t").isin(*FD.TYPES)).distinct().collect()}
         wanted = {"trades": {"1"}, "stock_summary": {"2"}, "orderbook": {"3", "4"},
                   "rank_lists": {"5", "6", "7"}, "trades_eod": {"8"}, "index": {"9"}, "stock_master": {"A"},
                   "brokers": {"B"}, "book_summary": {"C"}}

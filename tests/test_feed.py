@@ -79,3 +79,17 @@ def test_free_float_from_stock_master(spark):
     from bursa.plans.swing import free_float_from_master
     ff = free_float_from_master(FD.feed_stock_master(_lines(spark))).first()
     assert ff.code == "AALI" and ff.free_float_pct == 100.0
+
+
+def test_every_malformed_line_is_rejected_once(spark):
+    lines = ["", "ANTR", "no pipe", "ANTR|3|AAAA", "ANTR|3|AAAA|{0}x;10;5|1;11;6|", "ANTR|5", "ANTR|Z|a", "|1|"]
+    got = {r.value: r.reason for r in FD.feed_rejects(spark.createDataFrame([(x,) for x in lines], "value string")).collect()}
+    assert got == {"": "bad prefix", "ANTR": "unknown type", "no pipe": "bad prefix", "ANTR|3|AAAA": "field count",
+                   "ANTR|3|AAAA|{0}x;10;5|1;11;6|": "bad value", "ANTR|5": "field count", "ANTR|Z|a": "unknown type",
+                   "|1|": "bad prefix"}
+
+
+def test_deep_book_line_keeps_all_levels(spark):
+    line = "ANTR|3|AAAA|{0}" + "|".join(f"1;{k};2" for k in range(1, 100_051)) + "|"
+    df = spark.createDataFrame([(line,)], "value string").selectExpr("value", "timestamp_ntz'2024-01-01 10:00:00' received_at")
+    assert FD.feed_orderbook(df).count() == 100_050 and FD.feed_rejects(df.drop("received_at")).count() == 0

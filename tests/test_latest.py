@@ -47,3 +47,14 @@ def test_exact_rank_equals_row_number_with_a_hot_group(spark):
     exp = df.withColumn("r", F.row_number().over(Window.partitionBy("g").orderBy(F.col("v").desc(), "id"))
                         .cast("int"))
     assert got.select(*exp.columns).exceptAll(exp).count() == 0 and got.count() == exp.count()
+
+
+def test_exact_rank_with_payload_and_coalescing(spark):
+    from pyspark.sql import Window
+
+    from bursa.operators.latest import exact_rank
+    df = spark.range(300_000).selectExpr("id", "cast(id % 3 = 0 AS int) g", "hash(id) v", "repeat(cast(id AS string), 8) pay")
+    got = exact_rank(df, ["g"], [F.col("v"), "id"], "r")
+    want = df.withColumn("w", F.row_number().over(Window.partitionBy("g").orderBy("v", "id")))
+    both = got.join(want.select("id", "w"), "id")
+    assert both.count() == 300_000 and both.where("r <> w").count() == 0
