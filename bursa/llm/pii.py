@@ -202,8 +202,9 @@ def estimate(patterns: np.ndarray, n: np.ndarray, rounds: int = 50) -> np.ndarra
 
 def _features(kind: np.ndarray, patterns: np.ndarray) -> np.ndarray:
     """Votes one-hot, for each kind apart."""
-    hot = np.eye(3)[_digits3(patterns)].reshape(len(patterns), -1)
-    return (np.eye(len(KINDS))[kind][:, :, None] * np.c_[hot, np.ones(len(hot))][:, None, :]).reshape(len(hot), -1)
+    hot = np.eye(3)[_digits3(patterns)].reshape(len(patterns), 3 * len(VOTE_WEIGHTS))
+    own = np.c_[hot, np.ones(len(hot))]
+    return (np.eye(len(KINDS))[kind][:, :, None] * own[:, None, :]).reshape(len(hot), len(KINDS) * own.shape[1])
 
 
 def train(docs: DataFrame, rounds: int = 400) -> np.ndarray:
