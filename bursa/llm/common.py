@@ -81,9 +81,13 @@ def scratch(spark: SparkSession, name: str) -> str:
 
 
 def stored(df: DataFrame) -> DataFrame:
-    """Cut lineage into the shared checkpoint folder; survives lost executors."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Cut lineage by a table in the shared checkpoint folder; survives lost executors.
+
+    A table, not checkpoint(): a checkpointed frame keeps its plan's size estimate, which
+    joins multiply, so an iteration's estimates would outgrow any number of digits."""
+    path = scratch(df.sparkSession, "stored")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def components(edges: DataFrame) -> DataFrame:
