@@ -34,10 +34,10 @@ def encode(docs: DataFrame, codec: Shared) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codec.get()
         for ids, texts in rows_of(batches):
-            out = [c.encode(t.decode()) for t in texts]
-            counts = [[len(x) // 4 for x in out], [c.splits(x, t) for x, t in zip(out, texts)]]
+            out = c.encode_each(texts)
+            counts = [[len(x) for x in out], [c.splits(x, t) for x, t in zip(out, texts)]]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(ids, pa.int64()), pa.array(out, pa.binary()), *(pa.array(x, pa.int64()) for x in counts)],
+                [pa.array(ids, pa.int64()), pa.array([x.tobytes() for x in out], pa.binary()), *(pa.array(x, pa.int64()) for x in counts)],
                 ["doc_id", "ids", "n_tokens", "n_split"])
 
     return doc_texts(docs).mapInArrow(run, "doc_id long, ids binary, n_tokens long, n_split long")
@@ -49,10 +49,9 @@ def encode_with_offsets(docs: DataFrame, codec: Shared) -> DataFrame:
         c = codec.get()
         for ids, texts in rows_of(batches):
             cols: list[list] = [[], [], [], []]
-            for t in texts:
-                x = c.encode(t.decode())
+            for x, t in zip(c.encode_each(texts), texts):
                 ends, first, last = c.offsets(x, t)
-                row = (np.frombuffer(x, "<u4"), np.concatenate(([0], ends[:-1])) if len(ends) else ends, first, last)
+                row = (x, np.concatenate(([0], ends[:-1])) if len(ends) else ends, first, last)
                 for col, v in zip(cols, row):
                     col.append(v.astype(np.int64))
             yield pa.RecordBatch.from_arrays(

@@ -45,8 +45,8 @@ def shared_codec(docs: DataFrame, path: str = VOCABULARY, pattern: str = public_
         return Shared(docs.sparkSession, f.read(), pattern)
 
 
-def pack_ids(ids: bytes, width: int, end_id: int) -> bytes:
-    whole = np.append(np.frombuffer(ids, "<u4"), np.uint32(end_id))
+def pack_ids(ids: np.ndarray, width: int, end_id: int) -> bytes:
+    whole = np.append(ids, np.uint32(end_id))
     return whole.astype(f"<u{width}").tobytes()
 
 
@@ -55,7 +55,7 @@ def train_dictionary(docs: DataFrame, codec: Shared, width: int, end_id: int = E
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codec.get()
         for ids, texts in rows_of(batches):
-            packed = [pack_ids(c.encode(t.decode()), width, end_id) for t in texts]
+            packed = [pack_ids(x, width, end_id) for x in c.encode_each(texts)]
             yield pa.RecordBatch.from_arrays([pa.array(packed, pa.binary())], ["packed"])
 
     sample = doc_texts(docs.where(F.length("text").between(1, SAMPLE_CHARS)))
@@ -135,8 +135,8 @@ def write(docs: DataFrame, path: str, vocabulary: str = VOCABULARY, end_id: int
             return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(row, kinds)], names)
 
         for own, texts in rows_of(batches):
-            for i, t in zip(own, texts):
-                packed = pack_ids(c.encode(t.decode()), width, end_id)
+            for i, x in zip(own, c.encode_each(texts)):
+                packed = pack_ids(x, width, end_id)
                 frames.append(writer.compress(packed))
                 ids.append(i)
                 counts.append(len(packed) // width)
