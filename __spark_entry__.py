@@ -1340,16 +1340,16 @@ def _sql_swing(latest: bool) -> str:
     rules = {
         "rule_01": "market_cap_rp IS NOT NULL AND market_cap_rp < 5000000000000",
         "rule_02": "free_float_pct IS NOT NULL AND free_float_pct < 40",
-        "rule_03": '"close" * n50 > s50',
-        "rule_04": "s50 * n100 > s100 * n50",
-        "rule_05": "s100 * n200 > s200 * n100",
+        "rule_03": 'n50 = 50 AND "close" * n50 > s50',
+        "rule_04": "n100 = 100 AND s50 * n100 > s100 * n50",
+        "rule_05": "n200 = 200 AND s100 * n200 > s200 * n100",
         "rule_06": "vs20 * vn60 > vs60 * vn20",
         "rule_07": "volume * vn20 > vs20",
         "rule_08": f'"value" > {HISTORY_MIN_VALUE}',
         "rule_09": "lowest_60 > 0 AND highest_60 < 1.8 * lowest_60",
         "rule_10": '"close" >= highest_20',
         "rule_11": "rsi_14 > 55.0 AND rsi_14 < 70.0",
-        "rule_12": '"close" * n200 < 2 * s200',
+        "rule_12": 'n200 = 200 AND "close" * n200 < 2 * s200',
         "rule_13": '"close" > 0 AND (high - low) < 0.12 * "close"',
     }
     flags = ",\n  ".join(f"COALESCE({v}, false) AS {k}" for k, v in rules.items())

@@ -1,4 +1,4 @@
-"""Key and NOT NULL audits (A-22, A-23) and key de-duplication.
+"""Key and NOT NULL audits (A-22, A-23).
 
 Both audits are one grouped pass: key violations are a ``groupBy(keys).count()``
 with map-side partial counts, null counts a single global aggregate of
@@ -12,13 +12,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from bursa.operators.latest import latest_per_key
-
-
-def dedupe_by_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str]) -> DataFrame:
-    """Keep one row per key: the first under ``order`` (A-22)."""
-    return latest_per_key(df, keys, order)
-
 
 def key_violations(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Keys that occur more than once, with their row count (A-22)."""

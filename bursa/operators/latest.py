@@ -103,11 +103,6 @@ def as_of_text(as_of) -> Column:
     return as_of
 
 
-def sort_by(df: DataFrame, *order: Column | str) -> DataFrame:
-    """Multi-key sort (F-04/F-05); use ``desc_nulls_first`` for PostgreSQL ``DESC``."""
-    return df.orderBy(*_cols(order))
-
-
 def top_n(df: DataFrame, order: Sequence[Column | str], n: int) -> DataFrame:
     """``ORDER BY ... LIMIT n`` (F-06) -> ``TakeOrderedAndProject``: each task keeps
     its own top ``n`` and only those rows reach the final merge."""

@@ -11,8 +11,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from bursa.functions.expr import guarded_ratio
-
 
 def _c(x):
     return F.col(x) if isinstance(x, str) else x
@@ -23,10 +21,11 @@ def rows_window(by: str, order: str, n: int, end: int = 0) -> WindowSpec:
     return Window.partitionBy(by).orderBy(order).rowsBetween(-(n - 1) + end, end)
 
 
-def days_window(by: str, day: str, first: int, last: int) -> WindowSpec:
-    """``RANGE BETWEEN INTERVAL first DAYS PRECEDING AND INTERVAL last DAY PRECEDING``
-    over a date (or a timestamp at midnight) column."""
-    return Window.partitionBy(by).orderBy(F.unix_date(F.to_date(day))).rangeBetween(-first, -last)
+def last_rows(df: DataFrame, by: str, order: str, n: int) -> DataFrame:
+    """Each group's last ``n`` rows: a limit inside each task before the shuffle, so the
+    windows of a last-day screen don't run over the whole history."""
+    pos = F.row_number().over(Window.partitionBy(by).orderBy(F.col(order).desc()))
+    return df.withColumn("__pos", pos).where(F.col("__pos") <= n).drop("__pos")
 
 
 def with_moving_sums(df: DataFrame, specs: dict[str, tuple[str, int, str]], by: str, order: str) -> DataFrame:
@@ -56,19 +55,6 @@ def with_moving_sums(df: DataFrame, specs: dict[str, tuple[str, int, str]], by:
     return out.withColumns(res).drop(*drop)
 
 
-def moving_sum(col: str | Column, w: WindowSpec, dtype: str = "decimal(30,2)") -> Column:
-    return F.sum(_c(col).cast(dtype)).over(w)
-
-
-def moving_count(col: str | Column, w: WindowSpec) -> Column:
-    return F.count(_c(col)).over(w)
-
-
-def moving_avg(col: str | Column, w: WindowSpec, dtype: str = "decimal(30,2)") -> Column:
-    """Moving average as a double derived from the exact frame sum (E-01..E-03)."""
-    return guarded_ratio(moving_sum(col, w, dtype), moving_count(col, w))
-
-
 def lag(col: str | Column, by: str | list[str], order, k: int = 1) -> Column:
     """``LAG(col, k) OVER (PARTITION BY by ORDER BY order)`` (E-05, E-06)."""
     by = [by] if isinstance(by, str) else by
@@ -76,15 +62,6 @@ def lag(col: str | Column, by: str | list[str], order, k: int = 1) -> Column:
     return F.lag(_c(col), k).over(Window.partitionBy(*by).orderBy(*order))
 
 
-def highest(col: str | Column, w: WindowSpec) -> Column:
-    """Highest value over the frame (E-12)."""
-    return F.max(_c(col)).over(w)
-
-
-def lowest(col: str | Column, w: WindowSpec) -> Column:
-    return F.min(_c(col)).over(w)
-
-
 def with_rsi(df: DataFrame, close: str, by: str, order: str, n: int = 14,
              name: str = "rsi") -> DataFrame:
     """Simple-average RSI(n) (E-14): ``100 - 100 / (1 + avg_gain / avg_loss)`` over the

@@ -78,6 +78,12 @@ def trade_tape_summary(ticks: DataFrame, *, min_trades: int = K.MIN_TAPE_TRADES,
 
 
 def trades_on(trades: DataFrame, day: Column) -> DataFrame:
-    """Trades whose ``ts`` falls on ``day`` as a ``ts`` range, so the bound reaches the scan."""
+    """Trades whose ``ts`` falls on ``day`` as a ``ts`` range, so the bound reaches the scan.
+
+    ``ts`` runs up to a day away from ``trade_date``, the partition column, whose bounds
+    leave three days' partitions to read.
+    """
     start = day.cast("timestamp_ntz")
+    near = [F.date_format(F.date_add(day, k), "yyyyMMdd") for k in (-1, 1)]
+    trades = trades.where(F.col("trade_date").between(*near))
     return trades.where((F.col("ts") >= start) & (F.col("ts") < F.date_add(day, 1).cast("timestamp_ntz")))

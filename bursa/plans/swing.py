@@ -16,7 +16,7 @@ from bursa import constants as K
 
 from bursa.functions.expr import dec, flag, guarded_ratio
 from bursa.operators.latest import latest_per_key
-from bursa.operators.rolling import rows_window, with_moving_sums, with_rsi, with_wilder_rsi
+from bursa.operators.rolling import last_rows, rows_window, with_moving_sums, with_rsi, with_wilder_rsi
 
 RULES = [f"rule_{i:02d}" for i in range(1, 14)]
 
@@ -49,6 +49,8 @@ def swing_screen(history: DataFrame, market_cap: DataFrame, free_float: DataFram
     ``rsi_method``: ``"simple"`` (rolling averages, windows only) or ``"wilder"``
     (recursive smoothing, per-symbol ``applyInPandas``)."""
     h = history.where(F.col("close").isNotNull())
+    if latest_only and rsi_method == "simple":
+        h = last_rows(h, "code", "trade_date", 201)  # the longest window, and one bar before it
     w = lambda n: rows_window("code", "trade_date", n)
     specs = {f"__m{n}": ("close", n, "decimal(30,2)") for n in (50, 100, 200)}
     specs.update({f"__v{n}": ("volume", n, "decimal(30,0)") for n in (20, 60)})
@@ -76,20 +78,23 @@ def swing_screen(history: DataFrame, market_cap: DataFrame, free_float: DataFram
     def gt_avg(s1, n1, s2, n2) -> Column:  # s1/n1 > s2/n2, exact
         return F.col(s1) * F.col(n2) > F.col(s2) * F.col(n1)
 
+    def full(n: int) -> Column:  # an average over n bars needs n bars
+        return F.col(f"__n{n}") == n
+
     c = F.col("close")
     rules = {
         "rule_01": F.col("market_cap_rp").isNotNull() & (F.col("market_cap_rp") < F.lit(int(max_market_cap))),
         "rule_02": F.col("free_float_pct").isNotNull() & (F.col("free_float_pct") < F.lit(max_free_float)),
-        "rule_03": c * F.col("__n50") > F.col("__s50"),
-        "rule_04": gt_avg("__s50", "__n50", "__s100", "__n100"),
-        "rule_05": gt_avg("__s100", "__n100", "__s200", "__n200"),
+        "rule_03": full(50) & (c * F.col("__n50") > F.col("__s50")),
+        "rule_04": full(100) & gt_avg("__s50", "__n50", "__s100", "__n100"),
+        "rule_05": full(200) & gt_avg("__s100", "__n100", "__s200", "__n200"),
         "rule_06": gt_avg("__vs20", "__vn20", "__vs60", "__vn60"),
         "rule_07": F.col("volume") * F.col("__vn20") > F.col("__vs20"),
         "rule_08": F.col("value") > F.lit(int(min_value)),
         "rule_09": (F.col("lowest_60") > 0) & (F.col("highest_60") < dec(max_range_60) * F.col("lowest_60")),
         "rule_10": F.col(price_col) >= F.col("highest_20"),
         "rule_11": (F.col("rsi_14") > F.lit(float(rsi_low))) & (F.col("rsi_14") < F.lit(float(rsi_high))),
-        "rule_12": c * F.col("__n200") < dec(max_close_ma200) * F.col("__s200"),
+        "rule_12": full(200) & (c * F.col("__n200") < dec(max_close_ma200) * F.col("__s200")),
         "rule_13": (c > 0) & ((F.col("high") - F.col("low")) < dec(max_candle) * c),
     }
     h = h.withColumns({k: flag(v) for k, v in rules.items()})

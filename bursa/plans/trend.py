@@ -17,7 +17,7 @@ from bursa import constants as K
 from bursa.functions.expr import (cross_ge, cross_gt, cross_le, dec, guarded_ratio, mark, pct_change, ratio,
                                   round_half_away)
 from bursa.operators.latest import eod_snapshots, latest_per_key, latest_snapshot, max_data_date
-from bursa.operators.rolling import rows_window, with_moving_sums
+from bursa.operators.rolling import last_rows, rows_window, with_moving_sums
 from bursa.operators.session import afternoon_volume_trend
 
 
@@ -36,7 +36,7 @@ def avg_of(name: str) -> Column:
 def latest_ma5_history(history: DataFrame) -> DataFrame:
     """S-29: MA5 of close and the last volume at each code's latest bar."""
     h = history.where(F.col("close").isNotNull() & F.col("volume").isNotNull())
-    h = with_moving(h, "close", 5, "ma5", "code", "trade_date")
+    h = with_moving(last_rows(h, "code", "trade_date", 5), "close", 5, "ma5", "code", "trade_date")
     last = latest_per_key(h, ["code"], [F.col("trade_date").desc()])
     return last.select(F.col("code").alias("security_code"), "ma5_sum", "ma5_n", "trade_date",
                        F.col("volume").alias("yesterday_volume"))
@@ -46,7 +46,8 @@ def latest_ma5_summary(summary: DataFrame) -> DataFrame:
     """S-30 at day grain (Q3): MA5 over end-of-day closes at each symbol's latest day,
     and the volume of the trading day before it."""
     d = eod_snapshots(summary, require=["close_price", "trade_volume"])
-    d = with_moving(d, "close_price", 5, "ma5", "security_code", "data_date")
+    d = with_moving(last_rows(d, "security_code", "data_date", 6), "close_price", 5, "ma5", "security_code",
+                    "data_date")
     d = d.withColumn("yesterday_volume",
                      F.lag("trade_volume").over(Window.partitionBy("security_code").orderBy("data_date")))
     last = latest_per_key(d, ["security_code"], [F.col("data_date").desc()])
@@ -131,7 +132,8 @@ def ma5_breakout(history: DataFrame, *, latest_only: bool = True, min_value=K.LI
     """S-33: close > MA5, close >= up x previous close, green candle, volume >=
     vol_floor x previous volume, value > min_value — on the last day or every day."""
     w = Window.partitionBy("code").orderBy("trade_date")
-    b = with_moving(history, "close", 5, "ma5", "code", "trade_date").withColumns({
+    h = last_rows(history, "code", "trade_date", 6) if latest_only else history
+    b = with_moving(h, "close", 5, "ma5", "code", "trade_date").withColumns({
         "prev_close": F.lag("close").over(w), "prev_volume": F.lag("volume").over(w)})
     if latest_only:
         b = b.where(F.col("trade_date") == history.select(F.max("trade_date")).scalar())
@@ -151,6 +153,8 @@ def ma20_swing(history: DataFrame, *, latest_only: bool = False, min_value=K.LIQ
     """S-34 / S-35: price within [MA20, 1.03 x MA20], volume surge against yesterday
     and against the 20-day average, full 20-row window, liquid, price > min_price."""
     h = history.where(F.col("close").isNotNull() & F.col("volume").isNotNull() & F.col("value").isNotNull())
+    if latest_only:
+        h = last_rows(h, "code", "trade_date", n + 1)
     h = with_moving(h, "close", n, "pma", "code", "trade_date")
     h = with_moving(h, "volume", n, "vma", "code", "trade_date", "decimal(30,0)")
     h = h.withColumns({

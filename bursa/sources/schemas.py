@@ -129,8 +129,9 @@ PARTITION_COLUMNS: dict[str, list[str]] = {
 
 
 def read_table(spark: SparkSession, name: str, path: str) -> DataFrame:
-    """Scan a stored table with its declared schema (A-01..A-06)."""
-    return spark.read.schema(SCHEMAS[name]).parquet(path)
+    """Scan a stored table with its declared schema (A-01..A-06), without other folder
+    columns (a stream's batches)."""
+    return spark.read.schema(SCHEMAS[name]).parquet(path).select(*SCHEMAS[name].names)
 
 
 def validate(df: DataFrame, name: str) -> DataFrame:

@@ -12,9 +12,10 @@ from __future__ import annotations
 import os
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from bursa.operators.latest import latest_per_key
 from bursa.sources.schemas import PARTITION_COLUMNS, SCHEMAS, validate
 
 
@@ -26,12 +27,18 @@ def _exists(df: DataFrame, path: str) -> bool:
 
 
 def append(df: DataFrame, path: str, table: str | None = None,
-           partition_by: Sequence[str] | None = None) -> None:
-    """``INSERT INTO ... VALUES`` as an append, after a schema check when ``table`` is named."""
+           partition_by: Sequence[str] | None = None, batch_id: int | None = None) -> None:
+    """``INSERT INTO ... VALUES`` as an append, after a schema check when ``table`` is named.
+
+    With a ``batch_id`` (a stream's micro-batch) the rows go to that batch's own folder,
+    which is replaced as a whole, so a batch that is written again adds nothing.
+    """
     if table is not None:
         df = validate(df, table)
         partition_by = partition_by if partition_by is not None else PARTITION_COLUMNS.get(table)
     w = df.write.mode("append")
+    if batch_id is not None:
+        w, path = df.write.mode("overwrite").option("partitionOverwriteMode", "static"), f"{path}/batch_id={batch_id}"
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)
@@ -53,18 +60,22 @@ def load_market_cap(raw: DataFrame, path: str | None = None) -> DataFrame:
     return out
 
 
-def upsert(updates: DataFrame, path: str, keys: Sequence[str], partition_by: Sequence[str]) -> None:
+def upsert(updates: DataFrame, path: str, keys: Sequence[str], partition_by: Sequence[str],
+           order: Sequence[Column | str] | None = None) -> None:
     """``INSERT ... ON CONFLICT (keys) DO UPDATE``: update rows replace stored rows
     with the same key, other stored rows stay. Only touched partitions are rewritten.
 
     ``partition_by`` must be determined by ``keys`` (key columns, or columns derived
-    from them) so that a key lives in exactly one partition.
+    from them) so that a key lives in exactly one partition. Of several update rows with
+    one key the first under ``order`` wins; without it the largest by the other columns,
+    so the outcome never depends on the row order.
     """
     spark = updates.sparkSession
-    # one row per key among the updates (last writer wins on exact duplicates)
-    upd = updates.dropDuplicates(list(keys))
+    order = order or [F.col(c).desc() for c in updates.columns if c not in keys] or list(keys)
+    upd = latest_per_key(updates, list(keys), order).persist()  # read three times below
     if not _exists(updates, path):
         upd.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+        upd.unpersist()
         return
     current = spark.read.schema(upd.schema).parquet(path)
     touched = upd.select(*partition_by).distinct()
@@ -73,6 +84,7 @@ def upsert(updates: DataFrame, path: str, keys: Sequence[str], partition_by: Seq
     merged = keep.unionByName(upd.select(*current.columns))
     (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
            .partitionBy(*partition_by).parquet(path))
+    upd.unpersist()
 
 
 def table_path(base: str, name: str) -> str:

@@ -70,14 +70,15 @@ def stream_feed(spark: SparkSession, in_dir: str, out_base: str, checkpoint: str
                 lines: DataFrame | None = None) -> StreamingQuery:
     """Feed lines -> typed tables (trades, stock_summary, orderbook, rejects...).
 
-    Each micro-batch is split by record type and appended to its table; the arrival
+    Each micro-batch is split by record type and written to its tables under its batch id,
+    so a batch that is retried replaces what it wrote before; the arrival
     time of the batch is the order-book ``ts`` (the wire carries none). ``lines``
     overrides the default text-file source (e.g. ``feed_source(spark, "kafka", ...)``).
     """
     if lines is None:
         lines = feed_source(spark, "text", in_dir, max_files)
 
-    def write_batch(batch: DataFrame, _epoch: int) -> None:
+    def write_batch(batch: DataFrame, epoch: int) -> None:
         batch = batch.persist()
         # record types present in this batch (at most a dozen codes) decide which tables to write
         kinds = batch.select(F.get(F.split("value", r"\|", 3), F.lit(1)).alias("t"))
@@ -90,12 +91,12 @@ def stream_feed(spark: SparkSession, in_dir: str, out_base: str, checkpoint: str
             if df is None or (name in wanted and not wanted[name] & present):
                 continue
             if name in ("trades", "stock_summary"):
-                append(df.drop("received_at"), f"{out_base}/{name}", name)
+                append(df.drop("received_at"), f"{out_base}/{name}", name, batch_id=epoch)
             elif name == "orderbook":
                 append(df.withColumn("book_date", F.to_date("ts")), f"{out_base}/{name}",
-                       partition_by=["book_date"])
+                       partition_by=["book_date"], batch_id=epoch)
             else:
-                append(df, f"{out_base}/{name}")
+                append(df, f"{out_base}/{name}", batch_id=epoch)
         batch.unpersist()
 
     w = lines.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)

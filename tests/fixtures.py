@@ -1,50 +1,36 @@
-"""Micro-fixtures: small hand-checkable market rows (summary, trades, order book)."""
+"""Micro-fixtures: small hand-checkable market rows (summary, trades)."""
 
 from __future__ import annotations
 
 import datetime as dt
 from decimal import Decimal as D
 
-from bursa.sources.schemas import ORDERBOOK, STOCK_SUMMARY, TRADES
+from bursa.sources.schemas import STOCK_SUMMARY, TRADES
 
 
-def ts(s: str) -> dt.datetime:
-    return dt.datetime.strptime(s, "%Y-%m-%d %H:%M:%S")
+# Invented snapshots of one afternoon (ts runs 7 h ahead of data_time); VIZO has two.
+def _snap(time, code, prices, volume, freq, previous):
+    o, h, lo, c = (D(f"{p}.00") for p in prices)
+    at = dt.datetime.strptime(f"20240115{time}", "%Y%m%d%H%M%S") + dt.timedelta(hours=7)
+    return "20240115", time, at, code, "RG", o, h, lo, c, volume, volume * int(c), freq, D(f"{previous}.00")
 
 
-# Stock summary snapshots of one afternoon (ts runs 7 h ahead of data_time).
 SUMMARY_ROWS = [
-    ("20251125", "162640", ts("2025-11-25 23:26:40"), "BRPT", "NG", D("3540.00"), D("3540.00"), D("3300.00"), D("3450.00"), 21063500, 69536225000, 12, D("3500.00")),
-    ("20251125", "162640", ts("2025-11-25 23:26:40"), "BBRI", "NG", D("3960.00"), D("4000.00"), D("3410.00"), D("3884.00"), 388095400, 1503042693000, 14, D("4115.00")),
-    ("20251125", "162640", ts("2025-11-25 23:26:40"), "BBCA", "NG", D("8475.00"), D("8500.00"), D("7300.00"), D("8475.00"), 3673953300, 31041403333700, 22, D("7875.00")),
-    ("20251125", "162606", ts("2025-11-25 23:26:06"), "BMRI", "NG", D("5075.00"), D("6325.00"), D("4650.00"), D("5025.00"), 442880200, 2120387545000, 16, D("5007.00")),
-    ("20251125", "162529", ts("2025-11-25 23:25:29"), "UNTR", "NG", D("27800.00"), D("27800.00"), D("27000.00"), D("27300.00"), 20404500, 557044645000, 7, D("27300.00")),
-    ("20251125", "162452", ts("2025-11-25 23:24:52"), "SMGR", "NG", D("2605.00"), D("2605.00"), D("2550.00"), D("2595.00"), 388622400, 996572160000, 5, D("2620.00")),
-    ("20251125", "162427", ts("2025-11-25 23:24:27"), "KLBF", "NG", D("1170.00"), D("1230.00"), D("1170.00"), D("1194.00"), 290611900, 346989974300, 14, D("1170.00")),
-    ("20251125", "162343", ts("2025-11-25 23:23:43"), "CPIN", "NG", D("4730.00"), D("4730.00"), D("4710.00"), D("4730.00"), 160086800, 757210126000, 7, D("4730.00")),
-    ("20251125", "162316", ts("2025-11-25 23:23:16"), "BMRI", "NG", D("5075.00"), D("6325.00"), D("4650.00"), D("5100.00"), 442874400, 2120358400000, 15, D("5007.00")),
-    ("20251125", "161920", ts("2025-11-25 23:19:20"), "SMMA", "NG", D("9816.00"), D("12900.00"), D("8125.00"), D("8125.00"), 827152300, 7410439775100, 87, D("8047.00")),
+    _snap("150100", "KAVO", (200, 212, 198, 205), 120_000, 40, 201),
+    _snap("150200", "LUMA", (505, 520, 500, 515), 64_000, 31, 510),
+    _snap("150300", "PIRA", (75, 78, 75, 77), 9_000, 12, 76),
+    _snap("150400", "VIZO", (1_000, 1_040, 990, 1_010), 33_000, 18, 995),
+    _snap("150600", "VIZO", (1_000, 1_040, 990, 1_025), 35_500, 21, 995),
+    _snap("150500", "ZELT", (60, 60, 58, 59), 700, 3, 60),
 ]
 
 TRADE_ROWS = [
-    (3129600, "20251111", "162854", ts("2025-11-11 23:28:54"), "BBRI", "NG", D("3890.00"), 9300),
-    (3129599, "20251111", "162833", ts("2025-11-11 23:28:33"), "BBCA", "NG", D("8400.00"), 1000),
-    (3129598, "20251111", "162109", ts("2025-11-11 23:21:09"), "BBCA", "NG", D("8410.00"), 16590000),
-    (3129597, "20251111", "162109", ts("2025-11-11 23:21:09"), "BBCA", "NG", D("8410.00"), 14330000),
-    (3129596, "20251111", "162109", ts("2025-11-11 23:21:09"), "BBCA", "NG", D("8410.00"), 3320000),
-    (3129595, "20251111", "162109", ts("2025-11-11 23:21:09"), "BBCA", "NG", D("8410.00"), 21590000),
-    (3129594, "20251111", "162109", ts("2025-11-11 23:21:09"), "BBCA", "NG", D("8410.00"), 2170000),
-    (3129593, "20251111", "162032", ts("2025-11-11 23:20:32"), "ISAT", "NG", D("2164.00"), 12180000),
-    (3129592, "20251111", "162032", ts("2025-11-11 23:20:32"), "ISAT", "NG", D("2164.00"), 16340000),
-    (3129591, "20251111", "162032", ts("2025-11-11 23:20:32"), "ISAT", "NG", D("2164.00"), 1330000),
-]
-
-BOOK_ROWS = [
-    (ts("2025-11-25 23:00:25"), "DADA", "O", 1, 1, D("49.00"), 50000),
-    (ts("2025-11-25 22:49:59"), "BKSL", "B", 1, 20, D("126.00"), 29321),
-    (ts("2025-11-25 22:49:59"), "BKSL", "B", 2, 487, D("125.00"), 226668),
-    (ts("2025-11-25 22:49:59"), "BKSL", "B", 3, 258, D("124.00"), 170263),
-    (ts("2025-11-25 22:49:59"), "BKSL", "B", 4, 165, D("123.00"), 127156),
+    (500 + k, "20240115", time, dt.datetime.strptime(f"20240115{time}", "%Y%m%d%H%M%S") + dt.timedelta(hours=7),
+     code, "RG", D(f"{price}.00"), volume)
+    for k, (time, code, price, volume) in enumerate([
+        ("100000", "KAVO", 210, 500), ("100000", "KAVO", 210, 800), ("100500", "KAVO", 210, 300),
+        ("101500", "KAVO", 205, 900), ("110000", "LUMA", 515, 100), ("110000", "LUMA", 515, 250),
+        ("140000", "PIRA", 77, 1_000)])
 ]
 
 
@@ -54,7 +40,3 @@ def summary_df(spark, rows=None):
 
 def trades_df(spark, rows=None):
     return spark.createDataFrame(rows or TRADE_ROWS, TRADES)
-
-
-def book_df(spark, rows=None):
-    return spark.createDataFrame(rows or BOOK_ROWS, ORDERBOOK)

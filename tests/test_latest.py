@@ -8,14 +8,14 @@ def test_latest_per_key_picks_latest_ts(spark):
     s = summary_df(spark)
     out = latest_per_key(s, ["security_code"], [F.col("ts").desc()])
     rows = {r.security_code: r for r in out.collect()}
-    assert len(rows) == 9
-    assert str(rows["BMRI"].close_price) == "5025.00"
+    assert len(rows) == 5
+    assert str(rows["VIZO"].close_price) == "1025.00"
 
 
 def test_eod_snapshots_bounds_are_text(spark):
     s = summary_df(spark)
-    assert eod_snapshots(s, lo="20251125", hi="20251125").count() == 9
-    assert eod_snapshots(s, lo="20251126").count() == 0
+    assert eod_snapshots(s, lo="20240115", hi="20240115").count() == 5
+    assert eod_snapshots(s, lo="20240116").count() == 0
 
 
 def test_latest_plan_limits_before_shuffle(spark):

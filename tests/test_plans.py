@@ -11,7 +11,7 @@ from bursa.sources import adapters as A
 from tests.conftest import SF_SMALL
 
 # queries that run a stream or write a table when called
-EAGER = {"sideways_upsert"} | {k for k in E.queries() if k.startswith("stream_")}
+EAGER = {"sideways_upsert"} | {k for k in E._QUERIES if k.startswith("stream_")}
 FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython",
              "FlatMapGroupsInPandas", "MapInPandas")
 
@@ -24,7 +24,7 @@ def _plan(df) -> str:
 ALLOWED_PYTHON = {"rsi14_wilder": {"FlatMapGroupsInPandas"}}
 
 
-@pytest.mark.parametrize("name", sorted(set(E.queries()) - EAGER))
+@pytest.mark.parametrize("name", sorted(set(E._QUERIES) - EAGER))
 def test_no_cross_join_no_python(spark, name):
     plan = _plan(E._QUERIES[name](spark, SF_SMALL))
     for bad in FORBIDDEN:

@@ -41,6 +41,16 @@ def test_upsert_twice_equals_once(spark):
     assert twice.exceptAll(state).count() == 0
 
 
+def test_upsert_of_repeated_keys_takes_the_first_under_the_order(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from bursa.sources.sinks import upsert
+    rows = spark.createDataFrame([("a", 1, 1), ("a", 3, 1), ("a", 2, 1)], "k string, v int, p int")
+    for order, want in (([F.col("v")], 1), (None, 3)):
+        upsert(rows, f"{tmp_path}/{want}", ["k"], ["p"], order)
+        assert [r.v for r in spark.read.parquet(f"{tmp_path}/{want}").collect()] == [want]
+
+
 def test_upsert_replaces_changed_rows(spark):
     base = spark.createDataFrame([("A", dt.date(2025, 1, 1), 1.0, 1.0, False),
                                   ("B", dt.date(2025, 1, 1), 2.0, 2.0, False)],

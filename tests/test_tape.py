@@ -10,14 +10,14 @@ from tests.conftest import SF_SMALL
 from tests.fixtures import TRADE_ROWS, trades_df
 
 
-def test_sample_tape_bbca_is_downtick_only(spark):
+def test_tape_with_one_downtick(spark):
     t = trade_tape_summary(tick_direction(trades_df(spark)), min_trades=1)
     r = {x.security_code: x for x in t.collect()}
-    assert r["BBCA"].aggressive_buy_volume == 0
-    assert r["BBCA"].price_direction_score == -1
-    assert r["BBCA"].total_trade_count == 6
-    assert r["ISAT"].price_direction_score == 0
-    assert r["BBRI"].trades_per_hour is None  # one trade: zero elapsed time is guarded
+    assert r["KAVO"].aggressive_buy_volume == 0
+    assert r["KAVO"].price_direction_score == -1
+    assert r["KAVO"].total_trade_count == 4
+    assert r["LUMA"].price_direction_score == 0
+    assert r["PIRA"].trades_per_hour is None  # one trade: zero elapsed time is guarded
 
 
 def test_same_instant_ties_follow_trade_no(spark):
