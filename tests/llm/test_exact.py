@@ -277,3 +277,17 @@ def test_pipeline_against_its_stages(spark, texts):
                 out += [texts[i][at:a], f"<{pii.KINDS[k].upper()}>"]
             at = max(at, b)
         assert got[i].decoded_sha256 == hashlib.sha256("".join([*out, texts[i][at:]]).encode()).hexdigest()
+
+
+def test_codec_against_the_library():
+    """Random texts of white space, borders and added tokens, many at a time and in blocks."""
+    from bursa.llm import bpe, token_store
+    path, rng = token_store.VOCABULARY, random.Random(3)
+    tok = Tokenizer.from_file(path)
+    with open(path, encoding="utf-8") as f:
+        codec = bpe.Codec(f.read(), public_tokenizers.PATTERN)
+    signs = [*" \n\tab'1.é日　 🙂\x1c\x85б。”", "<|endoftext|>", " word", "  "]
+    odd = ["", " ", "a ", "foo<|endoftext|>bar <|endoftext", "x" * 3000,
+           *("".join(rng.choices(signs, k=rng.randint(0, 40))) for _ in range(3000)), "word à b " * 300_000]
+    got = codec.encode_each([t.encode() for t in odd])
+    assert all(tok.encode(t, add_special_tokens=False).ids == g.tolist() for t, g in zip(odd, got))
