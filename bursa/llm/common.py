@@ -24,10 +24,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def doc_texts(docs: DataFrame) -> DataFrame:
-    """``doc_id`` as long and ``text`` as UTF-8 bytes; no other column is read."""
+def doc_texts(docs: DataFrame, *more: Column) -> DataFrame:
+    """``doc_id`` as long, ``text`` as UTF-8 bytes and ``more``; no other column is read."""
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"),
-                       F.col("text").cast("string").cast("binary").alias("text"))
+                       F.col("text").cast("string").cast("binary").alias("text"), *more)
 
 
 def id_fold(modulus: int, doc_id: str = "doc_id") -> Column:

@@ -19,10 +19,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from bursa.llm.common import components, doc_texts, rows_of, spare_name, stored, word_blocks
+from bursa.llm.common import components, doc_texts, sliced, spare_name, stored, word_blocks
 
 SHINGLE_WORDS = 3
 MAX_BITS = 2
@@ -56,14 +56,19 @@ def fingerprint(text: bytes, words: int = SHINGLE_WORDS) -> int:
     return int.from_bytes(np.packbits(ones * 2 > n, bitorder="little").tobytes(), "little")
 
 
-def fingerprints(docs: DataFrame, words: int = SHINGLE_WORDS) -> DataFrame:
-    """(doc_id, fp) with the fingerprint as a signed long; one row per input row."""
+def fingerprints(docs: DataFrame, words: int = SHINGLE_WORDS, row: str | None = None) -> DataFrame:
+    """(doc_id, fp) with the fingerprint as a signed long; one row per input row.
+
+    With ``row``, the name of a column of row numbers, also ``row`` and the text's hash."""
+    more = [F.col(row).alias("row"), F.xxhash64(F.col("text").cast("string")).alias("hash")] if row else []
+    names = ["doc_id", *(["row", "hash"] if row else [])]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for ids, texts in rows_of(batches):
-            fps = np.array([fingerprint(t, words) for t in texts], dtype="<u8").view("<i8")
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(fps)], ["doc_id", "fp"])
+        for batch in sliced(batches):
+            fps = np.array([fingerprint(t or b"", words) for t in batch.column("text").to_pylist()], dtype="<u8")
+            yield pa.RecordBatch.from_arrays([*map(batch.column, names), pa.array(fps.view("<i8"))], [*names, "fp"])
 
-    return doc_texts(docs).mapInArrow(run, "doc_id long, fp long")
+    return doc_texts(docs, *more).mapInArrow(run, ", ".join(f"{c} long" for c in [*names, "fp"]))
 
 
 def links(classes: DataFrame) -> DataFrame:
@@ -98,27 +103,31 @@ def near_duplicates(docs: DataFrame, words: int = SHINGLE_WORDS) -> DataFrame:
     Repeated rows give repeated result rows. An empty table gives no row.
     """
     fps = stored(fingerprints(docs, words))
-    classes = stored(fps.groupBy("fp").agg(F.min("doc_id").alias("first")))
+    named, low = _named(fps, F.col("doc_id"))
+    named = stored(named.join(low, "c").select("fp", F.col("first").alias("component_id")))
+    return fps.join(named, "fp").select(
+        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def _named(fps: DataFrame, place: Column) -> tuple[DataFrame, DataFrame]:
+    """(fp, c): the component of each fingerprint; (c, first): a component's smallest ``place``."""
+    classes = stored(fps.groupBy("fp").agg(F.min(place).alias("first")))
     comp = components(links(classes))
     named = stored(classes.join(comp, classes.fp == comp.node, "left")
                    .select("fp", "first", F.coalesce("component", "fp").alias("c")))
-    low = stored(named.groupBy("c").agg(F.min("first").alias("component_id")))
-    named = stored(named.join(low, "c").select("fp", "component_id"))
-    return fps.join(named, "fp").select(
-        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    return named.select("fp", "c"), stored(named.groupBy("c").agg(F.min("first").alias("first")))
 
 
 def keep_one(docs: DataFrame, words: int = SHINGLE_WORDS) -> DataFrame:
-    """The rows of ``docs`` with each component's smallest doc_id, all columns kept.
+    """Exactly one row of ``docs`` per component, all columns kept.
 
-    A doc_id that several rows carry stays once, with its smallest text.
+    It is the row with the smallest doc_id (null ids last, then by the text's hash). Rows
+    are told apart by a stored row number, so different texts under one id or without an
+    id stay if they are in different components.
     """
-    rows = near_duplicates(docs, words)
-    keep = spare_name(docs, "keep_id")
-    stays = stored(rows.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-                   .groupBy(F.col("doc_id").alias(keep)).agg(F.count("*").alias("n")))
-    out = docs.join(stays, F.col("doc_id").cast("long").eqNullSafe(F.col(keep)), "left_semi")
-    if stays.where("n > 1").isEmpty():
-        return out
-    row = F.min_by(F.struct(*[F.col(f"`{c}`") for c in docs.columns]), F.struct(F.coalesce("text", F.lit(""))))
-    return out.groupBy(F.col("doc_id").alias(keep)).agg(row.alias("row")).select("row.*")
+    row = spare_name(docs, "row")
+    docs = stored(docs.withColumn(row, F.monotonically_increasing_id()))
+    fps = stored(fingerprints(docs, words, row))
+    _, low = _named(fps, F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "hash", "row"))
+    keep = spare_name(docs, "keep_row")
+    return docs.join(low.select(F.col("first.row").alias(keep)), F.col(row) == F.col(keep), "left_semi").drop(row)

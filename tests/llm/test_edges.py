@@ -81,3 +81,14 @@ def test_filters_keep_columns(spark, make_docs):
         kept[name] = [r.doc_id for r in rows]
     assert kept["dedup"].count(4) == 1 and 5 not in kept["dedup"]
     assert {4, 5}.isdisjoint(kept["clean"]) and len(kept["pii"]) == len(ODD)
+
+
+def test_one_row_per_component(make_docs):
+    def text(k, n=80):
+        return " ".join(f"t{k}w{j}" for j in range(n))
+
+    rows = [(None, text(1)), (None, text(2)), (None, text(2)), (7, text(3)), (7, text(4)), (7, text(4)),
+            (3, text(5)), (None, text(5)), (7, text(5)), (8, text(4))]
+    kept = [(r.doc_id, r.text) for r in simhash.keep_one(make_docs(rows, CLASH)).collect()]
+    assert sorted(kept, key=str) == sorted([(None, text(1)), (None, text(2)), (7, text(3)), (7, text(4)), (3, text(5))],
+                                           key=str)
