@@ -205,6 +205,27 @@ def test_attention_windows_and_gradients():
         assert (hi - lo) / 2e-4 == pytest.approx(g, rel=2e-2, abs=2e-3)
 
 
+def test_lm_trains_on_every_id(spark, make_docs):
+    """Targets of all windows together are the texts' ids and ends, whatever the lengths."""
+    from bursa.llm.token_store import shared_codec
+    rng = random.Random(6)
+    rows = [(k, " ".join(f"w{rng.randrange(99)}" for _ in range(n))) for k, n in enumerate((0, 1, 15, 40, 700, 5000))]
+    rows += [(10, "日本語 " * 200), (11, None), (None, "no id " * 30), (12, "x" * 5000)]
+    docs, codec = make_docs(rows), shared_codec(make_docs([]))
+    got = lm_score._gather(docs, codec, 7, 2).where("window IS NOT NULL").collect()
+    x = lm_score._unpacked([bytes(r.window) for r in got])
+    w, want = lm_score.words_of(codec), []
+    for i, t in rows:
+        if zlib.crc32(b"" if i is None else str(i).encode()) % 7 != 2:
+            want += [*np.frombuffer(w.ids((t or "").encode().lower().split()), "<u4").tolist(), w.end]
+    assert sorted(x[:, 1:][x[:, 1:] >= 0].tolist()) == sorted(want)
+    m = attention.Model(np.arange(40), dims=4)
+    whole = np.array([[39, 1, 2, 3] + [-1] * (attention.WINDOW - 3)])
+    filled = np.where(whole < 0, 7, whole)
+    cut = m.gradients(whole)[1]
+    assert cut < m.gradients(filled)[1] and cut == pytest.approx(-m.score([np.array([1, 2, 3])], 39)[0] * np.log(10))
+
+
 def m_loss(m, name, at, e, window):
     m.p[name][at] += e
     loss = m.gradients(window)[1]
