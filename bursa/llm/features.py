@@ -55,6 +55,22 @@ def hashed_ngrams(text: bytes, dims: int) -> np.ndarray:
     return out
 
 
+def hashed_terms(text: bytes, dims: int) -> np.ndarray:
+    """Counts of hashed character trigrams (first quarter) and of words (the rest), A-Z lower-cased."""
+    grams = dims // 4
+    out = np.zeros(dims, np.float32)
+    text = text.lower()
+    for block in byte_blocks(text, 2):
+        c = block.astype(np.uint32)
+        if len(c) > 2:
+            h = ((c[:-2] * np.uint32(65536) + c[1:-1] * np.uint32(256) + c[2:]) * np.uint32(2654435761)) >> np.uint32(8)
+            out[:grams] += np.bincount(h % grams, minlength=grams)
+    for words in word_blocks(text):
+        h = np.array(list(map(zlib.crc32, words)), np.uint32)
+        out[grams:] += np.bincount(h % (dims - grams), minlength=dims - grams)
+    return out
+
+
 def word_numbers(text: bytes) -> tuple[np.ndarray, int]:
     """Each word as its number by first use within the text; total bytes of the words."""
     numbers: defaultdict[bytes, int] = defaultdict()

@@ -1,8 +1,10 @@
 """Quality by nearest-neighbour voting in a latent-semantic space.
 
-A document's features are byte-class trigram counts and repetition shares. A bounded
-sample of labelled documents is decomposed by an SVD; the labelled vectors, bounded by
-the sample, are broadcast. Every document is projected, compared with all labelled
+A document's features are the tf-idf weights of its hashed words and character trigrams,
+with document frequencies counted over all documents, and as extra columns byte-class
+trigram and repetition shares. The matrix of a bounded sample of labelled documents is
+decomposed by a truncated SVD; the labelled vectors, bounded by the sample, are broadcast.
+Every document is projected, compared with all labelled
 vectors in one blocked matrix product, and scored by its nearest neighbours' labels
 weighted by similarity.
 """
@@ -25,17 +27,40 @@ NEIGHBOURS = 15
 THRESHOLD = 0.3
 FOLDS = 5  # rows of fold 0 are held out
 BLOCK_DOCS = 256
+TERMS = 8192  # a quarter for character trigrams, the rest for words
+TERM_WEIGHT = 1.0  # length of the words' vector, and of the trigrams'; that of the shape shares is 1
 # Repetition shares weigh as much as a trigram class that makes up so much of the text.
 REPEAT_WEIGHT = 4.0
 
 
-def features(text: bytes) -> np.ndarray:
-    """Square roots of trigram shares, then repeated-window, repeated-line and same-word shares."""
+def features(text: bytes, idf: np.ndarray) -> np.ndarray:
+    """tf-idf of trigrams and words, square roots of byte-class trigram shares, then
+    repeated-window, repeated-line and same-word shares."""
+    terms = np.log1p(X.hashed_terms(text, len(idf))) * idf
+    for part in (terms[:len(idf) // 4], terms[len(idf) // 4:]):
+        part *= TERM_WEIGHT / max(1e-9, float(np.linalg.norm(part)))
     grams = X.shape_trigrams(text).astype(np.float32)
     ids, _ = X.word_numbers(text)
     n, lines = max(1, len(ids)), max(1, text.count(b"\n") + 1)
     shares = [X.repeated_words(ids) / n, X.duplicate_lines(text) / lines, (np.diff(ids) == 0).sum() / n]
-    return np.concatenate((np.sqrt(grams / max(1.0, grams.sum())), np.array(shares, np.float32) * REPEAT_WEIGHT))
+    return np.concatenate((terms, np.sqrt(grams / max(1.0, grams.sum())), np.array(shares, np.float32) * REPEAT_WEIGHT))
+
+
+def inverse_frequencies(docs: DataFrame, terms: int = TERMS) -> np.ndarray:
+    """log((documents + 1) / (documents with the term + 1)) + 1 per hashed term, over all rows."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n = np.zeros(terms + 1, np.int64)  # the last one: rows
+        for _, texts in rows_of(batches):
+            n[-1] += len(texts)
+            for text in texts:
+                n[:-1] += X.hashed_terms(text, terms) > 0
+        at = np.flatnonzero(n)
+        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(n[at])], ["term", "n"])
+
+    n = np.zeros(terms + 1)
+    for r in doc_texts(docs).mapInArrow(run, "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).collect():
+        n[r["term"]] = r["n"]
+    return (np.log((n[-1] + 1) / (n[:-1] + 1)) + 1).astype(np.float32)
 
 
 def labelled(docs: DataFrame, labels: DataFrame, folds: int = FOLDS, limit: int = MAX_LABELLED) -> DataFrame:
@@ -56,14 +81,23 @@ def labelled_texts(docs: DataFrame, labels: DataFrame, folds: int, limit: int) -
     return texts.join(F.broadcast(one), texts.doc_id == one.sample_id, "left_semi"), label
 
 
+def right_vectors(x: np.ndarray, dims: int, rounds: int = 6, seed: int = 7) -> np.ndarray:
+    """The first right singular vectors by subspace iteration; no square matrix is made."""
+    dims = min(dims, *x.shape)
+    q = np.random.default_rng(seed).standard_normal((x.shape[1], min(dims + 16, *x.shape))).astype(np.float32)
+    for _ in range(rounds):
+        q, _ = np.linalg.qr(x.T @ (x @ q))
+    _, _, v = np.linalg.svd(x @ q, full_matrices=False)
+    return np.ascontiguousarray((q @ v.T)[:, :dims], np.float32)
+
+
 class Model:
-    def __init__(self, x: np.ndarray, y: np.ndarray, dims: int = DIMS):
-        """x: features of the labelled rows; y: labels."""
+    def __init__(self, x: np.ndarray, y: np.ndarray, idf: np.ndarray, dims: int = DIMS):
+        """x: features of the labelled rows; y: labels; idf: weights of the terms."""
+        self.idf = idf
         self.y, self.prior = y.astype(np.float32), float(y.mean()) if len(y) else 0.5
         if len(y):
-            # Right singular vectors from the small square matrix; signs don't matter to cosines.
-            _, vectors = np.linalg.eigh((x.T @ x).astype(np.float64))
-            self.basis = vectors[:, ::-1][:, :dims].astype(np.float32)
+            self.basis = right_vectors(x, dims)
             self.points = unit(x @ self.basis)
 
     def scores(self, x: np.ndarray) -> np.ndarray:
@@ -85,21 +119,42 @@ def unit(x: np.ndarray) -> np.ndarray:
 
 def train(docs: DataFrame, labels: DataFrame, folds: int = FOLDS, limit: int = MAX_LABELLED,
           dims: int = DIMS) -> Model:
+    shared = docs.sparkSession.sparkContext.broadcast(inverse_frequencies(docs))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for ids, texts in rows_of(batches):
             for at in range(0, len(ids), BLOCK_DOCS):
-                x = [features(t).astype(np.float16).tobytes() for t in texts[at:at + BLOCK_DOCS]]
+                x = [_packed(features(t, shared.value)) for t in texts[at:at + BLOCK_DOCS]]
                 yield pa.RecordBatch.from_arrays([pa.array(ids[at:at + BLOCK_DOCS], pa.int64()),
                                                   pa.array(x, pa.binary())], ["doc_id", "x"])
 
     sample, label = labelled_texts(docs, labels, folds, limit)
-    rows = sample.mapInArrow(run, "doc_id long, x binary").orderBy("doc_id", "x").limit(2 * limit).collect()
-    x = np.array([np.frombuffer(r["x"], np.float16) for r in rows], np.float32)
-    return Model(x, np.array([label[r["doc_id"]] for r in rows]), dims)
+    rows = sample.mapInArrow(run, "doc_id long, x binary").orderBy("doc_id", "x").limit(2 * limit).toLocalIterator()
+    x, y = [], []
+    for r in rows:
+        x.append(bytes(r["x"]))
+        y.append(label[r["doc_id"]])
+    size = len(features(b"", shared.value))
+    full = np.zeros((len(x), size), np.float32)
+    for k, data in enumerate(x):
+        entries = np.frombuffer(data, _ENTRY)
+        full[k, entries["at"]] = entries["x"]
+    return Model(full, np.array(y), shared.value, dims)
+
+
+_ENTRY = np.dtype([("at", "<u2"), ("x", "<f2")])
+
+
+def _packed(x: np.ndarray) -> bytes:
+    """The non-zero features and their places."""
+    at = np.flatnonzero(x)
+    out = np.empty(len(at), _ENTRY)
+    out["at"], out["x"] = at, x[at]
+    return out.tobytes()
 
 
 def _scores(model: Model, texts: list[bytes]) -> np.ndarray:
-    out = [model.scores(np.array([features(t) for t in texts[at:at + BLOCK_DOCS]]))
+    out = [model.scores(np.array([features(t, model.idf) for t in texts[at:at + BLOCK_DOCS]]))
            for at in range(0, len(texts), BLOCK_DOCS)]
     return np.concatenate(out) if out else np.empty(0)
 

@@ -258,6 +258,23 @@ def test_quality_counts():
     assert features.repeated_words(np.array([1, 2, 3, 4, 5])) == 0
 
 
+def test_quality_depends_on_words(spark, make_docs):
+    """Letter salad with the layout of good prose is told from it by its words and trigrams."""
+    rng = random.Random(8)
+    known = ["river", "garden", "letter", "window", "morning", "teacher", "market", "story", "winter", "number"]
+
+    def pair(n=150):
+        good = [rng.choice(known) for _ in range(n)]
+        same = {w: "".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=len(w))) for w in known}
+        return " ".join(good), " ".join(same[w] for w in good)
+
+    pairs = [pair() for _ in range(60)]
+    rows = [(2 * k + j, t) for k, p in enumerate(pairs) for j, t in enumerate(p)]
+    labels = spark.createDataFrame([(i, 1 - i % 2) for i, _ in rows], "doc_id long, quality int")
+    got = [r for r in quality_knn.score(make_docs(rows), labels).collect() if r.held_out]
+    assert len(got) > 10 and all(r.predicted == 1 - r.doc_id % 2 for r in got)
+
+
 def test_held_out_accuracy(spark):
     docs, labels = table(spark, SF, "documents"), table(spark, SF, "labels")
     label = {r.doc_id: r.quality for r in labels.collect()}
