@@ -1,4 +1,10 @@
-"""Repeated passages: paragraph MinHash banding, exact check, components.
+"""Repeated passages: paragraph MinHash banding, exact check, components; repeated word windows.
+
+Passages that repeat word for word are found whatever their line layout: every window of
+PASSAGE_WORDS words that occurs twice or more. Windows are first narrowed down by the
+smallest hash of their GRAM_WORDS-word grams, which equal windows share: only windows whose
+smallest gram occurs twice are compared, by a 128-bit hash. Consecutive repeated windows of
+a text make one passage. Near copies are found line by line:
 
 A paragraph is a line of at least MIN_WORDS words (a longer line counts whole); words
 are lower-cased for A-Z. Equal paragraphs form a class by a 128-bit digest. Classes are
@@ -24,12 +30,13 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from bursa.llm.common import components, doc_texts, sliced, stored
 
 MIN_WORDS = 40
+PASSAGE_WORDS, GRAM_WORDS = 50, 25
 SHINGLE_WORDS = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 16, 4
@@ -69,30 +76,177 @@ def bands(words: bytes, size: int = SHINGLE_WORDS) -> list[int]:
 
 
 def paragraph_rows(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """doc_id, paragraph, start, end (bytes), n_words, h1, h2 (digest), bands, words."""
+    """rid, doc_id, paragraph, start, end (bytes), n_words, h1, h2 (digest), bands, words."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sliced(batches):
             out = []
-            for i, t in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
+            for r, i, t in zip(*(batch.column(c).to_pylist() for c in ("rid", "doc_id", "text"))):
                 for k, a, b, w in paragraphs(t or b"", min_words):
                     h1, h2 = np.frombuffer(hashlib.md5(w).digest(), "<i8").tolist()
-                    out.append((i, k, a, b, w.count(b" ") + 1, h1, h2, bands(w), w))
+                    out.append((r, i, k, a, b, w.count(b" ") + 1, h1, h2, bands(w), w))
                     if len(out) == 4096:
                         yield _batch(out)
                         out = []
             if out:
                 yield _batch(out)
 
-    return doc_texts(docs).mapInArrow(run, "doc_id long, paragraph int, start long, end long, n_words long, "
-                                           "h1 long, h2 long, bands array<long>, words binary")
+    return docs.select("rid", "doc_id", "text").mapInArrow(
+        run, "rid long, doc_id long, paragraph int, start long, end long, n_words long, "
+             "h1 long, h2 long, bands array<long>, words binary")
 
 
 def _batch(rows: list[tuple]) -> pa.RecordBatch:
-    kinds = (pa.int64(), pa.int32(), *[pa.int64()] * 5, pa.list_(pa.int64()), pa.binary())
-    names = ["doc_id", "paragraph", "start", "end", "n_words", "h1", "h2", "bands", "words"]
+    kinds = (pa.int64(), pa.int64(), pa.int32(), *[pa.int64()] * 5, pa.list_(pa.int64()), pa.binary())
+    names = ["rid", "doc_id", "paragraph", "start", "end", "n_words", "h1", "h2", "bands", "words"]
     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names)
 
 
+def word_hashes(text: bytes) -> np.ndarray:
+    return np.fromiter(map(xxhash.xxh64_intdigest, text.lower().split()), np.uint64)
+
+
+def window_hashes(h: np.ndarray, size: int, seed: int) -> np.ndarray:
+    """A hash of each ``size`` successive entries, put together from windows of powers of two."""
+    def joined(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        x = (x ^ (x >> np.uint64(29))) * _A[seed] + _B[seed]
+        return (x ^ (x >> np.uint64(32))) * _A[seed + 1] + y
+
+    n = len(h) - size + 1
+    if n < 1:
+        return np.empty(0, np.uint64)
+    out, at, step = None, 0, 1
+    while True:
+        if size & step:
+            out = h[:n] if out is None else joined(out, h[at:at + n])
+            at += step
+        if 2 * step > size:
+            return out ^ (out >> np.uint64(31))
+        h = joined(h[:-step], h[step:])
+        step *= 2
+
+
+def smallest_grams(h: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """All gram hashes, and for each window of ``size`` words the smallest one inside it."""
+    g = window_hashes(h, GRAM_WORDS, 0)
+    width, low, step = size - GRAM_WORDS + 1, g, 1
+    while 2 * step <= width:
+        low = np.minimum(low[:-step], low[step:])
+        step *= 2
+    n = len(g) - width + 1
+    return g, np.minimum(low[:n], low[width - step:width - step + n])
+
+
+def word_places(text: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """First and end byte of each word (as bytes.split() cuts them)."""
+    c = np.frombuffer(text, np.uint8)
+    inside = np.concatenate(([0], ((c != 32) & ((c < 9) | (c > 13))).astype(np.int8), [0]))
+    step = np.diff(inside)
+    return np.flatnonzero(step == 1), np.flatnonzero(step == -1)
+
+
+def passages(docs: DataFrame, size: int = PASSAGE_WORDS) -> DataFrame:
+    """Runs of words whose windows of ``size`` words all occur elsewhere, too, in the stored
+    rows (rid, doc_id, text): rid, doc_id, paragraph, start, end, n_words, group_doc_id,
+    group_paragraph, n_group, removed.
+
+    A window's first place (smallest doc_id, null ids last, then word) stays. A run holds only
+    first places or only others; its group is where its first window first occurs, n_group is
+    how often its most frequent window occurs."""
+    def grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in sliced(batches):
+            values, times, rids = [], [], []
+            for r, t in zip(batch.column("rid").to_pylist(), batch.column("text").to_pylist()):
+                h = word_hashes(t or b"")
+                if len(h) >= size:
+                    g, low = smallest_grams(h, size)
+                    all_, n = np.unique(g, return_counts=True)
+                    own = np.unique(low)
+                    values.append(own)
+                    times.append(n[np.searchsorted(all_, own)])
+                    rids.append(np.full(len(own), r))
+            if values:
+                yield grouped(["value"], [np.concatenate(values).view("<i8")], np.concatenate(times),
+                              {"rids": np.concatenate(rids)})
+
+    def grouped(names: list[str], keys: list[np.ndarray], times: np.ndarray, lists: dict) -> pa.RecordBatch:
+        """One row per key of the batch: how often it occurs, and lists of where."""
+        order = np.lexsort(keys)
+        keys = [k[order] for k in keys]
+        new = np.flatnonzero(np.any([np.diff(k, prepend=k[0] + 1) != 0 for k in keys], axis=0))
+        ends = pa.array(np.append(new, len(order)), pa.int32())
+        return pa.RecordBatch.from_arrays(
+            [*(pa.array(k[new]) for k in keys), pa.array(np.add.reduceat(times[order], new)),
+             *(pa.ListArray.from_arrays(ends, pa.array(x[order])) for x in lists.values())], [*names, "n", *lists])
+
+    def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in sliced(batches):
+            keys, rids, pos = [], [], []
+            for r, t, hot in zip(*(batch.column(c).to_pylist() for c in ("rid", "text", "hot"))):
+                h = word_hashes(t)
+                at = np.flatnonzero(np.isin(smallest_grams(h, size)[1], np.array(hot, "<i8").view("<u8")))
+                keys.append([window_hashes(h, size, k)[at].view("<i8") for k in (2, 4)])
+                rids.append(np.full(len(at), r))
+                pos.append(at)
+            if sum(map(len, pos)):
+                yield grouped(["w1", "w2"], [np.concatenate(k) for k in zip(*keys)], np.ones(sum(map(len, pos)), np.int64),
+                              {"rids": np.concatenate(rids), "pos": np.concatenate(pos)})
+
+    def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in sliced(batches):
+            out = []
+            for t, r, i, runs in zip(*(batch.column(c).to_pylist() for c in ("text", "rid", "doc_id", "runs"))):
+                a, b = word_places(t)
+                lines = np.flatnonzero(np.frombuffer(t, np.uint8) == 10)
+                for x in runs:
+                    first, last = int(a[x["pos"]]), int(b[x["last"] + size - 1])
+                    out.append((r, i, x["pos"], int(np.searchsorted(lines, first)), first, last,
+                                x["last"] - x["pos"] + size, x["f_rid"], x["f_pos"], x["n"], x["removed"]))
+            if out:
+                kinds = (*[pa.int64()] * 3, pa.int32(), *[pa.int64()] * 6, pa.bool_())
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), kinds)], _PLACED)
+
+    def lines_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in sliced(batches):
+            out = []
+            for t, r, i, at in zip(*(batch.column(c).to_pylist() for c in ("text", "rid", "doc_id", "at"))):
+                line = np.searchsorted(np.flatnonzero(np.frombuffer(t, np.uint8) == 10), word_places(t)[0][at])
+                out += [(r, p, i, k) for p, k in zip(at, line.tolist())]
+            if out:
+                kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int32())
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), kinds)],
+                                                 ["f_rid", "f_pos", "group_doc_id", "group_paragraph"])
+
+    found = stored(docs.select("rid", "text").mapInArrow(grams, "value long, n long, rids array<long>"))
+    often = stored(found.groupBy("value").agg(F.sum("n").alias("n")).where("n > 1").select("value"))
+    hot = found.select("value", "rids").join(often, "value").select("value", F.explode("rids").alias("rid")) \
+        .groupBy("rid").agg(F.collect_list("value").alias("hot"))
+    near = stored(docs.select("rid", "text").join(hot, "rid").mapInArrow(
+        windows, "w1 long, w2 long, n long, rids array<long>, pos array<long>"))
+    ids = docs.select("rid", "doc_id")
+    each = near.select("w1", "w2", F.explode(F.arrays_zip("rids", "pos")).alias("p")) \
+        .select("w1", "w2", F.col("p.rids").alias("rid"), F.col("p.pos").alias("pos"))
+    first = each.join(ids, "rid").groupBy("w1", "w2").agg(F.count("*").alias("n"), F.min(F.struct(
+        F.col("doc_id").isNull().alias("no_id"), "doc_id", "pos", "rid")).alias("f")).where("n > 1")
+    first = stored(first.select("w1", "w2", "n", F.col("f.rid").alias("f_rid"), F.col("f.pos").alias("f_pos")))
+    known = near.drop("n").join(first, ["w1", "w2"]).select(
+        F.explode(F.arrays_zip("rids", "pos")).alias("p"), "n", "f_rid", "f_pos").select(
+        F.col("p.rids").alias("rid"), F.col("p.pos").alias("pos"), "n", "f_rid", "f_pos")
+    known = known.withColumn("removed", (F.col("rid") != F.col("f_rid")) | (F.col("pos") != F.col("f_pos")))
+    order = Window.partitionBy("rid", "removed").orderBy("pos")
+    runs = known.withColumn("run", F.col("pos") - F.row_number().over(order)).groupBy("rid", "removed", "run").agg(
+        F.min(F.struct("pos", "f_rid", "f_pos")).alias("a"), F.max("pos").alias("last"), F.max("n").alias("n")) \
+        .select("rid", F.struct("a.pos", "last", "n", "a.f_rid", "a.f_pos", "removed").alias("x"))
+    by_row = stored(runs.groupBy("rid").agg(F.collect_list("x").alias("runs")))
+    rows = stored(docs.join(by_row, "rid").mapInArrow(
+        placed, ", ".join(f"{c} {'int' if c == 'paragraph' else 'boolean' if c == 'removed' else 'long'}" for c in _PLACED)))
+    sources = docs.join(rows.groupBy(F.col("f_rid").alias("rid")).agg(F.collect_set("f_pos").alias("at")), "rid") \
+        .mapInArrow(lines_of, "f_rid long, f_pos long, group_doc_id long, group_paragraph int")
+    return rows.join(stored(sources), ["f_rid", "f_pos"]).drop("f_rid", "f_pos", "pos")
+
+
+_PLACED = ["rid", "doc_id", "pos", "paragraph", "start", "end", "n_words", "f_rid", "f_pos", "n_group", "removed"]
+
+
 def similar(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
     """The pairs (a, b) whose five-word shingle sets have at least this Jaccard similarity."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -142,10 +296,35 @@ def repeated(docs: DataFrame, min_words: int = MIN_WORDS, similarity: float = SI
     A group is a component of equal or linked paragraphs and named by its first place
     (smallest doc_id, then line), the one that stays. Null and empty texts have no
     paragraph. Rows that repeat a doc_id are places of their own; the place that stays is
-    the first by doc_id, line and start. Rows with a null id come last in that order.
+    the first by doc_id, line, start and row. Rows with a null id come last in that order.
     """
+    return _lines(_numbered(docs), min_words, similarity).drop("rid")
+
+
+def repeated_anywhere(docs: DataFrame, min_words: int = MIN_WORDS, similarity: float = SIMILARITY,
+                      size: int = PASSAGE_WORDS) -> DataFrame:
+    """The rows of repeated(), and one per passage that repeats word for word (see passages()),
+    whatever lines it spans; its paragraph is the line of its first word.
+
+    A passage inside one paragraph with a row has none of its own, unless the passage is
+    removed and the paragraph is not.
+    """
+    docs = _numbered(docs)
+    lines = stored(_lines(docs, min_words, similarity))
+    own = lines.select("rid", "paragraph", F.col("end").alias("line_end"), F.col("removed").alias("line_removed"))
+    more = passages(docs, size).join(own, ["rid", "paragraph"], "left").where(
+        "line_end IS NULL OR end > line_end OR (removed AND NOT line_removed)")
+    return lines.drop("rid").unionByName(more.drop("rid", "line_end", "line_removed"))
+
+
+def _numbered(docs: DataFrame) -> DataFrame:
+    return stored(doc_texts(docs).withColumn("rid", F.monotonically_increasing_id()))
+
+
+def _lines(docs: DataFrame, min_words: int, similarity: float) -> DataFrame:
+    """The rows of repeated() and ``rid``, from stored rows (rid, doc_id, text)."""
     rows = stored(paragraph_rows(docs, min_words))
-    place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "paragraph", "start")
+    place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "paragraph", "start", "rid")
     classes = stored(rows.groupBy("h1", "h2").agg(
         F.count("*").alias("copies"), F.first("bands").alias("bands"), F.min(place).alias("place"))
         .withColumn("cid", F.monotonically_increasing_id()))
@@ -172,19 +351,39 @@ def repeated(docs: DataFrame, min_words: int = MIN_WORDS, similarity: float = SI
                     .where("n_group > 1"))
     named = stored(named.select("h1", "h2", "c").join(groups, "c").drop("c"))
     out = rows.drop("bands", "words").join(named, ["h1", "h2"])
-    return out.select("doc_id", "paragraph", "start", "end", "n_words", F.col("kept.doc_id").alias("group_doc_id"),
-                      F.col("kept.paragraph").alias("group_paragraph"), "n_group",
-                      (~place.eqNullSafe(F.col("kept"))).alias("removed"))
+    return out.select("rid", "doc_id", "paragraph", "start", "end", "n_words",
+                      F.col("kept.doc_id").alias("group_doc_id"), F.col("kept.paragraph").alias("group_paragraph"),
+                      "n_group", (~place.eqNullSafe(F.col("kept"))).alias("removed"))
+
+
+def _cut(text: bytes, rows: list) -> bytes:
+    """The text without removed rows, except for what rows that stay hold; emptied lines go."""
+    gone = np.zeros(len(text), bool)
+    for want in (True, False):
+        for r in rows:
+            if r["removed"] == want:
+                gone[r["start"]:r["end"]] = want
+    out, at = [], 0
+    for line in text.split(b"\n"):
+        stays = ~gone[at:at + len(line)]
+        if stays.any() or not line:
+            out.append(line if stays.all() else np.frombuffer(line, np.uint8)[stays].tobytes())
+        at += len(line) + 1
+    return b"\n".join(out)
 
 
 def without_repeats(docs: DataFrame, min_words: int = MIN_WORDS, similarity: float = SIMILARITY) -> DataFrame:
-    """(doc_id, text): the documents with removed paragraphs cut out, others unchanged.
+    """(doc_id, text): the documents with removed paragraphs and passages cut out, others unchanged.
 
     Rows are matched by doc_id, so ids must be unique and not null here."""
-    gone = repeated(docs, min_words, similarity).where("removed").groupBy("doc_id") \
-        .agg(F.collect_set("paragraph").alias("gone"))
-    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    lines = F.split("text", "\n", -1)
-    kept = F.filter(lines, lambda x, k: ~F.array_contains("gone", k))
-    return own.join(gone, "doc_id", "left").select(
-        "doc_id", F.when(F.col("gone").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n")).alias("text"))
+    found = repeated_anywhere(docs, min_words, similarity).groupBy("doc_id") \
+        .agg(F.collect_list(F.struct("start", "end", "removed")).alias("rows"), F.max("removed").alias("any")).where("any")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in sliced(batches):
+            texts = [t if t is None or not r else _cut(t, r)
+                     for t, r in zip(batch.column("text").to_pylist(), batch.column("rows").to_pylist())]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(texts, pa.binary())], ["doc_id", "text"])
+
+    return doc_texts(docs).join(found.drop("any"), "doc_id", "left").mapInArrow(run, "doc_id long, text binary") \
+        .select("doc_id", F.col("text").cast("string").alias("text"))

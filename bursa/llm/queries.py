@@ -30,7 +30,7 @@ def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return para_dedup.repeated(table(spark, sf_dir, "documents"))
+    return para_dedup.repeated_anywhere(table(spark, sf_dir, "documents"))
 
 
 def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

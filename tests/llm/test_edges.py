@@ -92,3 +92,12 @@ def test_one_row_per_component(make_docs):
     kept = [(r.doc_id, r.text) for r in simhash.keep_one(make_docs(rows, CLASH)).collect()]
     assert sorted(kept, key=str) == sorted([(None, text(1)), (None, text(2)), (7, text(3)), (7, text(4)), (3, text(5))],
                                            key=str)
+
+
+def test_passages_edges(make_docs):
+    line = " ".join(f"w{k}" for k in range(60))
+    got = para_dedup.repeated_anywhere(make_docs([*ODD, (20, line), (20, line), (None, line), (None, line)], CLASH)).collect()
+    own = [r for r in got if r.n_words == 60]
+    assert len(own) == 4 and sum(r.removed for r in own) == 3 and {r.group_doc_id for r in own} == {20}
+    assert {(r.removed, r.n_words) for r in got if r.doc_id == 7} == {(False, 50), (True, 299_999)}
+    assert para_dedup.repeated_anywhere(make_docs([])).collect() == []

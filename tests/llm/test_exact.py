@@ -161,6 +161,42 @@ def test_paragraphs_against_all_pairs(make_docs, monkeypatch):
     assert got == {i: v for i, v in name.items() if v in many}
 
 
+def test_wrapped_and_inner_passages(make_docs):
+    """Every repeated 50-word window lies in a row, whatever the lines; nothing else does."""
+    rng = random.Random(9)
+
+    def own(n):
+        return [f"o{rng.randrange(10 ** 9)}" for _ in range(n)]
+
+    def wrapped(w, n):
+        return "\n".join(" ".join(w[k:k + n]) for k in range(0, len(w), n))
+
+    one, two, short = own(55), own(120), own(49)
+    rows = [(1, wrapped(own(20) + one + own(9), 7)), (2, wrapped(one, 11)), (3, " ".join(own(200) + one + own(200))),
+            (4, wrapped(two, 12)), (5, wrapped(two, 12)), (6, wrapped(two[:60] + own(3) + two[60:], 1000)),
+            (7, wrapped(short, 8)), (8, wrapped(short, 9)), (9, "echo " * 80), (10, " ".join(own(300)))]
+    got = para_dedup.repeated_anywhere(make_docs(rows)).collect()
+    places = {}
+    for i, t in rows:
+        w = t.split()
+        for k in range(len(w) - 49):
+            places.setdefault(tuple(w[k:k + 50]), []).append((i, k))
+    want = {(i, j) for p in places.values() if len(p) > 1 for i, k in p for j in range(k, k + 50)}
+    cut = {(i, j) for p in places.values() for i, k in p[1:] for j in range(k, k + 50)}
+    for keep, words in ((False, want), (True, cut)):
+        seen = set()
+        for r in got:
+            t = dict(rows)[r.doc_id]
+            assert r.n_words == len(t[r.start:r.end].split())
+            if r.removed or not keep:
+                first = len(t[:r.start].split())
+                seen |= {(r.doc_id, j) for j in range(first, first + r.n_words)}
+        assert seen == words
+    assert {r.group_doc_id for r in got if r.doc_id in (2, 3)} == {1}
+    left = {r.doc_id: r.text for r in para_dedup.without_repeats(make_docs(rows)).collect()}
+    assert left[1] == rows[0][1] and left[2] == "" and len(left[3].split()) == 400 and len(left[9].split()) == 50
+
+
 def test_cutting_repeats(make_docs):
     line = " ".join(f"w{k}" for k in range(60))
     rows = [(1, f"head\n{line}"), (2, f"{line}\ntail\n"), (3, None), (4, "own\n\ntext")]
