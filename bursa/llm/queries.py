@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from bursa.llm import (bpe_codec, decontaminate, lang_hd, lm_score, para_dedup, pii, quality_knn, quality_rules,
-                       simhash, token_store)
+from bursa.llm import (bpe_codec, decontaminate, divergence, lang_hd, lm_score, merkle, page_text, para_dedup, pii,
+                       quality_knn, quality_rules, simhash, token_store)
 from bursa.llm.common import scratch, table
 
 
@@ -53,9 +53,22 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lang_hd.identify(table(spark, sf_dir, "documents"))
 
 
+def op11_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return page_text.extract(table(spark, sf_dir, "pages"))
+
+
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.divergences(table(spark, sf_dir, "documents"))
+
+
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.manifest(table(spark, sf_dir, "documents"), merkle.tampered_hash())
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_decontamination, op2_lm_scoring, op3_token_files, op4_pii, op5_substring_dedup, op6_byte_bpe,
-    op7_quality_classifier, op8_quality_rules, op9_simhash, op10_language_id)}
+    op7_quality_classifier, op8_quality_rules, op9_simhash, op10_language_id, op11_html_extraction,
+    op12_source_divergence, op13_merkle_manifest)}
 
 # Words of both tables with their places; a benchmark item's windows; places where one begins.
 OP1_SQL = r"""
@@ -82,4 +95,34 @@ SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS
        coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)"""
 
-ORACLES = {"op1_decontamination": OP1_SQL}
+# Terms of each lang kept, each group's scaled shares of them, then both parts with their ranks.
+OP12_SQL = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+t AS (SELECT lang, source, term, count(*) AS c, count(DISTINCT r) AS docs
+      FROM (SELECT r, lang, source, unnest(w) AS term FROM d) GROUP BY ALL),
+kept AS (SELECT lang, term, sum(c) AS c FROM t GROUP BY ALL HAVING sum(docs) >= 3),
+g AS (SELECT DISTINCT lang, source FROM d),
+v AS (SELECT lang, count(*) AS v, sum(c) AS n FROM kept GROUP BY lang),
+n AS (SELECT t.lang, t.source, sum(t.c) AS n FROM t JOIN kept USING (lang, term) GROUP BY ALL),
+p AS (SELECT g.lang, g.source, k.term, coalesce(t.c, 0) AS c,
+             1 + (1000000000::HUGEINT * (coalesce(t.c, 0) + 1)::HUGEINT) // (coalesce(n.n, 0) + v.v)::HUGEINT AS p,
+             1 + (1000000000::HUGEINT * (k.c + 1)::HUGEINT) // (v.n + v.v)::HUGEINT AS q
+      FROM g JOIN v ON g.lang = v.lang JOIN kept k ON k.lang = g.lang
+      LEFT JOIN n ON n.lang = g.lang AND n.source = g.source
+      LEFT JOIN t ON t.lang = g.lang AND t.source = g.source AND t.term = k.term),
+pairs AS (SELECT a.lang, a.source, b.source AS item, sum(((a.p - b.p) * (a.p - b.p)) // b.p) AS value
+          FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+both_parts AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, CAST(coalesce(x.value, 0) AS BIGINT) AS value
+  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN pairs x ON x.lang = a.lang AND x.source = a.source AND x.item = b.source
+  UNION ALL
+  SELECT lang, source, 'term', term, CAST(((p - q) * (p - q)) // q AS BIGINT) FROM p WHERE c > 0 AND p > q)
+SELECT lang, source, part, item, value, CAST(rank AS INTEGER) AS rank
+FROM (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM both_parts)
+WHERE part = 'pair' OR rank <= 200"""
+
+ORACLES = {"op1_decontamination": OP1_SQL, "op12_source_divergence": OP12_SQL}
