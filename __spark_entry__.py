@@ -49,6 +49,7 @@ MIN_DAYS = 3
 MIN_TRADES = 3
 SIDEWAYS_RANGE = 20
 SIDEWAYS_VOLUME = 0.5
+LOOSE_SHADOW = 0.2
 
 
 def _present(df: DataFrame) -> DataFrame:
@@ -105,17 +106,38 @@ def q_rebound_detail_3b(spark, sf):
                                       min_days=MIN_DAYS, with_3b=True)
 
 
-def _strict(spark, sf, k):
+def _strict(spark, sf, k, **factors):
     s, h = _v(spark, sf, "stock_summary"), _v(spark, sf, "history_ohlc")
     return RB.momentum_rebound_strict(s, h, as_of=s.select(F.max("data_date")).scalar(),
                                       history_as_of=h.select(F.max("trade_date")).scalar(),
-                                      min_criteria=k, min_value=SUMMARY_MIN_VALUE, min_days=MIN_DAYS)
+                                      min_criteria=k, min_value=SUMMARY_MIN_VALUE, min_days=MIN_DAYS, **factors)
 
 
 def q_rebound_strict(spark, sf):
     return _strict(spark, sf, 5)
 
 
+def q_rebound_strict_loose(spark, sf):
+    """The strict screen with a lower shadow that the synthetic prices reach."""
+    return _strict(spark, sf, 5, shadow=LOOSE_SHADOW)
+
+
+def q_rebound_strict_backtest(spark, sf):
+    """All five criteria on every date, with the screen's own factors."""
+    return RB.rebound_backtest(_v(spark, sf, "stock_summary"), min_criteria=5, min_days=MIN_DAYS,
+                               min_value=SUMMARY_MIN_VALUE)
+
+
+def q_avg_volume_daily(spark, sf):
+    s = _v(spark, sf, "stock_summary")
+    return _dbl(RB.avg_volume_daily(eod_snapshots(s), max_data_date(s), MIN_DAYS), "vol_sum")
+
+
+def q_range_stats(spark, sf):
+    s = _v(spark, sf, "stock_summary")
+    return RB.range_stats(eod_snapshots(s), max_data_date(s), MIN_DAYS)
+
+
 def q_rebound_relaxed(spark, sf):
     return _strict(spark, sf, 4)
 
@@ -147,6 +169,16 @@ def q_coverage_today(spark, sf):
     return DG.coverage_on(s, max_data_date(s))
 
 
+def q_coverage_current_date(spark, sf):
+    """Today's coverage by ``CURRENT_DATE``: the snapshots moved so that their last day is today."""
+    from bursa.operators.latest import as_of_text
+    s = _v(spark, sf, "stock_summary")
+    day = F.to_date("data_date", "yyyyMMdd")
+    behind = F.datediff(F.current_date(), F.to_date(max_data_date(s), "yyyyMMdd"))
+    moved = s.withColumn("data_date", F.date_format(F.date_add(day, behind), "yyyyMMdd"))
+    return DG.coverage_on(moved, as_of_text(None))
+
+
 def q_sample_latest(spark, sf):
     return DG.sample_latest(_v(spark, sf, "stock_summary"), 10)
 
@@ -233,6 +265,14 @@ def q_ma20_swing_latest(spark, sf):
     return TR.ma20_swing(_v(spark, sf, "history_ohlc"), latest_only=True, min_value=HISTORY_MIN_VALUE)
 
 
+def q_ma20_swing_last_hit(spark, sf):
+    """The latest-day screen as of the last day on which any symbol passes."""
+    h = _v(spark, sf, "history_ohlc")
+    hits = TR.ma20_swing(h, latest_only=False, min_value=HISTORY_MIN_VALUE)
+    past = h.where(F.col("trade_date") <= hits.select(F.max("trade_date")).scalar())
+    return TR.ma20_swing(past, latest_only=True, min_value=HISTORY_MIN_VALUE)
+
+
 def q_daily_bars(spark, sf):
     return SW.daily_bars(_v(spark, sf, "stock_summary"))
 
@@ -242,6 +282,9 @@ def q_daily_ohlc_build(spark, sf):
 
 
 def _sw7(spark, sf, last):
+    if last:  # only the last days' partitions
+        return SW.sideways_from_summary(_v(spark, sf, "stock_summary"), 7, max_range=SIDEWAYS_RANGE,
+                                        max_volume=SIDEWAYS_VOLUME, min_avg_value=SUMMARY_MIN_VALUE)
     return SW.sideways_screen(SW.daily_bars(_v(spark, sf, "stock_summary")), 7, max_range=SIDEWAYS_RANGE,
                               max_volume=SIDEWAYS_VOLUME, min_avg_value=SUMMARY_MIN_VALUE, last_day_only=last)
 
@@ -400,6 +443,78 @@ def q_feed_rejects(spark, sf):
     return FD.feed_rejects(good.unionByName(bad)).groupBy("reason").agg(F.count(F.lit(1)).alias("n_lines"))
 
 
+# A line of every form, by trade number: the way a line can be read, or why it can't.
+ODD_LINES = ["concat_ws('|', 'ANTR', '1', trade_date, trade_time, security_code, board_code, trade_no, price, volume)",
+             "concat_ws('|', 'XNTR', '1', trade_no)", "concat_ws('|', 'ANTR', 'Q', trade_no)",
+             "concat_ws('|', 'ANTR', 'C', security_code, trade_no)",
+             "concat_ws('|', 'ANTR', 'C', security_code, trade_no, 'x', 3, 4)",
+             "concat_ws('|', 'ANTR', 'C', '', trade_no, 2, 3, 4)", "'ANTR|5|'", "'ANTR|7||||'",
+             "concat('ANTR|3|', security_code, '|{0}')", "'ANTR|3||{0}1;2;3|'",
+             "concat('ANTR|4|', security_code, '|{1}1;x;3|')",
+             "concat('ANTR|4|', security_code, '|{1}1;', price, ';3|2;', price, ';', volume, '|')",
+             "concat('ANTR|6|', security_code, '||', security_code, '|')"]
+
+
+def _odd_lines(spark, sf):
+    t = _v(spark, sf, "trades")
+    forms = " ".join(f"WHEN {k} THEN {form}" for k, form in enumerate(ODD_LINES))
+    return t.select(F.expr(f"CASE trade_no % {len(ODD_LINES)} {forms} END").alias("value"))
+
+
+def q_feed_reject_reasons(spark, sf):
+    return FD.feed_rejects(_odd_lines(spark, sf)).groupBy("reason").agg(F.count(F.lit(1)).alias("n_lines"))
+
+
+def q_feed_conservation(spark, sf):
+    return FD.feed_conservation(_odd_lines(spark, sf))
+
+
+def q_feed_trades_eod(spark, sf):
+    return FD.feed_trades_eod(_v(spark, sf, "trades_eod").select(FD.eod_line().alias("value")))
+
+
+def _record(kind: str, *fields) -> F.Column:
+    return F.concat_ws("|", F.lit("ANTR"), F.lit(kind), *[F.expr(f).cast("string") for f in fields]).alias("value")
+
+
+def q_feed_index(spark, sf):
+    """One index record a day: the sums of the day's bars; value and market value in E-notation."""
+    from pyspark.sql import Window
+    d = _v(spark, sf, "history_ohlc").groupBy("trade_date").agg(
+        *[F.sum(c).cast("decimal(20,2)").alias(f"s_{c}") for c in ("open", "high", "low", "close")],
+        F.sum("freq").alias("freq"), F.sum("volume").alias("volume"), F.sum("value").alias("value"),
+        F.count_if(F.col("close") > F.col("open")).alias("up"), F.count_if(F.col("close") < F.col("open")).alias("down"),
+        F.count_if(F.col("close") == F.col("open")).alias("same"))
+    d = d.withColumn("prev", F.coalesce(F.lag("s_close").over(Window.orderBy("trade_date")), "s_close"))
+    return FD.feed_index(d.select(_record(
+        "9", "'COMPX'", "date_format(trade_date, 'yyyyMMdd')", "'160000'", "s_close", "prev", "s_open", "s_high",
+        "s_low", "CAST(s_close - prev AS DECIMAL(20,2))", "'0.00'", "freq", "volume div 100", "concat(value, 'E2')",
+        "up", "down", "same", "0", "concat(value, '.5E3')")))
+
+
+def q_feed_stock_master(spark, sf):
+    f = _v(spark, sf, "stock_fundamentals")
+    return FD.feed_stock_master(f.select(_record(
+        "A", "security_code", "source", "0", "'ORDI'", "'0011'", "'100.00'", "'00000000250.00'",
+        "lpad(shares_outstanding, 14, '0')", "lpad(shares_outstanding div 3, 14, '0')", "100", "''", "'----------'",
+        "'0000'")))
+
+
+def q_feed_brokers(spark, sf):
+    c = spark.read.parquet(f"{sf}/customer.parquet")
+    return FD.feed_brokers(c.select(_record("B", "concat('C', c_custkey)", "c_name", "c_custkey % 2")))
+
+
+def q_market_cap_load(spark, sf):
+    """Capitalisations with fractions, as the bulk rows have them, loaded into the table's types."""
+    from bursa.sources.sinks import load_market_cap
+    m = _v(spark, sf, "market_cap")
+    raw = m.withColumn("market_capitalization",
+                       F.expr("CAST(market_capitalization AS DECIMAL(30,0)) + CAST(month AS DECIMAL(4,0)) * 0.0625"))
+    return load_market_cap(raw.withColumn("percentage", F.lit("1.25"))).withColumns(
+        {"percentage": F.col("percentage").cast("double")})
+
+
 def _scratch(spark, name):
     import uuid
     return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
@@ -408,7 +523,7 @@ def _scratch(spark, name):
 def _stream_source(spark, df, name, chunks=4, time_col="ts"):
     path = _scratch(spark, f"{name}-src")
     ST.replay(df, path, time_col, chunks)
-    return spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 2).parquet(path)
+    return spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 16).parquet(path)
 
 
 def q_stream_daily_ohlc(spark, sf):
@@ -445,17 +560,63 @@ def q_stream_feed_trades(spark, sf):
     text_dir = _scratch(spark, "feed-text")
     ST.replay(lines, text_dir, "ts", 4, fmt="text")
     out = _scratch(spark, "feed-out")
-    ST.stream_feed(spark, text_dir, out, _scratch(spark, "ck-feed"), max_files=2).awaitTermination()
+    ST.stream_feed(spark, text_dir, out, _scratch(spark, "ck-feed"), max_files=16).awaitTermination()
     from bursa.sources.schemas import read_table
     return read_table(spark, "trades", f"{out}/trades")
 
 
 def q_stream_top_movers(spark, sf):
     src = _stream_source(spark, _v(spark, sf, "stock_summary"), "summary-min")
-    out = _scratch(spark, "minute")
-    ST.run_to_table(ST.minute_change_stream(src), out, ["minute", "security_code"], ["minute_day"],
-                    _scratch(spark, "ck-minute")).awaitTermination()
-    return ST.rank_movers(spark.read.parquet(out), 10)
+    minutes, ranks = _scratch(spark, "minute"), _scratch(spark, "ranks")
+    (ST.minute_change_stream(src).writeStream.outputMode("update").foreachBatch(ST.movers_sink(minutes, ranks))
+       .option("checkpointLocation", _scratch(spark, "ck-minute")).trigger(availableNow=True).start()
+       .awaitTermination())
+    return spark.read.parquet(ranks).drop("minute_day")
+
+
+def q_stream_two_feeds(spark, sf):
+    """Two streams, each with a checkpoint of its own, into one table."""
+    from bursa.sources.schemas import read_table
+    out, t = _scratch(spark, "two-feeds"), _v(spark, sf, "trades")
+    for half in (0, 1):
+        lines = t.where(F.col("trade_no") % 2 == half).select("ts", FD.trade_line().alias("value"))
+        text_dir = _scratch(spark, f"half-{half}")
+        ST.replay(lines, text_dir, "ts", 2, fmt="text")
+        ST.stream_feed(spark, text_dir, out, _scratch(spark, "ck-half")).awaitTermination()
+    return read_table(spark, "trades", f"{out}/trades")
+
+
+def q_stream_eod_resend(spark, sf):
+    """Live trades, one in ten lost and one in ten sent twice; hours later all of them again
+    with brokers and order numbers, in another stream that begins with no state."""
+    t, eod = _v(spark, sf, "trades"), _v(spark, sf, "trades_eod")
+    live = t.where(F.col("trade_no") % 10 != 3)
+    live = live.unionByName(live.where(F.col("trade_no") % 10 == 7)).select("ts", FD.trade_line().alias("value"))
+    out = _scratch(spark, "reconciled")
+    for name, lines in (("live", live), ("eod", eod.select("ts", FD.eod_line().alias("value")))):
+        text_dir = _scratch(spark, f"{name}-lines")
+        ST.replay(lines, text_dir, "ts", 2, fmt="text")
+        (ST.feed_source(spark, "text", text_dir).writeStream.foreachBatch(ST.reconcile_sink(out))
+           .option("checkpointLocation", _scratch(spark, "ck-reconcile")).trigger(availableNow=True).start()
+           .awaitTermination())
+    return spark.read.parquet(out).withColumn("trade_date", F.col("trade_date").cast("string")).drop("record")
+
+
+def q_stream_sideways_late(spark, sf):
+    """Daily bars in an order of their own; the state of every day."""
+    d = _v(spark, sf, "daily_ohlc")
+    late = F.timestamp_add("DAY", F.pmod(F.xxhash64("security_code", "bucket"), F.lit(4)).cast("int"),
+                           F.lit("2000-01-01 00:00:00").cast("timestamp_ntz"))
+    path = _scratch(spark, "late-src")
+    ST.replay(d.withColumn("arrival", late), path, "arrival", 3)
+    src = spark.readStream.schema(d.schema).option("maxFilesPerTrigger", 64).parquet(path)
+    daily, state = _scratch(spark, "late-bars"), _scratch(spark, "late-state")
+    (src.writeStream.foreachBatch(ST.sideways_state_sink(daily, state, days=60, max_range=SIDEWAYS_RANGE,
+                                                         max_volume=SIDEWAYS_VOLUME,
+                                                         min_avg_value=HISTORY_MIN_VALUE))
+        .option("checkpointLocation", _scratch(spark, "ck-late")).trigger(availableNow=True).start()
+        .awaitTermination())
+    return SW.read_sideways(spark, state)
 
 
 def q_stream_sideways_state(spark, sf):
@@ -467,7 +628,8 @@ def q_stream_sideways_state(spark, sf):
                                                          min_avg_value=HISTORY_MIN_VALUE))
         .option("checkpointLocation", _scratch(spark, "ck-state")).trigger(availableNow=True).start()
         .awaitTermination())
-    return SW.read_sideways(spark, state)
+    stored = SW.read_sideways(spark, state)
+    return stored.where(F.col("trade_date") == stored.select(F.max("trade_date")).scalar())
 
 
 def q_rsi14_wilder(spark, sf):
@@ -542,6 +704,22 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_feed_trades": q_stream_feed_trades,
     "stream_top_movers": q_stream_top_movers,
     "stream_sideways_state": q_stream_sideways_state,
+    "rebound_strict_loose": q_rebound_strict_loose,
+    "rebound_strict_backtest": q_rebound_strict_backtest,
+    "avg_volume_daily": q_avg_volume_daily,
+    "range_stats": q_range_stats,
+    "ma20_swing_last_hit": q_ma20_swing_last_hit,
+    "coverage_current_date": q_coverage_current_date,
+    "market_cap_load": q_market_cap_load,
+    "feed_trades_eod": q_feed_trades_eod,
+    "feed_index": q_feed_index,
+    "feed_stock_master": q_feed_stock_master,
+    "feed_brokers": q_feed_brokers,
+    "feed_reject_reasons": q_feed_reject_reasons,
+    "feed_conservation": q_feed_conservation,
+    "stream_two_feeds": q_stream_two_feeds,
+    "stream_eod_resend": q_stream_eod_resend,
+    "stream_sideways_late": q_stream_sideways_late,
 }
 
 
@@ -616,7 +794,7 @@ def _mark(cond: str, yes="✓", no="✗") -> str:
 MAXD = "(SELECT max(data_date) FROM stock_summary)"
 
 
-def _rebound_flags(min_value: int, cur: str = "current_price") -> str:
+def _rebound_flags(min_value: int, cur: str = "current_price", shadow: float = 0.6) -> str:
     """The candle columns and five flags (plus 3b) over a frame with the joined inputs."""
     return f""",
   {_r(_div(cur, 'opening_price'), 4)} AS price_to_open_ratio,
@@ -625,7 +803,7 @@ def _rebound_flags(min_value: int, cur: str = "current_price") -> str:
   {cur} - lowest_price AS lower_shadow,
   CASE WHEN highest_price - lowest_price > 0
        THEN {_r(_div(f'{cur} - lowest_price', 'highest_price - lowest_price'), 4)} ELSE 0.0 END AS lower_shadow_ratio,
-  COALESCE({cur} - lowest_price >= 0.6 * (highest_price - lowest_price) AND {cur} > lowest_price, false)
+  COALESCE({cur} - lowest_price >= {shadow} * (highest_price - lowest_price) AND {cur} > lowest_price, false)
       AS has_long_lower_shadow,
   {_r(_div('trade_volume', _div('vol_sum', 'vol_days')), 4)} AS volume_to_avg_ratio,
   COALESCE(vol_sum IS NOT NULL AND {_ge('trade_volume', 1.5, 'vol_sum', 'vol_days')}, false) AS has_volume_surge,
@@ -731,7 +909,7 @@ ca AS (SELECT ls.* EXCLUDE (close_price), ls.close_price AS current_price, pd.pr
 """ + _sql_detail_output(with_3b)
 
 
-def _sql_rebound_strict(k: int) -> str:
+def _sql_rebound_strict(k: int, shadow: float = 0.6) -> str:
     ls = _latest("stock_summary", "security_code", "ts DESC", f"data_date = {MAXD}")
     cond = ("is_down_from_open AND has_long_lower_shadow AND has_volume_surge AND is_liquid AND is_near_support"
             if k >= 5 else f"{SCORE5} >= {k}")
@@ -741,7 +919,7 @@ av AS (SELECT code AS security_code, sum(volume) AS vol_sum, count(*) AS vol_day
        WHERE volume IS NOT NULL AND trade_date >= (SELECT max(trade_date) FROM history_ohlc) - INTERVAL 30 DAY
        GROUP BY code HAVING count(*) >= {MIN_DAYS}),
 ca AS (SELECT ls.* EXCLUDE (close_price), ls.close_price AS current_price, pd.previous_low, pd.prev_volume,
-              av.vol_sum, av.vol_days {_rebound_flags(SUMMARY_MIN_VALUE)}
+              av.vol_sum, av.vol_days {_rebound_flags(SUMMARY_MIN_VALUE, shadow=shadow)}
        FROM {ls} ls JOIN pd ON ls.security_code = pd.security_code
                     JOIN av ON ls.security_code = av.security_code)
 SELECT security_code, {_d('current_price')} AS current_price, {_d('opening_price')} AS opening_price,
@@ -763,7 +941,7 @@ SUMMARY_COLS = ("data_date, data_time, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS t
                 "trade_volume, trade_value, trade_frequency, CAST(previous_price AS DOUBLE) AS previous_price")
 
 
-def _sql_rebound_backtest() -> str:
+def _sql_rebound_backtest(k: int = 4) -> str:
     ds = _latest("stock_summary", "security_code, data_date", "ts DESC",
                  "lowest_price IS NOT NULL AND trade_volume IS NOT NULL AND close_price IS NOT NULL")
     return with_views("stock_summary") + f""",
@@ -781,7 +959,26 @@ SELECT security_code, data_date, {_d('current_price')} AS current_price, {_d('op
        {_r(_div('vol_sum', 'vol_days'), 0)} AS avg_volume_20d, price_to_open_ratio, lower_shadow_ratio,
        volume_to_avg_ratio, low_to_prev_low_ratio, is_down_from_open, has_long_lower_shadow, has_volume_surge,
        is_liquid, is_near_support, {_b(SCORE5)} AS criteria_met
-FROM ca WHERE {SCORE5} >= 4"""
+FROM ca WHERE {SCORE5} >= {k}"""
+
+
+def _sql_daily_stats(columns: str) -> str:
+    ds = _latest("stock_summary", "security_code, data_date", "ts DESC", f"data_date < {MAXD}")
+    return with_views("stock_summary") + f"""
+SELECT security_code, {columns} FROM {ds} x GROUP BY security_code HAVING count(DISTINCT data_date) >= {MIN_DAYS}"""
+
+
+def _sql_ma20_swing_last_hit() -> str:
+    text = _sql_ma20_swing(False)
+    return f"SELECT * FROM ({text}) hits WHERE trade_date = (SELECT max(trade_date) FROM ({text}) every_hit)"
+
+
+def _sql_coverage_current_date() -> str:
+    return with_views("stock_summary") + f"""
+SELECT 'today_stock_summary' AS table_name, count(DISTINCT security_code) AS stock_count, count(*) AS total_records
+FROM (SELECT security_code, strptime(data_date, '%Y%m%d')::DATE
+             + CAST(current_date - strptime({MAXD}, '%Y%m%d')::DATE AS INTEGER) AS day FROM stock_summary)
+WHERE day = current_date"""
 
 
 def _sql_table_counts() -> str:
@@ -1343,18 +1540,17 @@ def _sql_swing(latest: bool) -> str:
         "rule_03": 'n50 = 50 AND "close" * n50 > s50',
         "rule_04": "n100 = 100 AND s50 * n100 > s100 * n50",
         "rule_05": "n200 = 200 AND s100 * n200 > s200 * n100",
-        "rule_06": "vs20 * vn60 > vs60 * vn20",
-        "rule_07": "volume * vn20 > vs20",
+        "rule_06": "vn60 = 60 AND vs20 * vn60 > vs60 * vn20",
+        "rule_07": "vn20 = 20 AND volume * vn20 > vs20",
         "rule_08": f'"value" > {HISTORY_MIN_VALUE}',
-        "rule_09": "lowest_60 > 0 AND highest_60 < 1.8 * lowest_60",
-        "rule_10": '"close" >= highest_20',
+        "rule_09": "n_rows >= 60 AND lowest_60 > 0 AND highest_60 < 1.8 * lowest_60",
+        "rule_10": 'n_rows >= 20 AND "close" >= highest_20',
         "rule_11": "rsi_14 > 55.0 AND rsi_14 < 70.0",
         "rule_12": 'n200 = 200 AND "close" * n200 < 2 * s200',
         "rule_13": '"close" > 0 AND (high - low) < 0.12 * "close"',
     }
     flags = ",\n  ".join(f"COALESCE({v}, false) AS {k}" for k, v in rules.items())
     met = " + ".join(f"CAST({k} AS INT)" for k in rules)
-    mc = _latest("market_cap", "code", "year DESC, month DESC")
     return with_views("history_ohlc", "market_cap", "free_float") + f""",
 h AS (SELECT *, sum("close") OVER {win(50)} AS s50, count("close") OVER {win(50)} AS n50,
              sum("close") OVER {win(100)} AS s100, count("close") OVER {win(100)} AS n100,
@@ -1362,11 +1558,14 @@ h AS (SELECT *, sum("close") OVER {win(50)} AS s50, count("close") OVER {win(50)
              sum(volume) OVER {win(20)} AS vs20, count(volume) OVER {win(20)} AS vn20,
              sum(volume) OVER {win(60)} AS vs60, count(volume) OVER {win(60)} AS vn60,
              max("close") OVER {win(60)} AS highest_60, min("close") OVER {win(60)} AS lowest_60,
-             max("close") OVER {win(20)} AS highest_20
+             max("close") OVER {win(20)} AS highest_20,
+             row_number() OVER (PARTITION BY code ORDER BY trade_date) AS n_rows
       FROM history_ohlc WHERE "close" IS NOT NULL),
 {_rsi_cte('h')},
-mc AS (SELECT code, CAST(market_capitalization AS DECIMAL(30,0)) * 1000000 AS market_cap_rp FROM {mc} z),
-j AS (SELECT rsi.*, mc.market_cap_rp, ff.free_float_pct FROM rsi LEFT JOIN mc ON rsi.code = mc.code
+mc AS (SELECT code, last_day(make_date(year, month, 1)) AS cap_date,
+              CAST(market_capitalization AS DECIMAL(30,0)) * 1000000 AS market_cap_rp FROM market_cap),
+j AS (SELECT rsi.*, mc.market_cap_rp, ff.free_float_pct
+      FROM rsi ASOF LEFT JOIN mc ON rsi.code = mc.code AND rsi.trade_date >= mc.cap_date
       LEFT JOIN free_float ff ON rsi.code = ff.code {day}),
 f AS (SELECT *, {flags} FROM j)
 SELECT code AS security_code, strftime(trade_date, '%Y-%m-%d') AS trade_date, CAST("close" AS DOUBLE) AS "close",
@@ -1413,6 +1612,77 @@ def _sql_feed_rejects() -> str:
 SELECT 'field count' AS reason, count(*) AS n_lines FROM trades WHERE board_code = 'NG' HAVING count(*) > 0"""
 
 
+EOD_COLS = """trade_no, session, board_code, seller_broker, seller_investor_type, buyer_broker, buyer_investor_type,
+       security_code, volume, CAST(price AS DOUBLE) AS price, seller_order_no, buyer_order_no, trade_time,
+       strftime(strptime(strftime(trade_date, '%Y%m%d') || trade_time, '%Y%m%d%H%M%S'), '%Y-%m-%d %H:%M:%S.%f') AS ts"""
+
+
+def _sql_feed_trades_eod() -> str:
+    return with_views("trades_eod") + f"""
+SELECT {EOD_COLS}, strftime(trade_date, '%Y-%m-%d') AS trade_date FROM trades_eod"""
+
+
+def _sql_stream_eod_resend() -> str:
+    return with_views("trades_eod") + f"""
+SELECT {EOD_COLS}, strftime(trade_date, '%Y%m%d') AS trade_date FROM trades_eod"""
+
+
+def _sql_feed_index() -> str:
+    sums = ", ".join(f'CAST(sum("{c}") AS DECIMAL(20,2)) AS s_{c}' for c in ("open", "high", "low", "close"))
+    return with_views("history_ohlc") + f""",
+d AS (SELECT trade_date, {sums}, CAST(sum(freq) AS BIGINT) AS frequency, CAST(sum(volume) AS BIGINT) AS volume,
+             CAST(sum("value") AS BIGINT) AS val, count(*) FILTER ("close" > "open") AS up,
+             count(*) FILTER ("close" < "open") AS down, count(*) FILTER ("close" = "open") AS unchanged
+      FROM history_ohlc GROUP BY trade_date),
+p AS (SELECT *, coalesce(lag(s_close) OVER (ORDER BY trade_date), s_close) AS prev FROM d)
+SELECT 'COMPX' AS index_code, strftime(trade_date, '%Y%m%d') AS data_date, '160000' AS data_time,
+       strftime(trade_date + INTERVAL 16 HOUR, '%Y-%m-%d %H:%M:%S.%f') AS ts, CAST(s_close AS DOUBLE) AS last_index,
+       CAST(prev AS DOUBLE) AS prev_index, CAST(s_open AS DOUBLE) AS open_index, CAST(s_high AS DOUBLE) AS high_index,
+       CAST(s_low AS DOUBLE) AS low_index, CAST(s_close - prev AS DOUBLE) AS change, 0.0::DOUBLE AS change_rate, frequency,
+       volume // 100 AS volume_lots, CAST(val || 'E2' AS DOUBLE) AS "value", up, down, unchanged,
+       CAST(0 AS BIGINT) AS no_transaction, CAST(val || '.5E3' AS DOUBLE) AS market_value FROM p"""
+
+
+def _sql_feed_stock_master() -> str:
+    return with_views("stock_fundamentals") + """
+SELECT security_code, source AS security_name, CAST(0 AS BIGINT) AS security_status, 'ORDI' AS security_type,
+       '0011' AS sub_industry, 100.0::DOUBLE AS ipo_price, 250.0::DOUBLE AS base_price,
+       shares_outstanding AS listed_shares, shares_outstanding // 3 AS tradable_listed_shares,
+       CAST(100 AS BIGINT) AS shares_per_lot, CAST(NULL AS VARCHAR) AS remarks, '----------' AS security_remarks2,
+       CAST(0 AS BIGINT) AS weight FROM stock_fundamentals"""
+
+
+def _sql_feed_brokers() -> str:
+    return """
+SELECT 'C' || c_custkey AS broker_code, c_name AS broker_name, c_custkey % 2 AS broker_status FROM customer"""
+
+
+def _sql_market_cap_load() -> str:
+    return with_views("market_cap") + """
+SELECT code, listed_stocks, number_of_listed_shares,
+       CAST(round(CAST(market_capitalization AS DECIMAL(30,4)) + month * 0.0625, 0) AS BIGINT) AS market_capitalization,
+       1.25::DOUBLE AS percentage, CAST(month AS BIGINT) AS month, CAST(year AS BIGINT) AS year FROM market_cap"""
+
+
+def _sql_odd_lines(columns: str) -> str:
+    return with_views("trades") + f"""
+SELECT {columns} FROM (SELECT trade_no % {len(ODD_LINES)} AS form FROM trades)
+"""
+
+
+REASON = """CASE WHEN form = 1 THEN 'bad prefix' WHEN form = 2 THEN 'unknown type' WHEN form = 3 THEN 'field count'
+       WHEN form IN (4, 10) THEN 'bad value' WHEN form IN (5, 9) THEN 'empty code' ELSE 'no element' END"""
+
+
+def _sql_feed_reject_reasons() -> str:
+    return _sql_odd_lines(f"{REASON} AS reason, count(*) AS n_lines") + "WHERE form BETWEEN 1 AND 10 GROUP BY 1"
+
+
+def _sql_feed_conservation() -> str:
+    return _sql_odd_lines("""CASE form WHEN 0 THEN '1' WHEN 11 THEN '4' WHEN 12 THEN '6' ELSE 'reject' END AS tag,
+       count(*) AS n_lines, CAST(sum(CASE WHEN form IN (11, 12) THEN 2 ELSE 1 END) AS BIGINT) AS n_rows""") + "GROUP BY 1"
+
+
 def _sql_stream_daily_ohlc() -> str:
     return with_views("trades") + """
 SELECT strftime(CAST(ts AS DATE), '%Y-%m-%d %H:%M:%S.%f') AS bucket, security_code,
@@ -1433,7 +1703,7 @@ def _sql_stream_top_movers() -> str:
 m AS (SELECT date_trunc('minute', ts) AS minute, security_code,
              arg_max(close_price, (ts, data_date)) AS close_price,
              arg_max(previous_price, (ts, data_date)) AS previous_price
-      FROM stock_summary GROUP BY 1, 2),
+      FROM stock_summary WHERE {MOD} BETWEEN 540 AND 1020 GROUP BY 1, 2),
 c AS (SELECT *, CAST(close_price - previous_price AS DOUBLE) / NULLIF(CAST(previous_price AS DOUBLE), 0) AS chg
       FROM m WHERE previous_price > 0),
 g AS (SELECT 'top_gainer' AS kind, minute, row_number() OVER (PARTITION BY minute ORDER BY chg DESC, security_code)
@@ -1512,4 +1782,23 @@ def oracle_sql() -> dict[str, str]:
         "stream_feed_trades": _sql_feed_trades(),
         "stream_top_movers": _sql_stream_top_movers(),
         "stream_sideways_state": _sql_sideways_60d(True),
+        "rebound_strict_loose": _sql_rebound_strict(5, LOOSE_SHADOW),
+        "rebound_strict_backtest": _sql_rebound_backtest(5),
+        "avg_volume_daily": _sql_daily_stats("CAST(sum(trade_volume) AS DOUBLE) AS vol_sum, "
+                                             "count(DISTINCT data_date) AS vol_days"),
+        "range_stats": _sql_daily_stats(
+            "CAST(sum(trade_volume) AS DOUBLE) AS vol_sum, CAST(max(close_price) AS DOUBLE) AS max_price_20d, "
+            "CAST(min(close_price) AS DOUBLE) AS min_price_20d, count(DISTINCT data_date) AS vol_days"),
+        "ma20_swing_last_hit": _sql_ma20_swing_last_hit(),
+        "coverage_current_date": _sql_coverage_current_date(),
+        "market_cap_load": _sql_market_cap_load(),
+        "feed_trades_eod": _sql_feed_trades_eod(),
+        "feed_index": _sql_feed_index(),
+        "feed_stock_master": _sql_feed_stock_master(),
+        "feed_brokers": _sql_feed_brokers(),
+        "feed_reject_reasons": _sql_feed_reject_reasons(),
+        "feed_conservation": _sql_feed_conservation(),
+        "stream_two_feeds": _sql_feed_trades(),
+        "stream_eod_resend": _sql_stream_eod_resend(),
+        "stream_sideways_late": _sql_sideways_60d(False),
     }

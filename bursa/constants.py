@@ -62,5 +62,6 @@ MARK_NO = "✗"
 WORD_YES = "YES"
 WORD_NO = "NO"
 TOP_LIST_SIZE = 10
+MOVERS_SESSION = (540, 1020)   # minutes of day 09:00 to 17:00 for which movers are listed
 CANDIDATE_LIST_SIZE = 20
 MISSING_LIST_SIZE = 50

@@ -5,10 +5,11 @@ price and running volume, value and trade count. A plain running window over
 (symbol, day) puts a hot symbol-day into one task, so the totals are built in two
 levels, exactly:
 
-1. running aggregates inside (symbol, day, time slice) — many small partitions;
+1. running aggregates inside (symbol, day, time slice) — many small partitions, a burst
+   cut at its own quantiles (``slices.py``);
 2. per slice totals (one row per slice, hash-aggregated), turned into "everything
-   before this slice" prefixes by a window over at most ``1440 / slice_minutes``
-   rows per symbol-day, joined back and combined with the in-slice running values.
+   before this slice" prefixes by a window over the slices of a symbol-day (their number
+   is bounded), joined back and combined with the in-slice running values.
 """
 
 from __future__ import annotations
@@ -16,15 +17,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from bursa.operators.slices import HOT_ROWS, with_slices
 
-def day_cumulative(trades: DataFrame, slice_minutes: int = 5) -> DataFrame:
+
+def day_cumulative(trades: DataFrame, slice_minutes: int = 5, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Add ``opening_price``, ``highest_price``, ``lowest_price``, ``trade_volume``,
     ``trade_value`` (rounded) and ``trade_frequency`` running over each symbol's
     ``trade_date``, ordered by ``(ts, trade_no)``."""
-    sl = F.floor((F.hour("ts") * 60 + F.minute("ts")) / F.lit(slice_minutes)).cast("int")
+    trades, slices = with_slices(trades, ["security_code", "trade_date"], minutes=slice_minutes, hot_rows=hot_rows)
     # traded value in integer cents: exact long arithmetic on the per-trade hot path
-    t = trades.withColumns({"__slice": sl, "__pv": (F.col("price") * 100).cast("bigint") * F.col("volume")})
-    keys = ["security_code", "trade_date", "__slice"]
+    t = trades.withColumn("__pv", (F.col("price") * 100).cast("bigint") * F.col("volume"))
+    keys = ["security_code", "trade_date", *slices]
     w = (Window.partitionBy(*keys).orderBy("ts", "trade_no")
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     t = t.withColumns({
@@ -34,7 +37,7 @@ def day_cumulative(trades: DataFrame, slice_minutes: int = 5) -> DataFrame:
     per_slice = t.groupBy(*keys).agg(
         F.max("__first").alias("__s_first"), F.max("price").alias("__s_hi"), F.min("price").alias("__s_lo"),
         F.sum("volume").alias("__s_v"), F.sum("__pv").alias("__s_pv"), F.count(F.lit(1)).alias("__s_n"))
-    day = Window.partitionBy("security_code", "trade_date").orderBy("__slice")
+    day = Window.partitionBy("security_code", "trade_date").orderBy(*slices)
     before = day.rowsBetween(Window.unboundedPreceding, -1)
     prefix = per_slice.select(
         *keys,

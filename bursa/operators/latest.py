@@ -86,6 +86,37 @@ def eod_snapshots(summary: DataFrame, board: str | None = None, lo: Column | str
     return latest_per_key(s, ["security_code", "data_date"], [F.col("ts").desc()])
 
 
+def nth_last_day(df: DataFrame, col: str, n: int) -> Column:
+    """The ``n``-th last distinct day of a table as a scalar subquery (its first, if it has
+    fewer): the trading-day index by which a last-n-days screen prunes partitions. The
+    set of days is bounded by the calendar."""
+    days = F.sort_array(F.collect_set(col), asc=False)
+    return df.select(F.element_at(days, F.greatest(F.lit(1), F.least(F.lit(n), F.size(days)))).alias("d")).scalar()
+
+
+def recent_rows(df: DataFrame, by: str, day: str, n: int, codes: DataFrame, reduce=None) -> DataFrame:
+    """The last ``n`` day rows of each of ``codes``, read from the last partitions.
+
+    Rows of the table's last ``n`` trading days hold the last n rows of every code that
+    traded on each of them. Codes with gaps, that have fewer rows there, are read from the
+    older days too, by a semi-join, so the result is exact for all of ``codes``.
+    ``reduce`` makes day rows of a frame (one per code and day); a ``trade_year`` column,
+    where the frame has one, prunes year partitions by the same bound.
+    """
+    reduce = reduce or (lambda x: x)
+    wanted = codes.select(by).distinct()
+    bound = nth_last_day(df, day, n)
+    new, old = df.where(F.col(day) >= bound), df.where(F.col(day) < bound)
+    if "trade_year" in df.columns:
+        new, old = new.where(F.col("trade_year") >= F.year(bound)), old.where(F.col("trade_year") <= F.year(bound))
+    near = reduce(new.join(wanted, by, "left_semi"))
+    have = near.groupBy(by).agg(F.count(F.lit(1)).alias("__have"))
+    gaps = wanted.join(have, by, "left").where(F.coalesce("__have", F.lit(0)) < n).select(by)
+    rows = near.unionByName(reduce(old.join(gaps, by, "left_semi")))
+    pos = F.row_number().over(Window.partitionBy(by).orderBy(F.col(day).desc()))
+    return rows.withColumn("__pos", pos).where(F.col("__pos") <= n).drop("__pos")
+
+
 def max_data_date(summary: DataFrame) -> Column:
     """``(SELECT MAX(data_date) FROM stock_summary)`` as a scalar subquery (B-13)."""
     return summary.select(F.max("data_date")).scalar()

@@ -83,39 +83,78 @@ def with_wilder_rsi(df: DataFrame, close: str = "close", by: str = "code", order
     """Wilder-smoothed RSI(n) (E-14, the recursive option).
 
     The first average is the mean of the first ``n`` gains/losses (exact decimal sum
-    / n); after that ``avg = (avg * (n - 1) + x) / n``. The recursion has no window
-    form, so each symbol's daily bars go through ``applyInPandas`` — one group is
-    one symbol's calendar of bars (bounded by days, not by data volume), the same
-    unit a day-grain window partition holds. NULL until ``n`` changes exist; 100
-    when the average loss is 0.
+    / n); after that ``avg = (avg * (n - 1) + x) / n``. The recursion has no window form:
+    each symbol's bars are gathered, sorted, and folded by the built-in ``aggregate``, so
+    no row leaves the JVM. One array is one symbol's calendar of bars, the same unit a
+    day-grain window partition holds. NULL until ``n`` changes exist; 100 when the average
+    loss is 0. ``order`` must be unique within a symbol and ``close`` not null.
     """
-    import math
-
-    import pandas as pd
-    from pyspark.sql import types as T
-
-    schema = T.StructType(df.schema.fields + [T.StructField(name, T.DoubleType(), True)])
-
-    def per_symbol(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(order, kind="mergesort").reset_index(drop=True)
-        closes = list(pdf[close])
-        out = [None] * len(closes)
-        ag = al = None
-        gains, losses = [], []
-        for i in range(1, len(closes)):
-            chg = closes[i] - closes[i - 1]  # exact decimal difference
-            g, l_ = (chg if chg > 0 else 0), (-chg if chg < 0 else 0)
-            if ag is None:
-                gains.append(g)
-                losses.append(l_)
-                if len(gains) == n:
-                    ag, al = float(sum(gains)) / n, float(sum(losses)) / n
-            else:
-                ag = (ag * (n - 1) + float(g)) / n
-                al = (al * (n - 1) + float(l_)) / n
-            if ag is not None:
-                out[i] = 100.0 if al == 0 else 100.0 - 100.0 / (1.0 + ag / al)
-        pdf[name] = [None if v is None or (isinstance(v, float) and math.isnan(v)) else v for v in out]
-        return pdf
-
-    return df.groupBy(by).applyInPandas(per_symbol, schema)
+    rest = [c for c in df.columns if c not in (order, close)]
+    bars = df.groupBy(F.col(by).alias("__by")).agg(F.array_sort(F.collect_list(
+        F.struct(F.col(order), F.col(close).cast("decimal(30,2)").alias("__close"), F.col(close),
+                 F.struct(*rest).alias("__rest")))).alias("__bars"))
+    # changes between neighbours, then (gain, loss) of each
+    bars = bars.withColumn("__moves", F.expr("""
+        transform(slice(__bars, 2, greatest(size(__bars) - 1, 0)), (b, i) -> b.__close - __bars[i].__close)"""))
+    bars = bars.withColumn("__moves", F.expr("""
+        transform(__moves, m -> struct(greatest(m, 0) AS gain, greatest(-m, 0) AS loss))"""))
+
+    def first(part: str) -> str:  # exact sum of the first n, then one division
+        return (f"CAST(aggregate(slice(__moves, 1, {n}), CAST(0 AS DECIMAL(38,2)), "
+                f"(a, m) -> CAST(a + m.{part} AS DECIMAL(38,2))) AS DOUBLE) / {n}D")
+
+    def smoothed(part: str) -> str:
+        return f"(s.{part} * {n - 1}D + CAST(m.{part} AS DOUBLE)) / {n}D"
+
+    state = "struct<gain: double, loss: double, out: array<struct<gain: double, loss: double>>>"
+    fold = f"""
+        aggregate(slice(__moves, {n + 1}, greatest(size(__moves) - {n}, 0)),
+                  CAST(named_struct('gain', __g, 'loss', __l, 'out', array(named_struct('gain', __g, 'loss', __l)))
+                       AS {state}),
+                  (s, m) -> CAST(named_struct('gain', {smoothed("gain")}, 'loss', {smoothed("loss")}, 'out',
+                      concat(s.out, array(named_struct('gain', {smoothed("gain")}, 'loss', {smoothed("loss")}))))
+                      AS {state}),
+                  s -> s.out)"""
+    bars = bars.withColumns({"__g": F.expr(first("gain")), "__l": F.expr(first("loss"))})
+    bars = bars.withColumn("__avg", F.expr(f"CASE WHEN size(__moves) >= {n} THEN {fold} END"))
+    rows = bars.select(F.posexplode("__bars").alias("__i", "__bar"), "__avg")
+    avg = F.try_element_at("__avg", F.when(F.col("__i") >= n, F.col("__i") - n + 1))
+    value = F.when(avg["loss"] == 0, F.lit(100.0)).otherwise(
+        F.lit(100.0) - F.lit(100.0) / (F.lit(1.0) + avg["gain"] / avg["loss"]))
+    back = {c: F.col(f"__bar.__rest.{c}") for c in rest} | {order: F.col(f"__bar.{order}"), close: F.col(f"__bar.{close}")}
+    return rows.select(*[back[c].alias(c) for c in df.columns],
+                       F.when((F.col("__i") >= n) & avg.isNotNull(), value).alias(name))
+
+
+def with_extremes(df: DataFrame, specs: dict[str, tuple[str, str, int]], by: str, order: str) -> DataFrame:
+    """Highest / lowest of the last ``n`` rows (E-12) in log2(n) steps a row instead of n.
+
+    ``specs`` maps an output name to ``(column, "max" or "min", n)``. The extreme of 2k
+    rows is that of the last k rows and of the k rows before them, read by ``LAG``, so
+    each doubling serves every longer frame of the column, and a frame of n rows is two
+    overlapping ones of the largest power of two below n. All steps share one exchange
+    and one sort; a sliding frame would compare n values for every row. NULLs are skipped
+    and frames at a symbol's start are as short as its rows, as in a ROWS frame.
+    """
+    w = Window.partitionBy(by).orderBy(order)
+    pick = {"max": F.greatest, "min": F.least}
+    lines: dict[tuple[str, str], list[str]] = {}
+    for col, kind, n in specs.values():
+        lines.setdefault((col, kind), [col])
+    reach, names = 1, []
+    longest = max(n for _, _, n in specs.values())
+    out = df
+    while reach * 2 <= longest:
+        step = {}
+        for (col, kind), levels in lines.items():
+            if reach * 2 <= max(n for c, k, n in specs.values() if (c, k) == (col, kind)):
+                levels.append(f"__{kind}_{col}_{reach * 2}")
+                step[levels[-1]] = pick[kind](F.col(levels[-2]), F.lag(levels[-2], reach).over(w))
+        names += step
+        out, reach = out.withColumns(step), reach * 2
+    last = {}
+    for name, (col, kind, n) in specs.items():
+        level = n.bit_length() - 1
+        top, shift = lines[col, kind][level], n - (1 << level)
+        last[name] = pick[kind](F.col(top), F.lag(top, shift).over(w)) if shift else F.col(top)
+    return out.withColumns(last).drop(*names)

@@ -4,7 +4,8 @@ Tick direction needs the previous trade of the same symbol and day. A plain
 ``LAG`` over ``(symbol, day)`` puts a hot symbol-day into one task, so the lag is
 taken in two levels, exactly:
 
-1. ``LAG`` inside (symbol, day, time slice) — many small window partitions;
+1. ``LAG`` inside (symbol, day, time slice) — many small window partitions, a burst cut
+   at its own quantiles (``slices.py``);
 2. the first trade of a slice takes the last price of the previous non-empty slice,
    found by a ``LAG`` over the per-slice last prices (one row per slice).
 
@@ -19,29 +20,30 @@ from pyspark.sql import functions as F
 from bursa import constants as K
 
 from bursa.functions.expr import flag, round_half_away, seconds_between
+from bursa.operators.slices import HOT_ROWS, with_slices
 
 
-def tick_direction(trades: DataFrame, slice_minutes: int = 5) -> DataFrame:
+def tick_direction(trades: DataFrame, slice_minutes: int = 5, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Add ``trade_day``, ``prev_price``, ``is_price_up`` and ``is_price_down`` per trade.
 
     Trades are ordered by ``(ts, trade_no)`` within symbol and calendar day of ``ts``
     (Q4: ``trade_no`` breaks ties between same-instant trades).
     """
-    sl = F.floor((F.hour("ts") * 60 + F.minute("ts")) / F.lit(slice_minutes)).cast("int")
-    t = trades.withColumns({"trade_day": F.to_date("ts"), "__slice": sl})
-    keys = ["security_code", "trade_day", "__slice"]
+    t, slices = with_slices(trades.withColumn("trade_day", F.to_date("ts")), ["security_code", "trade_day"],
+                            minutes=slice_minutes, hot_rows=hot_rows)
+    keys = ["security_code", "trade_day", *slices]
     w = Window.partitionBy(*keys).orderBy("ts", "trade_no")
     t = t.withColumns({"__prev_in_slice": F.lag("price").over(w),
                        "__is_last": F.lead("trade_no").over(w).isNull()})
     last = t.where(F.col("__is_last")).select(*keys, F.col("price").alias("__last_price"))
     carry = last.select(*keys, F.lag("__last_price").over(
-        Window.partitionBy("security_code", "trade_day").orderBy("__slice")).alias("__prev_slice_price"))
+        Window.partitionBy("security_code", "trade_day").orderBy(*slices)).alias("__prev_slice_price"))
     j = t.join(carry, keys, "left")
     prev = F.coalesce(F.col("__prev_in_slice"), F.col("__prev_slice_price"))
     return (j.withColumns({"prev_price": prev,
                            "is_price_up": flag(F.col("price") > prev),
                            "is_price_down": flag(F.col("price") < prev)})
-             .drop("__slice", "__prev_in_slice", "__is_last", "__prev_slice_price"))
+             .drop(*slices, "__prev_in_slice", "__is_last", "__prev_slice_price"))
 
 
 def trade_tape_summary(ticks: DataFrame, *, min_trades: int = K.MIN_TAPE_TRADES, large_volume: int = K.LARGE_TRADE_VOLUME) -> DataFrame:

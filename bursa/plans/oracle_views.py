@@ -11,10 +11,18 @@ CODE = "'S' || lpad(CAST({x} AS VARCHAR), CAST(greatest(4, length(CAST({x} AS VA
 VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
     "trades": ((), f"""
 SELECT event_id AS trade_no, strftime(ts, '%Y%m%d') AS trade_date, strftime(ts, '%H%M%S') AS trade_time, ts,
-       {CODE.format(x='user_id % 50')} AS security_code,
+       {CODE.format(x='(user_id // 5)')} AS security_code,
        CASE WHEN event_type = 'error' THEN 'NG' ELSE 'RG' END AS board_code,
        CAST(value AS DECIMAL(12,2)) AS price, CAST(100 * (1 + event_id % 50) AS BIGINT) AS volume
 FROM events"""),
+    "trades_eod": (("trades",), """
+SELECT trade_no, CAST(trade_no % 2 + 1 AS INTEGER) AS session, board_code, 'B' || (trade_no % 97) AS seller_broker,
+       substr('IASF', CAST(trade_no % 4 + 1 AS INTEGER), 1) AS seller_investor_type,
+       'B' || (trade_no * 7 % 89) AS buyer_broker,
+       substr('IASF', CAST(trade_no // 4 % 4 + 1 AS INTEGER), 1) AS buyer_investor_type, security_code, volume, price,
+       CAST(ts AS DATE) AS trade_date, trade_no * 2 AS seller_order_no, trade_no * 2 + 1 AS buyer_order_no,
+       trade_time, ts
+FROM trades"""),
     "stock_summary": (("trades",), """
 WITH r AS (
   SELECT trade_date AS data_date, trade_time AS data_time, ts, security_code, board_code,
@@ -34,7 +42,7 @@ SELECT r.data_date, r.data_time, r.ts, r.security_code, r.board_code, r.opening_
        r.lowest_price, r.close_price, r.trade_volume, r.trade_value, r.trade_frequency, e.previous_price
 FROM r JOIN e USING (security_code, data_date)"""),
     "history_ohlc": ((), f"""
-SELECT {CODE.format(x='l_suppkey % 10')} AS code, CAST(l_shipdate AS DATE) AS trade_date,
+SELECT {CODE.format(x='l_suppkey')} AS code, CAST(l_shipdate AS DATE) AS trade_date,
        arg_min(p, (k, p)) AS "open", max(p) AS high, min(p) AS low, arg_max(p, (k, p)) AS "close",
        CAST(sum(v) AS BIGINT) AS volume, CAST(round(sum(p * v)) AS BIGINT) AS "value",
        count(*) AS freq
@@ -50,7 +58,7 @@ SELECT ts, security_code, side,
        CAST(row_number() OVER (PARTITION BY security_code, ts, side
                                ORDER BY CASE WHEN side = 'B' THEN -price ELSE price END, event_id) AS INTEGER) AS level,
        frequency, price, volume
-FROM (SELECT date_trunc('hour', ts) AS ts, {CODE.format(x='user_id % 50')} AS security_code,
+FROM (SELECT date_trunc('hour', ts) AS ts, {CODE.format(x='(user_id // 5)')} AS security_code,
              CASE WHEN event_id % 2 = 0 THEN 'B' ELSE 'O' END AS side,
              CAST(1 + event_id % 7 AS INTEGER) AS frequency, CAST(value AS DECIMAL(12,2)) AS price,
              CAST(100 * (1 + event_id % 50) AS BIGINT) AS volume, event_id

@@ -94,6 +94,23 @@ def sideways_screen(bars: DataFrame, days: int = K.SIDEWAYS_DAYS_SHORT, *, max_r
     return out.orderBy("range_ratio", "symbol", "trade_date")
 
 
+def sideways_from_summary(summary: DataFrame, days: int = K.SIDEWAYS_DAYS_SHORT, *, as_of=None, **params) -> DataFrame:
+    """S-37 for the last day straight from the snapshots: only the partitions of the days
+    in the last day's frame are read. ``data_date`` is within a day of ``ts``, by which
+    bars are dated, so its bounds leave a day on either side."""
+    as_of = _as_of_date(as_of)
+    if as_of is not None:
+        summary = summary.where(F.col("data_date") <= F.date_format(F.date_add(as_of, 1), "yyyyMMdd"))
+        summary = summary.where(F.to_date("ts") <= as_of)
+    newest = summary.select(F.max("data_date")).scalar()
+    near = summary.where(F.col("data_date") >= F.date_format(F.date_sub(F.to_date(newest, "yyyyMMdd"), 2), "yyyyMMdd"))
+    last = near.select(F.to_date(F.max("ts"))).scalar()
+    lo = F.date_sub(last, days)
+    s = summary.where((F.col("data_date") >= F.date_format(F.date_sub(lo, 1), "yyyyMMdd"))
+                      & (F.col("ts") >= lo.cast("timestamp_ntz")))
+    return sideways_screen(daily_bars(s), days, last_day_only=True, **params)
+
+
 def sideways_state(daily_ohlc: DataFrame, days: int = K.SIDEWAYS_DAYS_NIGHTLY, *, max_range=K.SIDEWAYS_RANGE,
                    max_volume=K.SIDEWAYS_VOLUME, min_avg_value=K.SIDEWAYS_VALUE_NIGHTLY, last_day_only: bool = True,
                    as_of=None) -> DataFrame:

@@ -16,7 +16,7 @@ from bursa import constants as K
 
 from bursa.functions.expr import (cross_ge, cross_gt, cross_le, dec, guarded_ratio, mark, pct_change, ratio,
                                   round_half_away)
-from bursa.operators.latest import eod_snapshots, latest_per_key, latest_snapshot, max_data_date
+from bursa.operators.latest import eod_snapshots, latest_per_key, latest_snapshot, max_data_date, recent_rows
 from bursa.operators.rolling import last_rows, rows_window, with_moving_sums
 from bursa.operators.session import afternoon_volume_trend
 
@@ -33,21 +33,30 @@ def avg_of(name: str) -> Column:
     return guarded_ratio(f"{name}_sum", f"{name}_n")
 
 
-def latest_ma5_history(history: DataFrame) -> DataFrame:
-    """S-29: MA5 of close and the last volume at each code's latest bar."""
+def latest_ma5_history(history: DataFrame, codes: DataFrame | None = None) -> DataFrame:
+    """S-29: MA5 of close and the last volume at each code's latest bar.
+
+    With ``codes`` (a frame with ``security_code``) only theirs, from the last trading
+    days' partitions and, for codes with gaps, older ones."""
     h = history.where(F.col("close").isNotNull() & F.col("volume").isNotNull())
-    h = with_moving(last_rows(h, "code", "trade_date", 5), "close", 5, "ma5", "code", "trade_date")
+    h = last_rows(h, "code", "trade_date", 5) if codes is None else recent_rows(
+        h, "code", "trade_date", 5, codes.select(F.col("security_code").alias("code")))
+    h = with_moving(h, "close", 5, "ma5", "code", "trade_date")
     last = latest_per_key(h, ["code"], [F.col("trade_date").desc()])
     return last.select(F.col("code").alias("security_code"), "ma5_sum", "ma5_n", "trade_date",
                        F.col("volume").alias("yesterday_volume"))
 
 
-def latest_ma5_summary(summary: DataFrame) -> DataFrame:
+def latest_ma5_summary(summary: DataFrame, codes: DataFrame | None = None) -> DataFrame:
     """S-30 at day grain (Q3): MA5 over end-of-day closes at each symbol's latest day,
-    and the volume of the trading day before it."""
-    d = eod_snapshots(summary, require=["close_price", "trade_volume"])
-    d = with_moving(last_rows(d, "security_code", "data_date", 6), "close_price", 5, "ma5", "security_code",
-                    "data_date")
+    and the volume of the trading day before it.
+
+    With ``codes`` (a frame with ``security_code``) only theirs: six days' partitions are
+    read and, for symbols that did not trade on all of them, older ones."""
+    eod = lambda s: eod_snapshots(s, require=["close_price", "trade_volume"])
+    d = last_rows(eod(summary), "security_code", "data_date", 6) if codes is None else recent_rows(
+        summary, "security_code", "data_date", 6, codes, eod)
+    d = with_moving(d, "close_price", 5, "ma5", "security_code", "data_date")
     d = d.withColumn("yesterday_volume",
                      F.lag("trade_volume").over(Window.partitionBy("security_code").orderBy("data_date")))
     last = latest_per_key(d, ["security_code"], [F.col("data_date").desc()])
@@ -60,7 +69,7 @@ def daily_trading_screen(summary: DataFrame, *, min_value=K.LIQUID_VALUE, up=K.D
     value > min_value and a rising afternoon volume, on the latest date."""
     day = max_data_date(summary)
     ls = latest_snapshot(summary, day).withColumnRenamed("close_price", "current_price")
-    ma5 = latest_ma5_summary(summary)
+    ma5 = latest_ma5_summary(summary, ls)
     avt = afternoon_volume_trend(summary, day, clock=clock).select("security_code", "is_volume_increasing")
     j = ls.join(ma5, "security_code").join(avt, "security_code")
     cond = (cross_ge("current_price", 1, "ma5_sum", "ma5_n")
@@ -80,7 +89,7 @@ def daily_trading_marks(summary: DataFrame, history: DataFrame, n: int = K.TOP_L
     """S-32: the daily-screen rules as marks for the top ``n`` symbols by value, MA5 from history."""
     day = max_data_date(summary)
     ls = latest_snapshot(summary, day).withColumnRenamed("close_price", "current_price")
-    ma5 = latest_ma5_history(history).drop("trade_date")
+    ma5 = latest_ma5_history(history, ls).drop("trade_date")
     j = ls.join(ma5, "security_code", "left")
     return j.select(
         "security_code", "data_date", "current_price", "opening_price", "previous_price",
@@ -125,6 +134,14 @@ def ma_coverage(history: DataFrame, n: int = 5) -> DataFrame:
         F.count_distinct("code").alias("stock_count"), F.max("trade_date").alias("latest_ma5_date"))
 
 
+def on_day(history: DataFrame, day: Column) -> DataFrame:
+    """The codes that have a bar on ``day``; a last-day screen needs no others."""
+    h = history.where(F.col("trade_date") == day)
+    if "trade_year" in history.columns:
+        h = h.where(F.col("trade_year") == F.year(day))
+    return h.select("code")
+
+
 # --- history screens ------------------------------------------------------------------------
 
 def ma5_breakout(history: DataFrame, *, latest_only: bool = True, min_value=K.LIQUID_VALUE, up=K.DAILY_UP,
@@ -132,11 +149,12 @@ def ma5_breakout(history: DataFrame, *, latest_only: bool = True, min_value=K.LI
     """S-33: close > MA5, close >= up x previous close, green candle, volume >=
     vol_floor x previous volume, value > min_value — on the last day or every day."""
     w = Window.partitionBy("code").orderBy("trade_date")
-    h = last_rows(history, "code", "trade_date", 6) if latest_only else history
+    last_day = history.select(F.max("trade_date")).scalar()
+    h = recent_rows(history, "code", "trade_date", 6, on_day(history, last_day)) if latest_only else history
     b = with_moving(h, "close", 5, "ma5", "code", "trade_date").withColumns({
         "prev_close": F.lag("close").over(w), "prev_volume": F.lag("volume").over(w)})
     if latest_only:
-        b = b.where(F.col("trade_date") == history.select(F.max("trade_date")).scalar())
+        b = b.where(F.col("trade_date") == last_day)
     cond = (cross_gt("close", 1, "ma5_sum", "ma5_n") & (F.col("close") >= F.col("prev_close") * dec(up))
             & (F.col("close") >= F.col("open")) & (F.col("volume") >= F.col("prev_volume") * dec(vol_floor))
             & (F.col("value") > F.lit(int(min_value))))
@@ -153,8 +171,9 @@ def ma20_swing(history: DataFrame, *, latest_only: bool = False, min_value=K.LIQ
     """S-34 / S-35: price within [MA20, 1.03 x MA20], volume surge against yesterday
     and against the 20-day average, full 20-row window, liquid, price > min_price."""
     h = history.where(F.col("close").isNotNull() & F.col("volume").isNotNull() & F.col("value").isNotNull())
+    last_day = h.select(F.max("trade_date")).scalar()
     if latest_only:
-        h = last_rows(h, "code", "trade_date", n + 1)
+        h = recent_rows(h, "code", "trade_date", n + 1, on_day(h, last_day))
     h = with_moving(h, "close", n, "pma", "code", "trade_date")
     h = with_moving(h, "volume", n, "vma", "code", "trade_date", "decimal(30,0)")
     h = h.withColumns({
@@ -162,9 +181,7 @@ def ma20_swing(history: DataFrame, *, latest_only: bool = False, min_value=K.LIQ
         "days_count": F.count(F.lit(1)).over(rows_window("code", "trade_date", n)),
     })
     if latest_only:
-        h = h.where(F.col("trade_date") == history.where(
-            F.col("close").isNotNull() & F.col("volume").isNotNull() & F.col("value").isNotNull()
-        ).select(F.max("trade_date")).scalar())
+        h = h.where(F.col("trade_date") == last_day)
     cond = ((F.col("days_count") == n) & (F.col("value") >= F.lit(int(min_value)))
             & (F.col("close") > F.lit(min_price))
             & cross_ge("close", 1, "pma_sum", "pma_n")

@@ -4,9 +4,9 @@ The market tables do not exist in the test data, so every query runs on these
 deterministic views. All views are lazy DataFrames over the Parquet scans, so their
 work grows with the input tables and Catalyst prunes columns through them.
 
-* ``trades``        <- ``events``  (one trade per event, 50 symbols)
+* ``trades``        <- ``events``  (one trade per event, a symbol for every five users)
 * ``stock_summary`` <- ``trades``  (day-cumulative snapshot after every trade)
-* ``history_ohlc``  <- ``lineitem`` (one bar per symbol and ship date)
+* ``history_ohlc``  <- ``lineitem`` (one bar per supplier and ship date)
 * ``daily_ohlc``    <- ``history_ohlc``
 * ``orderbook``     <- ``events`` (hourly book, level = price rank per side)
 * ``stock_fundamentals`` <- ``supplier`` (suppliers with a positive balance)
@@ -37,13 +37,26 @@ def trades(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.date_format("ts", "yyyyMMdd").alias("trade_date"),
         F.date_format("ts", "HHmmss").alias("trade_time"),
         F.col("ts"),
-        _code(F.col("user_id") % 50).alias("security_code"),
+        _code(F.expr("user_id div 5")).alias("security_code"),
         F.when(F.col("event_type") == "error", F.lit("NG")).otherwise(F.lit("RG")).alias("board_code"),
         F.col("value").cast(PRICE).alias("price"),
         (F.lit(100) * (F.lit(1) + F.col("event_id") % 50)).cast("bigint").alias("volume"),
     )
 
 
+def trades_eod(spark: SparkSession, sf_dir: str, get=None) -> DataFrame:
+    """The trades with the brokers, investor types and order numbers of the end-of-day resend."""
+    t, no = _resolver(spark, sf_dir, get)("trades"), F.col("trade_no")
+    kind = lambda k: F.substring(F.lit("IASF"), (k % 4 + 1).cast("int"), F.lit(1))
+    return t.select(
+        "trade_no", (no % 2 + 1).cast("int").alias("session"), "board_code",
+        F.concat(F.lit("B"), (no % 97).cast("string")).alias("seller_broker"), kind(no).alias("seller_investor_type"),
+        F.concat(F.lit("B"), (no * 7 % 89).cast("string")).alias("buyer_broker"),
+        kind(F.floor(no / 4).cast("bigint")).alias("buyer_investor_type"), "security_code", "volume", "price",
+        F.to_date("ts").alias("trade_date"), (no * 2).alias("seller_order_no"), (no * 2 + 1).alias("buyer_order_no"),
+        "trade_time", "ts")
+
+
 def summary_from_trades(t: DataFrame) -> DataFrame:
     """Day-cumulative snapshots: one row per trade carrying the running OHLC,
     volume, value and count of its symbol-day, plus the previous day's close."""
@@ -73,7 +86,7 @@ def stock_summary(spark: SparkSession, sf_dir: str, get=None) -> DataFrame:
 
 def history_ohlc(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = _read(spark, sf_dir, "lineitem").select(
-        _code(F.col("l_suppkey") % 10).alias("code"),
+        _code(F.col("l_suppkey")).alias("code"),
         F.to_date("l_shipdate").alias("trade_date"),
         F.col("l_extendedprice").cast(PRICE).alias("p"),
         F.col("l_quantity").cast("bigint").alias("v"),
@@ -103,7 +116,7 @@ def orderbook(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = _read(spark, sf_dir, "events")
     o = e.select(
         F.date_trunc("hour", "ts").alias("ts"),
-        _code(F.col("user_id") % 50).alias("security_code"),
+        _code(F.expr("user_id div 5")).alias("security_code"),
         F.when(F.col("event_id") % 2 == 0, F.lit("B")).otherwise(F.lit("O")).alias("side"),
         (F.lit(1) + F.col("event_id") % 7).cast("int").alias("frequency"),
         F.col("value").cast(PRICE).alias("price"),
@@ -159,6 +172,7 @@ def free_float(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 VIEWS = {
     "trades": trades,
+    "trades_eod": trades_eod,
     "stock_summary": stock_summary,
     "history_ohlc": history_ohlc,
     "daily_ohlc": daily_ohlc,
@@ -186,10 +200,8 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     derived from the raw test tables."""
     stored = _stored_path(spark, sf_dir, name)
     if stored is not None:
-        from bursa.sources.schemas import SCHEMAS
-        if name in SCHEMAS:
-            return spark.read.schema(SCHEMAS[name]).parquet(stored)
-        return spark.read.parquet(stored)
+        from bursa.sources.schemas import SCHEMAS, read_table
+        return read_table(spark, name, stored, partitions=True) if name in SCHEMAS else spark.read.parquet(stored)
     return VIEWS[name](spark, sf_dir)
 
 
@@ -199,7 +211,7 @@ def materialize(spark: SparkSession, sf_dir: str, out_dir: str, names=None) -> d
     another market table (snapshots from trades, daily bars and market caps from the
     history) are built from the stored parent, so each derivation runs once.
     Returns the table paths."""
-    from bursa.sources.schemas import PARTITION_COLUMNS, SCHEMAS
+    from bursa.sources.schemas import PARTITION_COLUMNS, SCHEMAS, with_partitions
     base = f"{out_dir.rstrip('/')}/{MARKET_DIR}"
     paths: dict[str, str] = {}
 
@@ -213,7 +225,7 @@ def materialize(spark: SparkSession, sf_dir: str, out_dir: str, names=None) -> d
         fn = VIEWS[name]
         df = fn(spark, sf_dir, get) if "get" in fn.__code__.co_varnames else fn(spark, sf_dir)
         if name in SCHEMAS:
-            df = df.select(*[F.col(f.name).cast(f.dataType) for f in SCHEMAS[name].fields])
+            df = with_partitions(df.select(*[F.col(f.name).cast(f.dataType) for f in SCHEMAS[name].fields]), name)
         w = df.write.mode("overwrite")
         parts = PARTITION_COLUMNS.get(name)
         if parts:

@@ -5,9 +5,13 @@ string column ``value`` (``spark.read.text`` or ``spark.readStream.text``) and
 returns typed rows, so one code path serves batch and Structured Streaming. Any
 other columns of the input (e.g. ``received_at``) are carried through.
 
-Parsing is one projection: ``split`` on ``|``, ``try_cast`` per field. A line with a
-wrong prefix, unknown type, wrong field count, or a failed cast goes to
-``feed_rejects`` with a reason instead of failing the job.
+All parsers read one projection, ``tag_lines``: a line is split and checked once and
+becomes an array of tagged elements -- one for a fixed record, one per level of a book
+line, one per code of a list line, or one reject with its reason -- that ``inline`` fans
+out. Every line therefore gives either records or exactly one reject, which
+``feed_conservation`` counts. The fields of each record type stand in one table of
+checks that a single expression applies to every line, so parsing stays one pass
+whatever the number of record types.
 """
 
 from __future__ import annotations
@@ -25,19 +29,86 @@ TYPES = {"1": "trade", "2": "stock_summary", "3": "best_bid", "4": "best_offer",
 FIELD_COUNTS = {"1": 9, "2": 14, "8": 16, "9": 20, "A": 15, "B": 5, "C": 7}
 INVESTOR_TYPES = ("I", "A", "S", "F")
 
+# What each field after the type must be: s text, k key text (not empty), l bigint, i int, p price,
+# q decimal(20,2), d double, v investor type, o price or empty, t date whose time is a field further on.
+CHECKS = {"1": "tskslpl", "2": "tskspppplllo", "8": "lissvsvklptlls", "9": "ktsqqqqqqqlldiiiid", "A": "ksisspqllissl",
+          "B": "ksi", "C": "kllll"}
+assert {t: len(c) + 2 for t, c in CHECKS.items()} == FIELD_COUNTS
+
+
+def _fits(check: Column, x: Column, time: Column) -> Column:
+    """Whether a field is what its check asks for; ``time`` is the line's date and time."""
+    return (F.when(check == "s", True).when(check == "k", x != "")
+            .when(check == "l", x.try_cast("bigint").isNotNull()).when(check == "i", x.try_cast("int").isNotNull())
+            .when(check == "p", x.try_cast(PRICE).isNotNull())
+            .when(check == "q", x.try_cast("decimal(20,2)").isNotNull())
+            .when(check == "d", x.try_cast("double").isNotNull()).when(check == "v", x.isin(*INVESTOR_TYPES))
+            .when(check == "o", (x == "") | x.try_cast(PRICE).isNotNull()).otherwise(time.isNotNull()))
+
+
+def _line_time() -> Column:
+    """Date and time of the record types that have one (8 and 9 at other places than 1 and 2)."""
+    def at(day: int, clock: int, form: str) -> Column:
+        return F.try_to_timestamp(F.concat(F.get("__p", F.lit(day)), F.get("__p", F.lit(clock))), F.lit(form))
+
+    kind = F.get("__p", F.lit(1))
+    return F.when(kind.isin("1", "2"), at(2, 3, "yyyyMMddHHmmss")).when(kind == "9", at(3, 4, "yyyyMMddHHmmss")) \
+        .when(kind == "8", at(12, 15, "yyyy-MM-ddHHmmss"))
+
+
+def _elements() -> Column:
+    """The tagged elements of a line: array of (tag, pos, fields, reason)."""
+    p, n, kind = F.col("__p"), F.size("__p"), F.coalesce(F.get("__p", F.lit(1)), F.lit(""))
+    body = F.slice(p, 3, n)
+    table = F.create_map(*[x for t, c in CHECKS.items() for x in (F.lit(t), F.array(*map(F.lit, c)))])
+    checks = F.try_element_at(table, kind)
+    fits = F.zip_with(body, checks, lambda x, c: _fits(c, x, F.col("__time")))
+    code = F.get(p, F.lit(2))  # of a book line; read in place, as each level needs it
+    key = F.when(kind.isin("3", "4"), code).otherwise(F.get(body, F.array_position(checks, "k").cast("int") - 1))
+    book, ranks = kind.isin("3", "4"), kind.isin("5", "6", "7")
+    levels = F.split(F.regexp_replace(F.array_join(F.slice(p, 4, n), "|"), r"^\{[01]\}", ""), r"\|")
+    items = F.filter(F.when(book, levels).when(ranks, body), lambda x: x != "")
+
+    def element(tag: Column, pos: Column, fields: Column) -> Column:
+        return F.struct(tag.alias("tag"), pos.cast("int").alias("pos"), fields.alias("fields"),
+                        F.lit(None).cast("string").alias("reason"))
+
+    def reject(reason: str) -> Column:
+        return F.array(F.struct(F.lit("reject").alias("tag"), F.lit(0).alias("pos"),
+                                F.lit(None).cast("array<string>").alias("fields"), F.lit(reason).alias("reason")))
+
+    def good_level(x: Column) -> Column:
+        g = F.split(x, ";")
+        return ((F.size(g) == 3) & F.get(g, F.lit(0)).try_cast("int").isNotNull()
+                & F.get(g, F.lit(1)).try_cast(PRICE).isNotNull() & F.get(g, F.lit(2)).try_cast("bigint").isNotNull())
 
-def _parts(lines: DataFrame) -> DataFrame:
-    p = F.split(F.col("value"), r"\|", -1)
-    return lines.withColumns({"__p": p, "__n": F.size(p), "__type": F.get(p, F.lit(1))})
+    return (F.when(F.get(p, F.lit(0)) != "ANTR", reject("bad prefix"))
+            .when(~kind.isin(*TYPES), reject("unknown type"))
+            .when(F.when(book, n < 4).when(ranks, n < 3).otherwise(n != F.size(checks) + 2), reject("field count"))
+            .when(~ranks & (key == ""), reject("empty code"))
+            .when((book | ranks) & (F.size(items) == 0), reject("no element"))
+            .when(ranks, F.transform(items, lambda x, i: element(kind, i, F.array(x))))
+            .when(book & F.forall(items, good_level),
+                  F.transform(items, lambda x, i: element(kind, i, F.concat(F.array(code), F.split(x, ";")))))
+            .when(~book & F.forall(fits, lambda x: x), F.array(element(kind, F.lit(0), p)))
+            .otherwise(reject("bad value")))
 
 
-def _f(i: int) -> Column:
-    """A field of the line; NULL beyond its last one."""
-    return F.get("__p", F.lit(i))
+def tag_lines(lines: DataFrame, types=None) -> DataFrame:
+    """The one parse of a feed: per element of a line its columns, ``tag`` (the record
+    type, or ``reject``), ``pos`` (place in its line), ``fields`` and ``reason``.
 
+    ``types`` keeps the lines of these record types only. A null line is a line with a
+    bad prefix."""
+    out = lines.withColumn("__p", F.split(F.coalesce("value", F.lit("")), r"\|", -1))
+    if types is not None:
+        out = out.where(F.get("__p", F.lit(1)).isin(*types))
+    return out.withColumn("__time", _line_time()).select(*lines.columns, F.inline(_elements()))
 
-def _extra(lines: DataFrame) -> list[str]:
-    return [c for c in lines.columns if c != "value"]
+
+def _f(i: int) -> Column:
+    """A field of the line; NULL beyond its last one."""
+    return F.get("fields", F.lit(i))
 
 
 def _ts(date_col: Column, time_col: Column, fmt: str = "yyyyMMddHHmmss") -> Column:
@@ -111,24 +182,25 @@ def _book_summary_fields():
 
 FIELDS = {"1": _trade_fields, "2": _summary_fields, "8": _eod_fields, "9": _index_fields,
           "A": _stock_fields, "B": _broker_fields, "C": _book_summary_fields}
-OPTIONAL = {"2": {"previous_price"}, "A": {"remarks", "security_remarks2"}}
 
 
-def _all_ok(type_code: str) -> Column:
-    """Every required field parses; optional fields are empty or parse."""
-    ok = F.lit(True)
-    for name, (pos, value) in FIELDS[type_code]().items():
-        if name in OPTIONAL.get(type_code, ()):
-            ok = ok & ((_f(pos) == "") | value.isNotNull())
-        else:
-            ok = ok & value.isNotNull()
-    return ok
+def _is_tagged(lines: DataFrame) -> bool:
+    return {"tag", "pos", "fields", "reason"} <= set(lines.columns)
+
+
+def _tagged(lines: DataFrame, *types: str) -> DataFrame:
+    """The elements of these record types, from lines or from an earlier ``tag_lines``."""
+    tagged = lines if _is_tagged(lines) else tag_lines(lines, types)
+    return tagged.where(F.col("tag").isin(*types))
+
+
+def _carried(tagged: DataFrame) -> list[str]:
+    return [c for c in tagged.columns if c not in ("value", "tag", "pos", "fields", "reason")]
 
 
 def _typed(lines: DataFrame, type_code: str) -> DataFrame:
-    base = _parts(lines).where((_f(0) == "ANTR") & (F.col("__type") == type_code)
-                               & (F.col("__n") == FIELD_COUNTS[type_code]) & _all_ok(type_code))
-    return base.select(*_extra(lines), *[v.alias(n) for n, (_, v) in FIELDS[type_code]().items()])
+    rows = _tagged(lines, type_code)
+    return rows.select(*_carried(rows), *[v.alias(n) for n, (_, v) in FIELDS[type_code]().items()])
 
 
 def feed_trades(lines: DataFrame) -> DataFrame:
@@ -166,52 +238,18 @@ def feed_book_summary(lines: DataFrame) -> DataFrame:
     return _typed(lines, "C")
 
 
-def feed_rejects(lines: DataFrame, types=None) -> DataFrame:
-    """Lines no parser accepts, with the reason (A-20). ``types`` (optional) limits the
-    value checks to the record types known to be present, e.g. in a micro-batch.
-
-    A union of small selections — wrong prefix / unknown type / field count, then one
-    "bad value" branch per fixed record type — so each branch compiles to a compact
-    method (one combined expression over all record layouts exceeds the JVM's
-    64 KB method limit and would fall back to interpretation).
-    """
-    p = _parts(lines)
-    n_ok = F.lit(True)
-    for t, n in FIELD_COUNTS.items():
-        n_ok = F.when(F.col("__type") == t, F.col("__n") == n).otherwise(n_ok)
-    n_ok = F.when(F.col("__type").isin("3", "4"), F.col("__n") >= 4) \
-        .when(F.col("__type").isin("5", "6", "7"), F.col("__n") >= 3).otherwise(n_ok)
-    shape = (F.when(~_f(0).eqNullSafe("ANTR"), "bad prefix")
-             .when(~F.coalesce("__type", F.lit("")).isin(*TYPES), "unknown type").when(~n_ok, "field count"))
-    out = p.withColumn("reason", shape).where(F.col("reason").isNotNull()).select(*lines.columns, "reason")
-    if types is None or {"3", "4"} & set(types):
-        book = _parts(lines.withColumn("__line", F.col("value")).withColumn(
-            "value", F.regexp_replace("value", r"\|\{[01]\}", "|")))
-        book = book.where((_f(0) == "ANTR") & F.col("__type").isin("3", "4") & (F.col("__n") >= 4) & _bad_level())
-        out = out.unionByName(book.withColumn("value", F.col("__line"))
-                              .select(*lines.columns, F.lit("bad value").alias("reason")))
-    for t in FIELDS:
-        if types is not None and t not in types:
-            continue
-        bad = p.where((_f(0) == "ANTR") & (F.col("__type") == t) & (F.col("__n") == FIELD_COUNTS[t])
-                      & ~_all_ok(t))
-        out = out.unionByName(bad.select(*lines.columns, F.lit("bad value").alias("reason")))
-    return out
+def feed_rejects(lines: DataFrame) -> DataFrame:
+    """Lines no parser accepts, with the reason (A-20), each once: bad prefix, unknown
+    type, field count, empty code, no element (a list or book line that holds none), or
+    bad value."""
+    tagged = lines if _is_tagged(lines) else tag_lines(lines)
+    return tagged.where(F.col("tag") == "reject").select(*[c for c in tagged.columns if c not in ("tag", "pos", "fields")])
 
 
-def _levels() -> Column:
-    """The non-empty level groups of a book line."""
-    return F.filter(F.slice(F.col("__p"), 4, F.size("__p")), lambda x: x != "")
-
-
-def _bad_level() -> Column:
-    """True if a level group of a book line isn't ``frequency;price;volume``."""
-    def bad(x):
-        g = F.split(x, ";")
-        return ((F.size(g) != 3) | F.get(g, F.lit(0)).try_cast("int").isNull()
-                | F.get(g, F.lit(1)).try_cast(PRICE).isNull() | F.get(g, F.lit(2)).try_cast("bigint").isNull())
-
-    return F.exists(_levels(), bad)
+def feed_conservation(lines: DataFrame) -> DataFrame:
+    """Per record type (``reject`` for rejects): lines and rows; lines add up to the input."""
+    return tag_lines(lines).groupBy("tag").agg(
+        F.count_if(F.col("pos") == 0).alias("n_lines"), F.count(F.lit(1)).alias("n_rows"))
 
 
 def feed_orderbook(lines: DataFrame, received_at: Column | str = "received_at",
@@ -223,20 +261,14 @@ def feed_orderbook(lines: DataFrame, received_at: Column | str = "received_at",
     in several messages); ``rank_by_price`` re-ranks them (bids high->low, offers
     low->high).
     """
+    rows = _tagged(lines, "3", "4")
     recv = F.col(received_at) if isinstance(received_at, str) else received_at
-    clean = lines.withColumn("value", F.regexp_replace("value", r"\|\{[01]\}", "|"))
-    p = _parts(clean).where((_f(0) == "ANTR") & F.col("__type").isin("3", "4") & (F.col("__n") >= 4) & ~_bad_level())
-    groups = _levels()
-    offset = F.col("level_offset") if "level_offset" in lines.columns else F.lit(0)
-    keep = [c for c in _extra(lines) if c not in (received_at, "level_offset")]
-    e = p.select(*keep, recv.alias("ts"), _f(2).alias("security_code"),
-                 F.when(F.col("__type") == "3", F.lit("B")).otherwise(F.lit("O")).alias("side"),
-                 offset.alias("__offset"), F.posexplode(groups).alias("__pos", "__g"))
-    g = F.split(F.col("__g"), ";")
-    out = e.select(*[c for c in e.columns if c not in ("__pos", "__g", "__offset")],
-                   (F.col("__offset") + F.col("__pos") + 1).cast("int").alias("level"),
-                   F.get(g, F.lit(0)).try_cast("int").alias("frequency"), F.get(g, F.lit(1)).try_cast(PRICE).alias("price"),
-                   F.get(g, F.lit(2)).try_cast("bigint").alias("volume"))
+    offset = F.col("level_offset") if "level_offset" in rows.columns else F.lit(0)
+    keep = [c for c in _carried(rows) if c not in (received_at, "level_offset")]
+    out = rows.select(*keep, recv.alias("ts"), _f(0).alias("security_code"),
+                      F.when(F.col("tag") == "3", F.lit("B")).otherwise(F.lit("O")).alias("side"),
+                      (offset + F.col("pos") + 1).cast("int").alias("level"), _f(1).try_cast("int").alias("frequency"),
+                      _f(2).try_cast(PRICE).alias("price"), _f(3).try_cast("bigint").alias("volume"))
     if rank_by_price:
         from bursa.operators.latest import exact_rank
         signed = F.when(F.col("side") == "B", -F.col("price")).otherwise(F.col("price"))
@@ -248,24 +280,32 @@ def feed_orderbook(lines: DataFrame, received_at: Column | str = "received_at",
 
 def feed_rank_lists(lines: DataFrame) -> DataFrame:
     """Types 5/6/7 -> (kind, rank, security_code) (A-14)."""
-    p = _parts(lines).where((_f(0) == "ANTR") & F.col("__type").isin("5", "6", "7"))
-    kind = (F.when(F.col("__type") == "5", "top_gainer").when(F.col("__type") == "6", "top_loser")
+    rows = _tagged(lines, "5", "6", "7")
+    kind = (F.when(F.col("tag") == "5", "top_gainer").when(F.col("tag") == "6", "top_loser")
             .otherwise("most_active"))
-    codes = F.filter(F.slice(F.col("__p"), 3, F.size("__p")), lambda x: x != "")
-    e = p.select(*_extra(lines), kind.alias("kind"), F.posexplode(codes).alias("__pos", "security_code"))
-    return e.select(*_extra(lines), "kind", (F.col("__pos") + 1).cast("int").alias("rank"), "security_code")
-
-
-def split_feed(lines: DataFrame, types=None) -> dict[str, DataFrame]:
-    """Route a feed by record type (A-10): one typed frame per table, plus rejects
-    (``types``: the record types present, when known)."""
-    out = {"trades": feed_trades(lines), "stock_summary": feed_summary(lines),
-           "rank_lists": feed_rank_lists(lines), "trades_eod": feed_trades_eod(lines),
-           "index": feed_index(lines), "stock_master": feed_stock_master(lines), "brokers": feed_brokers(lines),
-           "book_summary": feed_book_summary(lines), "rejects": feed_rejects(lines, types)}
+    return rows.select(*_carried(rows), kind.alias("kind"), (F.col("pos") + 1).cast("int").alias("rank"),
+                       _f(0).alias("security_code"))
+
+
+TABLES = {"trades": ("1",), "stock_summary": ("2",), "orderbook": ("3", "4"), "rank_lists": ("5", "6", "7"),
+          "trades_eod": ("8",), "index": ("9",), "stock_master": ("A",), "brokers": ("B",), "book_summary": ("C",)}
+
+
+def split_feed(lines: DataFrame, path: str | None = None) -> dict[str, DataFrame]:
+    """Route a feed by record type (A-10): one typed frame per table, plus rejects.
+
+    With a ``path`` the tagged elements are first written there, partitioned by tag, so
+    the lines are read and parsed once and each table reads its own partitions."""
+    tagged = lines if _is_tagged(lines) else tag_lines(lines)
+    if path is not None:
+        tagged.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("tag").parquet(path)
+        tagged = lines.sparkSession.read.schema(tagged.schema).parquet(path).select(*tagged.columns)
+    parsers = {"trades": feed_trades, "stock_summary": feed_summary, "rank_lists": feed_rank_lists,
+               "trades_eod": feed_trades_eod, "index": feed_index, "stock_master": feed_stock_master,
+               "brokers": feed_brokers, "book_summary": feed_book_summary, "rejects": feed_rejects}
     if "received_at" in lines.columns:
-        out["orderbook"] = feed_orderbook(lines)
-    return out
+        parsers["orderbook"] = feed_orderbook
+    return {name: parse(tagged) for name, parse in parsers.items()}
 
 
 # --- writers of feed lines (used to replay stored tables as a feed) ----------------------
@@ -280,6 +320,14 @@ def trade_line() -> Column:
                        F.lpad(_num(F.col("trade_no")), 12, "0"), _num(F.col("price")), _num(F.col("volume")))
 
 
+def eod_line() -> Column:
+    """The type-8 feed line of an end-of-day trade row."""
+    return F.concat_ws("|", F.lit("ANTR"), F.lit("8"), *[_num(F.col(c)) for c in (
+        "trade_no", "session", "board_code", "seller_broker", "seller_investor_type", "buyer_broker",
+        "buyer_investor_type", "security_code", "volume", "price")], F.date_format("trade_date", "yyyy-MM-dd"),
+        *[_num(F.col(c)) for c in ("seller_order_no", "buyer_order_no", "trade_time")])
+
+
 def trades_to_lines(trades: DataFrame) -> DataFrame:
     return trades.select(trade_line().alias("value"))
 

@@ -8,6 +8,7 @@ and ``validate`` checks an in-memory frame against the same declaration.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 PRICE = T.DecimalType(12, 2)
@@ -124,14 +125,39 @@ KEYS: dict[str, list[str]] = {
 PARTITION_COLUMNS: dict[str, list[str]] = {
     "stock_summary": ["data_date"],
     "trades": ["trade_date"],
+    "orderbook": ["book_date"],
+    "history_ohlc": ["trade_year"],
     "sideways_state": ["trade_date"],
 }
 
+# Partition columns that are no column of the table but follow from one.
+DERIVED = {"book_date": T.StructField("book_date", T.DateType(), True),
+           "trade_year": T.StructField("trade_year", T.IntegerType(), True)}
+_DERIVE = {"book_date": lambda: F.to_date("ts"), "trade_year": lambda: F.year("trade_date")}
 
-def read_table(spark: SparkSession, name: str, path: str) -> DataFrame:
+# The symbol column, by which stored tables can be bucketed.
+SYMBOL = {"stock_summary": "security_code", "trades": "security_code", "orderbook": "security_code",
+          "stock_fundamentals": "security_code", "market_cap": "code", "history_ohlc": "code",
+          "daily_ohlc": "security_code", "sideways_state": "symbol"}
+
+
+def with_partitions(df: DataFrame, name: str) -> DataFrame:
+    """``df`` with the partition columns that follow from its own."""
+    derived = [c for c in PARTITION_COLUMNS.get(name, ()) if c in DERIVED and c not in df.columns]
+    return df.withColumns({c: _DERIVE[c]() for c in derived}) if derived else df
+
+
+def stored_schema(name: str) -> T.StructType:
+    """The table's columns and its derived partition columns."""
+    return T.StructType(SCHEMAS[name].fields + [DERIVED[c] for c in PARTITION_COLUMNS.get(name, ()) if c in DERIVED])
+
+
+def read_table(spark: SparkSession, name: str, path: str, partitions: bool = False) -> DataFrame:
     """Scan a stored table with its declared schema (A-01..A-06), without other folder
-    columns (a stream's batches)."""
-    return spark.read.schema(SCHEMAS[name]).parquet(path).select(*SCHEMAS[name].names)
+    columns (a stream's batches); ``partitions`` adds the derived partition columns, by
+    which last-day screens prune."""
+    schema = stored_schema(name) if partitions else SCHEMAS[name]
+    return spark.read.schema(schema).parquet(path).select(*schema.names)
 
 
 def validate(df: DataFrame, name: str) -> DataFrame:

@@ -1,4 +1,4 @@
-"""Writers: append (A-08), market-cap bulk load (A-09) and upsert (A-21).
+"""Writers: append (A-08), market-cap bulk load (A-09), upsert (A-21) and merge of resent records (T-02).
 
 Tables are partitioned Parquet. ``upsert`` rewrites only the partitions touched by
 the update rows (dynamic partition overwrite): existing rows of those partitions
@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from bursa.operators.latest import latest_per_key
-from bursa.sources.schemas import PARTITION_COLUMNS, SCHEMAS, validate
+from bursa.sources.schemas import PARTITION_COLUMNS, SCHEMAS, SYMBOL, validate, with_partitions
 
 
 def _exists(df: DataFrame, path: str) -> bool:
@@ -27,23 +27,47 @@ def _exists(df: DataFrame, path: str) -> bool:
 
 
 def append(df: DataFrame, path: str, table: str | None = None,
-           partition_by: Sequence[str] | None = None, batch_id: int | None = None) -> None:
+           partition_by: Sequence[str] | None = None, batch_id: int | None = None,
+           run: str | None = None) -> None:
     """``INSERT INTO ... VALUES`` as an append, after a schema check when ``table`` is named.
 
     With a ``batch_id`` (a stream's micro-batch) the rows go to that batch's own folder,
-    which is replaced as a whole, so a batch that is written again adds nothing.
+    which is replaced as a whole, so a batch that is written again adds nothing. ``run``
+    names the stream (its query id): batch ids of different streams, and of one that
+    begins anew with another checkpoint, both start at 0.
     """
     if table is not None:
-        df = validate(df, table)
+        df = with_partitions(validate(df, table), table)
         partition_by = partition_by if partition_by is not None else PARTITION_COLUMNS.get(table)
     w = df.write.mode("append")
     if batch_id is not None:
-        w, path = df.write.mode("overwrite").option("partitionOverwriteMode", "static"), f"{path}/batch_id={batch_id}"
+        w = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
+        path = f"{path}/run_id={run or 'batch'}/batch_id={batch_id}"
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)
 
 
+def save_clustered(df: DataFrame, table: str, name: str, path: str | None = None, buckets: int = 64) -> DataFrame:
+    """Store a market table bucketed by its symbol besides its date partitions, as the
+    catalog table ``name``, and return it.
+
+    Tables with equal ``buckets`` are joined, grouped and windowed by symbol without an
+    exchange: a task reads one bucket's files of the partitions that survive pruning. The
+    rows are dealt out by bucket before the write, so a task writes few files; with many
+    small partitions choose few buckets, as each holds a file per partition."""
+    df, symbol = with_partitions(validate(df, table), table), SYMBOL[table]
+    parts = PARTITION_COLUMNS.get(table, [])
+    w = df.repartition(buckets, symbol).write.mode("overwrite").format("parquet") \
+        .bucketBy(buckets, symbol).sortBy(symbol)
+    if parts:
+        w = w.partitionBy(*parts)
+    if path is not None:
+        w = w.option("path", path)
+    w.saveAsTable(name)
+    return df.sparkSession.table(name)
+
+
 def load_market_cap(raw: DataFrame, path: str | None = None) -> DataFrame:
     """A-09: cast a raw market-cap frame to the declared schema, rounding fractional
     capitalisations half up as an assignment to a BIGINT column does."""
@@ -87,8 +111,37 @@ def upsert(updates: DataFrame, path: str, keys: Sequence[str], partition_by: Seq
     upd.unpersist()
 
 
+def merge_records(records: DataFrame, path: str, keys: Sequence[str], partition_by: Sequence[str], rank: str) -> None:
+    """Fill each key's row from all records of it, whenever they arrive.
+
+    A column holds the value of the record with the highest ``rank`` that has one (of
+    equal ranks the largest value), so a record that comes hours later completes the row
+    and one that is sent again changes nothing. Only the touched partitions are read and
+    rewritten; ``partition_by`` must be part of ``keys``. Writing a batch again gives the
+    same table. Records with a null key are refused, as they name no row.
+    """
+    spark = records.sparkSession
+    for k in keys:
+        records = records.where(F.col(k).isNotNull())
+    new = records.persist()  # read twice below
+    rows = new
+    if _exists(new, path):
+        touched = new.select(*partition_by).distinct()
+        stored = spark.read.schema(new.schema).parquet(path)
+        rows = new.unionByName(stored.join(touched, list(partition_by), "left_semi"))
+
+    def best(c: str) -> Column:
+        return F.max(F.when(F.col(c).isNotNull(), F.struct(F.col(rank), F.col(c).alias("v"))))["v"].alias(c)
+
+    merged = rows.groupBy(*keys).agg(*[best(c) for c in new.columns if c not in keys and c != rank],
+                                     F.max(rank).alias(rank)).select(*new.columns)
+    (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+           .partitionBy(*partition_by).parquet(path))
+    new.unpersist()
+
+
 def table_path(base: str, name: str) -> str:
     return os.path.join(base, name)
 
 
-__all__ = ["append", "load_market_cap", "upsert", "table_path", "SCHEMAS"]
+__all__ = ["append", "load_market_cap", "merge_records", "save_clustered", "upsert", "table_path", "SCHEMAS"]

@@ -7,7 +7,9 @@
   after any number of micro-batches and a restarted query resumes from its
   checkpoint (in the shared ``spark.checkpoint.dir``).
 * Global rankings (top movers) are not expressible as a streaming aggregate; the
-  stream keeps the per-minute, per-symbol state and the ranking is done per batch.
+  stream keeps the per-minute, per-symbol state, and each batch ranks the minutes it touched.
+* What may come later than any watermark (the end-of-day resend of trades, late daily
+  bars) is merged into the stored table, whose touched partitions are the state.
 """
 
 from __future__ import annotations
@@ -18,6 +20,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from bursa import constants as K
 from bursa.functions.expr import guarded_ratio, pct_change
 from bursa.sources import feed as FD
 from bursa.sources.schemas import PARTITION_COLUMNS
@@ -70,34 +73,31 @@ def stream_feed(spark: SparkSession, in_dir: str, out_base: str, checkpoint: str
                 lines: DataFrame | None = None) -> StreamingQuery:
     """Feed lines -> typed tables (trades, stock_summary, orderbook, rejects...).
 
-    Each micro-batch is split by record type and written to its tables under its batch id,
-    so a batch that is retried replaces what it wrote before; the arrival
-    time of the batch is the order-book ``ts`` (the wire carries none). ``lines``
+    Each micro-batch is parsed once, split by record type and written to its tables under
+    the query's id and its batch id, so a batch that is retried replaces what it wrote
+    before, and another stream (or one with a new checkpoint) into the same tables adds
+    to them; the arrival time of the batch is the order-book ``ts`` (the wire carries none). ``lines``
     overrides the default text-file source (e.g. ``feed_source(spark, "kafka", ...)``).
     """
     if lines is None:
         lines = feed_source(spark, "text", in_dir, max_files)
 
     def write_batch(batch: DataFrame, epoch: int) -> None:
-        batch = batch.persist()
+        run = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        tagged = FD.tag_lines(batch).persist()  # one parse; every table takes its elements from it
         # record types present in this batch (at most a dozen codes) decide which tables to write
-        kinds = batch.select(F.get(F.split("value", r"\|", 3), F.lit(1)).alias("t"))
-        present = {r[0] for r in kinds.where(F.col("t").isin(*FD.TYPES)).distinct().collect()}
-        wanted = {"trades": {"1"}, "stock_summary": {"2"}, "orderbook": {"3", "4"},
-                  "rank_lists": {"5", "6", "7"}, "trades_eod": {"8"}, "index": {"9"}, "stock_master": {"A"},
-                  "brokers": {"B"}, "book_summary": {"C"}}
-        parts = FD.split_feed(batch, present)
-        for name, df in parts.items():
-            if df is None or (name in wanted and not wanted[name] & present):
+        present = {r[0] for r in tagged.select("tag").distinct().collect()}
+        for name, df in FD.split_feed(tagged).items():
+            if not present & set(FD.TABLES.get(name, ("reject",))):
                 continue
             if name in ("trades", "stock_summary"):
-                append(df.drop("received_at"), f"{out_base}/{name}", name, batch_id=epoch)
+                append(df.drop("received_at"), f"{out_base}/{name}", name, batch_id=epoch, run=run)
             elif name == "orderbook":
                 append(df.withColumn("book_date", F.to_date("ts")), f"{out_base}/{name}",
-                       partition_by=["book_date"], batch_id=epoch)
+                       partition_by=["book_date"], batch_id=epoch, run=run)
             else:
-                append(df, f"{out_base}/{name}", batch_id=epoch)
-        batch.unpersist()
+                append(df, f"{out_base}/{name}", batch_id=epoch, run=run)
+        tagged.unpersist()
 
     w = lines.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
     return w.trigger(**(trigger or {"availableNow": True})).start()
@@ -111,6 +111,31 @@ def dedupe_stream(trades: DataFrame, lateness: str = "1 hour") -> DataFrame:
     return t.withWatermark("event_time", lateness).dropDuplicatesWithinWatermark(["trade_no"]).drop("event_time")
 
 
+def trade_records(tagged: DataFrame) -> DataFrame:
+    """Live trades (type 1) and their end-of-day resend (type 8) as rows of one schema;
+    ``record`` is the type, which decides whose value counts."""
+    live = FD.feed_trades(tagged).drop("received_at").withColumn("record", F.lit(1))
+    eod = FD.feed_trades_eod(tagged).drop("received_at").withColumns(
+        {"trade_date": F.date_format("trade_date", "yyyyMMdd"), "record": F.lit(8)})
+    return eod.unionByName(live, allowMissingColumns=True)
+
+
+def reconcile_sink(path: str) -> Callable[[DataFrame, int], None]:
+    """``foreachBatch`` for feed lines: each trade once, completed by its end-of-day resend.
+
+    A watermark that waits for the resend would have to keep a day of trades as state and
+    still drop what comes later. Here the table is the state: a batch's records are merged
+    by (day, trade number) into the partitions of their days, so a resend hours or days
+    later fills in brokers, investor types and order numbers, adds trades that were missed
+    live, and repeats nothing."""
+    from bursa.sources.sinks import merge_records
+
+    def _write(batch: DataFrame, _epoch: int) -> None:
+        tagged = FD.tag_lines(batch, ("1", "8"))
+        merge_records(trade_records(tagged), path, ["trade_date", "trade_no"], ["trade_date"], "record")
+    return _write
+
+
 # --- T-03 live latest snapshot ------------------------------------------------------------
 
 def latest_snapshot_stream(summary: DataFrame) -> DataFrame:
@@ -137,9 +162,16 @@ def daily_ohlc_stream(trades: DataFrame, lateness: str = "1 day") -> DataFrame:
 
 # --- T-05 top movers per minute ------------------------------------------------------------
 
-def minute_change_stream(summary: DataFrame, lateness: str = "10 minutes") -> DataFrame:
+def in_session(summary: DataFrame, session: tuple[int, int] | None = K.MOVERS_SESSION) -> DataFrame:
+    """Snapshots of the minutes for which movers are listed (both ends in; None: all)."""
+    minute = F.hour("ts") * 60 + F.minute("ts")
+    return summary if session is None else summary.where(minute.between(*session))
+
+
+def minute_change_stream(summary: DataFrame, lateness: str = "10 minutes",
+                         session: tuple[int, int] | None = K.MOVERS_SESSION) -> DataFrame:
     """Per minute and symbol: the last snapshot's percent change against the previous price."""
-    s = with_event_time(summary).withWatermark("event_time", lateness)
+    s = with_event_time(in_session(summary, session)).withWatermark("event_time", lateness)
     g = s.groupBy(F.window("event_time", "1 minute").alias("w"), "security_code").agg(
         F.max_by(F.struct("close_price", "previous_price"), F.struct("ts", "data_date")).alias("s"))
     return g.select(wall_clock("w.start").alias("minute"),
@@ -160,23 +192,40 @@ def rank_movers(minute_changes: DataFrame, n: int = 10) -> DataFrame:
     return out[0].unionByName(out[1])
 
 
+def movers_sink(minutes_path: str, ranks_path: str, n: int = 10) -> Callable[[DataFrame, int], None]:
+    """``foreachBatch`` for the minute changes: keep them, and rank only the minutes that
+    the batch touched, reading their days' partitions alone.
+
+    A minute's symbols only grow in number, so its new ranks replace all stored ones."""
+    def _write(batch: DataFrame, _epoch: int) -> None:
+        rows = batch.persist()
+        upsert(rows, minutes_path, keys=["minute", "security_code"], partition_by=["minute_day"])
+        touched = rows.select("minute").distinct()
+        days = rows.select(F.collect_set("minute_day")).scalar()  # bounded by the calendar
+        stored = batch.sparkSession.read.schema(rows.schema).parquet(minutes_path)
+        stored = stored.where(F.array_contains(days, F.col("minute_day"))).join(touched, "minute", "left_semi")
+        ranks = rank_movers(stored, n).withColumn("minute_day", F.to_date("minute"))
+        upsert(ranks, ranks_path, keys=["minute_day", "minute", "kind", "rank"], partition_by=["minute_day"])
+        rows.unpersist()
+    return _write
+
+
 def replay(df: DataFrame, path: str, time_col: str, chunks: int = 4, fmt: str = "parquet") -> None:
     """Write ``df`` as ``chunks`` successive appends in ``time_col`` order, so a file
-    stream source sees the data in arrival order (one file set per chunk)."""
+    stream source sees the data in arrival order (one file set per chunk).
+
+    Each chunk is written by as many tasks as the rows come in; rows without a time come
+    with the last chunk. The chunks' bounds split the time range evenly."""
     bounds = df.agg(F.min(time_col).cast("timestamp_ntz").alias("lo"),
                     F.max(time_col).cast("timestamp_ntz").alias("hi")).first()
-    if bounds.lo is None:
-        return
-    span = (bounds.hi - bounds.lo) / chunks
+    chunk = F.lit(chunks - 1)
+    if bounds.lo is not None:
+        span = (bounds.hi - bounds.lo) / chunks
+        for i in range(chunks - 1, 0, -1):
+            chunk = F.when(F.col(time_col) < F.lit(bounds.lo + span * i), i - 1).otherwise(chunk)
     for i in range(chunks):
-        lo = bounds.lo + span * i
-        hi = bounds.lo + span * (i + 1)
-        cond = (F.col(time_col) >= F.lit(lo)) & ((F.col(time_col) < F.lit(hi)) if i < chunks - 1 else F.lit(True))
-        part = df.where(cond)
-        if fmt == "text":
-            part.select("value").coalesce(1).write.mode("append").text(path)
-        else:
-            part.coalesce(1).write.mode("append").parquet(path)
+        part = df.where(chunk == i)
+        (part.select("value").write.mode("append").text if fmt == "text" else part.write.mode("append").parquet)(path)
 
 
 # --- sinks ------------------------------------------------------------------------------------
@@ -198,19 +247,37 @@ def run_to_table(stream: DataFrame, path: str, keys: list[str], partition_by: li
 
 # --- T-06 nightly state from a stream -------------------------------------------------------
 
-def sideways_state_sink(daily_path: str, state_path: str, **params) -> Callable[[DataFrame, int], None]:
-    """``foreachBatch`` for the daily-bar stream: merge the bars, then recompute and
-    upsert the sideways state of the last stored day."""
+def sideways_state_sink(daily_path: str, state_path: str, days: int = K.SIDEWAYS_DAYS_NIGHTLY,
+                        **params) -> Callable[[DataFrame, int], None]:
+    """``foreachBatch`` for the daily-bar stream: merge the bars, then renew the state of
+    every symbol-day whose frame holds a bar of the batch.
+
+    A bar of day d is in the frames of its symbol's next ``days`` days, so one that comes
+    late renews the state from d to d + ``days`` and no other. Their frames reach back
+    ``days`` more; only the months between those ends are read, for the batch's symbols.
+    After any order of arrival the state equals the batch result over all bars."""
     from bursa.plans.sideways import sideways_state, store_sideways
 
     def _write(batch: DataFrame, _epoch: int) -> None:
-        rows = batch.withColumn("bucket_month", F.date_format("bucket", "yyyy-MM"))
+        rows = batch.withColumn("bucket_month", F.date_format("bucket", "yyyy-MM")).persist()
         upsert(rows, daily_path, keys=["security_code", "bucket"], partition_by=["bucket_month"])
-        bars = batch.sparkSession.read.parquet(daily_path).drop("bucket_month")
-        store_sideways(sideways_state(bars, **params), state_path)
+        ends = rows.agg(F.date_format(F.date_sub(F.to_date(F.min("bucket")), days), "yyyy-MM").alias("lo"),
+                        F.date_format(F.date_add(F.to_date(F.max("bucket")), days), "yyyy-MM").alias("hi")).first()
+        if ends.lo is not None:
+            bars = batch.sparkSession.read.schema(rows.schema).parquet(daily_path)
+            bars = bars.where(F.col("bucket_month").between(ends.lo, ends.hi)) \
+                .join(rows.select("security_code").distinct(), "security_code", "left_semi").drop("bucket_month")
+            came = rows.select("security_code", "bucket", F.lit(True).alias("came"))
+            frame = Window.partitionBy("security_code").orderBy(F.unix_date(F.to_date("bucket"))).rangeBetween(-days, 0)
+            renewed = bars.join(came, ["security_code", "bucket"], "left") \
+                .withColumn("renewed", F.max("came").over(frame)).where("renewed") \
+                .select(F.col("security_code").alias("symbol"), F.to_date("bucket").alias("trade_date")).distinct()
+            state = sideways_state(bars, days=days, last_day_only=False, **params)
+            store_sideways(state.join(renewed, ["symbol", "trade_date"], "left_semi"), state_path)
+        rows.unpersist()
     return _write
 
 
-__all__ = ["replay", "feed_source", "stream_feed", "dedupe_stream", "latest_snapshot_stream", "daily_ohlc_stream",
+__all__ = ["replay", "trade_records", "reconcile_sink", "movers_sink", "in_session", "feed_source", "stream_feed", "dedupe_stream", "latest_snapshot_stream", "daily_ohlc_stream",
            "minute_change_stream", "rank_movers", "upsert_sink", "run_to_table", "sideways_state_sink",
            "PARTITION_COLUMNS"]

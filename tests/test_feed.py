@@ -98,3 +98,92 @@ def test_a_batch_written_twice_counts_once(spark, tmp_path):
     for batch in (0, 1, 1):
         append(t, f"{tmp_path}/trades", "trades", batch_id=batch)
     assert spark.read.parquet(f"{tmp_path}/trades").count() == 2 * t.count()
+
+
+def test_lines_without_content_are_rejected(spark):
+    lines = ["ANTR|5|", "ANTR|7||||", "ANTR|3|AAAA|", "ANTR|3|AAAA|{0}", "ANTR|3||{0}1;2;3|", "ANTR|C||1|2|3|4",
+             "ANTR|4|AAAA|{1}1;2;3|", "ANTR|6|AAAA||BBBB|"]
+    df = spark.createDataFrame([(x,) for x in [*lines, None]], "value string")
+    got = {r.value: r.reason for r in FD.feed_rejects(df).collect()}
+    assert got == {"ANTR|5|": "no element", "ANTR|7||||": "no element", "ANTR|3|AAAA|": "no element",
+                   "ANTR|3|AAAA|{0}": "no element", "ANTR|3||{0}1;2;3|": "empty code", "ANTR|C||1|2|3|4": "empty code",
+                   None: "bad prefix"}
+    ranks = [(r.rank, r.security_code) for r in FD.feed_rank_lists(df).collect()]
+    assert sorted(ranks) == [(1, "AAAA"), (2, "BBBB")]
+
+
+def test_every_line_is_parsed_or_rejected_in_one_pass(spark, tmp_path):
+    lines = _lines(spark)
+    count = {r.tag: (r.n_lines, r.n_rows) for r in FD.feed_conservation(lines).collect()}
+    assert sum(n for n, _ in count.values()) == len(LINES) and count["reject"] == (5, 5) and count["3"] == (1, 3)
+    apart, stored = FD.split_feed(lines), FD.split_feed(lines, f"{tmp_path}/tagged")
+    for name, df in stored.items():
+        assert sorted(map(str, df.collect())) == sorted(map(str, apart[name].collect())), name
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("FileScan") == 1 and "PartitionFilters: [tag#" in plan or "isnotnull(tag#" in plan
+    assert sum(df.count() for df in apart.values()) == sum(n for _, n in count.values())
+
+
+def test_two_streams_into_one_table_add_up(spark, tmp_path):
+    from bursa.streaming import live
+    for k, line in enumerate(LINES[:2]):
+        spark.createDataFrame([(line,)], "value string").coalesce(1).write.text(f"{tmp_path}/in{k}")
+        for _ in range(2):  # started again from its checkpoint it adds nothing
+            live.stream_feed(spark, f"{tmp_path}/in{k}", f"{tmp_path}/out", f"{tmp_path}/ck{k}").awaitTermination()
+    assert sorted(r.trade_no for r in spark.read.parquet(f"{tmp_path}/out/trades").collect()) == [4101, 4102]
+
+
+def test_resent_trades_are_completed_once(spark, tmp_path):
+    from bursa.sources.sinks import merge_records
+    from bursa.streaming import live
+    eod = "ANTR|8|4101|1|RG|ZA|F|ZB|I|KAVO|1200|210.00|2024-01-15|9001|9002|093015"
+    lost = "ANTR|8|4109|1|RG|ZA|F|ZB|I|KAVO|700|211.00|2024-01-15|9003|9004|093016"
+    for batch in ([LINES[0], LINES[1], LINES[0]], [eod, lost], [LINES[0]], [eod]):
+        tagged = FD.tag_lines(spark.createDataFrame([(x,) for x in batch], "value string"))
+        merge_records(live.trade_records(tagged), f"{tmp_path}/t", ["trade_date", "trade_no"], ["trade_date"], "record")
+    rows = {r.trade_no: r for r in spark.read.parquet(f"{tmp_path}/t").collect()}
+    assert set(rows) == {4101, 4102, 4109} and rows[4101].seller_broker == "ZA" and rows[4102].seller_broker is None
+    assert rows[4101].volume == 1200 and rows[4109].price == D("211.00") and rows[4101].record == 8
+
+
+def test_replay_keeps_rows_without_a_time(spark, tmp_path):
+    from bursa.streaming import live
+    rows = [(1, dt.datetime(2025, 1, 1)), (2, None), (3, dt.datetime(2025, 1, 3))]
+    df = spark.createDataFrame(rows, "id int, ts timestamp_ntz").repartition(3)
+    live.replay(df, f"{tmp_path}/r", "ts", 2)
+    assert sorted(r.id for r in spark.read.parquet(f"{tmp_path}/r").collect()) == [1, 2, 3]
+    live.replay(df.where("ts IS NULL"), f"{tmp_path}/n", "ts", 2)
+    assert spark.read.parquet(f"{tmp_path}/n").count() == 1
+
+
+def test_late_bars_renew_only_their_days(spark, tmp_path):
+    from bursa.plans.sideways import read_sideways, sideways_state
+    from bursa.sources import adapters as A
+    from bursa.streaming import live
+    from tests.conftest import SF_SMALL
+    bars = A.daily_ohlc(spark, SF_SMALL)
+    late = bars.where("pmod(hash(bucket, security_code), 7) = 0")
+    write = live.sideways_state_sink(f"{tmp_path}/bars", f"{tmp_path}/state", max_range=20, max_volume=0.5)
+    write(bars.exceptAll(late), 0)
+    write(late, 1)
+    want = sideways_state(bars, 60, max_range=20, max_volume=0.5, last_day_only=False)
+    got = read_sideways(spark, f"{tmp_path}/state")
+    assert got.count() == want.count() and got.exceptAll(want).count() == 0
+
+
+def test_minute_movers_are_ranked_as_in_batch(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from bursa.sources import adapters as A
+    from bursa.streaming import live
+    from tests.conftest import SF_SMALL
+    s = A.stock_summary(spark, SF_SMALL)
+    write = live.movers_sink(f"{tmp_path}/m", f"{tmp_path}/r", n=2)
+    changes = live.minute_change_stream(s)
+    for part in (0, 1, 0):  # the last batch is written again
+        write(changes.where(F.pmod(F.hash("security_code"), F.lit(2)) == part), part)
+    got = spark.read.parquet(f"{tmp_path}/r").drop("minute_day")
+    want = live.rank_movers(changes, 2)
+    assert got.count() == want.count() > 0 and got.exceptAll(want.select(*got.columns)).count() == 0
+    minutes = got.select(F.min(F.hour("minute")), F.max(F.hour("minute") * 60 + F.minute("minute"))).first()
+    assert minutes[0] >= 9 and minutes[1] <= 17 * 60

@@ -20,16 +20,10 @@ def _plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-# the one deliberate Python step: Wilder's recursive smoothing per symbol (applyInPandas)
-ALLOWED_PYTHON = {"rsi14_wilder": {"FlatMapGroupsInPandas"}}
-
-
 @pytest.mark.parametrize("name", sorted(set(E._QUERIES) - EAGER))
 def test_no_cross_join_no_python(spark, name):
     plan = _plan(E._QUERIES[name](spark, SF_SMALL))
     for bad in FORBIDDEN:
-        if bad in ALLOWED_PYTHON.get(name, ()):
-            continue
         assert bad not in plan, f"{name}: {bad}"
 
 
