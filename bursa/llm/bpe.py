@@ -97,7 +97,8 @@ def _part_starts(data: np.ndarray, firsts: np.ndarray) -> np.ndarray:
 class Codec:
     """Texts to ids (uint32, little-endian as bytes) and back."""
 
-    def __init__(self, content: str, pattern: str):
+    def __init__(self, content: str, pattern: str, memo: int = MEMO):
+        self.memo = memo
         self.model = Tokenizer.from_str(content).model
         self.find = regex.compile(pattern).findall
         held = json.loads(content)
@@ -118,7 +119,7 @@ class Codec:
     def _piece(self, piece: str) -> bytes:
         ids = [t.id for t in self.model.tokenize(piece.encode().decode("latin-1").translate(_TO_CHARS))]
         ids = pack(f"<{len(ids)}I", *ids)
-        if len(piece) <= LONG and len(self.pieces) < MEMO:
+        if len(piece) <= LONG and len(self.pieces) < self.memo:
             self.pieces[piece] = ids
         return ids
 
@@ -150,7 +151,7 @@ class Codec:
         new = [k for k, x in enumerate(out) if x is None]
         for k, ids in zip(new, self._merged([parts[k].decode() for k in new])):
             out[k] = ids
-            if len(parts[k]) <= LONG and len(self.parts) < MEMO:
+            if len(parts[k]) <= LONG and len(self.parts) < self.memo:
                 self.parts[parts[k]] = ids
         return out
 
@@ -171,7 +172,7 @@ class Codec:
         counts = before[np.searchsorted(starts, first + sizes)] - before[np.searchsorted(starts, first)]
         return np.frombuffer(b"".join(ids), "<u4")[at], counts
 
-    def encode_all(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    def encode_all(self, texts: list[bytes], batch_bytes: int = BATCH_BYTES) -> tuple[np.ndarray, np.ndarray]:
         """Ids of the texts, one text after the other, and each text's number of ids."""
         counts, out, owners, blocks, size = np.zeros(len(texts), np.int64), [], [], [], 0
 
@@ -188,14 +189,14 @@ class Codec:
                     owners.append(k)
                     blocks.append(block)
                     size += len(block)
-                    if size >= BATCH_BYTES:
+                    if size >= batch_bytes:
                         flush()
         if blocks:
             flush()
         return (np.concatenate(out) if out else np.zeros(0, "<u4")), counts
 
-    def encode_each(self, texts: list[bytes]) -> list[np.ndarray]:
-        ids, counts = self.encode_all(texts)
+    def encode_each(self, texts: list[bytes], batch_bytes: int = BATCH_BYTES) -> list[np.ndarray]:
+        ids, counts = self.encode_all(texts, batch_bytes)
         return np.split(ids, np.cumsum(counts)[:-1]) if len(texts) else []
 
     def decode(self, ids: bytes) -> bytes:
@@ -224,12 +225,12 @@ _CODECS: dict[int, Codec] = {}
 class Shared:
     """A codec that each Python worker builds once from the broadcast content."""
 
-    def __init__(self, spark: SparkSession, content: str, pattern: str):
-        self.content, self.pattern = spark.sparkContext.broadcast(content), pattern
-        self.key = hash((content, pattern))
+    def __init__(self, spark: SparkSession, content: str, pattern: str, memo: int = MEMO):
+        self.content, self.pattern, self.memo = spark.sparkContext.broadcast(content), pattern, memo
+        self.key = hash((content, pattern, memo))
 
     def get(self) -> Codec:
         if self.key not in _CODECS:
             _CODECS.clear()
-            _CODECS[self.key] = Codec(self.content.value, self.pattern)
+            _CODECS[self.key] = Codec(self.content.value, self.pattern, self.memo)
         return _CODECS[self.key]

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import re
 import uuid
 from collections.abc import Iterator
@@ -18,6 +19,7 @@ from bursa.session import checkpoint_dir
 _SPACE = re.compile(rb"[\x20\x09-\x0d]")
 BLOCK_BYTES = 1 << 20
 SLICE_BYTES = 8 << 20
+UDF_BYTES = 2 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -62,6 +64,20 @@ def rows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list[byte
         yield batch.column("doc_id").to_pylist(), [x or b"" for x in batch.column("text").to_pylist()]
 
 
+def text_slices(texts: pa.Array, size: int = UDF_BYTES) -> Iterator[list[bytes]]:
+    """The texts of a column (null: empty) in lists of about ``size`` bytes, or one longer text."""
+    for batch in sliced(iter([pa.RecordBatch.from_arrays([texts], ["text"])]), size):
+        yield [x or b"" for x in batch.column("text").to_pylist()]
+
+
+def give_back() -> None:
+    """Return freed memory to the system: Spark keeps a Python worker, and what it holds,
+    for the tasks of later stages."""
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+        trim(0)
+
+
 def word_blocks(data: bytes, size: int = BLOCK_BYTES) -> Iterator[list[bytes]]:
     """The words of a text, in blocks of about ``size`` bytes; no word is cut."""
     at, n = 0, len(data)

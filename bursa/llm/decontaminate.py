@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bursa.llm.common import doc_texts, rows_of, sliced, word_blocks
+from bursa.llm.common import doc_texts, give_back, rows_of, sliced, text_slices, word_blocks
 
 WINDOW = 10
 SET_BYTES = 32 << 20
@@ -164,14 +164,18 @@ def _is_clean(known):
     @F.arrow_udf("boolean")
     def clean(texts: pa.Array) -> pa.Array:
         scan = known.value.scan
-        return pa.array([not scan(t or b"")[1] for t in texts.to_pylist()], pa.bool_())
+        out = [not scan(t)[1] for part in text_slices(texts) for t in part]
+        give_back()
+        return pa.array(out, pa.bool_())
 
     return clean
 
 
 def clean_documents(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
                     set_bytes: int = SET_BYTES) -> DataFrame:
-    """The rows of ``docs`` without any benchmark window, all columns kept."""
+    """The rows of ``docs`` without any benchmark window, all columns kept.
+
+    Null and empty texts have no words and stay; an empty benchmark removes nothing."""
     for one in window_sets(benchmark, window, set_bytes):
         known = docs.sparkSession.sparkContext.broadcast(one)
         docs = docs.where(_is_clean(known)(F.col("text").cast("string").cast("binary")))
@@ -191,7 +195,9 @@ def cut_spans(text: bytes, hits: list[tuple[int, int]]) -> bytes:
 
 def without_spans(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
                   set_bytes: int = SET_BYTES) -> DataFrame:
-    """(doc_id, text) of all documents, the spans of benchmark windows cut out."""
+    """(doc_id, text) of all documents, the spans of benchmark windows cut out.
+
+    A null text stays null, an empty one empty; a text that is one span becomes empty."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = zip(*(batch.column(c).to_pylist() for c in ("text", "starts", "ends")))

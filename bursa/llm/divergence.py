@@ -2,15 +2,20 @@
 
 Each task counts terms with Arrow kernels alone: lower-casing, splitting at a pattern,
 dictionary encoding and hash grouping, merged over its batches, so that a source holding
-most rows ships each of its terms once a task. The merged counts of a language are cut
-into shards by term; a shard meets the language's few totals in a cogroup and is laid
-out as a matrix of terms by sources, in blocks, on which all divergences are integer
-arithmetic on columns.
+most rows ships each of its terms about once a task. It ships them in columnar shards, by
+term: a shard is one row whose value is an Arrow table, so what crosses the JVM are few
+rows. A shard's parts are merged as they stream in, by the same hash grouping, and only
+terms in enough documents are kept and stored.
+
+For the divergences the kept terms of a language are cut into blocks of bounded size,
+each of which meets the language's few totals in a cogroup and is laid out as a matrix of
+terms by sources, on which everything is integer arithmetic on columns.
 """
 
 from __future__ import annotations
 
 import re
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,9 +32,10 @@ TOP_TERMS = 200
 SCALE = 1_000_000_000
 SHARD_TERMS = 1 << 15   # terms of a shard on average
 BLOCK_CELLS = 1 << 20   # cells of a matrix block
-MERGE_ROWS = 1 << 18    # rows that a task gathers before it merges them
-COUNTS = "lang string, source string, term string, n long, docs long"
-_SUMS = [("n", "sum"), ("docs", "sum")]
+MERGE_ROWS = 1 << 19    # rows that a task gathers before it merges them
+SHARDS = 1024           # into which terms are dealt while they are counted
+COUNTS = "lang string, source string, term string, n long, head boolean"
+_NAMES = ["lang", "source", "term", "n", "docs"]
 
 
 def _tokens(texts: pa.Array) -> tuple[pa.Array, pa.Array]:
@@ -74,32 +80,98 @@ def _batch_counts(batch: pa.RecordBatch) -> pa.Table:
     return out.rename_columns(["lang", "source", "term", "n", "docs"])
 
 
-def _merge(parts: list[pa.Table]) -> pa.Table:
-    out = pa.concat_tables(parts).group_by(["lang", "source", "term"]).aggregate(_SUMS)
-    return out.rename_columns(["lang", "source", "term", "n", "docs"])
-
-
-def partial_counts(docs: DataFrame) -> DataFrame:
-    """Each task's counts: lang, source, term, n (occurrences), docs (rows that have it).
-
-    Null lang, source and text count as empty."""
+class _Merger:
+    """Count tables merged as they come, ``rows`` of them at a time."""
+
+    def __init__(self):
+        self.parts, self.rows, self.merged = [], 0, 0
+
+    def add(self, part: pa.Table) -> None:
+        self.parts.append(part)
+        self.rows += part.num_rows
+        if self.rows > max(MERGE_ROWS, 2 * self.merged):
+            self.table()
+
+    def table(self) -> pa.Table | None:
+        if len(self.parts) > 1:
+            grouped = pa.concat_tables(self.parts).group_by(["lang", "source", "term"])
+            self.parts = [grouped.aggregate([("n", "sum"), ("docs", "sum")]).rename_columns(_NAMES)]
+            self.rows = self.merged = self.parts[0].num_rows
+        return self.parts[0] if self.parts else None
+
+
+def _shards(counts: pa.Table, n: int) -> Iterator[tuple[int, bytes]]:
+    """(shard, Arrow stream) for each shard that has terms; a term is in one shard."""
+    terms = counts["term"].combine_chunks().dictionary_encode()
+    of_term = np.array([zlib.crc32(t.encode()) % n for t in terms.dictionary.to_pylist()], np.int64)
+    shard = of_term[terms.indices.to_numpy()] if len(of_term) else np.zeros(0, np.int64)
+    order = np.argsort(shard, kind="stable")
+    counts, shard = counts.take(pa.array(order)).combine_chunks(), shard[order]
+    starts = np.flatnonzero(np.diff(shard, prepend=-1))
+    for lo, hi in zip(starts.tolist(), [*starts[1:].tolist(), len(shard)]):
+        sink = pa.BufferOutputStream()
+        with pa.ipc.new_stream(sink, counts.schema) as out:
+            out.write_table(counts.slice(lo, hi - lo))
+        yield int(shard[lo]), sink.getvalue().to_pybytes()
+
+
+def partial_counts(docs: DataFrame, n_shards: int) -> DataFrame:
+    """(shard, part): each task's counts lang, source, term, n (occurrences), docs (rows
+    that have it), as Arrow streams. Null lang, source and text count as empty."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts, rows, least = [], 0, MERGE_ROWS
+        def shipped(table: pa.Table) -> Iterator[pa.RecordBatch]:
+            shards, parts, size = [], [], 0
+            for shard, part in _shards(table, n_shards):
+                shards.append(shard)
+                parts.append(part)
+                size += len(part)
+                if size > SLICE_BYTES:
+                    yield pa.RecordBatch.from_arrays([pa.array(shards, pa.int32()), pa.array(parts)], ["shard", "part"])
+                    shards, parts, size = [], [], 0
+            if shards:
+                yield pa.RecordBatch.from_arrays([pa.array(shards, pa.int32()), pa.array(parts)], ["shard", "part"])
+
+        held = _Merger()
         for batch in sliced(batches):
-            parts.append(_batch_counts(batch))
-            rows += parts[-1].num_rows
-            if rows > least:
-                merged = _merge(parts)
-                parts, rows = [merged], merged.num_rows
-                if rows > MERGE_ROWS:  # it doesn't shrink any more: ship it and begin anew
-                    yield from merged.to_batches()
-                    parts, rows = [], 0
-        if parts:
-            yield from _merge(parts).to_batches()
+            held.add(_batch_counts(batch))
+            if held.merged > MERGE_ROWS:  # too many different ones to hold: ship them and begin anew
+                yield from shipped(held.table())
+                held = _Merger()
+        if held.parts:
+            yield from shipped(held.table())
 
     text = F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary").alias("text")
     names = [F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("lang", "source")]
-    return docs.select(*names, text).mapInArrow(run, COUNTS)
+    return docs.select(*names, text).mapInArrow(run, "shard int, part binary")
+
+
+def _kept(counts: pa.Table, min_docs: int) -> pa.Table:
+    """The counts of terms in at least ``min_docs`` rows of their language; ``head`` marks
+    one row of each term."""
+    by = counts.group_by(["lang", "term"]).aggregate([("docs", "sum"), ("source", "min")])
+    by = by.filter(pc.greater_equal(by["docs_sum"], min_docs))
+    out = counts.join(by, ["lang", "term"], join_type="inner")
+    return pa.table({"lang": out["lang"], "source": out["source"], "term": out["term"], "n": out["n"],
+                     "head": pc.equal(out["source"], out["source_min"])})
+
+
+def kept_counts(docs: DataFrame, min_docs: int) -> DataFrame:
+    """lang, source, term, n, head over the terms in at least ``min_docs`` rows of a language."""
+    parts = partial_counts(docs, SHARDS).repartition("shard").sortWithinPartitions("shard")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, at = _Merger(), None
+        for batch in batches:
+            for shard, part in zip(batch.column("shard").to_pylist(), batch.column("part")):
+                if shard != at and held.parts:
+                    yield from _kept(held.table(), min_docs).to_batches()
+                    held = _Merger()
+                at = shard
+                held.add(pa.ipc.open_stream(part.as_buffer()).read_all())
+        if held.parts:
+            yield from _kept(held.table(), min_docs).to_batches()
+
+    return parts.mapInArrow(run, COUNTS)
 
 
 def scaled(count: np.ndarray, total: np.ndarray) -> np.ndarray:
@@ -169,11 +241,7 @@ def divergences(docs: DataFrame, min_docs: int = MIN_DOCS, top: int = TOP_TERMS,
     source occur; repeated rows count each; a language of one source has no pairs; an
     empty table gives no row. Only lang, source and text are read.
     """
-    merged = partial_counts(docs).groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
-    w = Window.partitionBy("lang", "term")
-    counts = stored(merged.withColumns({"in_docs": F.sum("docs").over(w), "head": F.min("source").over(w)})
-                    .where(F.col("in_docs") >= min_docs)
-                    .select("lang", "source", "term", "n", (F.col("head") == F.col("source")).alias("head")))
+    counts = stored(kept_counts(docs, min_docs))
     groups = docs.select(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("lang", "source")]).distinct()
     totals = counts.groupBy("lang", "source").agg(F.sum("n").alias("total"), F.count_if("head").alias("heads"))
     by_lang = Window.partitionBy("lang")

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bursa.llm.common import doc_texts, rows_of
+from bursa.llm.common import doc_texts, give_back, rows_of, text_slices
 
 KINDS = ("email", "ip", "card", "phone")
 ACCEPT = 0.9
@@ -284,9 +284,11 @@ def mask(docs: DataFrame, accept: float = ACCEPT) -> DataFrame:
 
     @F.arrow_udf("string")
     def masked(texts: pa.Array) -> pa.Array:
-        return pa.array([None if t is None else masked_text(t, good.value) for t in texts.to_pylist()], pa.string())
+        out = [masked_text(t.decode(), good.value) for part in text_slices(texts) for t in part]
+        give_back()
+        return pa.array(out, pa.string(), mask=texts.is_null().to_numpy(zero_copy_only=False))
 
-    new = masked(F.col("text").cast("string"))
+    new = masked(F.col("text").cast("string").cast("binary"))
     out = docs.withColumn("text", new)
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from bursa.llm import features as X
-from bursa.llm.common import doc_texts, id_fold, rows_of
+from bursa.llm.common import doc_texts, give_back, id_fold, rows_of, text_slices
 
 MAX_LABELLED = 4000  # labelled documents with the smallest id hashes
 DIMS = 32
@@ -178,11 +178,16 @@ def score(docs: DataFrame, labels: DataFrame, folds: int = FOLDS, threshold: flo
 
 
 def accepted(docs: DataFrame, labels: DataFrame, folds: int = FOLDS, threshold: float = THRESHOLD) -> DataFrame:
-    """The rows of ``docs`` that are predicted to be of quality, all columns kept."""
+    """The rows of ``docs`` that are predicted to be of quality, all columns kept.
+
+    Null and empty texts are judged as ``score`` judges them; repeated rows stay or go
+    together; an empty table stays empty."""
     model = docs.sparkSession.sparkContext.broadcast(train(docs, labels, folds))
 
     @F.arrow_udf("double")
     def scored(texts: pa.Array) -> pa.Array:
-        return pa.array(_scores(model.value, [t or b"" for t in texts.to_pylist()]), pa.float64())
+        out = [_scores(model.value, part) for part in text_slices(texts)]
+        give_back()
+        return pa.array(np.concatenate(out) if out else np.empty(0), pa.float64())
 
     return docs.where(scored(F.col("text").cast("string").cast("binary")) >= threshold)

@@ -22,12 +22,13 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from bursa.llm.common import components, doc_texts, sliced, spare_name, stored, word_blocks
+from bursa.llm.common import components, doc_texts, give_back, sliced, spare_name, stored, word_blocks
 
 SHINGLE_WORDS = 3
 MAX_BITS = 2
 SEED = 42
 BUCKET = 64
+SPREAD = 10_000  # fingerprints that one task expands
 
 
 def bit_counts(h: np.ndarray) -> np.ndarray:
@@ -67,12 +68,15 @@ def fingerprints(docs: DataFrame, words: int = SHINGLE_WORDS, row: str | None =
         for batch in sliced(batches):
             fps = np.array([fingerprint(t or b"", words) for t in batch.column("text").to_pylist()], dtype="<u8")
             yield pa.RecordBatch.from_arrays([*map(batch.column, names), pa.array(fps.view("<i8"))], [*names, "fp"])
+        give_back()
 
     return doc_texts(docs, *more).mapInArrow(run, ", ".join(f"{c} long" for c in [*names, "fp"]))
 
 
 def links(classes: DataFrame) -> DataFrame:
     """Edges (a, b) that connect all distinct ``fp`` at most two bits apart."""
+    # 66 keys come from each fingerprint: spread them, so that no task makes many more than others.
+    classes = stored(classes.select("fp").repartition(max(1, classes.count() // SPREAD)))
     # Key: 1 bit for the half, 6 for the wildcard (32: none), 32 for the rest of the half.
     variants = classes.select("fp", F.explode(F.expr(
         "flatten(transform(array(0L, 1L), s -> transform(sequence(0L, 32L), i -> "

@@ -32,8 +32,10 @@ from bursa.llm.common import doc_texts, rows_of
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 END_ID = 0
 SHARD_BYTES = 1 << 20
+BATCH_BYTES = 8 << 20  # of text whose distinct parts are encoded together
+MEMO = 300_000
 LEVEL = 3
-# The dictionary is trained on at most so many documents (smallest id hashes), none longer than so many characters.
+# The dictionary is trained on at most so many documents (smallest hashes), of a long one on so many characters.
 SAMPLE_DOCS, SAMPLE_CHARS, DICTIONARY_BYTES = 1000, 8000, 64 << 10
 MAGIC = b"TOKSHRD1"
 _HEAD = struct.Struct("<8s32sII")
@@ -42,7 +44,7 @@ _ROW = "part int, shard int, first_id long, last_id long, start long, n_tokens l
 
 def shared_codec(docs: DataFrame, path: str = VOCABULARY, pattern: str = public_tokenizers.PATTERN) -> Shared:
     with open(path, encoding="utf-8") as f:
-        return Shared(docs.sparkSession, f.read(), pattern)
+        return Shared(docs.sparkSession, f.read(), pattern, MEMO)
 
 
 def pack_ids(ids: np.ndarray, width: int, end_id: int) -> bytes:
@@ -58,8 +60,16 @@ def train_dictionary(docs: DataFrame, codec: Shared, width: int, end_id: int = E
             packed = [pack_ids(x, width, end_id) for x in c.encode_each(texts)]
             yield pa.RecordBatch.from_arrays([pa.array(packed, pa.binary())], ["packed"])
 
-    sample = doc_texts(docs.where(F.length("text").between(1, SAMPLE_CHARS)))
-    sample = sample.orderBy(F.xxhash64("doc_id", "text"), "doc_id", "text").limit(SAMPLE_DOCS)
+    # First the hashes alone, then the texts of the smallest ones: no task gathers texts of all others.
+    rows = docs.where(F.length("text") > 0).withColumn("hash", F.xxhash64("doc_id", "text"))
+    last = rows.select("hash").orderBy("hash").limit(SAMPLE_DOCS).agg(F.max("hash")).first()[0]
+    if last is None:
+        return b""
+    place = F.pmod("hash", F.greatest(F.lit(1), F.length("text") - SAMPLE_CHARS + 1)).cast("int") + 1
+    piece = F.substring(F.col("text"), place, F.lit(SAMPLE_CHARS))
+    sample = rows.where(F.col("hash") <= last).select("doc_id", piece.alias("text"), "hash") \
+        .orderBy("hash", "doc_id", "text").limit(SAMPLE_DOCS)
+    sample = doc_texts(sample)
     samples = [bytes(r[0]) for r in sample.mapInArrow(run, "packed binary").collect()]
     try:
         return zstandard.train_dictionary(DICTIONARY_BYTES, samples).as_bytes() if len(samples) >= 8 else b""
@@ -135,7 +145,7 @@ def write(docs: DataFrame, path: str, vocabulary: str = VOCABULARY, end_id: int
             return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(row, kinds)], names)
 
         for own, texts in rows_of(batches):
-            for i, x in zip(own, c.encode_each(texts)):
+            for i, x in zip(own, c.encode_each(texts, BATCH_BYTES)):
                 packed = pack_ids(x, width, end_id)
                 frames.append(writer.compress(packed))
                 ids.append(i)

@@ -62,7 +62,7 @@ def test_equals_sql_and_plain_counts(spark):
 
 def test_small_shards(spark):
     docs = table(spark, SF_SMALL, "documents")
-    assert got(docs, shard_terms=30, top=5) == brute([(r.lang, r.source, r.text) for r in docs.collect()], 5)
+    assert got(docs.repartition(5), shard_terms=30, top=5) == brute([(r.lang, r.source, r.text) for r in docs.collect()], 5)
 
 
 def test_pieces_of_long_texts(small):
