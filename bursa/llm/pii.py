@@ -147,8 +147,35 @@ def votes(text: str, kind: str, start: int, end: int, strict: int) -> tuple[int,
     return strict, _gazetteer(kind, span, digits), _context(kind, before), _shape(kind, span, digits, before)
 
 
-def candidates(text: str) -> Iterator[tuple[int, int, int, bool, int]]:
-    """(kind number, start, end, base, vote pattern); the pattern is a base-3 number."""
+# What the classifier sees besides the votes: (feature, values it can take).
+LOOKS = (("length", 8), ("digits", 8), ("breaks", 4), ("before", 5), ("after", 5), ("repeats", 3), ("words", 4))
+_LOOK_SIZES = np.array([n for _, n in LOOKS])
+N_LOOKS = int(_LOOK_SIZES.sum())
+
+
+def _beside(char: str) -> int:
+    """Kind of the character beside a span: none, space, letter or digit, bracket or quote, other."""
+    return 0 if not char else 1 if char.isspace() else 2 if char.isalnum() else 3 if char in "()[]<>\"'`" else 4
+
+
+def looks(text: str, start: int, end: int) -> int:
+    """The span's and its surroundings' features as one number: length, digits, kinds of
+    breaks, the characters on both sides, how far one digit prevails, words before it."""
+    span = text[start:end]
+    digits = _DIGIT.findall(span)
+    most = max(map(digits.count, set(digits)), default=0)
+    values = (min(7, len(span) // 4), min(7, len(digits) // 3), min(3, len({c for c in span if not c.isalnum()})),
+              _beside(text[start - 1:start]), _beside(text[end:end + 1]),
+              0 if not digits else 1 if 2 * most < len(digits) else 2,
+              min(3, len(_WORD.findall(text[max(0, start - CUE_CHARS):start]))))
+    number = 0
+    for v, n in zip(values, _LOOK_SIZES.tolist()):
+        number = number * n + v
+    return number
+
+
+def candidates(text: str) -> Iterator[tuple[int, int, int, bool, int, int]]:
+    """(kind number, start, end, base, vote pattern, looks); the pattern is a base-3 number."""
     found = [(k, a, b, 1 if ok else -1) for k, a, b, ok in strict_candidates(text)]
     strict = sorted((a, b) for _, a, b, _ in found)
     found += [(k, a, b, 0) for k, a, b in _loose(text) if all(b <= x or y <= a for x, y in strict)]
@@ -156,7 +183,7 @@ def candidates(text: str) -> Iterator[tuple[int, int, int, bool, int]]:
         pattern = 0
         for v in votes(text, kind, a, b, vote):
             pattern = pattern * 3 + v + 1
-        yield KINDS.index(kind), a, b, vote == 1, pattern
+        yield KINDS.index(kind), a, b, vote == 1, pattern, looks(text, a, b)
 
 
 def _digits3(pattern: np.ndarray) -> np.ndarray:
@@ -164,27 +191,32 @@ def _digits3(pattern: np.ndarray) -> np.ndarray:
 
 
 def pattern_counts(docs: DataFrame) -> DataFrame:
-    """(kind, pattern, n) over all candidates of all documents; at most 4 * 81 rows."""
+    """(kind, pattern, looks, n) over all candidates of all documents.
+
+    Rows are at most the product of what these can be (4 * 81 and 8 * 8 * 4 * 5 * 5 * 3 *
+    4 looks), however many documents there are."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         n: Counter = Counter()
         for _, texts in rows_of(batches):
             for t in texts:
-                n.update((c[0], c[4]) for c in candidates(t.decode()))
+                n.update((c[0], *c[4:]) for c in candidates(t.decode()))
         if n:
             rows = sorted((*k, v) for k, v in n.items())
-            kinds = (pa.int32(), pa.int32(), pa.int64())
+            kinds = (pa.int32(), pa.int32(), pa.int32(), pa.int64())
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)],
-                                             ["kind", "pattern", "n"])
+                                             ["kind", "pattern", "looks", "n"])
 
-    return doc_texts(docs).mapInArrow(run, "kind int, pattern int, n long").groupBy("kind", "pattern") \
-        .agg(F.sum("n").alias("n"))
+    return doc_texts(docs).mapInArrow(run, "kind int, pattern int, looks int, n long") \
+        .groupBy("kind", "pattern", "looks").agg(F.sum("n").alias("n"))
 
 
 def estimate(patterns: np.ndarray, n: np.ndarray, rounds: int = 50) -> np.ndarray:
     """Posterior of each vote pattern of one kind: labelers are independent given the truth.
 
     Starts from the weighted vote, the strict labeler counting twice; one unit of that
-    start is kept as a prior count, so that a rare pattern is not left to chance.
+    start is kept as a prior count, so that a rare pattern is not left to chance. An
+    abstention says nothing, and no vote is taken for its opposite: otherwise a group of
+    candidates on which some labelers abstain would pass for the bad ones.
     """
     v = _digits3(patterns)
     start = 1 / (1 + np.exp(-((v - 1) @ VOTE_WEIGHTS)))
@@ -193,45 +225,68 @@ def estimate(patterns: np.ndarray, n: np.ndarray, rounds: int = 50) -> np.ndarra
         prior = (post @ n + 1) / (n.sum() + 2)
         logit = np.full(len(n), np.log(prior / (1 - prior)))
         for j in range(v.shape[1]):
-            yes = np.array([(post * n)[v[:, j] == k].sum() + 0.5 * (1 + (k == 2)) for k in range(3)])
-            no = np.array([((1 - post) * n)[v[:, j] == k].sum() + 0.5 * (1 + (k == 0)) for k in range(3)])
-            logit += np.log((yes / yes.sum()) / (no / no.sum()))[v[:, j]]
+            yes = np.array([(post * n)[v[:, j] == k].sum() + 0.5 * (1 + (k == 2)) for k in (0, 2)])
+            no = np.array([((1 - post) * n)[v[:, j] == k].sum() + 0.5 * (1 + (k == 0)) for k in (0, 2)])
+            against, pro = np.log((yes / yes.sum()) / (no / no.sum()))
+            logit += np.array([min(0.0, against), 0.0, max(0.0, pro)])[v[:, j]]
         post = 1 / (1 + np.exp(-np.clip(logit, -30, 30)))
     return (post * n + start) / (n + 1)
 
 
-def _features(kind: np.ndarray, patterns: np.ndarray) -> np.ndarray:
-    """Votes one-hot, for each kind apart."""
+def _features(kind: np.ndarray, patterns: np.ndarray, seen: np.ndarray) -> np.ndarray:
+    """Votes and looks one-hot and a constant, for each kind apart."""
     hot = np.eye(3)[_digits3(patterns)].reshape(len(patterns), 3 * len(VOTE_WEIGHTS))
-    own = np.c_[hot, np.ones(len(hot))]
+    steps = np.cumprod(np.append(1, _LOOK_SIZES[:0:-1]))[::-1]
+    value = seen[:, None] // steps % _LOOK_SIZES
+    shown = np.zeros((len(seen), N_LOOKS))
+    np.put_along_axis(shown, value + np.cumsum(_LOOK_SIZES) - _LOOK_SIZES, 1, axis=1)
+    own = np.c_[hot, shown, np.ones(len(hot))]
     return (np.eye(len(KINDS))[kind][:, :, None] * own[:, None, :]).reshape(len(hot), len(KINDS) * own.shape[1])
 
 
-def train(docs: DataFrame, rounds: int = 400) -> np.ndarray:
-    """Probability that a candidate is personal data, by kind (4) and vote pattern (81)."""
-    rows = np.array([tuple(r) for r in pattern_counts(docs).sort("kind", "pattern").collect()], np.int64).reshape(-1, 3)
-    kind, pattern, n = rows.T
+class Classifier:
+    """Logistic regression on the votes and the looks of a candidate."""
+
+    def __init__(self, beta: np.ndarray, accept: float):
+        self.beta, self.accept, self.memo = beta, accept, {}
+
+    def __call__(self, kind: int, pattern: int, seen: int) -> bool:
+        key = kind, pattern, seen
+        if key not in self.memo:
+            x = _features(*(np.array([v]) for v in key))
+            self.memo[key] = float(1 / (1 + np.exp(-x @ self.beta))[0]) >= self.accept
+        return self.memo[key]
+
+
+def train(docs: DataFrame, accept: float = ACCEPT, rounds: int = 400) -> Classifier:
+    """The span classifier: it learns the truth that the labelers' votes make likely.
+
+    The posterior of a candidate comes from its votes alone; the classifier sees the looks
+    as well, so candidates with equal votes part by what else tells good from bad ones."""
+    rows = pattern_counts(docs).sort("kind", "pattern", "looks").collect()
+    kind, pattern, seen, n = np.array([tuple(r) for r in rows], np.int64).reshape(-1, 4).T
     post = np.zeros(len(rows))
     for k in range(len(KINDS)):
         if (own := kind == k).any():
-            post[own] = estimate(pattern[own], n[own].astype(float))
-    # Weights start at, and are drawn towards, the plain vote: patterns never seen are judged by it.
-    start = np.tile(np.append((VOTE_WEIGHTS[:, None] * np.array([-1, 0, 1])).ravel(), 0.0), len(KINDS))
-    x, w, beta = _features(kind, pattern), np.sqrt(n.astype(float)), start.copy()
+            of, at = np.unique(pattern[own], return_inverse=True)
+            post[own] = estimate(of, np.bincount(at, n[own], len(of)))[at]
+    # Weights start at, and are drawn towards, the plain vote: what was never seen is judged by it.
+    vote = (VOTE_WEIGHTS[:, None] * np.array([-1, 0, 1])).ravel()
+    start = np.tile(np.concatenate((vote, np.zeros(N_LOOKS + 1))), len(KINDS))
+    x, w, beta = _features(kind, pattern, seen), np.sqrt(n.astype(float)), start.copy()
     for _ in range(rounds if len(rows) else 0):
         p = 1 / (1 + np.exp(-x @ beta))
         beta -= 0.5 * ((x * (w * (p - post))[:, None]).sum(0) / w.sum() + 0.01 * (beta - start))
-    grid = np.arange(81)
-    return np.array([1 / (1 + np.exp(-_features(np.full(81, k), grid) @ beta)) for k in range(len(KINDS))])
+    return Classifier(beta, accept)
 
 
-def all_spans(text: str, accept: np.ndarray) -> tuple[list, list]:
+def all_spans(text: str, accept: Classifier) -> tuple[list, list]:
     """Base spans, and base with added ones; both (start, kind number, end), sorted."""
     found = [*candidates(text)]
-    base = sorted((a, k, b) for k, a, b, ok, _ in found if ok)
+    base = sorted((a, k, b) for k, a, b, ok, _, _ in found if ok)
     out = [*base]
-    for k, a, b, ok, pattern in found:
-        if not ok and accept[k, pattern] and all(b <= x or y <= a for x, _, y in out):
+    for k, a, b, ok, pattern, seen in found:
+        if not ok and accept(k, pattern, seen) and all(b <= x or y <= a for x, _, y in out):
             out.append((a, k, b))
     return base, sorted(out)
 
@@ -246,7 +301,7 @@ def find(docs: DataFrame, accept: float = ACCEPT) -> DataFrame:
     The counts and the digest are those of the base spans; ``spans`` lists all, in code
     points. A null or empty text has none. Repeated rows give repeated result rows.
     """
-    good = docs.sparkSession.sparkContext.broadcast(train(docs) >= accept)
+    good = docs.sparkSession.sparkContext.broadcast(train(docs, accept))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for ids, texts in rows_of(batches):
@@ -267,7 +322,7 @@ def find(docs: DataFrame, accept: float = ACCEPT) -> DataFrame:
                                            "base_sha256 string, spans string, n_added long")
 
 
-def masked_text(text: str, accept: np.ndarray) -> str:
+def masked_text(text: str, accept: Classifier) -> str:
     """The text with each span replaced by its kind; overlapping spans become one."""
     out, at = [], 0
     for a, k, b in all_spans(text, accept)[1]:
@@ -280,7 +335,7 @@ def masked_text(text: str, accept: np.ndarray) -> str:
 def mask(docs: DataFrame, accept: float = ACCEPT) -> DataFrame:
     """All rows and columns of ``docs``, spans in ``text`` masked; ``n_chars``, where there
     is such a column, follows a changed text. A null text stays null."""
-    good = docs.sparkSession.sparkContext.broadcast(train(docs) >= accept)
+    good = docs.sparkSession.sparkContext.broadcast(train(docs, accept))
 
     @F.arrow_udf("string")
     def masked(texts: pa.Array) -> pa.Array:

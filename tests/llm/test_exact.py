@@ -3,6 +3,7 @@ import base64
 import hashlib
 import itertools
 import random
+import re
 import zlib
 
 import numpy as np
@@ -222,44 +223,85 @@ def test_lm_base_score_and_gain(spark):
         assert r.base_score == pytest.approx(base, rel=1e-9) and r.score < 0
 
 
-def test_attention_windows_and_gradients():
-    rng = np.random.default_rng(0)
-    m = attention.Model(rng.integers(0, 50, 40), dims=4)
+def small_model(seed=0, words=40, kinds=3):
+    rng = np.random.default_rng(seed)
+    shares = rng.random((kinds, words))
+    subwords = [rng.integers(0, 30, n) for n in rng.integers(1, 5, words - 1)] + [np.empty(0, np.int64)]
+    m = attention.Model(subwords, shares / shares.sum(1, keepdims=True), 30, dims=4)
     m.p = {k: (v + 0.3 * rng.standard_normal(v.shape)).astype(np.float64) for k, v in m.p.items()}
-    total = sum(10 ** m.score([np.array([k])], 39)[0] for k in range(40))
-    assert total == pytest.approx(1, rel=1e-5)  # a distribution over all ids
+    return m, rng
+
+
+def test_attention_windows_and_gradients():
+    m, rng = small_model()
+    total = sum(10 ** m.score([np.array([k])])[0] for k in range(40))
+    assert total == pytest.approx(1, rel=1e-5)  # a distribution over all words
     docs = [rng.integers(0, 40, n) for n in (1, 5, 16, 17, 70)]
-    together = m.score(docs, 39)
-    assert together == pytest.approx([m.score([d], 39)[0] for d in docs], rel=1e-6)
+    together = m.score(docs)
+    assert together == pytest.approx([m.score([d])[0] for d in docs], rel=1e-6)
+    later = docs[4].copy()
+    later[40:] = 7  # what comes later changes nothing before it
+    assert m.score([docs[4][:40]])[0] == pytest.approx(m.score([later[:40]])[0])
     window = rng.integers(0, 40, (3, attention.WINDOW + 1))
     grads, _ = m.gradients(window)
+    first = int(m.flat[m.starts[window[0, 3]]]) if window[0, 3] < 39 else int(m.flat[0])
     for name, at in (("wq", (1, 2)), ("wk", (0, 1)), ("wv", (2, 3)), ("wo", (3, 0)), ("near", (2,)),
-                     ("ids", (int(window[0, 3]), 1)), ("nodes", (38, 4)), ("nodes", (38, 0))):
+                     ("ids", (first, 1)), ("kinds", (2, 1)), ("prior", (0,))):
         g = grads[name]
-        g = g[1][g[0].tolist().index(at[0])][at[1]] if name in ("ids", "nodes") else g[at]
+        g = g[1][g[0].tolist().index(at[0])][at[1]] if name == "ids" else g[at]
         lo, hi = (m_loss(m, name, at, e, window) for e in (-1e-4, 1e-4))
         assert (hi - lo) / 2e-4 == pytest.approx(g, rel=2e-2, abs=2e-3)
 
 
-def test_lm_trains_on_every_id(spark, make_docs):
-    """Targets of all windows together are the texts' ids and ends, whatever the lengths."""
-    from bursa.llm.token_store import shared_codec
+def test_lm_trains_on_every_word(spark, make_docs):
+    """Targets of all windows together are the texts' words and ends, whatever the lengths."""
     rng = random.Random(6)
-    rows = [(k, " ".join(f"w{rng.randrange(99)}" for _ in range(n))) for k, n in enumerate((0, 1, 15, 40, 700, 5000))]
+    rows = [(k, " ".join(f"w{rng.randrange(99)}" for _ in range(n))) for k, n in enumerate((0, 1, 31, 32, 33, 700, 5000))]
     rows += [(10, "日本語 " * 200), (11, None), (None, "no id " * 30), (12, "x" * 5000)]
-    docs, codec = make_docs(rows), shared_codec(make_docs([]))
-    got = lm_score._gather(docs, codec, 7, 2).where("window IS NOT NULL").collect()
+    table = {b"\n": 0} | {f"w{k}".encode(): k + 1 for k in range(50)}
+    got = lm_score._table_windows(make_docs(rows), spark.sparkContext.broadcast(table)).collect()
     x = lm_score._unpacked([bytes(r.window) for r in got])
-    w, want = lm_score.words_of(codec), []
-    for i, t in rows:
-        if zlib.crc32(b"" if i is None else str(i).encode()) % 7 != 2:
-            want += [*np.frombuffer(w.ids((t or "").encode().lower().split()), "<u4").tolist(), w.end]
+    want = [table.get(w, 51) for _, t in rows for w in [*(t or "").encode().lower().split(), b"\n"]]
     assert sorted(x[:, 1:][x[:, 1:] >= 0].tolist()) == sorted(want)
-    m = attention.Model(np.arange(40), dims=4)
-    whole = np.array([[39, 1, 2, 3] + [-1] * (attention.WINDOW - 3)])
+    m, _ = small_model()
+    whole = np.array([[0, 1, 2, 3] + [-1] * (attention.WINDOW - 3)])
     filled = np.where(whole < 0, 7, whole)
     cut = m.gradients(whole)[1]
-    assert cut < m.gradients(filled)[1] and cut == pytest.approx(-m.score([np.array([1, 2, 3])], 39)[0] * np.log(10))
+    assert cut < m.gradients(filled)[1] and cut == pytest.approx(-m.score([np.array([1, 2, 3])])[0] * np.log(10))
+
+
+def test_lm_spelling_is_a_distribution(spark):
+    """Chances of all ids after any id add up to 1; a word's chance is their product."""
+    from bursa.llm.token_store import shared_codec
+    words = spark.createDataFrame([(f"word{k}".encode(), 1) for k in range(60)], "word binary, n long")
+    codec = shared_codec(words)
+    size = len(codec.get().table)
+    s = lm_score.Spelling(words, codec, size)
+    w = lm_score.words_of(codec)
+    flat, sizes = w.many([b"word1", b"word12", b"other"])
+    got = s.log10(flat, sizes)
+    counts = {}
+    for k in range(60):
+        ids = [size, *w.many([f"word{k}".encode()])[0].tolist(), size]
+        for pair in zip(ids, ids[1:]):
+            counts[pair] = counts.get(pair, 0) + 1
+    before = {a: sum(n for (x, _), n in counts.items() if x == a) for a, _ in counts}
+    single = np.full(size + 1, 0.1)
+    for (_, b), n in counts.items():
+        single[b] += n
+    single /= single.sum()
+    for value, ids in zip(got, np.split(flat, np.cumsum(sizes)[:-1])):
+        ids = [size, *ids.tolist(), size]
+        want = sum(np.log10((counts.get((a, b), 0) + 3 * single[b]) / (before.get(a, 0) + 3)) for a, b in zip(ids, ids[1:]))
+        assert value == pytest.approx(want)
+    assert got[0] > got[2]
+
+
+def test_lm_beats_the_base_on_held_out_text(spark):
+    got = lm_score.score(table(spark, "/root/testdata/sf0.1", "documents")).where("held_out")
+    r = got.selectExpr("sum(score) / sum(n_tokens) AS model", "sum(base_score) / sum(n_tokens) AS base",
+                       "avg(if(score > base_score, 1, 0)) AS better").first()
+    assert r.model > r.base + 0.1 and r.better > 0.75
 
 
 def m_loss(m, name, at, e, window):
@@ -269,6 +311,51 @@ def m_loss(m, name, at, e, window):
     return loss
 
 
+def plain_base(text):
+    """The base spans by plain regular expressions and checks, kind after kind."""
+    def luhn(d):
+        return sum(sum(divmod(int(c) * (1 + k % 2), 10)) for k, c in enumerate(reversed(d))) % 10 == 0
+
+    out = []
+    for n, (kind, pattern) in enumerate((
+            ("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"),
+            ("ip", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)"), ("card", r"[0-9]([\x20-]?[0-9])+"),
+            ("phone", r"\+[0-9][\x20().0-9-]+[0-9]"))):
+        for m in re.finditer(pattern, text):
+            d = re.sub("[^0-9]", "", m[0])
+            if kind == "ip" and any(int(p) > 255 for p in m[0].split(".")) or kind == "phone" and not 9 <= len(d) <= 15 \
+                    or kind == "card" and not (12 <= len(d) <= 19 and luhn(d)):
+                continue
+            out.append((m.start(), n, f"{kind}:{m.start()}:{m.end()}"))
+    return [s for *_, s in sorted(out)]
+
+
+def test_pii_base_against_plain_expressions(spark, texts, make_docs):
+    rng = random.Random(3)
+    bits = ["a.b@c.de", "@", "x@y", "10.0.0.1", "999.1.1.1", "1.2.3.4.5", "4111 1111 1111 1111", "4111-1111", "+49 (30) 1234-56789",
+            "+1", "5500005555555559", " ", "\n", "é", "(", "12", "-", "."]
+    odd = {-k: "".join(rng.choices(bits, k=12)) for k in range(1, 300)}
+    got = {r.doc_id: r for r in pii.find(make_docs([*texts.items(), *odd.items()])).collect()}
+    for i, t in (texts | odd).items():
+        want = plain_base(t or "")
+        assert got[i].base_sha256 == hashlib.sha256(",".join(want).encode()).hexdigest(), t
+        assert [got[i][f"n_{k}"] for k in pii.KINDS] == [sum(s.startswith(k) for s in want) for k in pii.KINDS]
+        assert set(want) <= set(got[i].spans.split(",")) or not want
+
+
+def test_pii_adds_spans_by_their_looks(make_docs):
+    """Spelled-out addresses among addresses are added; the like inside code is not."""
+    rows = [(k, f"Please write to user{k}@mail{k % 9}.example.com or call +1 212 555 01{k % 90 + 10}.") for k in range(300)]
+    rows += [(1000 + k, f"Contact e-mail: person{k} (at) host{k % 7} dot org for more.") for k in range(60)]
+    rows += [(2000 + k, f"version id 1{k}.300.{k}.1 of the part number 4111{k:04d}22223333") for k in range(60)]
+    got = {r.doc_id: r for r in pii.find(make_docs(rows)).collect()}
+    assert all(got[i].n_email == 1 for i in range(300))
+    assert sum(got[1000 + k].n_added for k in range(60)) == 60
+    assert all("(at)" in rows[300 + k][1][int(got[1000 + k].spans.split(":")[1]):int(got[1000 + k].spans.split(":")[2])]
+               for k in range(60))
+    assert sum(got[2000 + k].n_added for k in range(60)) == 0
+
+
 def test_pii_base_and_added(make_docs):
     rows = [(1, "Write to a.b@x-y.example.com, ip 10.0.0.300 or 10.0.0.30; card 4111 1111 1111 1111!"),
             (2, "call +1 (212) 555-0100 or 4111111111111112, not 1.2.3.4.5.6.7.8 a@b@c.de"),
