@@ -8,16 +8,16 @@ whole. Offsets follow from the tokens' byte lengths and the text's byte-to-chara
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from bursa.llm.bpe import Shared, from_ranks, read_ranks
-from bursa.llm.common import doc_texts, rows_of
+from bursa.llm.common import doc_texts, give_back, rows_of
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
@@ -75,8 +75,24 @@ def decode(encoded: DataFrame, codec: Shared) -> DataFrame:
 
 
 def round_trip(docs: DataFrame, ranks_path: str = RANKS, pattern: str = public_tokenizers.PATTERN) -> DataFrame:
-    """doc_id, n_tokens, ids_sha256, decoded_sha256, n_split of every row, repeated rows too."""
+    """doc_id, n_tokens, ids_sha256, decoded_sha256, n_split of every row, repeated rows too.
+
+    A null or empty text has no ids and decodes to nothing. Encoding and decoding are one
+    step, so that a task needs one Python worker and one codec for both."""
     codec = shared_codec(docs, ranks_path, pattern)
-    return decode(encode(docs, codec), codec).select(
-        "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
-        F.sha2("decoded", 256).alias("decoded_sha256"), "n_split")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        c = codec.get()
+        for ids, texts in rows_of(batches):
+            out = [x.tobytes() for x in c.encode_each(texts)]
+            splits = [c.splits(np.frombuffer(x, "<u4"), t) for x, t in zip(out, texts)]
+            decoded = [c.decode(x) for x in out]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(ids, pa.int64()), pa.array([len(x) // 4 for x in out], pa.int64()),
+                 pa.array([hashlib.sha256(x).hexdigest() for x in out]),
+                 pa.array([hashlib.sha256(x).hexdigest() for x in decoded]), pa.array(splits, pa.int64())],
+                ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "n_split"])
+        give_back()
+
+    return doc_texts(docs).mapInArrow(
+        run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string, n_split long")

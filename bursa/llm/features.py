@@ -29,11 +29,15 @@ def byte_blocks(text: bytes, overlap: int) -> Iterator[np.ndarray]:
 def shape_trigrams(text: bytes) -> np.ndarray:
     """Counts of byte-class trigrams, runs of a class shortened to two."""
     out = np.zeros(N_CLASSES ** 3, np.int64)
-    for block in byte_blocks(text, 4):
-        c = _CLASS[block].astype(np.int64)
-        if len(c) > 2:
-            c = c[np.concatenate(([True, True], (c[2:] != c[1:-1]) | (c[1:-1] != c[:-2])))]
-            out += np.bincount((c[:-2] * N_CLASSES + c[1:-1]) * N_CLASSES + c[2:], minlength=len(out))
+    raw = tail = np.empty(0, np.int64)  # the last two classes so far, as they are and with runs shortened
+    for block in byte_blocks(text, 0):
+        c = np.concatenate((raw, _CLASS[block].astype(np.int64)))
+        new = np.ones(len(c), bool)
+        new[2:] = (c[2:] != c[1:-1]) | (c[1:-1] != c[:-2])
+        short = np.concatenate((tail, c[len(raw):][new[len(raw):]]))
+        if len(short) > 2:
+            out += np.bincount((short[:-2] * N_CLASSES + short[1:-1]) * N_CLASSES + short[2:], minlength=len(out))
+        raw, tail = c[-2:], short[-2:]
     return out
 
 

@@ -52,12 +52,15 @@ def trigrams(text: bytes) -> tuple[np.ndarray, np.ndarray]:
     """Distinct trigram codes and their counts; words are set apart by one space."""
     table, found = letter_table(), []
     whole = text.decode()
+    tail = np.zeros(1, np.int32)  # the last two symbols so far, of which trigrams of the next block begin
     for at in range(0, len(whole), BLOCK_CHARS):
-        cp = np.frombuffer(whole[max(0, at - 2):at + BLOCK_CHARS].encode("utf-32-le"), "<u4")
-        s = np.concatenate(([0], table[np.minimum(cp, _LAST_LETTER - 1)] * (cp < _LAST_LETTER), [0])).astype(np.int32)
-        s = s[np.concatenate(([True], (s[1:] != 0) | (s[:-1] != 0)))]
+        cp = np.frombuffer(whole[at:at + BLOCK_CHARS].encode("utf-32-le"), "<u4")
+        s = (table[np.minimum(cp, _LAST_LETTER - 1)] * (cp < _LAST_LETTER)).astype(np.int32)
+        s = np.concatenate((tail, s, np.zeros(int(at + BLOCK_CHARS >= len(whole)), np.int32)))
+        s = s[np.concatenate((np.ones(len(tail), bool), (s[len(tail):] != 0) | (s[len(tail) - 1:-1] != 0)))]
         if len(s) >= 3:
             found.append(np.unique((s[:-2] * SYMBOLS + s[1:-1]) * SYMBOLS + s[2:], return_counts=True))
+        tail = s[-2:]
     if len(found) == 1:
         return found[0]
     total = np.zeros(SYMBOLS ** 3, np.int64)

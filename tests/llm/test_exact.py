@@ -330,6 +330,21 @@ def plain_base(text):
     return [s for *_, s in sorted(out)]
 
 
+def test_block_borders_change_nothing(monkeypatch):
+    rng = random.Random(8)
+    for _ in range(30):
+        text = "".join(rng.choices("aaab  \n,.AB1é日 ß##", k=rng.randrange(400))).encode()
+        want = features.shape_trigrams(text), dict(zip(*map(np.ndarray.tolist, lang_hd.trigrams(text)))), \
+            features.hashed_terms(text, 64), features.hashed_ngrams(text, 64)
+        for size in (1, 2, 3, 7, 50):
+            with monkeypatch.context() as m:
+                m.setattr(features, "BLOCK_BYTES", size)
+                m.setattr(lang_hd, "BLOCK_CHARS", size)
+                got = features.shape_trigrams(text), dict(zip(*map(np.ndarray.tolist, lang_hd.trigrams(text)))), \
+                    features.hashed_terms(text, 64), features.hashed_ngrams(text, 64)
+            assert got[1] == want[1] and all((a == b).all() for a, b in zip(got, want) if not isinstance(a, dict))
+
+
 def test_pii_base_against_plain_expressions(spark, texts, make_docs):
     rng = random.Random(3)
     bits = ["a.b@c.de", "@", "x@y", "10.0.0.1", "999.1.1.1", "1.2.3.4.5", "4111 1111 1111 1111", "4111-1111", "+49 (30) 1234-56789",
