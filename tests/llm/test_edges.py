@@ -101,3 +101,45 @@ def test_passages_edges(make_docs):
     assert len(own) == 4 and sum(r.removed for r in own) == 3 and {r.group_doc_id for r in own} == {20}
     assert {(r.removed, r.n_words) for r in got if r.doc_id == 7} == {(False, 50), (True, 299_999)}
     assert para_dedup.repeated_anywhere(make_docs([])).collect() == []
+
+
+def _odd_tables(spark, make_docs, path, rows):
+    make_docs(rows).write.parquet(f"{path}/documents.parquet")
+    _labels(spark).write.parquet(f"{path}/labels.parquet")
+    _bench(spark).write.parquet(f"{path}/benchmark.parquet")
+
+
+def test_pipeline_on_odd_rows_and_an_empty_table(spark, make_docs, tmp_path):
+    import corpus_pipeline
+    _odd_tables(spark, make_docs, f"{tmp_path}/odd", ODD)
+    got = corpus_pipeline.run(spark, f"{tmp_path}/odd").collect()
+    kept = [r.doc_id for r in got]
+    assert set(kept) <= {i for i, _ in ODD} and 4 not in kept and 5 not in kept  # a benchmark item
+    assert sum(i in (1, 2, 3) for i in kept) <= 1  # texts without words are one group
+    _odd_tables(spark, make_docs, f"{tmp_path}/none", [])
+    assert corpus_pipeline.run(spark, f"{tmp_path}/none").collect() == []
+
+
+def test_spans_and_lookup_on_odd_rows(spark, make_docs):
+    cut = {}
+    for r in decontaminate.without_spans(make_docs(ODD, CLASH), _bench(spark)).collect():
+        cut.setdefault(r.doc_id, []).append(r.text)
+    assert cut[1] == [None] and cut[2] == [""] and cut[4] == ["", ""] and cut[5] == [""] and cut[8] == ["x" * 200_000]
+    path = scratch(spark, "odd")
+    token_store.write(make_docs(ODD, CLASH), path)
+    found = token_store.lookup(spark, path, [1, 4, 7, 99]).collect()
+    assert sorted(r.doc_id for r in found) == [1, 4, 4, 7]
+    assert {len(bytes(r.ids)) for r in found if r.doc_id == 1} == {4}  # only the end
+
+
+def test_texts_without_words(make_docs):
+    """What null, empty and blank texts give, by operator."""
+    docs = make_docs([(1, None), (2, ""), (3, " \n\t ")])
+    for r in lm_score.score(docs).collect():
+        assert (r.n_tokens, r.n_rare) == (1, 0) and r.score <= 0 and r.base_score <= 0
+    assert {(r.n_tokens, r.n_split) for r in bpe_codec.round_trip(docs.where("doc_id < 3")).collect()} == {(0, 0)}
+    assert {r.fingerprint for r in simhash.near_duplicates(docs).collect()} == {"0" * 16}
+    assert {r.component_id for r in simhash.near_duplicates(docs).collect()} == {1}
+    assert {(r.lang_pred, r.score) for r in lang_hd.identify(docs).collect()} == {("und", 0.0)}
+    assert {(r.spans, r.n_added) for r in pii.find(docs).collect()} == {("", 0)}
+    assert {(r.n_words, r.kept) for r in quality_rules.judge(docs, _labels(docs.sparkSession)).collect()} == {(0, False)}
