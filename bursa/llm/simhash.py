@@ -29,6 +29,7 @@ MAX_BITS = 2
 SEED = 42
 BUCKET = 64
 SPREAD = 10_000  # fingerprints that one task expands
+SENT_KEYS = 500_000  # of 16 bytes each
 
 
 def bit_counts(h: np.ndarray) -> np.ndarray:
@@ -86,7 +87,10 @@ def links(classes: DataFrame) -> DataFrame:
     keys = stored(variants.groupBy("key").agg(F.count("*").alias("n"), F.min("fp").alias("a"), F.max("fp").alias("b"))
                   .where("n > 1"))
     pairs = keys.where("n = 2").where(near).select("a", "b")
-    members = stored(variants.join(keys.where("n > 2").select("key", "n"), "key"))
+    # Few such keys are sent to where the variants are made; many are met by a shuffle.
+    large = keys.where("n > 2").select("key", "n")
+    large = F.broadcast(large) if large.count() <= SENT_KEYS else large
+    members = stored(variants.join(large, "key"))
     few = members.where(F.col("n") <= BUCKET)
     joined = few.select("key", F.col("fp").alias("a")).join(few.select("key", F.col("fp").alias("b")), "key") \
         .where("a < b").where(near).select("a", "b")
