@@ -125,4 +125,56 @@ SELECT lang, source, part, item, value, CAST(rank AS INTEGER) AS rank
 FROM (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM both_parts)
 WHERE part = 'pair' OR rank <= 200"""
 
-ORACLES = {"op1_decontamination": OP1_SQL, "op12_source_divergence": OP12_SQL}
+# Trees level by level, then each leaf's steps to the root; crc32 of the id by its table of 256 values.
+OP13_SQL = r"""
+WITH RECURSIVE
+crc_bit AS (SELECT i, 0 AS k, i::BIGINT AS v FROM range(256) t(i)
+            UNION ALL SELECT i, k + 1, CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END
+            FROM crc_bit WHERE k < 8),
+crc_table AS (SELECT list(v ORDER BY i) AS t FROM crc_bit WHERE k = 8),
+fields AS (
+  SELECT row_number() OVER () AS r, doc_id, n_chars, CASE WHEN lang IS NULL THEN '' ELSE '=' || lang END AS tree,
+         CASE WHEN doc_id IS NULL THEN '-' ELSE strlen(doc_id::VARCHAR) || ':' || doc_id END
+         || CASE WHEN source IS NULL THEN '-' ELSE strlen(source) || ':' || source END
+         || CASE WHEN lang IS NULL THEN '-' ELSE strlen(lang) || ':' || lang END AS head,
+         CASE WHEN text IS NULL THEN '-' ELSE strlen(text) || ':' || text END AS tail,
+         xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(doc_id::VARCHAR, ''),
+             lambda x: ascii(x)::BIGINT)), lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) % 7 = 0 AS hit
+  FROM documents, crc_table),
+hashed AS (
+  SELECT r, doc_id, tree, sha256(head || CASE WHEN n_chars IS NULL THEN '-' ELSE strlen(n_chars::VARCHAR) || ':' || n_chars END
+                                 || tail) AS leaf,
+         sha256(head || CASE WHEN n_chars IS NULL THEN '-'
+                             ELSE strlen((n_chars + hit::INT)::VARCHAR) || ':' || (n_chars + hit::INT) END || tail) AS shown
+  FROM fields),
+leaves AS (SELECT r, doc_id, tree, leaf, coalesce(shown, leaf) AS shown,
+                  row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos,
+                  count(*) OVER (PARTITION BY tree) AS n FROM hashed),
+nodes AS (SELECT tree, 0 AS lvl, pos, n, leaf AS h FROM leaves
+          UNION ALL SELECT tree, lvl + 1, pos // 2, (n + 1) // 2, sha256(string_agg(h, '' ORDER BY pos))
+          FROM nodes WHERE n > 1 GROUP BY tree, lvl, pos // 2, n),
+subroots AS (SELECT tree, lvl AS height, h, row_number() OVER (ORDER BY tree) - 1 AS pos, count(*) OVER () AS n
+             FROM nodes WHERE n = 1),
+tops AS (SELECT 0 AS lvl, pos, n, h FROM subroots
+         UNION ALL SELECT lvl + 1, pos // 2, (n + 1) // 2, sha256(string_agg(h, '' ORDER BY pos))
+         FROM tops WHERE n > 1 GROUP BY lvl, pos // 2, n),
+root AS (SELECT lvl AS height, h FROM tops WHERE n = 1),
+steps AS (
+  SELECT l.r, s.lvl AS step, (l.pos >> s.lvl) & 1 = 1 AS is_right, o.h AS sibling
+  FROM leaves l JOIN subroots t USING (tree) JOIN range(64) s(lvl) ON s.lvl < t.height
+  LEFT JOIN nodes o ON o.tree = l.tree AND o.lvl = s.lvl AND o.pos = xor(l.pos >> s.lvl, 1)
+  UNION ALL
+  SELECT l.r, t.height + s.lvl, (t.pos >> s.lvl) & 1 = 1, o.h
+  FROM leaves l JOIN subroots t USING (tree) JOIN root ON true JOIN range(64) s(lvl) ON s.lvl < root.height
+  LEFT JOIN tops o ON o.lvl = s.lvl AND o.pos = xor(t.pos >> s.lvl, 1)),
+fold AS (SELECT r, 0 AS step, shown AS h FROM leaves
+         UNION ALL SELECT f.r, f.step + 1, sha256(CASE WHEN s.is_right THEN coalesce(s.sibling, '') || f.h
+                                                       ELSE f.h || coalesce(s.sibling, '') END)
+         FROM fold f JOIN steps s ON s.r = f.r AND s.step = f.step),
+ends AS (SELECT r, arg_max(h, step) AS h FROM fold GROUP BY r),
+proofs AS (SELECT r, string_agg(coalesce(sibling, ''), '' ORDER BY step) AS p FROM steps GROUP BY r)
+SELECT l.doc_id, l.leaf, t.h AS subroot, root.h AS root, sha256(coalesce(p.p, '')) AS proof_sha256, e.h AS folded_root,
+       e.h = root.h AS verified, l.pos AS "position"
+FROM leaves l JOIN subroots t USING (tree) JOIN root ON true JOIN ends e USING (r) LEFT JOIN proofs p USING (r)"""
+
+ORACLES = {"op1_decontamination": OP1_SQL, "op12_source_divergence": OP12_SQL, "op13_merkle_manifest": OP13_SQL}

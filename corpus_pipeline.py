@@ -13,27 +13,29 @@ from bursa.llm.common import scratch, table
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the nearest-neighbour classifier rejects go."""
+    """Documents that the nearest-neighbour classifier rejects go; texts without words are judged too."""
     return quality_knn.accepted(docs, table(spark, sf_dir, "labels"))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each SimHash component the document with the smallest id stays."""
+    """Of each SimHash component the document with the smallest id stays (null ids last); all
+    texts without words are one component."""
     return simhash.keep_one(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold a benchmark window go."""
+    """Documents that hold a benchmark window go; null and empty texts hold none."""
     return decontaminate.clean_documents(docs, table(spark, sf_dir, "benchmark"))
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Spans of personal data are masked; every document stays."""
+    """Spans of personal data are masked; every document stays, null texts stay null."""
     return pii.mask(docs)
 
 
 def byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of each document, with digests of ids and of the decoded bytes."""
+    """Token ids of each document, with digests of ids and of the decoded bytes; a null or
+    empty text has no ids. Repeated rows give repeated rows, an empty table none."""
     return bpe_codec.round_trip(docs)
 
 

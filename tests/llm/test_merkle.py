@@ -2,10 +2,12 @@
 import hashlib
 import zlib
 
+import duckdb
 from pyspark.sql import functions as F
 
 from bursa.llm import merkle
 from bursa.llm.common import table
+from bursa.llm.queries import OP13_SQL
 
 SF_SMALL = "/root/testdata/sf0.001"
 
@@ -70,6 +72,9 @@ def test_given_documents(spark):
     got = check(docs)
     assert {r[6] for r in got} == {True, False} and len({r[3] for r in got}) == 1
     assert check(docs, height=3)  # several rounds up and down
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{SF_SMALL}/documents.parquet')")
+    assert sorted(r[:7] for r in con.sql(OP13_SQL).fetchall()) == sorted(got)
     unchanged = merkle.manifest(docs).collect()
     assert all(r.verified and r.folded_root == r.root for r in unchanged)
 
