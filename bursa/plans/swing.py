@@ -58,6 +58,7 @@ def swing_screen(history: DataFrame, market_cap: DataFrame, free_float: DataFram
     if latest_only and rsi_method == "simple":
         # the longest window, and one bar before it
         h = recent_rows(h, "code", "trade_date", 201, on_day(history, history.select(F.max("trade_date")).scalar()))
+    h = with_market_cap(h, market_cap)  # first, while rows are narrow: the windows below reuse its exchange
     specs = {f"__m{n}": ("close", n, "decimal(30,2)") for n in (50, 100, 200)}
     specs.update({f"__v{n}": ("volume", n, "decimal(30,0)") for n in (20, 60)})
     h = with_moving_sums(h, specs, "code", "trade_date")
@@ -79,7 +80,7 @@ def swing_screen(history: DataFrame, market_cap: DataFrame, free_float: DataFram
         raise ValueError("rsi_method is 'simple' or 'wilder'")
     if latest_only:
         h = h.where(F.col("trade_date") == history.select(F.max("trade_date")).scalar())
-    h = with_market_cap(h, market_cap).join(free_float.select("code", "free_float_pct"), "code", "left")
+    h = h.join(free_float.select("code", "free_float_pct"), "code", "left")
 
     def gt_avg(s1, n1, s2, n2) -> Column:  # s1/n1 > s2/n2, exact
         return F.col(s1) * F.col(n2) > F.col(s2) * F.col(n1)
