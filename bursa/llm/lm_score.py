@@ -13,7 +13,8 @@ word and the end is a target once.
 3. Texts are scored in overlapping windows. A rare word costs the rare entry's chance
    there, and its own among rare words: its count's share, mixed with its spelling, a chain
    of subword ids with frequencies taken from all rare training words. Counts are matched
-   by a shuffle join, gathered by word within each batch first.
+   by a shuffle join, gathered by word within each batch first. The most frequent pairs of
+   ids are broadcast; the frequencies of all others are matched by a join, too.
 """
 
 from __future__ import annotations
@@ -43,13 +44,14 @@ HOT_SHARE = 500_000
 MIN_COUNT = 5  # words seen less often are rare at any size
 KINDS, SEED_WORDS = 8, 256
 BLEND = 0.02  # of the whole corpus's shares in those of a kind
-PAIRS = 1 << 20  # at most so many pairs of subword ids have a frequency of their own
+PAIRS = 1 << 20  # at most so many pairs of subword ids are broadcast; the rest are joined
 BACKOFF = 3.0  # weight of an id's own frequency beside that of the pair
 FLUSH_WORDS = 400_000
 FLUSH_WINDOWS = 50_000
 PART_WORDS = 4096  # table entries in one row of partial sums
 SCORE_TOKENS = 1 << 17
 END = b"\n"  # stands for the end in word counts; no word holds it
+OPEN = pa.list_(pa.struct([("key", pa.int64()), ("weight", pa.float64())]))
 
 
 class Words:
@@ -259,7 +261,9 @@ def _shares(windows: DataFrame, shares: np.ndarray, counts: np.ndarray) -> np.nd
 class Spelling:
     """Chances of a word's subword ids: pairs of neighbours, backed off to single ids.
 
-    ``size`` stands for a word's start before its first id and for its end behind the last."""
+    ``size`` stands for a word's start before its first id and for its end behind the last.
+    The most frequent pairs are held; the others, if any, stay in the table at ``path``, and
+    ``open_pairs`` names what ``log10`` has to be completed with from there."""
 
     def __init__(self, rare: DataFrame, codec: Shared, size: int):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -274,17 +278,24 @@ class Spelling:
                 key, n = summed(np.concatenate([k for k, _ in keys]), np.concatenate([c for _, c in keys]))
                 yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(n)], ["key", "n"])
 
-        path = scratch(rare.sparkSession, "pairs")
-        rare.mapInArrow(run, "key long, n long").groupBy("key").agg(F.sum("n").alias("n")).write.parquet(path)
-        pairs = rare.sparkSession.read.parquet(path)
+        self.path = scratch(rare.sparkSession, "pairs")
+        rare.mapInArrow(run, "key long, n long").groupBy("key").agg(F.sum("n").alias("n")).write.parquet(self.path)
+        pairs = rare.sparkSession.read.parquet(self.path)
         second, first = F.col("key") % (size + 1), F.floor(F.col("key") / (size + 1))
         self.single, self.before, self.size = np.full(size + 1, 0.1), np.zeros(size + 1), size
         for out, column in ((self.single, second), (self.before, first)):
             for r in pairs.groupBy(column.cast("long").alias("id")).agg(F.sum("n").alias("n")).collect():
                 out[r["id"]] += r["n"]
         self.single /= self.single.sum()
-        least = max(1, -(-int(self.before.sum()) // PAIRS))
-        held = pairs.where(F.col("n") >= least).orderBy("key").collect()
+        # Counts differ in at most the root of twice their sum, so few rows are collected.
+        self.least, room, whole = 1, PAIRS, True
+        for r in pairs.groupBy("n").agg(F.count("*").alias("pairs")).orderBy(F.col("n").desc()).collect():
+            room -= r["pairs"]
+            if room < 0:
+                self.least, whole = r["n"] + 1, False
+                break
+        self.whole = whole
+        held = pairs.where(F.col("n") >= self.least).orderBy("key").collect()
         self.keys = np.array([r["key"] for r in held], np.int64)
         self.counts = np.array([r["n"] for r in held], np.float64)
 
@@ -293,13 +304,39 @@ class Spelling:
         if not len(sizes):
             return np.empty(0)
         keys = pair_keys(flat, sizes, self.size)
-        at = np.minimum(np.searchsorted(self.keys, keys), max(0, len(self.keys) - 1))
-        n = np.where(self.keys[at] == keys, self.counts[at], 0) if len(self.keys) else np.zeros(len(keys))
+        n = self._held(keys)
         first, second = np.divmod(keys, self.size + 1)
         chance = (n + BACKOFF * self.single[second]) / (self.before[first] + BACKOFF)
         ends = np.cumsum(sizes + 1)
         return np.add.reduceat(np.log10(chance), ends - sizes - 1)
 
+    def _held(self, keys: np.ndarray) -> np.ndarray:
+        """The pairs' counts, 0 where none is held."""
+        at = np.minimum(np.searchsorted(self.keys, keys), max(0, len(self.keys) - 1))
+        return np.where(self.keys[at] == keys, self.counts[at], 0) if len(self.keys) else np.zeros(len(keys))
+
+    def open_pairs(self, flat: np.ndarray, sizes: np.ndarray) -> list[list[dict]]:
+        """Of each word, its pairs that aren't held: their keys, and the weights that stand for them in ``log10``."""
+        if self.whole or not len(sizes):
+            return [[]] * len(sizes)
+        keys, ends = pair_keys(flat, sizes, self.size), np.cumsum(sizes + 1)
+        at = np.flatnonzero((self._held(keys) == 0) & (self.before[keys // (self.size + 1)] > 0))
+        pairs = [{"key": k, "weight": x} for k, x in zip(
+            keys[at].tolist(), (BACKOFF * self.single[keys[at] % (self.size + 1)]).tolist())]
+        cuts = [0, *np.searchsorted(at, ends).tolist()]
+        return [pairs[a:b] for a, b in zip(cuts, cuts[1:])]
+
+    def completed(self, tail: DataFrame) -> DataFrame:
+        """Rows (word, spelled, open, ...) with the open pairs' frequencies in ``spelled``, without ``open``."""
+        if self.whole:
+            return tail.drop("open")
+        rest = tail.sparkSession.read.parquet(self.path).where(F.col("n") < self.least)
+        pairs = tail.where(F.size("open") > 0).groupBy("word").agg(F.first("open").alias("open")) \
+            .select("word", F.explode("open").alias("p")).select("word", "p.key", "p.weight")
+        more = pairs.join(rest, "key").groupBy("word").agg(F.sum(F.log10(F.lit(1.0) + F.col("n") / F.col("weight"))).alias("more"))
+        return tail.drop("open").join(more, "word", "left") \
+            .withColumn("spelled", F.col("spelled") + F.coalesce("more", F.lit(0.0))).drop("more")
+
 
 def pair_keys(flat: np.ndarray, sizes: np.ndarray, size: int) -> np.ndarray:
     """(id before, id) of all words as one number; before a word and behind it stands ``size``."""
@@ -436,27 +473,30 @@ def score(docs: DataFrame, vocabulary: str = VOCABULARY, folds: int = FOLDS, hel
                 scores.append(model.score(waiting, vectors))
             if rids:
                 words = [None] * len(rids) + [*tail]
-                spelled = spelling.log10(*w.many([*tail]))
+                flat, sizes = w.many([*tail])
+                spelled, open_ = spelling.log10(flat, sizes), spelling.open_pairs(flat, sizes)
                 pad = lambda x, t: pa.array([*x, *[None] * len(tail)], t)
                 yield pa.RecordBatch.from_arrays(
                     [pad(rids, pa.int64()), pad(doc_ids.to_pylist(), pa.int64()), pad(n_tokens, pa.int64()),
                      pad(n_rare, pa.int64()), pad(base, pa.float64()), pad(np.concatenate(scores), pa.float64()),
                      pa.array(words, pa.binary()), pa.array([*[None] * len(rids), *tail.values()], pa.list_(pa.int64())),
-                     pa.array([*[None] * len(rids), *spelled.tolist()], pa.float64())],
-                    ["rid", "doc_id", "n_tokens", "n_rare", "base", "score", "word", "rids", "spelled"])
+                     pa.array([*[None] * len(rids), *spelled.tolist()], pa.float64()),
+                     pa.array([*[None] * len(rids), *open_], OPEN)],
+                    ["rid", "doc_id", "n_tokens", "n_rare", "base", "score", "word", "rids", "spelled", "open"])
         give_back()
 
     doc_texts(docs).withColumn("rid", F.monotonically_increasing_id()).mapInArrow(
         run, "rid long, doc_id long, n_tokens long, n_rare long, base double, score double, word binary, "
-             "rids array<long>, spelled double").write.parquet(f"{corpus.path}/scored")
+             "rids array<long>, spelled double, open array<struct<key: long, weight: double>>").write.parquet(f"{corpus.path}/scored")
     scored = spark.read.parquet(f"{corpus.path}/scored")
     own = F.coalesce("n", F.lit(0)) * ((1 - corpus.unseen) / max(1, corpus.n_rare))
     chance = own + F.pow(F.lit(10.0), "spelled") * corpus.unseen
-    tail = scored.where("word IS NOT NULL").select("word", "rids", "spelled").join(corpus.rare, "word", "left").select(
+    tail = corpus.spelling.completed(scored.where("word IS NOT NULL").select("word", "rids", "spelled", "open"))
+    tail = tail.join(corpus.rare, "word", "left").select(
         F.explode("rids").alias("rid"), F.log10(F.coalesce("n", F.lit(0)) + 1).alias("gain"),
         F.col("n").isNotNull().cast("long").alias("seen"), F.log10(F.greatest(chance, F.lit(1e-300))).alias("cost"))
     sums = tail.groupBy("rid").agg(F.sum("gain").alias("gain"), F.sum("seen").alias("seen"), F.sum("cost").alias("cost"))
-    rows = scored.where("word IS NULL").drop("word", "rids", "spelled").join(sums, "rid", "left")
+    rows = scored.where("word IS NULL").drop("word", "rids", "spelled", "open").join(sums, "rid", "left")
     in_table = (F.col("n_tokens") - F.col("n_rare")) if trained else F.lit(0)
     return rows.select(
         "doc_id", (id_fold(folds) == held).alias("held_out"), "n_tokens",

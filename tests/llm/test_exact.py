@@ -297,6 +297,16 @@ def test_lm_spelling_is_a_distribution(spark):
     assert got[0] > got[2]
 
 
+@pytest.mark.parametrize("room", [40])
+def test_lm_spelling_counts_every_pair(spark, monkeypatch, room):
+    """Scores are the same however few pairs are broadcast."""
+    docs = table(spark, SF, "documents").limit(120)
+    want = {r.doc_id: r.score for r in lm_score.score(docs).collect()}
+    monkeypatch.setattr(lm_score, "PAIRS", room)
+    got = {r.doc_id: r.score for r in lm_score.score(docs).collect()}
+    assert got == pytest.approx(want, rel=1e-9)
+
+
 def test_lm_beats_the_base_on_held_out_text(spark):
     got = lm_score.score(table(spark, "/root/testdata/sf0.1", "documents")).where("held_out")
     r = got.selectExpr("sum(score) / sum(n_tokens) AS model", "sum(base_score) / sum(n_tokens) AS base",
