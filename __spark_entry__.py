@@ -520,37 +520,42 @@ def _scratch(spark, name):
     return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def _stream_source(spark, df, name, chunks=4, time_col="ts"):
+def _streamed(spark, df, name, start, chunks=4, time_col="ts"):
+    """``df`` as a stream, chunk by chunk: ``start`` makes a query of the source, which goes on
+    from its checkpoint after each chunk."""
     path = _scratch(spark, f"{name}-src")
-    ST.replay(df, path, time_col, chunks)
-    return spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 16).parquet(path)
+
+    def go_on():
+        start(spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 16).parquet(path)).awaitTermination()
+
+    ST.replay(df, path, time_col, chunks, files=16, after=go_on)
 
 
 def q_stream_daily_ohlc(spark, sf):
-    src = _stream_source(spark, _v(spark, sf, "trades"), "trades")
-    out = _scratch(spark, "daily_ohlc")
-    stream = ST.daily_ohlc_stream(src).withColumn("bucket_month", F.date_format("bucket", "yyyy-MM"))
-    ST.run_to_table(stream, out, ["security_code", "bucket"], ["bucket_month"],
-                    _scratch(spark, "ck-daily")).awaitTermination()
+    out, checkpoint = _scratch(spark, "daily_ohlc"), _scratch(spark, "ck-daily")
+
+    def start(src):
+        stream = ST.daily_ohlc_stream(src).withColumn("bucket_month", F.date_format("bucket", "yyyy-MM"))
+        return ST.run_to_table(stream, out, ["security_code", "bucket"], ["bucket_month"], checkpoint)
+
+    _streamed(spark, _v(spark, sf, "trades"), "trades", start)
     return spark.read.parquet(out).drop("bucket_month")
 
 
 def q_stream_latest_snapshot(spark, sf):
-    src = _stream_source(spark, _v(spark, sf, "stock_summary"), "summary")
-    out = _scratch(spark, "latest")
-    ST.run_to_table(ST.latest_snapshot_stream(src), out, ["security_code"], ["security_code"],
-                    _scratch(spark, "ck-latest")).awaitTermination()
+    out, checkpoint = _scratch(spark, "latest"), _scratch(spark, "ck-latest")
+    _streamed(spark, _v(spark, sf, "stock_summary"), "summary", lambda src: ST.run_to_table(
+        ST.latest_snapshot_stream(src), out, ["security_code"], ["security_code"], checkpoint))
     return spark.read.parquet(out).select(*_v(spark, sf, "stock_summary").columns)
 
 
 def q_stream_dedupe_trades(spark, sf):
     t = _v(spark, sf, "trades")
     resent = t.where(F.col("board_code") == "NG")
-    src = _stream_source(spark, t.unionByName(resent), "trades-resent")
-    out = _scratch(spark, "dedup")
-    (ST.dedupe_stream(src).writeStream.format("parquet").outputMode("append")
-       .option("checkpointLocation", _scratch(spark, "ck-dedup")).trigger(availableNow=True).start(out)
-       .awaitTermination())
+    out, checkpoint = _scratch(spark, "dedup"), _scratch(spark, "ck-dedup")
+    _streamed(spark, t.unionByName(resent), "trades-resent", lambda src: (
+        ST.dedupe_stream(src).writeStream.format("parquet").outputMode("append")
+          .option("checkpointLocation", checkpoint).trigger(availableNow=True).start(out)))
     return spark.read.parquet(out)
 
 
@@ -566,11 +571,10 @@ def q_stream_feed_trades(spark, sf):
 
 
 def q_stream_top_movers(spark, sf):
-    src = _stream_source(spark, _v(spark, sf, "stock_summary"), "summary-min")
-    minutes, ranks = _scratch(spark, "minute"), _scratch(spark, "ranks")
-    (ST.minute_change_stream(src).writeStream.outputMode("update").foreachBatch(ST.movers_sink(minutes, ranks))
-       .option("checkpointLocation", _scratch(spark, "ck-minute")).trigger(availableNow=True).start()
-       .awaitTermination())
+    minutes, ranks, checkpoint = _scratch(spark, "minute"), _scratch(spark, "ranks"), _scratch(spark, "ck-minute")
+    _streamed(spark, _v(spark, sf, "stock_summary"), "summary-min", lambda src: (
+        ST.minute_change_stream(src).writeStream.outputMode("update").foreachBatch(ST.movers_sink(minutes, ranks))
+          .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()))
     return spark.read.parquet(ranks).drop("minute_day")
 
 
@@ -621,13 +625,12 @@ def q_stream_sideways_late(spark, sf):
 
 def q_stream_sideways_state(spark, sf):
     d = _v(spark, sf, "daily_ohlc")
-    src = _stream_source(spark, d, "daily", chunks=1, time_col="bucket")
-    daily, state = _scratch(spark, "daily-bars"), _scratch(spark, "state")
-    (src.writeStream.foreachBatch(ST.sideways_state_sink(daily, state, days=60, max_range=SIDEWAYS_RANGE,
-                                                         max_volume=SIDEWAYS_VOLUME,
-                                                         min_avg_value=HISTORY_MIN_VALUE))
-        .option("checkpointLocation", _scratch(spark, "ck-state")).trigger(availableNow=True).start()
-        .awaitTermination())
+    daily, state, checkpoint = _scratch(spark, "daily-bars"), _scratch(spark, "state"), _scratch(spark, "ck-state")
+    sink = ST.sideways_state_sink(daily, state, days=60, max_range=SIDEWAYS_RANGE, max_volume=SIDEWAYS_VOLUME,
+                                  min_avg_value=HISTORY_MIN_VALUE)
+    _streamed(spark, d, "daily", lambda src: (
+        src.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()),
+        chunks=1, time_col="bucket")
     stored = SW.read_sideways(spark, state)
     return stored.where(F.col("trade_date") == stored.select(F.max("trade_date")).scalar())
 

@@ -113,11 +113,13 @@ def sideways_from_summary(summary: DataFrame, days: int = K.SIDEWAYS_DAYS_SHORT,
 
 def sideways_state(daily_ohlc: DataFrame, days: int = K.SIDEWAYS_DAYS_NIGHTLY, *, max_range=K.SIDEWAYS_RANGE,
                    max_volume=K.SIDEWAYS_VOLUME, min_avg_value=K.SIDEWAYS_VALUE_NIGHTLY, last_day_only: bool = True,
-                   as_of=None) -> DataFrame:
+                   as_of=None, renewed: str | None = None) -> DataFrame:
     """S-38: the nightly sideways state of every symbol trading on the last day
     (``last_day_only=False`` back-fills every day). No prior rows gives ratios 0 and
     ``is_sideways = false`` (Q22). ``as_of`` re-runs a past night: bars after it are
-    excluded (``bucket::date <= as_of``, the one-row theta join C-06)."""
+    excluded (``bucket::date <= as_of``, the one-row theta join C-06). ``renewed`` names a
+    column that is true in rows without values: they mark bars that came, and only the days
+    within ``days`` behind such a bar are given."""
     as_of = _as_of_date(as_of)
     if as_of is not None:
         daily_ohlc = daily_ohlc.where(F.col("bucket") < F.date_add(as_of, 1).cast("timestamp_ntz"))
@@ -133,6 +135,9 @@ def sideways_state(daily_ohlc: DataFrame, days: int = K.SIDEWAYS_DAYS_NIGHTLY, *
     r = _rolling(bars.withColumn("trade_date", F.to_date("bucket")), w)
     if last_day_only:
         r = r.where(F.col("trade_date") == daily_ohlc.select(F.to_date(F.max("bucket"))).scalar())
+    if renewed is not None:
+        near = Window.partitionBy("security_code").orderBy(F.unix_date("trade_date")).rangeBetween(-days, 0)
+        r = r.withColumn("__near", F.max(renewed).over(near)).where(F.col("__near") & ~F.col(renewed))
     mn, mx = F.col("min_close_prev"), F.col("max_close_prev")
     vsum, vn = F.col("__vsum"), F.col("__vn")
     has_range = mn > 0

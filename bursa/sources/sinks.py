@@ -2,7 +2,8 @@
 
 Tables are partitioned Parquet. ``upsert`` rewrites only the partitions touched by
 the update rows (dynamic partition overwrite): existing rows of those partitions
-whose key is not updated are kept (anti-join), the update rows replace the rest.
+whose key is not updated are kept, the update rows replace the rest. One shuffle, by
+partition and a few buckets of keys, serves the choice and the write.
 The job reads the old partition files and commits new ones only at the end, so a
 lost executor just re-runs its tasks against unchanged input.
 """
@@ -12,13 +13,15 @@ from __future__ import annotations
 import os
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from bursa.operators.latest import latest_per_key
 from bursa.sources.schemas import PARTITION_COLUMNS, SCHEMAS, SYMBOL, validate, with_partitions
 
 
+BUCKETS = 8  # tasks that share a partition, and files it is written in, per shuffle
+
+
 def _exists(df: DataFrame, path: str) -> bool:
     jvm = df.sparkSession._jvm
     jpath = jvm.org.apache.hadoop.fs.Path(path)
@@ -94,20 +97,26 @@ def upsert(updates: DataFrame, path: str, keys: Sequence[str], partition_by: Seq
     one key the first under ``order`` wins; without it the largest by the other columns,
     so the outcome never depends on the row order.
     """
-    spark = updates.sparkSession
-    order = order or [F.col(c).desc() for c in updates.columns if c not in keys] or list(keys)
-    upd = latest_per_key(updates, list(keys), order).persist()  # read three times below
-    if not _exists(updates, path):
-        upd.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
-        upd.unpersist()
-        return
-    current = spark.read.schema(upd.schema).parquet(path)
-    touched = upd.select(*partition_by).distinct()
-    keep = (current.join(touched, list(partition_by), "left_semi")
-                   .join(upd.select(*keys), list(keys), "left_anti"))
-    merged = keep.unionByName(upd.select(*current.columns))
-    (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-           .partitionBy(*partition_by).parquet(path))
+    spark, columns = updates.sparkSession, updates.columns
+    order = order or [F.col(c).desc() for c in columns if c not in keys] or list(keys)
+    upd = updates.persist()  # read twice below
+    rows, exists = upd.withColumn("__new", F.lit(True)), _exists(updates, path)
+    if exists:
+        current, touched = spark.read.schema(upd.schema).parquet(path), upd.select(*partition_by).distinct()
+        same = [current[c].eqNullSafe(touched[c]) for c in partition_by]
+        rows = rows.unionByName(current.join(touched, same, "left_semi").withColumn("__new", F.lit(False)))
+    # The window's keys hold the shuffle's, so it needs no other one.
+    rows = rows.withColumn("__bucket", F.pmod(F.xxhash64(*keys), F.lit(BUCKETS))).repartition(*partition_by, "__bucket")
+    w = Window.partitionBy(*partition_by, "__bucket", *[c for c in keys if c not in partition_by])
+    no_key = F.lit(False)  # a stored row with a null key equals no update
+    for k in keys:
+        no_key = no_key | F.col(k).isNull()
+    merged = rows.withColumn("__rn", F.row_number().over(w.orderBy(F.col("__new").desc(), *order))) \
+        .where((F.col("__rn") == 1) | (~F.col("__new") & no_key)).select(*columns)
+    writer = merged.write.mode("overwrite")
+    if exists:
+        writer = writer.option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(*partition_by).parquet(path)
     upd.unpersist()
 
 

@@ -199,6 +199,9 @@ def movers_sink(minutes_path: str, ranks_path: str, n: int = 10) -> Callable[[Da
     A minute's symbols only grow in number, so its new ranks replace all stored ones."""
     def _write(batch: DataFrame, _epoch: int) -> None:
         rows = batch.persist()
+        if rows.isEmpty():
+            rows.unpersist()
+            return
         upsert(rows, minutes_path, keys=["minute", "security_code"], partition_by=["minute_day"])
         touched = rows.select("minute").distinct()
         days = rows.select(F.collect_set("minute_day")).scalar()  # bounded by the calendar
@@ -210,12 +213,19 @@ def movers_sink(minutes_path: str, ranks_path: str, n: int = 10) -> Callable[[Da
     return _write
 
 
-def replay(df: DataFrame, path: str, time_col: str, chunks: int = 4, fmt: str = "parquet") -> None:
+def replay(df: DataFrame, path: str, time_col: str, chunks: int = 4, fmt: str = "parquet",
+           files: int = 16, after: Callable[[], None] | None = None) -> None:
     """Write ``df`` as ``chunks`` successive appends in ``time_col`` order, so a file
     stream source sees the data in arrival order (one file set per chunk).
 
-    Each chunk is written by as many tasks as the rows come in; rows without a time come
-    with the last chunk. The chunks' bounds split the time range evenly."""
+    The rows are made once and stored, then each chunk is written in at most ``files`` files,
+    so a stream takes a chunk as one batch whatever the size; rows without a time come
+    with the last chunk. The chunks' bounds split the time range evenly. ``after`` is called
+    when a chunk has been written: a stream that goes on there meets each chunk in a batch of
+    its own, so no row comes behind a watermark that later rows of its own chunk have moved."""
+    staged = f"{path.rstrip('/')}-rows"
+    df.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(staged)
+    df = df.sparkSession.read.schema(df.schema).parquet(staged)
     bounds = df.agg(F.min(time_col).cast("timestamp_ntz").alias("lo"),
                     F.max(time_col).cast("timestamp_ntz").alias("hi")).first()
     chunk = F.lit(chunks - 1)
@@ -224,8 +234,10 @@ def replay(df: DataFrame, path: str, time_col: str, chunks: int = 4, fmt: str =
         for i in range(chunks - 1, 0, -1):
             chunk = F.when(F.col(time_col) < F.lit(bounds.lo + span * i), i - 1).otherwise(chunk)
     for i in range(chunks):
-        part = df.where(chunk == i)
+        part = df.where(chunk == i).coalesce(files)
         (part.select("value").write.mode("append").text if fmt == "text" else part.write.mode("append").parquet)(path)
+        if after is not None:
+            after()
 
 
 # --- sinks ------------------------------------------------------------------------------------
@@ -255,6 +267,8 @@ def sideways_state_sink(daily_path: str, state_path: str, days: int = K.SIDEWAYS
     A bar of day d is in the frames of its symbol's next ``days`` days, so one that comes
     late renews the state from d to d + ``days`` and no other. Their frames reach back
     ``days`` more; only the months between those ends are read, for the batch's symbols.
+    The batch's keys run along with the bars as rows without values, which no frame counts,
+    so one shuffle by symbol tells the days to renew and makes their state.
     After any order of arrival the state equals the batch result over all bars."""
     from bursa.plans.sideways import sideways_state, store_sideways
 
@@ -267,13 +281,11 @@ def sideways_state_sink(daily_path: str, state_path: str, days: int = K.SIDEWAYS
             bars = batch.sparkSession.read.schema(rows.schema).parquet(daily_path)
             bars = bars.where(F.col("bucket_month").between(ends.lo, ends.hi)) \
                 .join(rows.select("security_code").distinct(), "security_code", "left_semi").drop("bucket_month")
-            came = rows.select("security_code", "bucket", F.lit(True).alias("came"))
-            frame = Window.partitionBy("security_code").orderBy(F.unix_date(F.to_date("bucket"))).rangeBetween(-days, 0)
-            renewed = bars.join(came, ["security_code", "bucket"], "left") \
-                .withColumn("renewed", F.max("came").over(frame)).where("renewed") \
-                .select(F.col("security_code").alias("symbol"), F.to_date("bucket").alias("trade_date")).distinct()
-            state = sideways_state(bars, days=days, last_day_only=False, **params)
-            store_sideways(state.join(renewed, ["symbol", "trade_date"], "left_semi"), state_path)
+            came = rows.where("security_code IS NOT NULL AND bucket IS NOT NULL").select("security_code", "bucket")
+            both = bars.withColumn("came", F.lit(False)).unionByName(
+                came.withColumn("came", F.lit(True)), allowMissingColumns=True)
+            state = sideways_state(both, days=days, last_day_only=False, renewed="came", **params)
+            store_sideways(state, state_path)
         rows.unpersist()
     return _write
 
