@@ -99,7 +99,8 @@ def upsert(updates: DataFrame, path: str, keys: Sequence[str], partition_by: Seq
     """
     spark, columns = updates.sparkSession, updates.columns
     order = order or [F.col(c).desc() for c in columns if c not in keys] or list(keys)
-    upd = updates.persist()  # read twice below
+    held = updates.is_cached  # the caller's, who goes on reading it
+    upd = updates if held else updates.persist()  # read twice below
     rows, exists = upd.withColumn("__new", F.lit(True)), _exists(updates, path)
     if exists:
         current, touched = spark.read.schema(upd.schema).parquet(path), upd.select(*partition_by).distinct()
@@ -117,7 +118,8 @@ def upsert(updates: DataFrame, path: str, keys: Sequence[str], partition_by: Seq
     if exists:
         writer = writer.option("partitionOverwriteMode", "dynamic")
     writer.partitionBy(*partition_by).parquet(path)
-    upd.unpersist()
+    if not held:
+        upd.unpersist()
 
 
 def merge_records(records: DataFrame, path: str, keys: Sequence[str], partition_by: Sequence[str], rank: str) -> None:

@@ -156,6 +156,45 @@ def test_replay_keeps_rows_without_a_time(spark, tmp_path):
     assert spark.read.parquet(f"{tmp_path}/n").count() == 1
 
 
+def test_replay_makes_rows_once_and_hands_over_chunk_by_chunk(spark, tmp_path):
+    """Many input partitions: a chunk has few files, and the stream meets it alone."""
+    from bursa.streaming import live
+    made = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            made.add(batch.num_rows)
+            yield batch
+
+    start = dt.datetime(2025, 1, 1)
+    df = spark.createDataFrame([(k, start + dt.timedelta(minutes=k)) for k in range(400)], "id long, ts timestamp_ntz")
+    df = df.repartition(40).mapInArrow(count, "id long, ts timestamp_ntz")
+    path, seen = f"{tmp_path}/r", []
+
+    def go_on():
+        def sink(batch, _):
+            seen.append(sorted(r.id for r in batch.collect()))
+        (spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 4).parquet(path).writeStream.foreachBatch(sink)
+         .option("checkpointLocation", f"{tmp_path}/ck").trigger(availableNow=True).start().awaitTermination())
+
+    live.replay(df, path, "ts", 4, files=4, after=go_on)
+    seen = [x for x in seen if x]
+    assert made.value == 400 and len(seen) == 4
+    assert sum(seen, []) == list(range(400))
+
+
+def test_upsert_keeps_null_partitions_and_the_callers_cache(spark, tmp_path):
+    from bursa.sources.sinks import upsert
+    schema = "k string, p string, v int"
+    upsert(spark.createDataFrame([("a", None, 1), ("b", "x", 1), (None, "x", 5)], schema), f"{tmp_path}/t", ["k", "p"], ["p"])
+    rows = spark.createDataFrame([("c", None, 2), ("b", "x", 2)], schema).persist()
+    upsert(rows, f"{tmp_path}/t", ["k", "p"], ["p"])
+    assert rows.storageLevel.useMemory
+    got = {(r.k, r.p, r.v) for r in spark.read.schema(schema).parquet(f"{tmp_path}/t").collect()}
+    assert got == {("a", None, 1), ("c", None, 2), ("b", "x", 2), (None, "x", 5)}
+    rows.unpersist()
+
+
 def test_late_bars_renew_only_their_days(spark, tmp_path):
     from bursa.plans.sideways import read_sideways, sideways_state
     from bursa.sources import adapters as A
