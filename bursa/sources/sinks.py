@@ -95,7 +95,7 @@ def upsert(updates: DataFrame, path: str, keys: Sequence[str], partition_by: Seq
     ``partition_by`` must be determined by ``keys`` (key columns, or columns derived
     from them) so that a key lives in exactly one partition. Of several update rows with
     one key the first under ``order`` wins; without it the largest by the other columns,
-    so the outcome never depends on the row order.
+    so the outcome never depends on the row order. Null is a key value like any other.
     """
     spark, columns = updates.sparkSession, updates.columns
     order = order or [F.col(c).desc() for c in columns if c not in keys] or list(keys)
@@ -109,11 +109,8 @@ def upsert(updates: DataFrame, path: str, keys: Sequence[str], partition_by: Seq
     # The window's keys hold the shuffle's, so it needs no other one.
     rows = rows.withColumn("__bucket", F.pmod(F.xxhash64(*keys), F.lit(BUCKETS))).repartition(*partition_by, "__bucket")
     w = Window.partitionBy(*partition_by, "__bucket", *[c for c in keys if c not in partition_by])
-    no_key = F.lit(False)  # a stored row with a null key equals no update
-    for k in keys:
-        no_key = no_key | F.col(k).isNull()
     merged = rows.withColumn("__rn", F.row_number().over(w.orderBy(F.col("__new").desc(), *order))) \
-        .where((F.col("__rn") == 1) | (~F.col("__new") & no_key)).select(*columns)
+        .where(F.col("__rn") == 1).select(*columns)
     writer = merged.write.mode("overwrite")
     if exists:
         writer = writer.option("partitionOverwriteMode", "dynamic")

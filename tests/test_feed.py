@@ -187,11 +187,11 @@ def test_upsert_keeps_null_partitions_and_the_callers_cache(spark, tmp_path):
     from bursa.sources.sinks import upsert
     schema = "k string, p string, v int"
     upsert(spark.createDataFrame([("a", None, 1), ("b", "x", 1), (None, "x", 5)], schema), f"{tmp_path}/t", ["k", "p"], ["p"])
-    rows = spark.createDataFrame([("c", None, 2), ("b", "x", 2)], schema).persist()
+    rows = spark.createDataFrame([("c", None, 2), ("b", "x", 2), (None, "x", 6)], schema).persist()
     upsert(rows, f"{tmp_path}/t", ["k", "p"], ["p"])
     assert rows.storageLevel.useMemory
     got = {(r.k, r.p, r.v) for r in spark.read.schema(schema).parquet(f"{tmp_path}/t").collect()}
-    assert got == {("a", None, 1), ("c", None, 2), ("b", "x", 2), (None, "x", 5)}
+    assert got == {("a", None, 1), ("c", None, 2), ("b", "x", 2), (None, "x", 6)}
     rows.unpersist()
 
 
