@@ -16,6 +16,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from bursa.operators.latest import latest_per_key
 from bursa.sources.schemas import PARTITION_COLUMNS, SCHEMAS, SYMBOL, validate, with_partitions
 
 
@@ -102,15 +103,17 @@ def upsert(updates: DataFrame, path: str, keys: Sequence[str], partition_by: Seq
     held = updates.is_cached  # the caller's, who goes on reading it
     upd = updates if held else updates.persist()  # read twice below
     rows, exists = upd.withColumn("__new", F.lit(True)), _exists(updates, path)
-    if exists:
+    if exists and not set(keys) <= set(partition_by):  # else a touched partition holds one key, which is replaced
         current, touched = spark.read.schema(upd.schema).parquet(path), upd.select(*partition_by).distinct()
         same = [current[c].eqNullSafe(touched[c]) for c in partition_by]
-        rows = rows.unionByName(current.join(touched, same, "left_semi").withColumn("__new", F.lit(False)))
+        rows = rows.unionByName(current.join(F.broadcast(touched), same, "left_semi").withColumn("__new", F.lit(False)))
     # The window's keys hold the shuffle's, so it needs no other one.
     rows = rows.withColumn("__bucket", F.pmod(F.xxhash64(*keys), F.lit(BUCKETS))).repartition(*partition_by, "__bucket")
     w = Window.partitionBy(*partition_by, "__bucket", *[c for c in keys if c not in partition_by])
     merged = rows.withColumn("__rn", F.row_number().over(w.orderBy(F.col("__new").desc(), *order))) \
         .where(F.col("__rn") == 1).select(*columns)
+    if set(keys) <= set(partition_by):  # a partition holds one key: its rows need no other placing
+        merged = latest_per_key(upd, list(keys), order)
     writer = merged.write.mode("overwrite")
     if exists:
         writer = writer.option("partitionOverwriteMode", "dynamic")
