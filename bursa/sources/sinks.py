@@ -100,10 +100,14 @@ def upsert(updates: DataFrame, path: str, keys: Sequence[str], partition_by: Seq
     """
     spark, columns = updates.sparkSession, updates.columns
     order = order or [F.col(c).desc() for c in columns if c not in keys] or list(keys)
+    if set(keys) <= set(partition_by):  # a partition holds one key: the updates replace it
+        (latest_per_key(updates, list(keys), order).write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path))
+        return
     held = updates.is_cached  # the caller's, who goes on reading it
     upd = updates if held else updates.persist()  # read twice below
     rows, exists = upd.withColumn("__new", F.lit(True)), _exists(updates, path)
-    if exists and not set(keys) <= set(partition_by):  # else a touched partition holds one key, which is replaced
+    if exists:
         current, touched = spark.read.schema(upd.schema).parquet(path), upd.select(*partition_by).distinct()
         same = [current[c].eqNullSafe(touched[c]) for c in partition_by]
         rows = rows.unionByName(current.join(F.broadcast(touched), same, "left_semi").withColumn("__new", F.lit(False)))
@@ -112,8 +116,6 @@ def upsert(updates: DataFrame, path: str, keys: Sequence[str], partition_by: Seq
     w = Window.partitionBy(*partition_by, "__bucket", *[c for c in keys if c not in partition_by])
     merged = rows.withColumn("__rn", F.row_number().over(w.orderBy(F.col("__new").desc(), *order))) \
         .where(F.col("__rn") == 1).select(*columns)
-    if set(keys) <= set(partition_by):  # a partition holds one key: its rows need no other placing
-        merged = latest_per_key(upd, list(keys), order)
     writer = merged.write.mode("overwrite")
     if exists:
         writer = writer.option("partitionOverwriteMode", "dynamic")
