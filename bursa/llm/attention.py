@@ -17,6 +17,7 @@ DIMS = 16
 HALF = 16  # a window is a half that is scored, and the half before it as context
 WINDOW = 2 * HALF
 CHUNK = 256  # blocks per batch
+ROWS = 64  # of a matrix that are multiplied at once
 
 
 class Model:
@@ -63,11 +64,13 @@ class Model:
 
     def _chances(self, h: np.ndarray, targets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Odds of the kinds, the targets' shares in them, and the targets' probabilities."""
-        z = h @ self.p["kinds"] + self.p["prior"]
-        g = np.exp(z - z.max(1, keepdims=True))
-        g /= g.sum(1, keepdims=True)
+        z = _times(h, self.p["kinds"]) + self.p["prior"]
+        if len(z) and float(np.abs(z).max()) > 60:  # else no exponential overflows
+            z -= z.max(1, keepdims=True)
+        g = np.exp(z, out=z)
+        g /= _totals(g)
         own = self._by_word().take(targets, 0)
-        return g, own, (g * own).sum(1)
+        return g, own, np.einsum("ij,ij->i", g, own)
 
     def _by_word(self) -> np.ndarray:
         if "_rows" not in self.__dict__:
@@ -102,7 +105,7 @@ class Model:
         for k in range(0, len(b), CHUNK):
             own = b[k:k + CHUNK]
             low = own[0] - 1  # blocks from here on, each made once; the one before is a block's context
-            y = table.take(given[low:own[-1] + 1].ravel(), 0) @ mixed
+            y = _times(table.take(given[low:own[-1] + 1].ravel(), 0), mixed)
             y = y.reshape(-1, HALF, 4 * dims)
             now, before = y.take(own - low, 0), y.take(own - 1 - low, 0)
             e = now[:, :, :dims] @ np.concatenate(
@@ -113,7 +116,7 @@ class Model:
                 e -= e.max(-1, keepdims=True)
             np.exp(e, out=e)
             mean = e @ np.concatenate((before[:, :, 2 * dims:3 * dims], now[:, :, 2 * dims:3 * dims]), axis=1)
-            mean /= e.sum(-1, keepdims=True)
+            mean /= _totals(e)
             h = np.tanh(now[:, :, 3 * dims:] + mean).reshape(-1, dims)
             t = target[own].ravel()
             known = np.flatnonzero(t >= 0)
@@ -130,37 +133,72 @@ class Model:
         known = np.flatnonzero(t >= 0)
         words, place = np.unique(given, return_inverse=True)
         place = place.ravel()
-        x = self.vectors(words).take(place, 0).reshape(*given.shape, -1)
-        q, k, v = x @ p["wq"], x @ p["wk"], x @ p["wv"]
-        s = q @ k.transpose(0, 2, 1) * self.scale + self._bias()
-        a = np.exp(s - s.max(-1, keepdims=True))
-        a /= a.sum(-1, keepdims=True)
-        h = np.tanh(x @ p["wo"] + a @ v)
         flat = lambda y: y.reshape(-1, y.shape[-1])
+        x = self.vectors(words).take(place, 0)
+        weights = np.concatenate((p["wq"], p["wk"], p["wv"], p["wo"]), axis=1)
+        q, k, v, straight = np.split(_times(x, weights).reshape(*given.shape, -1), 4, axis=2)
+        s = q @ k.transpose(0, 2, 1)
+        s *= self.scale
+        large = float(np.abs(s).max(initial=0)) + float(np.abs(p["near"]).max()) > 60  # else no exponential overflows
+        s += self._bias()
+        if large:
+            s -= s.max(-1, keepdims=True)
+        a = np.exp(s, out=s)
+        a /= _totals(a)
+        h = np.tanh(straight + a @ v)
         own = flat(h).take(known, 0)
         g, shares, chance = self._chances(own, t[known])
         loss = float(-np.log(np.maximum(chance, 1e-30)).sum())
         dz = g - g * shares / np.maximum(chance, 1e-30)[:, None]
         dh = np.zeros_like(flat(h))
-        dh[known] = dz @ p["kinds"].T
+        dh[known] = _times(dz, p["kinds"].T)
         dh = dh.reshape(h.shape) * (1 - h * h)
         da = dh @ v.transpose(0, 2, 1)
-        ds = a * (da - (da * a).sum(-1, keepdims=True))
+        ds = a * (da - np.einsum("bij,bij->bi", da, a)[:, :, None])
         dv, dq = a.transpose(0, 2, 1) @ dh, ds @ k * self.scale
         dk = ds.transpose(0, 2, 1) @ q * self.scale
-        dx = flat(dh @ p["wo"].T + dq @ p["wq"].T + dk @ p["wk"].T + dv @ p["wv"].T)
+        each = np.concatenate((flat(dq), flat(dk), flat(dv), flat(dh)), axis=1)
+        dx = _times(each, weights.T)
+        dweights = np.split(_inner(x, each), 4, axis=1)
         d = np.arange(WINDOW)[:, None] - np.arange(WINDOW)
-        grads = {"wq": flat(x).T @ flat(dq), "wk": flat(x).T @ flat(dk), "wv": flat(x).T @ flat(dv),
-                 "wo": flat(x).T @ flat(dh), "kinds": own.T @ dz, "prior": dz.sum(0),
+        grads = dict(zip(("wq", "wk", "wv", "wo"), dweights)) | {
+                 "kinds": _inner(own, dz), "prior": dz.sum(0),
                  "near": np.bincount(d[d >= 0], ds.sum(0)[d >= 0], WINDOW).astype(np.float32)}
-        of, dwords = summed(place, dx)
-        words, n = words[of], self.sizes[words[of]]
+        n = self.sizes[words]
+        dwords = _added(place, dx, len(words)) / np.maximum(n, 1)[:, None]
         rows = np.repeat(np.arange(len(words)), n)
         at = np.arange(len(rows)) + np.repeat(self.starts[words] - (np.cumsum(n) - n), n)
-        grads["ids"] = summed(self.flat[at], (dwords / np.maximum(n, 1)[:, None]).take(rows, 0))
+        ids, of = np.unique(self.flat[at], return_inverse=True)
+        grads["ids"] = ids, _added(of, dwords.take(rows, 0), len(ids)).astype(dx.dtype)
         return grads, loss
 
 
+def _totals(x: np.ndarray) -> np.ndarray:
+    """Sums over the last axis, which stays; short rows add up faster as a product."""
+    ones = np.ones((x.shape[-1], 1), x.dtype)
+    return _times(x, ones) if x.ndim == 2 else x @ ones
+
+
+def _times(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """x @ y, some rows at a time: for larger products numpy's library wakes threads of its
+    own, which wait busily and take more time than they save where each core has its task."""
+    full = len(x) // ROWS * ROWS
+    some = x[:full].reshape(-1, ROWS, x.shape[1]) @ y
+    return np.concatenate((some.reshape(full, y.shape[1]), x[full:] @ y))
+
+
+def _inner(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """x.T @ y, some rows at a time as in ``_times``."""
+    full = len(x) // ROWS * ROWS
+    a, b = (z[:full].reshape(-1, ROWS, z.shape[1]) for z in (x, y))
+    return (a.transpose(0, 2, 1) @ b).sum(0) + x[full:].T @ y[full:]
+
+
+def _added(place: np.ndarray, rows: np.ndarray, n: int) -> np.ndarray:
+    """Sums of the rows of each place below ``n``, column by column."""
+    return np.stack([np.bincount(place, column, n) for column in np.ascontiguousarray(rows.T)], axis=1)
+
+
 def summed(keys: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Distinct keys and the sums of their rows."""
     if not len(keys):

@@ -91,6 +91,17 @@ def word_blocks(data: bytes, size: int = BLOCK_BYTES) -> Iterator[list[bytes]]:
         at = end
 
 
+def split_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """The distinct words of a column of texts (null: empty) with A-Z lower-cased, the place
+    there of each word of all texts, one after the other, and how many words each text has."""
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(texts.view(pa.string()).fill_null("")))
+    words, ends = lists.flatten(), lists.offsets.to_numpy()
+    real = pc.greater(pc.binary_length(words), 0)  # white space at an end leaves an empty word
+    before = np.append(0, np.cumsum(real.to_numpy(zero_copy_only=False)))
+    coded = words.filter(real).dictionary_encode()
+    return coded.dictionary.view(pa.binary()), coded.indices.to_numpy(), np.diff(before[ends - ends[0]])
+
+
 def scratch(spark: SparkSession, name: str) -> str:
     """A new folder name under the shared checkpoint folder."""
     return f"{checkpoint_dir(spark).rstrip('/')}/llm/{name}-{uuid.uuid4().hex}"

@@ -13,14 +13,15 @@ word and the end is a target once.
 3. Texts are scored in overlapping windows. A rare word costs the rare entry's chance
    there, and its own among rare words: its count's share, mixed with its spelling, a chain
    of subword ids with frequencies taken from all rare training words. Counts are matched
-   by a shuffle join, gathered by word within each batch first. The most frequent pairs of
-   ids are broadcast; the frequencies of all others are matched by a join, too.
+   by a shuffle join, gathered by word within each batch first, and words are spelled behind
+   that join, where equal ones meet. The most frequent pairs of ids are broadcast; the
+   frequencies of all others are matched by a join, too.
 """
 
 from __future__ import annotations
 
 import zlib
-from collections import Counter, defaultdict
+from collections import Counter
 from collections.abc import Iterator
 from itertools import repeat
 
@@ -32,7 +33,7 @@ from pyspark.sql import functions as F
 
 from bursa.llm.attention import WINDOW, Model, Trainer, summed
 from bursa.llm.bpe import LONG, MEMO, Codec, Shared
-from bursa.llm.common import doc_texts, give_back, id_fold, rows_of, scratch, sliced, word_blocks
+from bursa.llm.common import doc_texts, give_back, id_fold, scratch, sliced, split_words, stored
 from bursa.llm.token_store import VOCABULARY, shared_codec
 
 FOLDS, HELD_FOLD = 7, 2
@@ -52,6 +53,7 @@ PART_WORDS = 4096  # table entries in one row of partial sums
 SCORE_TOKENS = 1 << 17
 END = b"\n"  # stands for the end in word counts; no word holds it
 OPEN = pa.list_(pa.struct([("key", pa.int64()), ("weight", pa.float64())]))
+SPELLED = pa.struct([("spelled", pa.float64()), ("open", OPEN)])
 
 
 class Words:
@@ -103,15 +105,22 @@ def _unpacked(windows: list[bytes]) -> np.ndarray:
     return np.frombuffer(b"".join(windows), "<i4").astype(np.int64).reshape(-1, WINDOW + 1)
 
 
+def _windows_of(column: pa.Array) -> np.ndarray:
+    """The windows of a column, all of one size, where they lie."""
+    _, offsets, data = column.buffers()
+    first = int(np.frombuffer(offsets, np.int32)[column.offset])
+    size = len(column) * (WINDOW + 1)
+    return np.frombuffer(data, "<i4", size, first).astype(np.int64).reshape(-1, WINDOW + 1)
+
+
 def _word_counts(docs: DataFrame) -> DataFrame:
     """(word, n) sums by batch over the rows; the end counts once a row."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         count: Counter = Counter()
-        for _, texts in rows_of(batches):
-            for text in texts:
-                for words in word_blocks(text.lower()):
-                    count.update(words)
-                count[END] += 1
+        for batch in sliced(batches):
+            words, of, sizes = split_words(batch.column("text"))
+            count.update(dict(zip(words.to_pylist(), np.bincount(of, minlength=len(words)).tolist())))
+            count[END] += len(sizes)
             if len(count) > FLUSH_WORDS:
                 yield _counted(count)
                 count = Counter()
@@ -131,18 +140,20 @@ def _table_windows(docs: DataFrame, table: Broadcast) -> DataFrame:
     """(window, turn): the windows of all rows, and a number that deals them out evenly."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         get, rare = table.value.get, len(table.value)
-        for ids, texts in rows_of(batches):
-            windows, turns = [], []
-            for i, text in zip(ids, texts):
-                parts = [np.fromiter(map(get, words, repeat(rare)), np.int32, len(words))
-                         for words in word_blocks(text.lower())]
-                rows = _windows(np.concatenate([*parts, np.empty(0, np.int32)]))
+        for batch in sliced(batches):
+            windows, turns, n = [], [], 0
+            words, of, sizes = split_words(batch.column("text"))
+            numbers = np.fromiter(map(get, words.to_pylist(), repeat(rare)), np.int32, len(words))[of]
+            ends = np.cumsum(sizes)
+            for i, a, b in zip(batch.column("doc_id").to_pylist(), (ends - sizes).tolist(), ends.tolist()):
+                rows = _windows(numbers[a:b])
                 salt = zlib.crc32(b"" if i is None else str(i).encode())
-                windows += [r.tobytes() for r in rows]
+                windows.append(rows)
                 turns.append((np.arange(len(rows)) * 2654435761 + salt) % 4294967291)
-                if len(windows) >= FLUSH_WINDOWS:
+                n += len(rows)
+                if n >= FLUSH_WINDOWS:
                     yield _dealt(windows, turns)
-                    windows, turns = [], []
+                    windows, turns, n = [], [], 0
             if windows:
                 yield _dealt(windows, turns)
         give_back()
@@ -150,9 +161,11 @@ def _table_windows(docs: DataFrame, table: Broadcast) -> DataFrame:
     return doc_texts(docs).mapInArrow(run, "window binary, turn long")
 
 
-def _dealt(windows: list[bytes], turns: list[np.ndarray]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(windows, pa.binary()), pa.array(np.concatenate(turns))],
-                                      ["window", "turn"])
+def _dealt(windows: list[np.ndarray], turns: list[np.ndarray]) -> pa.RecordBatch:
+    rows = np.concatenate(windows).astype("<i4")
+    offsets = np.arange(len(rows) + 1, dtype=np.int32) * np.int32(rows.shape[1] * 4)
+    held = pa.Array.from_buffers(pa.binary(), len(rows), [None, pa.py_buffer(offsets), pa.py_buffer(rows)])
+    return pa.RecordBatch.from_arrays([held, pa.array(np.concatenate(turns))], ["window", "turn"])
 
 
 def _summed_parts(windows: DataFrame, size: int, work) -> dict[int, np.ndarray]:
@@ -161,7 +174,7 @@ def _summed_parts(windows: DataFrame, size: int, work) -> dict[int, np.ndarray]:
     Keys number parts of a matrix whose size the table bounds; what is collected is that
     matrix once, after its parts have been added up where they were dealt to."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = (_unpacked(b.column("window").to_pylist()) for b in batches if b.num_rows)
+        rows = (_windows_of(b.column("window")) for b in batches if b.num_rows)
         for key, values in work(rows):
             yield pa.RecordBatch.from_arrays([pa.array([key], pa.int64()), pa.array([values.astype("<f8").tobytes()])],
                                              ["key", "v"])
@@ -366,7 +379,7 @@ def _train(windows: DataFrame, model: Model, rounds: int, rate: float) -> None:
             for batch in batches:
                 if not batch.num_rows:
                     continue
-                x = _unpacked(batch.column("window").to_pylist())
+                x = _windows_of(batch.column("window"))
                 if t is None:
                     source._by_word()
                     own = Model.__new__(Model)
@@ -441,62 +454,64 @@ def score(docs: DataFrame, vocabulary: str = VOCABULARY, folds: int = FOLDS, hel
     corpus = Corpus(docs, codec, folds, held, rounds, rate)
     space = np.log10(corpus.n + corpus.v + 1)
     gains = np.log10(np.array([n + 1 if corpus.n else 1 for _, n in corpus.hot], np.float64))
-    known = spark.sparkContext.broadcast((gains, corpus.model, corpus.spelling))
+    known, spelling = (spark.sparkContext.broadcast(x) for x in ((gains, corpus.model), corpus.spelling))
     table, trained = corpus.table, corpus.n > 0
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        w, (gain, model, spelling), get = words_of(codec), known.value, table.value.get
+        (gain, model), get = known.value, table.value.get
         rare, vectors = len(table.value), model.vectors(np.arange(len(model.sizes)))
+        gain = np.append(gain, 0.0)
         for batch in sliced(batches):
-            tail: defaultdict[bytes, list[int]] = defaultdict(list)
-            rids, doc_ids = batch.column("rid").to_pylist(), batch.column("doc_id")
-            n_tokens, n_rare, base, scores, waiting, size = [], [], [], [], [], 0
-            for rid, text in zip(rids, batch.column("text").to_pylist()):
-                parts, unknown = [], 0
-                for words in word_blocks((text or b"").lower()):
-                    at = np.fromiter(map(get, words, repeat(rare)), np.int64, len(words))
-                    rest = np.flatnonzero(at == rare).tolist()
-                    for k in rest:
-                        tail[words[k]].append(rid)
-                    unknown += len(rest)
-                    parts.append(at)
-                seq = np.concatenate([*parts, np.zeros(1, np.int64)])
-                n_tokens.append(len(seq))
-                n_rare.append(unknown)
-                base.append(float(gain[seq[seq < rare]].sum()) - len(seq) * space)
-                waiting.append(seq)
-                size += len(seq)
-                if size >= SCORE_TOKENS:
-                    scores.append(model.score(waiting, vectors))
-                    waiting, size = [], 0
-            if waiting:
-                scores.append(model.score(waiting, vectors))
-            if rids:
-                words = [None] * len(rids) + [*tail]
-                flat, sizes = w.many([*tail])
-                spelled, open_ = spelling.log10(flat, sizes), spelling.open_pairs(flat, sizes)
-                pad = lambda x, t: pa.array([*x, *[None] * len(tail)], t)
-                yield pa.RecordBatch.from_arrays(
-                    [pad(rids, pa.int64()), pad(doc_ids.to_pylist(), pa.int64()), pad(n_tokens, pa.int64()),
-                     pad(n_rare, pa.int64()), pad(base, pa.float64()), pad(np.concatenate(scores), pa.float64()),
-                     pa.array(words, pa.binary()), pa.array([*[None] * len(rids), *tail.values()], pa.list_(pa.int64())),
-                     pa.array([*[None] * len(rids), *spelled.tolist()], pa.float64()),
-                     pa.array([*[None] * len(rids), *open_], OPEN)],
-                    ["rid", "doc_id", "n_tokens", "n_rare", "base", "score", "word", "rids", "spelled", "open"])
+            words, of, sizes = split_words(batch.column("text"))
+            number = np.fromiter(map(get, words.to_pylist(), repeat(rare)), np.int64, len(words))
+            at, owner, ends = number[of], np.repeat(np.arange(len(sizes)), sizes), np.cumsum(sizes + 1)
+            seq = np.zeros(len(at) + len(sizes), np.int64)  # each text's words and its end
+            inner = np.ones(len(seq), bool)
+            inner[ends - 1] = False
+            seq[inner] = at
+            base = np.bincount(owner, gain[at], len(sizes)) + gain[0] - (sizes + 1) * space
+            docs_, scores, first = np.split(seq, ends[:-1]), [], 0
+            while first < len(docs_):
+                last = max(first + 1, int(np.searchsorted(ends, ends[first] - sizes[first] - 1 + SCORE_TOKENS, "right")))
+                scores.append(model.score(docs_[first:last], vectors))
+                first = last
+            own = np.flatnonzero(at == rare)
+            own = own[np.argsort(of[own], kind="stable")]
+            tail = np.flatnonzero(number == rare)  # each word has a token at least
+            cuts = np.append(0, np.cumsum(np.bincount(of[own], minlength=len(words))[tail])).astype(np.int32)
+            rids = batch.column("rid").to_numpy()
+            pad = lambda x, t: pa.concat_arrays([pa.array(x, t), pa.nulls(len(tail), t)])
+            yield pa.RecordBatch.from_arrays(
+                [pad(rids, pa.int64()), pad(batch.column("doc_id"), pa.int64()), pad(sizes + 1, pa.int64()),
+                 pad(np.bincount(owner[own], minlength=len(sizes)), pa.int64()), pad(base, pa.float64()),
+                 pad(np.concatenate(scores), pa.float64()),
+                 pa.concat_arrays([pa.nulls(len(sizes), pa.binary()), words.take(pa.array(tail))]),
+                 pa.concat_arrays([pa.nulls(len(sizes), pa.list_(pa.int64())),
+                                   pa.ListArray.from_arrays(pa.array(cuts), pa.array(rids[owner[own]], pa.int64()))])],
+                ["rid", "doc_id", "n_tokens", "n_rare", "base", "score", "word", "rids"])
         give_back()
 
+    def spell(words: pa.Array) -> pa.Array:
+        coded = words.dictionary_encode()
+        flat, sizes = words_of(codec).many(coded.dictionary.to_pylist())
+        log10, open_ = spelling.value.log10(flat, sizes), spelling.value.open_pairs(flat, sizes)
+        parts = [pa.array(log10, pa.float64()), pa.array(open_, OPEN)]
+        return pa.StructArray.from_arrays(parts, fields=[*SPELLED]).take(coded.indices)
+
     doc_texts(docs).withColumn("rid", F.monotonically_increasing_id()).mapInArrow(
         run, "rid long, doc_id long, n_tokens long, n_rare long, base double, score double, word binary, "
-             "rids array<long>, spelled double, open array<struct<key: long, weight: double>>").write.parquet(f"{corpus.path}/scored")
+             "rids array<long>").write.parquet(f"{corpus.path}/scored")
     scored = spark.read.parquet(f"{corpus.path}/scored")
     own = F.coalesce("n", F.lit(0)) * ((1 - corpus.unseen) / max(1, corpus.n_rare))
     chance = own + F.pow(F.lit(10.0), "spelled") * corpus.unseen
-    tail = corpus.spelling.completed(scored.where("word IS NOT NULL").select("word", "rids", "spelled", "open"))
-    tail = tail.join(corpus.rare, "word", "left").select(
+    spelled = F.arrow_udf(spell, "spelled double, open array<struct<key: long, weight: double>>")
+    tail = scored.where("word IS NOT NULL").select("word", "rids").join(corpus.rare, "word", "left") \
+        .withColumn("s", spelled("word")).select("word", "rids", "n", "s.spelled", "s.open")
+    tail = corpus.spelling.completed(tail if corpus.spelling.whole else stored(tail)).select(
         F.explode("rids").alias("rid"), F.log10(F.coalesce("n", F.lit(0)) + 1).alias("gain"),
         F.col("n").isNotNull().cast("long").alias("seen"), F.log10(F.greatest(chance, F.lit(1e-300))).alias("cost"))
     sums = tail.groupBy("rid").agg(F.sum("gain").alias("gain"), F.sum("seen").alias("seen"), F.sum("cost").alias("cost"))
-    rows = scored.where("word IS NULL").drop("word", "rids", "spelled", "open").join(sums, "rid", "left")
+    rows = scored.where("word IS NULL").drop("word", "rids").join(sums, "rid", "left")
     in_table = (F.col("n_tokens") - F.col("n_rare")) if trained else F.lit(0)
     return rows.select(
         "doc_id", (id_fold(folds) == held).alias("held_out"), "n_tokens",

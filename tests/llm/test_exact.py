@@ -2,11 +2,15 @@
 import base64
 import hashlib
 import itertools
+import os
 import random
 import re
+import subprocess
+import sys
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 import tiktoken
@@ -16,7 +20,7 @@ from tokenizers import Tokenizer
 import corpus_pipeline
 from bursa.llm import (attention, bpe_codec, decontaminate, features, lang_hd, lm_score, para_dedup, pii, quality_knn,
                        quality_rules, simhash, token_store)
-from bursa.llm.common import components, scratch, table
+from bursa.llm.common import components, scratch, split_words, table
 
 SF_SMALL, SF = "/root/testdata/sf0.001", "/root/testdata/sf0.01"
 
@@ -253,6 +257,48 @@ def test_attention_windows_and_gradients():
         assert (hi - lo) / 2e-4 == pytest.approx(g, rel=2e-2, abs=2e-3)
 
 
+def test_attention_wakes_no_threads():
+    """Products stay on the task's own core: the process takes hardly more time than its thread."""
+    code = """if True:
+        import time
+        import numpy as np
+        from bursa.llm import attention
+        rng = np.random.default_rng(1)
+        words = rng.integers(1, 300, (256, attention.WINDOW + 1))
+        shares = rng.random((8, 300)).astype(np.float32)
+        m = attention.Model([rng.integers(0, 500, 2) for _ in range(300)], shares / shares.sum(1, keepdims=True), 500)
+        t = attention.Trainer(m, 0.1)
+        own, all_ = time.thread_time(), time.process_time()
+        for _ in range(15):
+            t.step(words)
+            m.score([*words])
+        print((time.process_time() - all_) / (time.thread_time() - own))"""
+    root = attention.__file__.rsplit("/bursa/", 1)[0]
+    out = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, check=True,
+                         env=os.environ | {"OMP_NUM_THREADS": "2", "OPENBLAS_NUM_THREADS": "2", "PYTHONPATH": root})
+    assert float(out.stdout) < 1.2
+
+
+def test_split_words_as_bytes_do():
+    texts = [None, b"", b" \n", b" a\tB \x0b\x0c\r\nc\x1cd ", "É\u0085X\u00a0y \u2003 Zz".encode(), b"q" * 70_000, b"a b a"]
+    for at in (0, 3):  # a slice, too
+        column = pa.array(texts, pa.binary()).slice(at)
+        words, of, sizes = split_words(column)
+        want = [(x or b"").lower().split() for x in texts[at:]]
+        assert [words[k].as_py() for k in of] == [w for x in want for w in x]
+        assert sizes.tolist() == [*map(len, want)] and len(set(words.to_pylist())) == len(words)
+
+
+def test_lm_spells_a_word_once_where_its_rows_meet(spark, monkeypatch):
+    """Scoring stores a batch's rare words without their spelling, which the join's rows get."""
+    seen = []
+    monkeypatch.setattr(lm_score, "scratch", lambda s, n, f=lm_score.scratch: seen.append(f(s, n)) or seen[-1])
+    got = lm_score.score(table(spark, SF, "documents").limit(60))
+    assert got.count() == 60
+    held = [spark.read.parquet(f"{p}/scored") for p in seen if "/lm-" in p]
+    assert [x.columns for x in held] == [["rid", "doc_id", "n_tokens", "n_rare", "base", "score", "word", "rids"]]
+
+
 def test_lm_trains_on_every_word(spark, make_docs):
     """Targets of all windows together are the texts' words and ends, whatever the lengths."""
     rng = random.Random(6)
